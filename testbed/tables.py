@@ -205,7 +205,7 @@ for _name, (_a, _b) in ARCHIVES.items():
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 SPARK_DIALECT = {"@MILLIS@": "unix_millis(CAST(ts AS TIMESTAMP))", "@TS@": "TIMESTAMP_NTZ"}
-DUCK_DIALECT = {"@MILLIS@": "epoch_ms(ts)", "@TS@": "TIMESTAMP"}
+DUCK_DIALECT = {"@MILLIS@": "epoch_us(ts) // 1000", "@TS@": "TIMESTAMP"}
 
 
 def _dialect(sql: str, tokens: dict[str, str]) -> str:

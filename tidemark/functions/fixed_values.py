@@ -45,7 +45,7 @@ EAT_PAGES = ("eat", "3", "page:main, subPage:eat", "28")
 PLAY_PAGES = ("play", "4", "page:main, subPage:play")
 TRIP_PAGES = ("trip", "1")
 ACTIVITY_PAGES = ("21", "33", "34", "35", "36", "37", "41")
-AROUND_PAGE, POPULAR_PAGES, TAXI_VIDEO_PAGE, SAVER_PAGE = "38", ("5", "6"), "40", "0"
+AROUND_PAGES, POPULAR_PAGES, TAXI_VIDEO_PAGES, SAVER_PAGES = ("38",), ("5", "6"), ("40",), ("0",)
 
 
 def tab_targets(name: str) -> tuple[str, str]:

@@ -52,19 +52,6 @@ def play_timed(tags: Sequence[str]) -> Column:
     return F.col("tag").isin(*tags, V.RECOVER_END)
 
 
-def touched(not_tags: Sequence[str], events: Sequence[str] = V.TOUCH_EVENTS) -> Column:
-    """A touch event whose tag is not in the list (a NULL tag fails)."""
-    return F.col("event").isin(*events) & ~F.col("tag").isin(*not_tags)
-
-
-def on_page(pages: Sequence[str] | str) -> Column:
-    return F.col("page").isin(*([pages] if isinstance(pages, str) else pages))
-
-
-def tab_opened(name: str) -> Column:
-    return F.col("tag").isin(V.TAB_AUTO, V.TAB_CLICK) & F.col("targetvalue").isin(*V.tab_targets(name))
-
-
 # Three different meanings of "ad" live side by side in the reports.
 def is_ad() -> Column:
     return F.col("adsn") != ""

@@ -1,8 +1,17 @@
-"""Many filtered counts from one scan."""
+"""Many filtered counts from one scan.
+
+Each metric is a ``Where``.  A row gets one bigint with a bit per metric, built
+from one lookup per column: the lookup gives the metrics that the column's value
+allows, and the lookups are AND-ed.  The cost per row grows with the number of
+distinct values named, not with metrics x conditions, and the generated code
+stays small enough to be compiled.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import defaultdict
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,49 +19,85 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cells import flag
 
-MAX_FLAGS = 62
+MAX_METRICS = 62
+
+
+@dataclass(frozen=True)
+class Where:
+    """All must hold: columns within value sets, columns outside value sets
+    (NULL fails both), and named predicates."""
+
+    isin: Mapping[str, Collection[str]] = field(default_factory=dict)
+    notin: Mapping[str, Collection[str]] = field(default_factory=dict)
+    also: tuple[str, ...] = ()
+
+    def allows(self, column: str, value: str | None) -> bool:
+        """Whether the column's value lets the row through; None is NULL."""
+        if column in self.isin and value not in self.isin[column]:
+            return False
+        if column in self.notin and (value is None or value in self.notin[column]):
+            return False
+        return True
+
+
+def _bits(wheres: Sequence[Where], keep) -> int:
+    return sum(1 << i for i, w in enumerate(wheres) if keep(w))
 
 
-def bit_mask(flags: Mapping[str, Column]) -> Column:
-    """One bigint with bit i set when the i-th predicate holds."""
-    if len(flags) > MAX_FLAGS:
-        raise ValueError(f"at most {MAX_FLAGS} flags fit in one mask")
-    bits = [F.when(flag(p), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-            for i, p in enumerate(flags.values())]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+def _long(bits: int) -> Column:
+    return F.lit(bits).cast("bigint")
+
+
+def metric_mask(wheres: Sequence[Where], predicates: Mapping[str, Column]) -> Column:
+    """Bit i is set when the i-th metric holds."""
+    if len(wheres) > MAX_METRICS:
+        raise ValueError(f"at most {MAX_METRICS} metrics fit in one mask")
+    other = object()  # a value no metric names
+    parts = []
+    for column in sorted({c for w in wheres for c in (*w.isin, *w.notin)}):
+        named = sorted({v for w in wheres for s in (w.isin, w.notin) for v in s.get(column, ())})
+        values = defaultdict(list)
+        for v in named:
+            values[_bits(wheres, lambda w: w.allows(column, v))].append(v)
+        lookup = F.when(F.col(column).isNull(), _long(_bits(wheres, lambda w: w.allows(column, None))))
+        for bits, vs in values.items():
+            lookup = lookup.when(F.col(column).isin(*vs), _long(bits))
+        parts.append(lookup.otherwise(_long(_bits(wheres, lambda w: w.allows(column, other)))))
+    for name, predicate in predicates.items():
+        without = _bits(wheres, lambda w: name not in w.also)
+        parts.append(F.when(flag(predicate), _long(-1)).otherwise(_long(without)))
+    return reduce(lambda a, b: a.bitwiseAND(b), parts)
 
 
 def bit_is_set(mask: Column, i: int) -> Column:
-    return mask.bitwiseAND(F.lit(1 << i).cast("bigint")) != 0
+    return mask.bitwiseAND(_long(1 << i)) != 0
 
 
-def distinct_counts(df: DataFrame, keys: Sequence[str], entities: Mapping[str, tuple[Column, Mapping[str, Column]]]) -> DataFrame:
+def distinct_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    entities: Mapping[str, tuple[Column, Mapping[str, Where]]],
+    predicates: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """``COUNT(DISTINCT entity)`` under many filters, in one scan.
 
-    ``entities`` maps a short name to (entity column, {metric: predicate}).
-    Each row carries a bit mask of the metrics it satisfies; masks are OR-ed
-    per (keys, entity), which combines on the map side, and the set bits are
-    summed per key.  A hot key is spread over its entities by the first
+    ``entities`` maps a short name to (entity column, {metric: where}).  Masks
+    are OR-ed per (keys, entity), which combines on the map side, and the set
+    bits are summed per key.  A hot key is spread over its entities by the first
     shuffle, and the second one moves only partial sums.
     """
     names = list(entities)
-    rows = df
-    for n in names:
-        rows = rows.withColumn(f"__m_{n}", bit_mask(entities[n][1]))
-    rows = rows.select(
-        *keys,
-        *[entities[n][0].cast("string").alias(f"__e_{n}") for n in names],
-        *[f"__m_{n}" for n in names],
-    ).filter(reduce(lambda a, b: a | b, [F.col(f"__m_{n}") != 0 for n in names]))
-    if len(names) == 1:
-        n = names[0]
-        rows = rows.select(*keys, F.lit(n).alias("__n"), F.col(f"__e_{n}").alias("__e"), F.col(f"__m_{n}").alias("__m"))
-    else:
-        pairs = F.array(*[
-            F.struct(F.lit(n).alias("n"), F.col(f"__e_{n}").alias("e"), F.col(f"__m_{n}").alias("m")) for n in names
-        ])
-        rows = rows.select(*keys, F.explode(pairs).alias("__p")).select(
-            *keys, F.col("__p.n").alias("__n"), F.col("__p.e").alias("__e"), F.col("__p.m").alias("__m"))
+    records = [
+        F.struct(
+            F.lit(n).alias("n"),
+            entities[n][0].cast("string").alias("e"),
+            metric_mask(list(entities[n][1].values()), predicates or {}).alias("m"),
+        ) for n in names
+    ]
+    # The mask is computed once, in the exploded record: a filter on a plain
+    # column would be pushed down and compute it a second time.
+    rows = df.select(*keys, F.explode(F.array(*records)).alias("__p")).select(
+        *keys, F.col("__p.n").alias("__n"), F.col("__p.e").alias("__e"), F.col("__p.m").alias("__m"))
     per_entity = (
         rows.filter((F.col("__m") != 0) & F.col("__e").isNotNull())
         .groupBy(*keys, "__n", "__e").agg(F.bit_or("__m").alias("__m"))
@@ -64,6 +109,19 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], entities: Mapping[str, t
     return per_entity.groupBy(*keys).agg(*aggs)
 
 
-def row_counts(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column]) -> DataFrame:
-    """Row counts under many filters: one scan, one map-side-combined shuffle."""
-    return df.groupBy(*keys).agg(*[F.count_if(flag(p)).alias(m) for m, p in metrics.items()])
+def row_counts(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Where],
+               predicates: Mapping[str, Column] | None = None) -> DataFrame:
+    """Row counts under many filters: one scan and one shuffle of partial counts.
+
+    Rows are first counted per (keys, mask), which is a small map-side table,
+    and the masks are then taken apart.
+    """
+    mask = metric_mask(list(metrics.values()), predicates or {})
+    by_mask = (
+        df.select(*keys, mask.alias("__m"))
+        .groupBy(*keys, "__m").agg(F.count(F.lit(1)).alias("__n"))
+    )
+    return by_mask.groupBy(*keys).agg(*[
+        F.coalesce(F.sum(F.when(bit_is_set(F.col("__m"), i), F.col("__n"))), F.lit(0)).alias(m)
+        for i, m in enumerate(metrics)
+    ])

@@ -9,7 +9,7 @@ from tidemark.functions import fixed_values as V
 from tidemark.functions import predicates as P
 from tidemark.functions.cells import Day, day_lit
 from tidemark.operators.dims import DeviceRules
-from tidemark.operators.flags import distinct_counts, row_counts
+from tidemark.operators.flags import Where, distinct_counts, row_counts
 from tidemark.operators.frames import align, day_spine
 
 # Tags clicked on a video page, each a metric "<tag>_trip_cnt".
@@ -19,44 +19,52 @@ VIDEO_PAGE_TAGS = (
 )
 
 
-def trip_metrics() -> dict[str, Column]:
+COUNTED = "counted_trip"
+
+
+def trip_metrics() -> dict[str, Where]:
     """Metrics that count distinct trips, in report order."""
-    counted = P.counted_trip()
+    counted = (COUNTED,)
+
+    def touch(pages, not_tags, also=()):
+        return Where(isin={"event": V.TOUCH_EVENTS, "page": pages}, notin={"tag": not_tags}, also=also)
+
+    def opened(tab):
+        return Where(isin={"tag": (V.TAB_AUTO, V.TAB_CLICK), "targetvalue": V.tab_targets(tab)})
 
-    def touch(pages, not_tags):
-        return P.in_trip() & P.touched(not_tags) & P.on_page(pages)
+    def on_video(tag):
+        return Where(isin={"tag": (tag,), "page": V.VIDEO_PAGES}, also=counted)
 
     metrics = {
-        "inter_trip_cnt": counted & P.touched(V.NOT_TOUCH_VIDEO),
-        "close_trip_cnt": counted & (F.col("tag") == V.SCREEN_CLOSE),
-        "recommend_click_trip_cnt": counted & (F.col("tag") == "video_recommend_click") & P.on_page(V.VIDEO_PAGES),
+        "inter_trip_cnt": Where(isin={"event": V.TOUCH_EVENTS}, notin={"tag": V.NOT_TOUCH_VIDEO}, also=counted),
+        "close_trip_cnt": Where(isin={"tag": (V.SCREEN_CLOSE,)}, also=counted),
+        "recommend_click_trip_cnt": on_video("video_recommend_click"),
         # The version is asked for on trip, video and activity pages only.
-        "trip_inter_trip_cnt": counted & touch(V.TRIP_PAGES, V.NOT_TOUCH),
-        "video_inter_trip_cnt": counted & touch(V.VIDEO_PAGES, V.NOT_TOUCH_VIDEO),
+        "trip_inter_trip_cnt": touch(V.TRIP_PAGES, V.NOT_TOUCH, counted),
+        "video_inter_trip_cnt": touch(V.VIDEO_PAGES, V.NOT_TOUCH_VIDEO, counted),
         "eat_inter_trip_cnt": touch(V.EAT_PAGES, V.NOT_TOUCH),
         "play_inter_trip_cnt": touch(V.PLAY_PAGES, V.NOT_TOUCH),
-        "activity_inter_trip_cnt": counted & touch(V.ACTIVITY_PAGES, V.NOT_TOUCH),
-        "video_trip_cnt": P.in_trip() & P.tab_opened("video"),
-        "eat_trip_cnt": P.in_trip() & P.tab_opened("eat"),
-        "play_trip_cnt": P.in_trip() & P.tab_opened("play"),
-        "activity_trip_cnt": P.in_trip() & P.tab_opened("activity_video"),
+        "activity_inter_trip_cnt": touch(V.ACTIVITY_PAGES, V.NOT_TOUCH, counted),
+        "video_trip_cnt": opened("video"),
+        "eat_trip_cnt": opened("eat"),
+        "play_trip_cnt": opened("play"),
+        "activity_trip_cnt": opened("activity_video"),
         "trip_effect_inter_trip_cnt": touch(V.TRIP_PAGES, V.NOT_EFFECT),
         "video_effect_inter_trip_cnt": touch(V.VIDEO_PAGES, V.NOT_EFFECT_VIDEO),
         "eat_effect_inter_trip_cnt": touch(V.EAT_PAGES, V.NOT_EFFECT),
         "play_effect_inter_trip_cnt": touch(V.PLAY_PAGES, V.NOT_EFFECT),
         "activity_effect_inter_trip_cnt": touch(V.ACTIVITY_PAGES, V.NOT_EFFECT),
     }
-    for tag in VIDEO_PAGE_TAGS:
-        metrics[f"{tag}_trip_cnt"] = counted & (F.col("tag") == tag) & P.on_page(V.VIDEO_PAGES)
-    return metrics
+    return metrics | {f"{tag}_trip_cnt": on_video(tag) for tag in VIDEO_PAGE_TAGS}
 
 
-def content_metrics() -> dict[str, Column]:
+def content_metrics() -> dict[str, Where]:
     """Metrics that count distinct (trip, content) pairs."""
-    content = P.counted_trip() & P.has_content() & P.no_ad()
+    content = (COUNTED, "content")
     return {
-        "daily_play_trip_content_cnt": content & (F.col("tag") == V.CONTENT_BEGIN),
-        "inter_trip_content_cnt": content & P.touched(V.NOT_CONTENT_TOUCH, V.CLICK_EVENTS),
+        "daily_play_trip_content_cnt": Where(isin={"tag": (V.CONTENT_BEGIN,)}, also=content),
+        "inter_trip_content_cnt": Where(
+            isin={"event": V.CLICK_EVENTS}, notin={"tag": V.NOT_CONTENT_TOUCH}, also=content),
     }
 
 
@@ -78,7 +86,7 @@ def interaction_counts(events: DataFrame, excluded: DataFrame | None, start: Day
     counts = distinct_counts(rows, ["p_date"], {
         "trip": (F.col("traceid"), trip_metrics()),
         "content": (trip_content_key() if content_key is None else content_key, content_metrics()),
-    })
+    }, {COUNTED: P.counted_trip(), "content": P.has_content() & P.no_ad()})
     # Interactions with content are reported for days with content plays only.
     shown = F.when(F.col("daily_play_trip_content_cnt") > 0, F.col("inter_trip_content_cnt")).otherwise(F.lit(0))
     return counts.withColumn("inter_trip_content_cnt", shown).withColumnRenamed("p_date", "date")
@@ -92,24 +100,22 @@ def interaction_day(events: DataFrame, excluded: DataFrame | None, start: Day, e
     return spine.join(counts, "date", "left").select("date", *columns).fillna(0, subset=columns)
 
 
-def taxi_metrics() -> dict[str, Column]:
+def taxi_metrics() -> dict[str, Where]:
     """Row counts of the taxi screens, in report order."""
-    tag, page = F.col("tag"), F.col("page")
-
-    def at(name, where):
-        return (tag == name) & P.on_page(where)
+    def at(name, pages):
+        return Where(isin={"tag": (name,), "page": pages})
 
     def tab(name):
-        return (tag == V.TAB_CLICK) & (F.col("targetvalue") == name)
+        return Where(isin={"tag": (V.TAB_CLICK,), "targetvalue": (name,)})
 
-    around, popular, video, voice = V.AROUND_PAGE, V.POPULAR_PAGES, V.TAXI_VIDEO_PAGE, "SCREEN_CLICK_SET_BUTTON"
+    around, popular, video, voice = V.AROUND_PAGES, V.POPULAR_PAGES, V.TAXI_VIDEO_PAGES, "SCREEN_CLICK_SET_BUTTON"
     return {
-        "inter_cnt": P.touched(V.NOT_TOUCH),
-        "close_cnt": tag == V.SCREEN_CLOSE,
-        "screensaver_play_cnt": tag == V.SCREENSAVER,
-        "screensaver_click_cnt": tag.isin(*V.SCREENSAVER_CLICKS),
-        "screensaver_next_click_cnt": tag == "show_next_screensaver_click",
-        "voice_click_screensaver_cnt": at(voice, V.SAVER_PAGE),
+        "inter_cnt": Where(isin={"event": V.TOUCH_EVENTS}, notin={"tag": V.NOT_TOUCH}),
+        "close_cnt": Where(isin={"tag": (V.SCREEN_CLOSE,)}),
+        "screensaver_play_cnt": Where(isin={"tag": (V.SCREENSAVER,)}),
+        "screensaver_click_cnt": Where(isin={"tag": V.SCREENSAVER_CLICKS}),
+        "screensaver_next_click_cnt": Where(isin={"tag": ("show_next_screensaver_click",)}),
+        "voice_click_screensaver_cnt": at(voice, V.SAVER_PAGES),
         "tab_click_around_cnt": tab("around"),
         "map_zoomout_around_cnt": at("map_zoomout", around),
         "business_skip_popular_click_cnt": at("click_business_skip_popular", around),
@@ -176,11 +182,13 @@ def content_interaction(events: DataFrame, excluded: DataFrame | None, today: Da
     week = F.col("p_date").between(F.date_sub(day_lit(today), 7), F.date_sub(day_lit(today), 1))
     rows = P.known_devices(events.filter(week & P.prod()), excluded).filter(
         P.in_trip() & P.has_content() & P.blank_ad())
-    touch = P.touched(V.PLAYER_TAGS, V.CLICK_EVENTS)
-    metrics = {"play_trip_cnt": F.col("tag") == V.CONTENT_BEGIN, "total_inter_trip_cnt": touch}
+    metrics = {
+        "play_trip_cnt": Where(isin={"tag": (V.CONTENT_BEGIN,)}),
+        "total_inter_trip_cnt": Where(isin={"event": V.CLICK_EVENTS}, notin={"tag": V.PLAYER_TAGS}),
+    }
     for name, tags in CONTENT_PIVOT.items():
         for i, tag in enumerate(tags):
-            metrics[f"{name}__{i}"] = touch & (F.col("tag") == tag)
+            metrics[f"{name}__{i}"] = Where(isin={"event": V.CLICK_EVENTS, "tag": (tag,)})
     counts = distinct_counts(rows, ["contentid"], {"trip": (F.col("traceid"), metrics)})
     pivot = [sum((F.col(f"{n}__{i}") for i in range(1, len(t))), F.col(f"{n}__0")).alias(n)
              for n, t in CONTENT_PIVOT.items()]
