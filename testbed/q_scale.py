@@ -1,0 +1,239 @@
+"""Queries of the device scale and agent reports."""
+
+from __future__ import annotations
+
+from testbed.q_events import ENDED, ENDED_SUMMARY, TRIP_DAY, agents, days, trip_report
+from testbed.registry import plain, query
+from testbed.tables import END, LATE_START, RULES, START, TODAY
+from tidemark.functions import fixed_values as V
+from tidemark.operators import dims
+from tidemark.operators.presence import union_trips
+from tidemark.operators.rollup import roll_up
+from tidemark.plans import scale
+
+C2 = ("city_sn", "car_type")
+A1 = ("parent_id",)
+
+
+def bindings(t):
+    return dims.city_bindings(t.device_service, t.screen_info, t.screen_car, RULES)
+
+
+def agent_bindings(t):
+    return dims.agent_bindings(t.device_service, t.screen_info, t.screen_car, RULES)
+
+
+def inputs(t):
+    return scale.ScaleInputs(t.heartbeat_day, t.trip_server, t.trip_client, t.archives, t.sensor_summary,
+                             t.abnormal_device, t.calendar)
+
+
+def _k(keys: tuple[str, ...], prefix: str = "") -> str:
+    return ", ".join(prefix + k for k in keys)
+
+
+def bound_total(keys) -> str:
+    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(1) AS total_dev_num FROM calendar a JOIN dim b ON a.day >= b.bind_day
+WHERE a.day >= DATE '2019-08-12' AND a.day BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY a.day, {_k(keys, 'b.')}"""
+
+
+def trips_total(keys, dim: str = "dim") -> str:
+    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(DISTINCT b.device_name) AS total_trip_dev_num FROM calendar a JOIN
+  (SELECT x.day, x.device_name, {_k(keys, 'd.')} FROM
+    (SELECT DISTINCT device_name, CAST(add_time AS DATE) AS day FROM trip_all) x
+    JOIN {dim} d ON x.device_name = d.third_code GROUP BY ALL) b ON a.day >= b.day GROUP BY a.day, {_k(keys, 'b.')}"""
+
+
+ONE_AGENT = "(SELECT third_code, MIN(parent_id) AS parent_id FROM dim GROUP BY third_code)"
+
+
+def beats_total(keys) -> str:
+    return f"""SELECT s.day, {_k(keys, 'b.')}, COUNT(DISTINCT a.sn) AS total_heartbeat_dev_num FROM span s
+JOIN (SELECT DISTINCT sn, day FROM heartbeat_day) a ON a.day <= s.day
+JOIN dim b ON a.sn = b.third_code AND b.bind_day <= s.day GROUP BY s.day, {_k(keys, 'b.')}"""
+
+
+def normal(keys) -> str:
+    # NOT IN, spelled out: no match, and no NULL on the day's list
+    return f"""SELECT s.day, {_k(keys, 'b.')}, COUNT(1) AS normal_dev_num FROM span s JOIN dim b ON b.bind_day <= s.day
+WHERE NOT EXISTS (SELECT 1 FROM abnormal_device x WHERE x.day = s.day AND (x.device_name = b.third_code OR x.device_name IS NULL))
+GROUP BY s.day, {_k(keys, 'b.')}"""
+
+
+def trip_devices(keys) -> str:
+    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(DISTINCT device_name) AS daily_trip_dev_num FROM
+(SELECT DISTINCT device_name, CAST(add_time AS DATE) AS day FROM trip_live) a JOIN dim b ON a.device_name = b.third_code
+GROUP BY a.day, {_k(keys, 'b.')}"""
+
+
+def online(keys) -> str:
+    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(DISTINCT sn) AS daily_online_dev_num FROM heartbeat_day a
+JOIN dim b ON a.sn = b.third_code
+WHERE (a.sn, a.day) IN (SELECT (device_name, CAST(add_time AS DATE)) FROM trip_live) GROUP BY a.day, {_k(keys, 'b.')}"""
+
+
+def splash(keys) -> str:
+    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(DISTINCT a.sn) AS daily_play_dev_num
+FROM (SELECT * FROM sensor_summary WHERE tag = 'splash_show_begin') a JOIN dim b ON a.sn = b.third_code
+GROUP BY a.day, {_k(keys, 'b.')}"""
+
+
+def online_by(keys, table: str, name: str) -> str:
+    return f"""SELECT a.day, {_k(keys, 'c.')}, COUNT(DISTINCT a.device_name) AS {name}
+FROM (SELECT DISTINCT device_name, CAST(add_time AS DATE) AS day FROM {table}) a
+JOIN (SELECT DISTINCT sn, day FROM heartbeat_day) b ON a.device_name = b.sn AND a.day = b.day
+JOIN dim c ON a.device_name = c.third_code GROUP BY a.day, {_k(keys, 'c.')}"""
+
+
+def beats(keys) -> str:
+    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(DISTINCT a.sn) AS daily_heartbeat_dev_num
+FROM (SELECT DISTINCT sn, day FROM heartbeat_day) a JOIN dim b ON a.sn = b.third_code GROUP BY a.day, {_k(keys, 'b.')}"""
+
+
+@query("r12_calendar_extension", f"""
+SELECT CAST(unnest(generate_series((SELECT MAX(day) + 1 FROM calendar), DATE '2024-03-10' - 1, INTERVAL 1 DAY)) AS DATE) AS day""")
+def _(t):
+    return scale.calendar_extension(t.calendar, "2024-03-10")
+
+
+@query("r13a_bindings_total", bound_total(C2))
+def _(t):
+    return scale.bindings_total(bindings(t), t.calendar, C2, START, END)
+
+
+@query("r13a_trip_devices_total", f"SELECT * FROM ({trips_total(C2)}) x WHERE day BETWEEN DATE '{LATE_START}' AND DATE '{END}'")
+def _(t):
+    shown = scale.all_presence(inputs(t), END)
+    total = scale.trip_devices_total(shown, bindings(t), C2, LATE_START, END)
+    return total.join(t.calendar, "day", "left_semi")
+
+
+@query("r13b_normal_devices", normal(C2))
+def _(t):
+    return scale.normal_devices(bindings(t), t.abnormal_device, C2, START, END)
+
+
+SAME_DAY = ("daily_trip_dev_num", "daily_online_dev_num", "daily_play_dev_num", "daily_heartbeat_dev_num",
+            "daily_online_dev_num_server", "daily_online_dev_num_client")
+
+
+def same_day_frames(keys) -> list[str]:
+    return [trip_devices(keys), online(keys), splash(keys), beats(keys),
+            online_by(keys, "trip_server", SAME_DAY[4]), online_by(keys, "trip_client", SAME_DAY[5])]
+
+
+@query("r13cdefgi_same_day_devices", f"""
+SELECT day, city_sn, car_type, {', '.join(f'CAST(COALESCE(MAX({m}), 0) AS BIGINT) AS {m}' for m in SAME_DAY)}
+FROM ({' UNION ALL BY NAME '.join(f'(SELECT * FROM ({q}) y{i})' for i, q in enumerate(same_day_frames(C2)))}) x
+GROUP BY day, city_sn, car_type""")
+def _(t):
+    return scale.daily_presence(scale.all_presence(inputs(t), END), bindings(t), C2, START, END)
+
+
+@query("r13h_heartbeat_total", f"SELECT * FROM ({beats_total(C2)}) x WHERE day >= DATE '{LATE_START}'")
+def _(t):
+    return scale.heartbeat_total(scale.all_presence(inputs(t), END), bindings(t), C2, LATE_START, END)
+
+
+def _left(frames: list[tuple[str, str]], keys) -> str:
+    return " ".join(
+        f"LEFT JOIN ({q}) {a} ON b0.day = {a}.day AND " + " AND ".join(f"b0.{k} = {a}.{k}" for k in keys)
+        for a, q in frames)
+
+
+_FILLED = "SELECT * REPLACE (COALESCE(city_sn, 0) AS city_sn, COALESCE(car_type, '0') AS car_type) FROM ({0}) z"
+SCALE_MEASURES = (
+    "total_dev_num", "total_heartbeat_dev_num", "total_trip_dev_num", "total_play_dev_cnt", "normal_dev_num",
+    "daily_trip_dev_num", "daily_online_dev_num", "daily_play_dev_num", "daily_heartbeat_dev_num",
+    "daily_online_dev_num_server", "daily_online_dev_num_client", "trip_cnt")
+_BASE = f"""SELECT a.day, a.city_sn, a.car_type, a.total_dev_num, f.total_trip_dev_num, g.total_play_dev_cnt, g.trip_cnt,
+  ROUND(g.trip_time_sum / 60, 0) AS trip_time FROM ({bound_total(C2)}) a
+  LEFT JOIN ({trips_total(C2)}) f ON a.day = f.day AND a.city_sn = f.city_sn AND a.car_type = f.car_type
+  LEFT JOIN ({TRIP_DAY}) g ON a.day = g.date AND a.city_sn = g.city_sn AND a.car_type = g.car_type"""
+
+
+@query("r13_device_scale", f"""
+SELECT b0.day, b0.city_sn, b0.car_type, {', '.join(f'COALESCE({m}, 0) AS {m}' for m in SCALE_MEASURES)},
+  COALESCE(trip_time, 0) AS trip_time
+FROM ({_FILLED.format(_BASE)}) b0 {_left([
+    ('f1', _FILLED.format(normal(C2))), ('f2', _FILLED.format(trip_devices(C2))), ('f3', _FILLED.format(online(C2))),
+    ('f4', _FILLED.format(splash(C2))), ('f5', online_by(C2, 'trip_server', SAME_DAY[4])),
+    ('f6', online_by(C2, 'trip_client', SAME_DAY[5])), ('f7', _FILLED.format(beats_total(C2))), ('f8', beats(C2))], C2)}""")
+def _(t):
+    return plain(scale.device_scale(inputs(t), bindings(t), trip_report(t), START, END))
+
+
+# --- agents ---------------------------------------------------------------------------
+
+AGENT_TRIPS = f"""SELECT date AS day, parent_id, CAST(SUM(trip_cnt) AS BIGINT) AS trip_cnt,
+  ROUND(COALESCE(SUM(trip_time), 0), 3) AS trip_time_total, CAST(SUM(ad_cnt) AS BIGINT) AS ad_cnt,
+  CAST(SUM(show_video_start) AS BIGINT) AS show_video_start, ROUND(COALESCE(SUM(video_time), 0), 3) AS video_time
+FROM ({ENDED_SUMMARY}) x JOIN agent_dim d ON x.devicename = d.third_code WHERE parent_id IS NOT NULL GROUP BY 1, 2"""
+AGENT_STREAMS = f"""SELECT date AS day, parent_id, CAST(SUM(s) AS BIGINT) AS stream_ad_cnt_fulltime,
+  ROUND(COALESCE(SUM(pt), 0), 3) AS video_time_fulltime FROM
+  (SELECT devicename, p_date AS date, SUM(CASE WHEN {ENDED} AND adsn <> '' THEN 1 ELSE 0 END) AS s,
+     SUM(CASE WHEN tag = 'SCREEN_OTHER_RECOVER_END' THEN playtime ELSE 0 END) AS pt FROM ev GROUP BY devicename, p_date) x
+  JOIN agent_dim d ON x.devicename = d.third_code WHERE parent_id IS NOT NULL GROUP BY 1, 2"""
+AGENT_BASE = f"""SELECT a.day, a.parent_id, a.total_dev_num, f.total_trip_dev_num FROM ({bound_total(A1)}) a
+  LEFT JOIN ({trips_total(A1, ONE_AGENT)}) f ON a.day = f.day AND a.parent_id = f.parent_id"""
+
+
+@query("r14a_agent_totals", f"SELECT day, parent_id, total_dev_num, COALESCE(total_trip_dev_num, 0) AS total_trip_dev_num FROM ({AGENT_BASE}) x")
+def _(t):
+    b = agent_bindings(t)
+    base = scale.bindings_total(b, t.calendar, A1, START, END)
+    trips = scale.trip_devices_total(scale.all_presence(inputs(t), END), scale.one_agent(b), A1, START, END)
+    return base.join(trips, ["day", "parent_id"], "left").fillna(0, subset=["total_trip_dev_num"])
+
+
+@query("r14bcdg_agent_same_day", f"""
+SELECT day, parent_id, {', '.join(f'CAST(COALESCE(MAX({m}), 0) AS BIGINT) AS {m}' for m in SAME_DAY)}
+FROM ({' UNION ALL BY NAME '.join(f'(SELECT * FROM ({q}) y{i})' for i, q in enumerate(same_day_frames(A1)))}) x
+GROUP BY day, parent_id""")
+def _(t):
+    return scale.daily_presence(scale.all_presence(inputs(t), END), agent_bindings(t), A1, START, END)
+
+
+@query("r14e_agent_trip_summary", AGENT_TRIPS)
+def _(t):
+    per_device = days(t).filter("trip_cnt > 0").withColumnRenamed("p_date", "day")
+    sums = ["trip_cnt", "trip_time", "ad_cnt_ended", "show_video_start", "video_time"]
+    rolled = roll_up(per_device, agents(t), ["day", "parent_id"], sums=sums)
+    return plain(rolled.withColumnsRenamed({"trip_time": "trip_time_total", "ad_cnt_ended": "ad_cnt"}))
+
+
+@query("r14f_agent_heartbeat_total", beats_total(A1))
+def _(t):
+    return scale.heartbeat_total(scale.all_presence(inputs(t), END), agent_bindings(t), A1, START, END)
+
+
+@query("r14h_agent_streams", AGENT_STREAMS)
+def _(t):
+    rolled = roll_up(days(t).withColumnRenamed("p_date", "day"), agents(t), ["day", "parent_id"],
+                     sums=["stream_ad_ended_fulltime", "video_time_fulltime"])
+    return plain(rolled.withColumnRenamed("stream_ad_ended_fulltime", "stream_ad_cnt_fulltime"))
+
+
+AGENT_COUNTS = ("total_dev_num", "total_trip_dev_num", "daily_trip_dev_num", "daily_online_dev_num",
+                "daily_play_dev_num", "trip_cnt", "ad_cnt", "show_video_start", "total_heartbeat_dev_num",
+                "daily_heartbeat_dev_num", "stream_ad_cnt_fulltime")
+_AGENT_FRAMES = [AGENT_BASE, trip_devices(A1), online(A1), splash(A1), AGENT_TRIPS, beats_total(A1), beats(A1), AGENT_STREAMS]
+
+
+@query("r14_agent_day", f"""
+SELECT day, COALESCE(parent_id, '0') AS parent_id, {', '.join(f'CAST(COALESCE(MAX({m}), 0) AS BIGINT) AS {m}' for m in AGENT_COUNTS)},
+  {', '.join(f'COALESCE(MAX({m}), 0) AS {m}' for m in ('trip_time_total', 'video_time', 'video_time_fulltime'))}
+FROM ({' UNION ALL BY NAME '.join(f'(SELECT * FROM ({q}) y{i})' for i, q in enumerate(_AGENT_FRAMES))}) x
+GROUP BY 1, 2""")
+def _(t):
+    return plain(scale.agent_day(inputs(t), days(t), agent_bindings(t), agents(t), START, END))
+
+
+@query("u1_trip_tables_union", "SELECT DISTINCT device_name, CAST(add_time AS DATE) AS day FROM trip_all")
+def _(t):
+    return union_trips([t.trip_server, t.trip_client, *t.archives])
+
+
+@query("u2_live_trips_union", "SELECT DISTINCT device_name, CAST(add_time AS DATE) AS day FROM trip_live")
+def _(t):
+    return union_trips([t.trip_server, t.trip_client])
