@@ -1,0 +1,293 @@
+"""Queries of single operators: dimensions, joins, roll-ups, spines, sinks, loads."""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+
+from pyspark.sql import functions as F
+
+from testbed.q_events import ENDED_SUMMARY, LABEL, PAIR, BEGIN_SUMMARY, agents, city, days
+from testbed.q_scale import agent_bindings, bindings, inputs
+from testbed.registry import plain, query
+from testbed.tables import CAMPAIGN_RULES, END, RULES, START
+from tidemark.functions import predicates as P
+from tidemark.functions.attribution import Rule, attribute, load_rules
+from tidemark.operators import dims, frames
+from tidemark.operators.cumulative import first_seen, merge_first_seen
+from tidemark.operators.rollup import roll_up
+from tidemark.plans import interaction, plays, scale
+from tidemark.session import shared_dir
+from tidemark.sinks import days as sink
+from tidemark.sinks.layouts import to_layout
+from tidemark.sources import logs
+from tidemark.sources.tables import clean_cells
+from tidemark.streaming import incremental
+
+D = dt.date.fromisoformat
+
+
+def scratch(t, name: str) -> str:
+    return f"{shared_dir(t.spark)}/tidemark-{uuid.uuid4().hex}/{name}"
+
+
+# --- sources ---------------------------------------------------------------------------
+
+@query("s1_clean_cells", """
+SELECT p_date, CASE WHEN utmsource = '' THEN '0' ELSE utmsource END AS utmsource, CASE WHEN page = '' THEN '0' ELSE page END AS page,
+  TRY_CAST(CASE WHEN versioncode = '' THEN '0' ELSE versioncode END AS DOUBLE) AS versioncode, ROUND(playtime, 3) AS playtime
+FROM screen_event""")
+def _(t):
+    cols = t.screen_event.select("p_date", "utmsource", "page", "versioncode", "playtime")
+    return plain(clean_cells(cols, measures=["versioncode", "playtime"]))
+
+
+@query("s2_clean_text_cells", """
+SELECT CASE WHEN adsn = '' THEN '0' ELSE adsn END AS adsn, CASE WHEN traceid = '' THEN '0' ELSE traceid END AS traceid,
+  versioncode FROM screen_event""")
+def _(t):
+    return clean_cells(t.screen_event.select("adsn", "traceid", "versioncode"))
+
+
+@query("s7_log_files", "SELECT module, user_tel, user_id, shelf_sn, driver_id, add_time FROM scan_log")
+def _(t):
+    paths = [scratch(t, name) for name in ("host_a", "host_b")]
+    lines = t.scan_line.withColumn("host", F.crc32(F.col("value").cast("binary")) % 2)
+    for i, path in enumerate(paths):
+        lines.filter(F.col("host") == i).select("value").write.text(path)
+    return logs.scan_log(logs.parse_scan_lines(logs.read_lines(t.spark, paths)))
+
+
+# --- dimensions --------------------------------------------------------------------------
+
+@query("j5_city_dim", "SELECT third_code, city_sn, car_type FROM dim")
+def _(t):
+    return city(t)
+
+
+@query("j5_taxi_dim", "SELECT third_code, city_sn, car_type FROM taxi_dim")
+def _(t):
+    return dims.taxi_dim(t.device_service, t.screen_info, t.screen_car, RULES)
+
+
+@query("j6_agent_dim", "SELECT * FROM agent_dim")
+def _(t):
+    return agents(t)
+
+
+@query("j6_vendor_dim", "SELECT * FROM vendor_dim")
+def _(t):
+    return dims.vendor_dim(t.device_service, t.screen_info, RULES)
+
+
+@query("j5_city_bindings", "SELECT third_code, city_sn, car_type, bind_day FROM dim")
+def _(t):
+    return bindings(t)
+
+
+@query("j5_agent_bindings", "SELECT third_code, parent_id, bind_day FROM dim")
+def _(t):
+    return agent_bindings(t)
+
+
+@query("a18_one_agent_per_device", "SELECT third_code, MIN(parent_id) AS parent_id FROM dim GROUP BY third_code")
+def _(t):
+    return scale.one_agent(agent_bindings(t))
+
+
+# --- joins ---------------------------------------------------------------------------------
+
+@query("j2_left_join_null_keys", """
+SELECT a.contentid, a.adsn, a.n, COALESCE(b.scans, 0) AS scans FROM
+  (SELECT contentid, adsn, COUNT(1) AS n FROM screen_event WHERE event = 'CLICK' GROUP BY 1, 2) a
+LEFT JOIN (SELECT contentid, adsn, COUNT(1) AS scans FROM screen_event WHERE event = 'SCAN' GROUP BY 1, 2) b
+  ON a.contentid IS NOT DISTINCT FROM b.contentid AND a.adsn IS NOT DISTINCT FROM b.adsn""")
+def _(t):
+    keys = ["contentid", "adsn"]
+    left = t.screen_event.filter("event = 'CLICK'").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    right = t.screen_event.filter("event = 'SCAN'").groupBy(*keys).agg(F.count(F.lit(1)).alias("scans"))
+    return frames.zero_fill(frames.left_join_null_safe(left, right, keys), ["scans"])
+
+
+@query("j4_full_outer_align", """
+SELECT COALESCE(a.sn, b.device_name) AS device, CAST(COALESCE(a.beats, 0) AS BIGINT) AS beats, CAST(COALESCE(b.trips, 0) AS BIGINT) AS trips
+FROM (SELECT sn, COUNT(1) AS beats FROM heartbeat_day GROUP BY sn) a
+FULL JOIN (SELECT device_name, COUNT(1) AS trips FROM trip_archive_2 GROUP BY 1) b ON a.sn = b.device_name""")
+def _(t):
+    beats = t.heartbeat_day.groupBy(F.col("sn").alias("device")).agg(F.count(F.lit(1)).alias("beats"))
+    trips = t.trip_archive_2.groupBy(F.col("device_name").alias("device")).agg(F.count(F.lit(1)).alias("trips"))
+    return frames.align([beats, trips], ["device"])
+
+
+@query("j10_heartbeat_with_trip", """
+SELECT DISTINCT sn, day FROM heartbeat_day
+WHERE (sn, day) IN (SELECT (device_name, CAST(add_time AS DATE)) FROM trip_live)""")
+def _(t):
+    from tidemark.operators.presence import presence, seen
+    shown = presence(heartbeat=t.heartbeat_day, server=t.trip_server, client=t.trip_client)
+    return shown.filter(seen("heartbeat") & (seen("server") | seen("client"))).select(F.col("device").alias("sn"), "day")
+
+
+@query("j11_not_in", """
+SELECT third_code, city_sn, car_type FROM dim
+WHERE third_code NOT IN (SELECT device_name FROM abnormal_device WHERE device_name IS NOT NULL)""")
+def _(t):
+    listed = t.abnormal_device.filter("device_name is not null")
+    return frames.not_in(city(t), "third_code", listed, "device_name")
+
+
+@query("j11_not_in_list_with_null", """
+SELECT third_code, city_sn, car_type FROM dim WHERE third_code NOT IN (SELECT device_name FROM abnormal_device)""")
+def _(t):
+    return frames.not_in(city(t), "third_code", t.abnormal_device, "device_name")
+
+
+@query("p6_known_devices", """
+SELECT devicename, COUNT(1) AS n FROM screen_event
+WHERE devicename NOT IN (SELECT devicename FROM excluded_device) GROUP BY devicename""")
+def _(t):
+    return P.known_devices(t.screen_event, t.excluded_device).groupBy("devicename").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- aggregation ------------------------------------------------------------------------------
+
+@query("a8_exact_pair_key", f"""
+SELECT s.day AS date, COALESCE(a.n, 0) AS daily_play_trip_content_cnt FROM span s LEFT JOIN
+  (SELECT p_date, COUNT(DISTINCT (traceid, contentid)) AS n FROM ev WHERE {PAIR} AND tag = 'SCREEN_OTHER_CONTENT_BEGIN'
+   GROUP BY p_date) a ON s.day = a.p_date""")
+def _(t):
+    # With the length in front two different pairs never read the same.
+    key = F.concat(F.length("traceid").cast("string"), F.lit(":"), "traceid", "contentid")
+    counts = interaction.interaction_counts(t.screen_event, t.excluded_device, START, END, content_key=key)
+    spine = frames.day_spine(t.spark, START, END, "date")
+    return spine.join(counts, "date", "left").select("date", "daily_play_trip_content_cnt").fillna(0)
+
+
+@query("a9_first_seen_state", "SELECT sn, MIN(day) AS day FROM heartbeat_day GROUP BY sn")
+def _(t):
+    cut = F.col("day") < F.lit("2024-01-15").cast("date")
+    state = first_seen(t.heartbeat_day.filter(cut), ["sn"])
+    return merge_first_seen(state, t.heartbeat_day.filter(~cut), ["sn"])
+
+
+@query("a12_agent_count", """
+SELECT date, parent_id, COUNT(devicename) AS devices FROM (SELECT DISTINCT p_date AS date, devicename FROM ev) x
+JOIN agent_dim d ON x.devicename = d.third_code WHERE parent_id IS NOT NULL GROUP BY 1, 2""")
+def _(t):
+    per_device = days(t).select(F.col("p_date").alias("date"), "devicename")
+    return roll_up(per_device, agents(t), ["date", "parent_id"], count="devices")
+
+
+_VENDOR_SUM = """SELECT date, type, CAST(SUM(trip_cnt) AS BIGINT) AS trip_cnt, CAST(SUM({ads}) AS BIGINT) AS {ads}
+FROM ({q}) x JOIN vendor_dim v ON x.devicename = v.third_code GROUP BY 1, 2"""
+
+
+@query("a13_vendor_sum", _VENDOR_SUM.format(ads="ad_cnt", q=BEGIN_SUMMARY))
+def _(t):
+    vendor = dims.vendor_dim(t.device_service, t.screen_info, RULES)
+    per_device = days(t).filter("trip_cnt > 0").withColumnRenamed("p_date", "date")
+    return roll_up(per_device, vendor, ["date", "type"], sums=["trip_cnt", "ad_cnt"])
+
+
+@query("a14_city_range_sum", f"""
+SELECT date, city_sn, CAST(SUM(trip_cnt) AS BIGINT) AS trip_cnt, CAST(SUM(ad_cnt) AS BIGINT) AS ad_cnt_ended,
+  COUNT(1) AS devices FROM ({ENDED_SUMMARY}) x JOIN dim ON x.devicename = dim.third_code
+WHERE city_sn IS NOT NULL GROUP BY 1, 2""")
+def _(t):
+    per_device = days(t).filter("trip_cnt > 0").withColumnRenamed("p_date", "date")
+    return roll_up(per_device, city(t), ["date", "city_sn"], sums=["trip_cnt", "ad_cnt_ended"], count="devices")
+
+
+@query("f4_attribution_from_rule_table", """
+SELECT CASE WHEN utmsource = 'src2' AND utmcampaign = 'camp1' THEN 'x1' WHEN utmcontent LIKE '%/b/4%' THEN 'x2'
+  WHEN utmsource = 'src2' THEN 'x3' ELSE 'else ' END AS video, COUNT(1) AS n FROM screen_event GROUP BY 1""")
+def _(t):
+    # Rules out of order on purpose: the priority decides.
+    table = t.spark.createDataFrame(
+        [(3, "src2", None, None, None, "x3"), (1, "src2", "camp1", None, None, "x1"), (2, None, None, "/b/4", "contains", "x2")],
+        "priority int, utm_source string, utm_campaign string, content_match string, match_kind string, target string")
+    return t.screen_event.groupBy(attribute(load_rules(table)).alias("video")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("i2_zero_filled_days", """
+SELECT s.day, COALESCE(x.n, 0) AS n FROM span s LEFT JOIN
+  (SELECT p_date, COUNT(1) AS n FROM screen_event WHERE tag = 'video_zoomin' AND event = 'ZOOM' AND page = '40' GROUP BY p_date) x
+  ON s.day = x.p_date""")
+def _(t):
+    rows = t.screen_event.filter("tag = 'video_zoomin' and event = 'ZOOM' and page = '40'")
+    counts = rows.groupBy(F.col("p_date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    spine = frames.day_spine(t.spark, START, END)
+    return frames.zero_fill(spine.join(counts, "day", "left"), ["n"])
+
+
+# --- sinks and loads -----------------------------------------------------------------------------
+
+def _beats(t):
+    return t.heartbeat_day.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+
+
+BEATS_SQL = "SELECT day, COUNT(1) AS n FROM heartbeat_day GROUP BY day"
+
+
+@query("k1_append_days", f"{BEATS_SQL} UNION ALL {BEATS_SQL}")
+def _(t):
+    path = scratch(t, "beats")
+    sink.append_days(_beats(t), path)
+    sink.append_days(_beats(t), path)
+    return t.spark.read.parquet(path).select("day", "n")
+
+
+@query("k2_replace_days", f"""
+SELECT day, CASE WHEN day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' THEN n + 1 ELSE n END AS n FROM ({BEATS_SQL}) x
+WHERE day <> DATE '2024-01-06'""")
+def _(t):
+    path, beats = scratch(t, "beats"), _beats(t)
+    sink.replace_days(beats, path, START, END)
+    # A second load of some days, one of them now without rows.
+    again = beats.filter("day <> '2024-01-06'").withColumn("n", F.col("n") + 1)
+    for _ in range(2):
+        sink.replace_days(again, path, "2024-01-05", "2024-01-20")
+    return t.spark.read.parquet(path).select("day", "n")
+
+
+@query("k3_full_refresh", BEATS_SQL)
+def _(t):
+    path = scratch(t, "beats")
+    sink.refresh(_beats(t).withColumn("n", F.col("n") * 2), path)
+    sink.refresh(_beats(t), path)
+    return t.spark.read.parquet(path)
+
+
+@query("k5_sink_layout", f"""
+SELECT p_date AS date, {LABEL.format('contentid')} AS contentid, tag, COUNT(1) AS play_cnt, CAST(0 AS BIGINT) AS total_scan_cnt
+FROM ev WHERE (tag IN ('SCREEN_OTHER_CONTENT_BEGIN','splash_show_begin','video_banner_click','click_video_detail','video_banner_show')
+  OR (tag = 'SCREEN_OTHER_RECOVER_END' AND message LIKE '内容正常结束%'))
+  AND traceid <> '' AND TRY_CAST(versioncode AS INT) >= 179 GROUP BY p_date, contentid, tag""")
+def _(t):
+    report = plays.content_play_day(t.screen_event, CAMPAIGN_RULES, t.excluded_device, START, END)
+    return to_layout(report, "content_play_day").select("date", "contentid", "tag", "play_cnt", "total_scan_cnt")
+
+
+@query("s8_high_water_mark", "SELECT MAX(day) AS mark, DATE '2019-08-01' AS mark_of_nothing FROM heartbeat_day")
+def _(t):
+    path = scratch(t, "beats")
+    sink.append_days(_beats(t), path)
+    marks = (sink.high_water_mark(t.spark, path, D("2019-08-01")),
+             sink.high_water_mark(t.spark, path + "-none", D("2019-08-01")))
+    return t.spark.createDataFrame([marks], "mark date, mark_of_nothing date")
+
+
+@query("i1_incremental_loads", """
+SELECT p_date AS date, CASE WHEN contentid IS NULL OR contentid = '' THEN '0' ELSE contentid END AS contentid, tag,
+  COUNT(DISTINCT traceid) AS play_trip_cnt, COUNT(1) AS play_cnt
+FROM ev WHERE (tag IN ('SCREEN_OTHER_CONTENT_BEGIN','splash_show_begin','video_banner_click','click_video_detail','video_banner_show')
+  OR (tag = 'SCREEN_OTHER_RECOVER_END' AND message LIKE '内容正常结束%'))
+  AND traceid <> '' AND TRY_CAST(versioncode AS INT) >= 179 GROUP BY p_date, contentid, tag""")
+def _(t):
+    report = incremental.Report(
+        "content_play_day", day="date", default=D("2023-12-31"),
+        build=lambda w: plays.content_play_day(t.screen_event, CAMPAIGN_RULES, t.excluded_device, w.start, w.end))
+    path = scratch(t, "content_play_day")
+    for today in ("2024-01-11", "2024-01-11", "2024-02-01"):
+        incremental.load(t.spark, report, path, D(today))
+    return t.spark.read.parquet(path).select("date", "contentid", "tag", "play_trip_cnt", "play_cnt")
