@@ -15,6 +15,7 @@ from tidemark.functions import predicates as P
 from tidemark.functions.attribution import Rule, attribute, load_rules
 from tidemark.operators import dims, frames
 from tidemark.operators.cumulative import first_seen, merge_first_seen
+from tidemark.operators.presence import marks, presence, seen
 from tidemark.operators.rollup import roll_up
 from tidemark.plans import interaction, plays, scale
 from tidemark.session import shared_dir
@@ -90,9 +91,14 @@ def _(t):
     return agent_bindings(t)
 
 
-@query("a18_one_agent_per_device", "SELECT third_code, MIN(parent_id) AS parent_id FROM dim GROUP BY third_code")
+@query("a18_one_agent_per_device", """
+SELECT parent_id, COUNT(1) AS devices FROM
+  (SELECT third_code, MIN(parent_id) AS parent_id FROM dim
+   WHERE third_code IN (SELECT device_name FROM trip_all) GROUP BY third_code) x GROUP BY parent_id""")
 def _(t):
-    return scale.one_agent(agent_bindings(t))
+    total = scale.device_totals(scale.device_firsts(inputs(t), END), agent_bindings(t), ("parent_id",), END, END,
+                                one_group=True)
+    return total.filter("total_trip_dev_num > 0").select("parent_id", F.col("total_trip_dev_num").alias("devices"))
 
 
 # --- joins ---------------------------------------------------------------------------------
@@ -123,8 +129,7 @@ def _(t):
 SELECT DISTINCT sn, day FROM heartbeat_day
 WHERE (sn, day) IN (SELECT (device_name, CAST(add_time AS DATE)) FROM trip_live)""")
 def _(t):
-    from tidemark.operators.presence import presence, seen
-    shown = presence(heartbeat=t.heartbeat_day, server=t.trip_server, client=t.trip_client)
+    shown = presence(marks(heartbeat=t.heartbeat_day, server=t.trip_server, client=t.trip_client))
     return shown.filter(seen("heartbeat") & (seen("server") | seen("client"))).select(F.col("device").alias("sn"), "day")
 
 

@@ -103,9 +103,8 @@ def _(t):
 
 @query("r13a_trip_devices_total", f"SELECT * FROM ({trips_total(C2)}) x WHERE day BETWEEN DATE '{LATE_START}' AND DATE '{END}'")
 def _(t):
-    shown = scale.all_presence(inputs(t), END)
-    total = scale.trip_devices_total(shown, bindings(t), C2, LATE_START, END)
-    return total.join(t.calendar, "day", "left_semi")
+    total = scale.device_totals(scale.device_firsts(inputs(t), END), bindings(t), C2, LATE_START, END)
+    return total.filter("total_trip_dev_num > 0").drop("total_heartbeat_dev_num").join(t.calendar, "day", "left_semi")
 
 
 @query("r13b_normal_devices", normal(C2))
@@ -127,12 +126,13 @@ SELECT day, city_sn, car_type, {', '.join(f'CAST(COALESCE(MAX({m}), 0) AS BIGINT
 FROM ({' UNION ALL BY NAME '.join(f'(SELECT * FROM ({q}) y{i})' for i, q in enumerate(same_day_frames(C2)))}) x
 GROUP BY day, city_sn, car_type""")
 def _(t):
-    return scale.daily_presence(scale.all_presence(inputs(t), END), bindings(t), C2, START, END)
+    return scale.daily_presence(scale.all_marks(inputs(t), END), bindings(t), C2, START, END)
 
 
 @query("r13h_heartbeat_total", f"SELECT * FROM ({beats_total(C2)}) x WHERE day >= DATE '{LATE_START}'")
 def _(t):
-    return scale.heartbeat_total(scale.all_presence(inputs(t), END), bindings(t), C2, LATE_START, END)
+    total = scale.device_totals(scale.device_firsts(inputs(t), END), bindings(t), C2, LATE_START, END)
+    return total.filter("total_heartbeat_dev_num > 0").drop("total_trip_dev_num")
 
 
 def _left(frames: list[tuple[str, str]], keys) -> str:
@@ -182,8 +182,9 @@ AGENT_BASE = f"""SELECT a.day, a.parent_id, a.total_dev_num, f.total_trip_dev_nu
 def _(t):
     b = agent_bindings(t)
     base = scale.bindings_total(b, t.calendar, A1, START, END)
-    trips = scale.trip_devices_total(scale.all_presence(inputs(t), END), scale.one_agent(b), A1, START, END)
-    return base.join(trips, ["day", "parent_id"], "left").fillna(0, subset=["total_trip_dev_num"])
+    trips = scale.device_totals(scale.device_firsts(inputs(t), END), b, A1, START, END, one_group=True)
+    return base.join(trips.drop("total_heartbeat_dev_num"), ["day", "parent_id"], "left").fillna(
+        0, subset=["total_trip_dev_num"])
 
 
 @query("r14bcdg_agent_same_day", f"""
@@ -191,7 +192,7 @@ SELECT day, parent_id, {', '.join(f'CAST(COALESCE(MAX({m}), 0) AS BIGINT) AS {m}
 FROM ({' UNION ALL BY NAME '.join(f'(SELECT * FROM ({q}) y{i})' for i, q in enumerate(same_day_frames(A1)))}) x
 GROUP BY day, parent_id""")
 def _(t):
-    return scale.daily_presence(scale.all_presence(inputs(t), END), agent_bindings(t), A1, START, END)
+    return scale.daily_presence(scale.all_marks(inputs(t), END), agent_bindings(t), A1, START, END)
 
 
 @query("r14e_agent_trip_summary", AGENT_TRIPS)
@@ -204,7 +205,8 @@ def _(t):
 
 @query("r14f_agent_heartbeat_total", beats_total(A1))
 def _(t):
-    return scale.heartbeat_total(scale.all_presence(inputs(t), END), agent_bindings(t), A1, START, END)
+    total = scale.device_totals(scale.device_firsts(inputs(t), END), agent_bindings(t), A1, START, END)
+    return total.filter("total_heartbeat_dev_num > 0").drop("total_trip_dev_num")
 
 
 @query("r14h_agent_streams", AGENT_STREAMS)

@@ -20,18 +20,14 @@ def union_trips(tables: Sequence[DataFrame]) -> DataFrame:
     return rows.select("device_name", as_day(F.col("add_time")).alias("day")).distinct()
 
 
-def presence(
+def marks(
     heartbeat: DataFrame | None = None,
     server: DataFrame | None = None,
     client: DataFrame | None = None,
     archive: Sequence[DataFrame] = (),
     splash: DataFrame | None = None,
 ) -> DataFrame:
-    """(device, day, seen): ``seen`` has one bit per kind of evidence.
-
-    All sources go through one aggregation, so a later "heartbeat and trip that
-    day" is a bit test and needs no semi join.
-    """
+    """(device, day, seen) rows of all sources; ``seen`` has the bit of its kind."""
     def marked(df: DataFrame, device: str, day: Column, kind: str) -> DataFrame:
         return df.select(F.col(device).alias("device"), day.alias("day"),
                          F.lit(1 << KINDS.index(kind)).cast("bigint").alias("seen"))
@@ -46,8 +42,25 @@ def presence(
     parts += [marked(t, "device_name", as_day(F.col("add_time")), "archive") for t in archive]
     if splash is not None:
         parts.append(marked(splash, "sn", F.col("day"), "splash"))
-    rows = reduce(lambda a, b: a.unionByName(b), parts)
-    return rows.filter(F.col("device").isNotNull()).groupBy("device", "day").agg(F.bit_or("seen").alias("seen"))
+    return reduce(lambda a, b: a.unionByName(b), parts).filter(F.col("device").isNotNull())
+
+
+def presence(rows: DataFrame) -> DataFrame:
+    """One row per (device, day) with the bits of everything seen that day.
+
+    All sources go through one aggregation, so a later "heartbeat and trip that
+    day" is a bit test and needs no semi join.
+    """
+    return rows.groupBy("device", "day").agg(F.bit_or("seen").alias("seen"))
+
+
+def firsts(rows: DataFrame) -> DataFrame:
+    """Per device its first trip day and first heartbeat day: one small row per
+    device leaves each task, however long the history is."""
+    trip = seen("server") | seen("client") | seen("archive")
+    return rows.groupBy("device").agg(
+        F.min(F.when(trip, F.col("day"))).alias("first_trip"),
+        F.min(F.when(seen("heartbeat"), F.col("day"))).alias("first_beat"))
 
 
 def seen(kind: str) -> Column:

@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed_values as V
 from tidemark.functions import predicates as P
 from tidemark.functions.cells import Day, as_day, day_lit
-from tidemark.operators.cumulative import first_seen, running
-from tidemark.operators.frames import align, fill_keys, left_join_all
-from tidemark.operators.presence import count_devices, presence, seen
+from tidemark.operators.cumulative import running
+from tidemark.operators.frames import align, fill_keys
+from tidemark.operators.presence import count_devices, firsts, marks, presence, seen
 from tidemark.operators.rollup import roll_up
 
 CITY = ("city_sn", "car_type")
@@ -52,27 +52,34 @@ def bindings_total(bindings: DataFrame, calendar: DataFrame, keys: Sequence[str]
     return running(daily, keys, ["total_dev_num"], start, end).join(days, "day", "left_semi")
 
 
-def trip_devices_total(shown: DataFrame, dim: DataFrame, keys: Sequence[str], start: Day, end: Day) -> DataFrame:
-    """Distinct devices with any trip up to each day (``shown`` covers history)."""
-    trips = shown.filter(seen("server") | seen("client") | seen("archive"))
-    attrs = dim.select("third_code", *keys).distinct()
-    firsts = first_seen(trips, ["device"]).join(attrs, F.col("device") == F.col("third_code"))
-    daily = firsts.groupBy("day", *keys).agg(F.count(F.lit(1)).alias("total_trip_dev_num"))
-    return running(daily, keys, ["total_trip_dev_num"], start, end)
+def device_totals(first: DataFrame, bindings: DataFrame, keys: Sequence[str], start: Day, end: Day,
+                  one_group: bool = False) -> DataFrame:
+    """Distinct devices with a trip, and with a heartbeat, up to each day.
 
-
-def heartbeat_total(shown: DataFrame, bindings: DataFrame, keys: Sequence[str], start: Day, end: Day) -> DataFrame:
-    """Distinct devices with a heartbeat and a binding up to each day.
-
-    A device counts from the later of its first heartbeat and the binding; of
-    several bindings in one group the earliest matters.
+    ``first`` is ``presence.firsts`` of the whole history (or a kept table of
+    it).  A trip counts from its first day.  A heartbeat counts from the later
+    of the first heartbeat and the binding; of several bindings in one group the
+    earliest matters.  With ``one_group`` a device's trips count in its smallest
+    group only.
     """
-    firsts = first_seen(shown.filter(seen("heartbeat")), ["device"])
     since = bindings.groupBy("third_code", *keys).agg(F.min("bind_day").alias("bind_day"))
-    joined = firsts.join(since.filter(F.col("bind_day").isNotNull()), F.col("device") == F.col("third_code"))
-    daily = joined.groupBy(F.greatest("day", "bind_day").alias("day"), *keys).agg(
-        F.count(F.lit(1)).alias("total_heartbeat_dev_num"))
-    return running(daily, keys, ["total_heartbeat_dev_num"], start, end)
+    main = F.lit(True)
+    if one_group:
+        (key,) = keys
+        main = F.col(key).eqNullSafe(F.min(key).over(Window.partitionBy("third_code")))
+    since = since.withColumn("__main", main)
+    joined = first.join(since, F.col("device") == F.col("third_code"))
+    starts = F.array(
+        F.struct(F.when(F.col("__main"), F.col("first_trip")).alias("day"), F.lit(1).alias("t"), F.lit(0).alias("h")),
+        F.struct(F.when(F.col("bind_day").isNotNull() & F.col("first_beat").isNotNull(),
+                        F.greatest("first_beat", "bind_day")).alias("day"), F.lit(0).alias("t"), F.lit(1).alias("h")),
+    )
+    daily = (
+        joined.select(*keys, F.explode(starts).alias("s")).filter(F.col("s.day").isNotNull())
+        .groupBy(*keys, F.col("s.day").alias("day"))
+        .agg(F.sum("s.t").alias("total_trip_dev_num"), F.sum("s.h").alias("total_heartbeat_dev_num"))
+    )
+    return running(daily, keys, ["total_trip_dev_num", "total_heartbeat_dev_num"], start, end)
 
 
 def normal_devices(bindings: DataFrame, abnormal: DataFrame, keys: Sequence[str], start: Day, end: Day) -> DataFrame:
@@ -97,12 +104,13 @@ def normal_devices(bindings: DataFrame, abnormal: DataFrame, keys: Sequence[str]
     return kept.filter(F.col("normal_dev_num") > 0)
 
 
-def daily_presence(shown: DataFrame, dim: DataFrame, keys: Sequence[str], start: Day, end: Day) -> DataFrame:
+def daily_presence(rows: DataFrame, dim: DataFrame, keys: Sequence[str], start: Day, end: Day) -> DataFrame:
     """All same-day device counts from the presence bits, in one join."""
     trip = seen("server") | seen("client")
+    shown = presence(rows.filter(P.in_days(start, end, "day")))
     # A day known from an archived trip table alone is not reported.
-    rows = shown.filter(P.in_days(start, end, "day") & (trip | seen("heartbeat") | seen("splash")))
-    return count_devices(rows, dim, keys, {
+    shown = shown.filter(trip | seen("heartbeat") | seen("splash"))
+    return count_devices(shown, dim, keys, {
         "daily_trip_dev_num": trip,
         "daily_online_dev_num": seen("heartbeat") & trip,
         "daily_play_dev_num": seen("splash"),
@@ -112,17 +120,22 @@ def daily_presence(shown: DataFrame, dim: DataFrame, keys: Sequence[str], start:
     })
 
 
-def all_presence(t: ScaleInputs, end: Day) -> DataFrame:
-    """Presence over the whole history up to ``end``: one pass over every source."""
+def all_marks(t: ScaleInputs, end: Day) -> DataFrame:
+    """Every sign of a device up to ``end``, from every source."""
     upto = F.col("day") <= day_lit(end)
     trip_upto = as_day(F.col("add_time")) <= day_lit(end)
-    return presence(
+    return marks(
         heartbeat=t.heartbeat.filter(upto), server=t.server.filter(trip_upto), client=t.client.filter(trip_upto),
         archive=[a.filter(trip_upto) for a in t.archive],
         splash=t.summary.filter(upto & (F.col("tag") == V.SPLASH)),
     )
 
 
+def device_firsts(t: ScaleInputs, end: Day) -> DataFrame:
+    """First trip and first heartbeat per device over the history up to ``end``."""
+    return firsts(all_marks(t, end).filter(~seen("splash")))
+
+
 def device_scale(t: ScaleInputs, bindings: DataFrame, trip_report: DataFrame, start: Day, end: Day) -> DataFrame:
     """Device scale by (day, city, car): 13 measures on the bound groups.
 
@@ -130,23 +143,20 @@ def device_scale(t: ScaleInputs, bindings: DataFrame, trip_report: DataFrame, st
     report of the window.  Groups without a binding are not reported.
     """
     keys = ["day", *CITY]
-    shown = all_presence(t, end)
     trips = trip_report.withColumnRenamed("date", "day").select(
         *keys, "total_play_dev_cnt", "trip_cnt", F.round(F.col("trip_time_sum") / 60, 0).alias("trip_time"))
-    base = bindings_total(bindings, t.calendar, CITY, start, end)
-    # Both cumulative figures of the first block match the raw keys.
-    base = left_join_all(base, [trip_devices_total(shown, bindings, CITY, start, end), trips], keys)
-    # Three of the daily figures are matched on the raw keys: a NULL key stays unmatched.
-    raw = ["daily_heartbeat_dev_num", "daily_online_dev_num_server", "daily_online_dev_num_client"]
+    base = bindings_total(bindings, t.calendar, CITY, start, end).join(trips, keys, "left")
+    # Figures matched on the raw keys are lost for a group with a NULL key; the
+    # others match after NULL keys became 0.
     known = F.col("city_sn").isNotNull() & F.col("car_type").isNotNull()
-    daily = daily_presence(shown, bindings, CITY, start, end).withColumns({m: F.when(known, F.col(m)) for m in raw})
-    frames = [
-        heartbeat_total(shown, bindings, CITY, start, end),
-        normal_devices(bindings, t.abnormal, CITY, start, end),
-        daily,
-    ]
-    joined = left_join_all(
-        fill_keys(base, **CITY_FILL), [fill_keys(f, **CITY_FILL) for f in frames], keys)
+    totals = device_totals(device_firsts(t, end), bindings, CITY, start, end).withColumn(
+        "total_trip_dev_num", F.when(known, F.col("total_trip_dev_num")))
+    raw = ("daily_heartbeat_dev_num", "daily_online_dev_num_server", "daily_online_dev_num_client")
+    daily = daily_presence(all_marks(t, end), bindings, CITY, start, end).withColumns(
+        {m: F.when(known, F.col(m)) for m in raw})
+    frames = [totals, normal_devices(bindings, t.abnormal, CITY, start, end), daily]
+    joined = fill_keys(base, **CITY_FILL).join(
+        align([fill_keys(f, **CITY_FILL) for f in frames], keys), keys, "left")
     measures = [
         "total_dev_num", "total_heartbeat_dev_num", "total_trip_dev_num", "total_play_dev_cnt", "normal_dev_num",
         "daily_trip_dev_num", "daily_online_dev_num", "daily_play_dev_num", "daily_heartbeat_dev_num",
@@ -155,11 +165,6 @@ def device_scale(t: ScaleInputs, bindings: DataFrame, trip_report: DataFrame, st
     return joined.select(*keys, *measures).fillna(0, subset=measures)
 
 
-def one_agent(bindings: DataFrame) -> DataFrame:
-    """One agent per device, the smallest, where a device has several."""
-    return bindings.groupBy("third_code").agg(F.min("parent_id").alias("parent_id"))
-
-
 def agent_day(t: ScaleInputs, days: DataFrame, bindings: DataFrame, agents: DataFrame, start: Day, end: Day) -> DataFrame:
     """Agent report by (day, agent): 14 measures over the union of all groups.
 
@@ -168,10 +173,10 @@ def agent_day(t: ScaleInputs, days: DataFrame, bindings: DataFrame, agents: Data
     ``trips.device_days`` of the window.
     """
     keys = ["day", *AGENT]
-    shown = all_presence(t, end)
     base = bindings_total(bindings, t.calendar, AGENT, start, end)
-    base = left_join_all(base, [trip_devices_total(shown, one_agent(bindings), AGENT, start, end)], keys)
-    daily = daily_presence(shown, bindings, AGENT, start, end).select(
+    totals = device_totals(device_firsts(t, end), bindings, AGENT, start, end, one_group=True).withColumn(
+        "total_trip_dev_num", F.when(F.col("parent_id").isNotNull(), F.col("total_trip_dev_num")))
+    daily = daily_presence(all_marks(t, end), bindings, AGENT, start, end).select(
         *keys, "daily_trip_dev_num", "daily_online_dev_num", "daily_play_dev_num", "daily_heartbeat_dev_num")
     facts = roll_up(
         days.withColumnRenamed("p_date", "day"), agents, keys,
@@ -179,13 +184,17 @@ def agent_day(t: ScaleInputs, days: DataFrame, bindings: DataFrame, agents: Data
               "video_time_fulltime"],
     ).withColumnsRenamed({"trip_time": "trip_time_total", "ad_cnt_ended": "ad_cnt",
                           "stream_ad_ended_fulltime": "stream_ad_cnt_fulltime"})
+    one = F.lit(1)
     frames = [
-        fill_keys(base.fillna(0, subset=["total_trip_dev_num"]), **AGENT_FILL),
-        fill_keys(heartbeat_total(shown, bindings, AGENT, start, end), **AGENT_FILL),
-        fill_keys(daily, **AGENT_FILL),
-        facts,
+        fill_keys(base, **AGENT_FILL).withColumn("__base", one),
+        fill_keys(totals, **AGENT_FILL).withColumn("__beats", (F.col("total_heartbeat_dev_num") > 0).cast("int")),
+        fill_keys(daily, **AGENT_FILL).withColumn("__daily", one),
+        facts.withColumn("__facts", one),
     ]
-    return align(frames, keys).select(
+    # Trip totals belong to bound groups and make no row of their own.
+    rows = align(frames, keys).filter("__base + __beats + __daily + __facts > 0").withColumn(
+        "total_trip_dev_num", F.when(F.col("__base") > 0, F.col("total_trip_dev_num")).otherwise(F.lit(0)))
+    return rows.select(
         *keys, "total_dev_num", "total_trip_dev_num", "daily_trip_dev_num", "daily_online_dev_num",
         "daily_play_dev_num", "trip_cnt", "trip_time_total", "ad_cnt", "show_video_start", "video_time",
         "total_heartbeat_dev_num", "daily_heartbeat_dev_num", "stream_ad_cnt_fulltime", "video_time_fulltime")

@@ -9,7 +9,7 @@ from tidemark.functions import fixed_values as V
 from tidemark.functions import predicates as P
 from tidemark.functions.cells import Day
 from tidemark.operators.cumulative import first_seen, running
-from tidemark.operators.presence import count_devices, presence, seen
+from tidemark.operators.presence import count_devices, marks, presence, seen
 from tidemark.operators.rollup import roll_up
 from tidemark.operators.trips import device_days, with_points
 
@@ -18,7 +18,7 @@ KEYS = ("date", "city_sn", "car_type")
 
 def heartbeat_devices(heartbeat: DataFrame, dim: DataFrame, keys: tuple[str, ...], start: Day, end: Day) -> DataFrame:
     """Distinct devices with a heartbeat per day and dimension attributes."""
-    shown = presence(heartbeat=heartbeat.filter(P.in_days(start, end, "day")))
+    shown = presence(marks(heartbeat=heartbeat.filter(P.in_days(start, end, "day"))))
     return count_devices(shown, dim, keys, {"daily_heartbeat_dev_num": seen("heartbeat")})
 
 

@@ -28,24 +28,31 @@ def append_days(df: DataFrame, path: str, day: str = "day") -> None:
     _by_day(df, day).write.mode("append").partitionBy(day).parquet(path)
 
 
+def _files(spark: SparkSession, path: str, start: Day, end: Day, day: str) -> dict:
+    """A file name per day that holds rows: one small value per day of the
+    window.  Reads no column, only what is kept about the files."""
+    table = read_report(spark, path)
+    if table is None:
+        return {}
+    rows = table.filter(F.col(day).between(day_lit(start), day_lit(end)))
+    return {r[0]: r[1] for r in rows.groupBy(day).agg(F.max("_metadata.file_path")).collect()}
+
+
 def replace_days(df: DataFrame, path: str, start: Day, end: Day, day: str = "day") -> None:
     """Make the days [start, end] of the table hold exactly the rows of ``df``.
 
-    Running it again gives the same table.  A day without rows any more is
-    emptied too, which a dynamic overwrite alone would leave as it was.
+    Running it again gives the same table.  A day that had rows and has none any
+    more is emptied; a dynamic overwrite alone would leave it as it was.
     """
     spark = df.sparkSession
     rows = df.filter(F.col(day).between(day_lit(start), day_lit(end)))
-    old = read_report(spark, path)
-    if old is not None:
-        # At most one small value per day of the window.
-        held = [r[0] for r in old.select(day).distinct().filter(
-            F.col(day).between(day_lit(start), day_lit(end))).collect()]
-        empty = spark.createDataFrame([], rows.drop(day).schema)
-        for d in held:
-            empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{day}={d}")
+    before = _files(spark, path, start, end, day)
     (_by_day(rows, day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day).parquet(path))
+    after = _files(spark, path, start, end, day) if before else {}
+    for d in [d for d, name in before.items() if after.get(d) == name]:
+        empty = spark.createDataFrame([], rows.drop(day).schema)
+        empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{day}={d}")
 
 
 def refresh(df: DataFrame, path: str) -> None:
