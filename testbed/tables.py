@@ -53,9 +53,9 @@ TARGETS = [*V.tab_targets("video"), *V.tab_targets("eat"), *V.tab_targets("play"
 
 
 def _pick(index: str, values: list) -> str:
-    whens = " ".join(
-        f"WHEN {i} THEN " + ("CAST(NULL AS STRING)" if v is None else f"'{v}'") for i, v in enumerate(values))
-    return f"CASE ({index}) % {len(values)} {whens} END"
+    """One of the values, by index; short to evaluate in both engines."""
+    text = "|".join("none" if v is None else v for v in values)
+    return f"NULLIF(split_part('{text}', '|', CAST(({index}) % {len(values)} AS INT) + 1), 'none')"
 
 
 K = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
@@ -219,10 +219,14 @@ def _inputs(sql: str) -> list[str]:
 
 
 class Tables:
-    """Spark DataFrames of the input tables, by attribute name."""
+    """Spark DataFrames of the input tables, by attribute name.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    With ``prepared`` they are read from tables that ``prepare`` wrote, laid out
+    as in a deployment; else they are derived on the fly.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, prepared: str | None = None):
+        self.spark, self.sf_dir, self.prepared = spark, sf_dir, prepared
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -231,6 +235,8 @@ class Tables:
         if name not in self._cache:
             if name in BASE:
                 df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            elif name in TABLES and self.prepared:
+                df = self.spark.read.parquet(f"{self.prepared}/{name}")
             elif name in TABLES:
                 sql = _dialect(TABLES[name], SPARK_DIALECT)
                 df = self.spark.sql(sql, **{n: getattr(self, n) for n in _inputs(sql)})
@@ -244,6 +250,24 @@ class Tables:
         return [getattr(self, n) for n in ARCHIVES]
 
 
+DAY_COLUMNS = {"screen_event": "p_date", "device_snapshot": "p_date", "heartbeat_day": "day"}
+
+
+def prepare(spark: SparkSession, sf_dir: str, folder: str) -> Tables:
+    """Write all input tables to ``folder``, the big ones partitioned by day."""
+    source = Tables(spark, sf_dir)
+    for name in TABLES:
+        df = getattr(source, name)
+        if name in DAY_COLUMNS:
+            day = DAY_COLUMNS[name]
+            df.repartition(day).write.partitionBy(day).parquet(f"{folder}/{name}")
+        elif name in ("shop_order", "order_line", "order_comment", "replenishment", "estimate", "scan_line"):
+            df.repartition(8).write.parquet(f"{folder}/{name}")
+        else:
+            df.coalesce(1).write.parquet(f"{folder}/{name}")
+    return Tables(spark, sf_dir, folder)
+
+
 def duck_ctes(names: list[str]) -> list[tuple[str, str]]:
     """(name, SQL) of the named tables and what they need, in order."""
     out: dict[str, str] = {}

@@ -46,7 +46,7 @@ def day_lit(d: Day) -> Column:
 
 def null_text(c: Column) -> Column:
     """The word 'null' written in a log means no value."""
-    return F.nullif(c, F.lit("null"))
+    return F.when(c != "null", c)
 
 
 def flag(pred: Column) -> Column:

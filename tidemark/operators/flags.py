@@ -44,33 +44,37 @@ def _bits(wheres: Sequence[Where], keep) -> int:
     return sum(1 << i for i, w in enumerate(wheres) if keep(w))
 
 
-def _long(bits: int) -> Column:
-    return F.lit(bits).cast("bigint")
+def _text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def metric_mask(wheres: Sequence[Where], predicates: Mapping[str, Column]) -> Column:
-    """Bit i is set when the i-th metric holds."""
+    """Bit i is set when the i-th metric holds.
+
+    The lookups are written as SQL text: a Column per value would cost one call
+    into the JVM each.
+    """
     if len(wheres) > MAX_METRICS:
         raise ValueError(f"at most {MAX_METRICS} metrics fit in one mask")
     other = object()  # a value no metric names
-    parts = []
+    lookups = []
     for column in sorted({c for w in wheres for c in (*w.isin, *w.notin)}):
         named = sorted({v for w in wheres for s in (w.isin, w.notin) for v in s.get(column, ())})
         values = defaultdict(list)
         for v in named:
-            values[_bits(wheres, lambda w: w.allows(column, v))].append(v)
-        lookup = F.when(F.col(column).isNull(), _long(_bits(wheres, lambda w: w.allows(column, None))))
-        for bits, vs in values.items():
-            lookup = lookup.when(F.col(column).isin(*vs), _long(bits))
-        parts.append(lookup.otherwise(_long(_bits(wheres, lambda w: w.allows(column, other)))))
+            values[_bits(wheres, lambda w: w.allows(column, v))].append(_text(v))
+        cases = "".join(f" WHEN `{column}` IN ({', '.join(vs)}) THEN {bits}L" for bits, vs in values.items())
+        null_bits = _bits(wheres, lambda w: w.allows(column, None))
+        other_bits = _bits(wheres, lambda w: w.allows(column, other))
+        lookups.append(F.expr(f"CASE WHEN `{column}` IS NULL THEN {null_bits}L{cases} ELSE {other_bits}L END"))
     for name, predicate in predicates.items():
         without = _bits(wheres, lambda w: name not in w.also)
-        parts.append(F.when(flag(predicate), _long(-1)).otherwise(_long(without)))
-    return reduce(lambda a, b: a.bitwiseAND(b), parts)
+        lookups.append(F.when(flag(predicate), F.expr("-1L")).otherwise(F.expr(f"{without}L")))
+    return reduce(lambda a, b: a.bitwiseAND(b), lookups)
 
 
-def bit_is_set(mask: Column, i: int) -> Column:
-    return mask.bitwiseAND(_long(1 << i)) != 0
+def bit_is_set(mask: str, i: int) -> Column:
+    return F.expr(f"({mask} & {1 << i}L) != 0")
 
 
 def distinct_counts(
@@ -96,17 +100,15 @@ def distinct_counts(
     ]
     # The mask is computed once, in the exploded record: a filter on a plain
     # column would be pushed down and compute it a second time.
-    rows = df.select(*keys, F.explode(F.array(*records)).alias("__p")).select(
-        *keys, F.col("__p.n").alias("__n"), F.col("__p.e").alias("__e"), F.col("__p.m").alias("__m"))
+    rows = df.select(*keys, F.explode(F.array(*records)).alias("__p")).selectExpr(
+        *[f"`{k}`" for k in keys], "__p.n AS __n", "__p.e AS __e", "__p.m AS __m")
     per_entity = (
-        rows.filter((F.col("__m") != 0) & F.col("__e").isNotNull())
-        .groupBy(*keys, "__n", "__e").agg(F.bit_or("__m").alias("__m"))
+        rows.filter("__m != 0 AND __e IS NOT NULL").groupBy(*keys, "__n", "__e").agg(F.bit_or("__m").alias("__m"))
     )
-    aggs = [
-        F.count_if((F.col("__n") == n) & bit_is_set(F.col("__m"), i)).alias(metric)
+    return per_entity.groupBy(*keys).agg(*[
+        F.expr(f"count_if(__n = {_text(n)} AND (__m & {1 << i}L) != 0) AS `{metric}`")
         for n in names for i, metric in enumerate(entities[n][1])
-    ]
-    return per_entity.groupBy(*keys).agg(*aggs)
+    ])
 
 
 def row_counts(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Where],
@@ -122,6 +124,5 @@ def row_counts(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Where],
         .groupBy(*keys, "__m").agg(F.count(F.lit(1)).alias("__n"))
     )
     return by_mask.groupBy(*keys).agg(*[
-        F.coalesce(F.sum(F.when(bit_is_set(F.col("__m"), i), F.col("__n"))), F.lit(0)).alias(m)
-        for i, m in enumerate(metrics)
+        F.expr(f"coalesce(sum(__n) FILTER (WHERE (__m & {1 << i}L) != 0), 0L) AS `{m}`") for i, m in enumerate(metrics)
     ])

@@ -64,7 +64,7 @@ def firsts(rows: DataFrame) -> DataFrame:
 
 
 def seen(kind: str) -> Column:
-    return bit_is_set(F.col("seen"), KINDS.index(kind))
+    return bit_is_set("seen", KINDS.index(kind))
 
 
 def count_devices(shown: DataFrame, dim: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column]) -> DataFrame:

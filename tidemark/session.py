@@ -14,6 +14,9 @@ SETTINGS = {
     # Split a hot join key also where a later stage has to be shuffled again for it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Reports are built from many small column expressions; recording the Python
+    # line of each one costs more than planning the report.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 

@@ -31,20 +31,21 @@ def parse_scan_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """
     clean = strip(F.replace(F.col(line), F.lit(LEVEL), F.lit("")))
     marked = lines.filter(F.col(line).contains(MARKER)).select(clean.alias("line"))
-    parts = F.split("line", r"\|")
+    # Split once: the fields are read off a generated column, which no filter is pushed below.
+    split = marked.select("line", F.explode(F.array(F.split("line", r"\|"))).alias("parts"))
 
     def field(i: int) -> Column:
-        return F.get(parts, F.lit(i))
+        return F.get("parts", F.lit(i))
 
     driver = null_text(field(DRIVER))
-    return marked.select(
+    return split.select(
         field(MODULE).alias("module"),
         null_text(field(USER_TEL)).alias("user_tel"),
         null_text(field(USER_ID)).alias("user_id"),
         null_text(field(SHELF)).alias("shelf_sn"),
         driver.try_cast("bigint").alias("driver_id"),
         F.substring_index("line", ",", 1).try_cast("timestamp_ntz").alias("add_time"),
-        ((F.size(parts) > DRIVER) & (driver.isNull() | driver.try_cast("bigint").isNotNull())).alias("ok"),
+        ((F.size("parts") > DRIVER) & (driver.isNull() | driver.try_cast("bigint").isNotNull())).alias("ok"),
         "line",
     )
 
