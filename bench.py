@@ -46,7 +46,7 @@ def timed(build) -> float:
 
 def one_query_per_metric(t: Tables):
     """The interaction report as 28 queries joined on the day."""
-    rows = P.prod_events(t.screen_event, t.excluded_device, START, END)
+    rows = P.prod_events(t.screen_event, t.excluded, START, END)
     parts = [rows.filter(w).groupBy("p_date").agg(F.count_distinct("traceid").alias(m)) for m, w in TRIP_METRICS.items()]
     parts.append(rows.filter(f"{PAIR} AND tag = 'SCREEN_OTHER_CONTENT_BEGIN'").groupBy("p_date").agg(
         F.count_distinct(F.concat("traceid", "contentid")).alias("daily_play_trip_content_cnt")))
@@ -55,7 +55,7 @@ def one_query_per_metric(t: Tables):
 
 def range_join(t: Tables):
     """Devices on the road up to each day as calendar >= event day."""
-    rows = P.prod_events(t.screen_event, t.excluded_device, "2023-01-01", END).filter(f"{TRIP} AND {V179}")
+    rows = P.prod_events(t.screen_event, t.excluded, "2023-01-01", END).filter(f"{TRIP} AND {V179}")
     spine = day_spine(t.spark, LATE_START, END)
     return spine.join(rows, spine.day >= rows.p_date).groupBy("day").agg(F.count_distinct("devicename").alias("n"))
 

@@ -32,7 +32,7 @@ def agents(t):
 
 
 def days(t):
-    return device_days(P.prod_events(t.screen_event, t.excluded_device, START, END))
+    return device_days(P.prod_events(t.screen_event, t.excluded, START, END))
 
 
 # --- plays ----------------------------------------------------------------------
@@ -48,13 +48,13 @@ LEFT JOIN (SELECT p_date, contentid, tag, COUNT(DISTINCT devicename) AS play_dev
 LEFT JOIN (SELECT p_date, {VIDEO_OF} AS video, COUNT(1) AS scan_cnt FROM ev WHERE event = 'SCAN' GROUP BY 1, 2) s
   ON a.p_date = s.p_date AND a.contentid = s.video""")
 def _(t):
-    return plain(plays.content_play_day(t.screen_event, CAMPAIGN_RULES, t.excluded_device, START, END))
+    return plain(plays.content_play_day(t.screen_event, CAMPAIGN_RULES, t.excluded, START, END))
 
 
 @query("r1a_scan_counts", f"""
 SELECT p_date AS date, {VIDEO_OF} AS video, COUNT(1) AS scan_cnt FROM ev WHERE event = 'SCAN' GROUP BY 1, 2""")
 def _(t):
-    return plays.scan_counts(t.screen_event, CAMPAIGN_RULES, t.excluded_device, START, END)
+    return plays.scan_counts(t.screen_event, CAMPAIGN_RULES, t.excluded, START, END)
 
 
 @query("r1b_content_play_total", f"""
@@ -64,7 +64,7 @@ FROM span s JOIN ev e ON s.day >= e.p_date
 WHERE (e.tag IN ({HIST}) OR {ENDED}) AND {TRIP} AND {V179} AND s.day >= DATE '{LATE_START}'
 GROUP BY s.day, e.contentid, e.tag""")
 def _(t):
-    return plain(plays.content_play_total(t.screen_event, t.excluded_device, LATE_START, END, history=HISTORY))
+    return plain(plays.content_play_total(t.screen_event, t.excluded, LATE_START, END, history=HISTORY))
 
 
 @query("r1c_scan_total", f"""
@@ -72,7 +72,7 @@ SELECT s.day AS date, e.video, COUNT(1) AS total_scan_cnt
 FROM span s JOIN (SELECT p_date, {VIDEO_OF} AS video FROM ev WHERE event = 'SCAN') e ON s.day >= e.p_date
 WHERE s.day >= DATE '{LATE_START}' GROUP BY s.day, e.video""")
 def _(t):
-    return plays.scan_total(t.screen_event, CAMPAIGN_RULES, t.excluded_device, LATE_START, END, history=HISTORY)
+    return plays.scan_total(t.screen_event, CAMPAIGN_RULES, t.excluded, LATE_START, END, history=HISTORY)
 
 
 @query("r2_ad_play_day", f"""
@@ -89,7 +89,7 @@ SELECT a.p_date AS date, a.city_sn, a.car_type, a.c AS contentid, a.tag, CAST(b.
 FROM a LEFT JOIN b ON a.p_date = b.p_date AND a.city_sn = b.city_sn AND a.car_type = b.car_type AND a.c = b.c AND a.tag = b.tag
 WHERE a.city_sn IS NOT NULL AND a.car_type IS NOT NULL AND a.c IS NOT NULL""")
 def _(t):
-    return plain(plays.ad_play_day(t.screen_event, city(t), t.excluded_device, START, END))
+    return plain(plays.ad_play_day(t.screen_event, city(t), t.excluded, START, END))
 
 
 @query("r2a_ad_play_total", f"""
@@ -102,7 +102,7 @@ FROM (SELECT s.day AS date, devicename, contentid, tag, COUNT(DISTINCT traceid)
 JOIN dim ON x.devicename = dim.third_code
 WHERE city_sn IS NOT NULL AND car_type IS NOT NULL AND contentid IS NOT NULL GROUP BY 1, 2, 3, 4, 5""")
 def _(t):
-    return plain(plays.ad_play_total(t.screen_event, city(t), t.excluded_device, LATE_START, END, history=HISTORY))
+    return plain(plays.ad_play_total(t.screen_event, city(t), t.excluded, LATE_START, END, history=HISTORY))
 
 
 @query("r3_ad_play_fulltime", f"""
@@ -119,7 +119,7 @@ SELECT a.p_date AS date, a.city_sn, a.car_type, a.c AS contentid, a.tag, CAST(CO
 FROM a LEFT JOIN b ON a.p_date = b.p_date AND a.city_sn = b.city_sn AND a.car_type = b.car_type AND a.c = b.c AND a.tag = b.tag
 WHERE a.city_sn IS NOT NULL AND a.car_type IS NOT NULL AND a.c IS NOT NULL""")
 def _(t):
-    return plain(plays.ad_play_fulltime(t.screen_event, city(t), t.excluded_device, START, END))
+    return plain(plays.ad_play_fulltime(t.screen_event, city(t), t.excluded, START, END))
 
 
 @query("r3a_ad_play_fulltime_total", f"""
@@ -132,7 +132,7 @@ FROM (SELECT s.day AS date, devicename, contentid, tag, COUNT(DISTINCT devicenam
 JOIN dim ON x.devicename = dim.third_code
 WHERE city_sn IS NOT NULL AND car_type IS NOT NULL AND contentid IS NOT NULL GROUP BY 1, 2, 3, 4, 5""")
 def _(t):
-    return plain(plays.ad_play_fulltime_total(t.screen_event, city(t), t.excluded_device, LATE_START, END, history=HISTORY))
+    return plain(plays.ad_play_fulltime_total(t.screen_event, city(t), t.excluded, LATE_START, END, history=HISTORY))
 
 
 @query("r4_ad_plan_day", f"""
@@ -140,7 +140,7 @@ SELECT p_date AS date, {LABEL.format('adsn')} AS adsn, tag, play_dev_cnt, play_t
 (SELECT p_date, adsn, tag, COUNT(DISTINCT devicename) AS play_dev_cnt, COUNT(DISTINCT traceid) AS play_trip_cnt,
    COUNT(1) AS play_cnt FROM ev WHERE tag IN ({FULL}, 'click_screensaver_dialog') OR {ENDED} GROUP BY p_date, adsn, tag) x""")
 def _(t):
-    return plays.ad_plan_day(t.screen_event, t.excluded_device, START, END)
+    return plays.ad_plan_day(t.screen_event, t.excluded, START, END)
 
 
 # --- trip report ------------------------------------------------------------------
@@ -206,12 +206,12 @@ def _(t):
 SELECT devicename, date, trip_cnt, ROUND(trip_time, 3) AS trip_time_sum, CAST(ad_cnt AS BIGINT) AS ad_cnt,
   CAST(show_video_start AS BIGINT) AS show_video_start, ROUND(COALESCE(video_time, 0), 3) AS video_time FROM ({BEGIN_SUMMARY}) x""")
 def _(t):
-    return plain(trip_day.trip_summary(t.screen_event, t.excluded_device, START, END))
+    return plain(trip_day.trip_summary(t.screen_event, t.excluded, START, END))
 
 
 @query("r5b_on_road_devices", ON_ROAD)
 def _(t):
-    return trip_day.on_road_devices(t.screen_event, city(t), t.excluded_device, START, END)
+    return trip_day.on_road_devices(t.screen_event, city(t), t.excluded, START, END)
 
 
 TOTAL = """SELECT date, city_sn, car_type, COUNT(devicename) AS {name} FROM
@@ -222,17 +222,17 @@ TOTAL = """SELECT date, city_sn, car_type, COUNT(devicename) AS {name} FROM
 
 @query("r5c_points_total", TOTAL.format(name="total_play_dev_cnt", where="tag = 'splash_show_begin'", late=LATE_START))
 def _(t):
-    return trip_day.points_total(t.screen_event, city(t), t.excluded_device, LATE_START, END, history=HISTORY)
+    return trip_day.points_total(t.screen_event, city(t), t.excluded, LATE_START, END, history=HISTORY)
 
 
 @query("r5d_on_road_total", TOTAL.format(name="total_trip_dev_cnt", where=f"{TRIP} AND {V179}", late=LATE_START))
 def _(t):
-    return trip_day.on_road_total(t.screen_event, city(t), t.excluded_device, LATE_START, END, history=HISTORY)
+    return trip_day.on_road_total(t.screen_event, city(t), t.excluded, LATE_START, END, history=HISTORY)
 
 
 @query("r5e_points_of_day", POINTS)
 def _(t):
-    return trip_day.points_of_day(t.screen_event, t.device_snapshot, city(t), t.excluded_device, START, END)
+    return trip_day.points_of_day(t.screen_event, t.device_snapshot, city(t), t.excluded, START, END)
 
 
 @query("r5f_heartbeat_devices", BEATS)
@@ -244,7 +244,7 @@ def _(t):
 @query("r5g_fulltime_streams", f"""SELECT date, city_sn, car_type, stream_ad_cnt_fulltime, screensaver_ad_cnt_fulltime,
   ROUND(video_time_fulltime, 3) AS video_time_fulltime FROM ({STREAMS}) x""")
 def _(t):
-    return plain(trip_day.fulltime_streams(t.screen_event, city(t), t.excluded_device, START, END))
+    return plain(trip_day.fulltime_streams(t.screen_event, city(t), t.excluded, START, END))
 
 
 # --- clicks -------------------------------------------------------------------------
@@ -257,7 +257,7 @@ SELECT date, city_sn, car_type, {BLANK.format('targetvalue')} AS targetvalue, CA
   JOIN dim ON x.devicename = dim.third_code
 WHERE city_sn IS NOT NULL AND car_type IS NOT NULL AND targetvalue IS NOT NULL GROUP BY 1, 2, 3, 4""")
 def _(t):
-    return clicks.tab_clicks(t.screen_event, city(t), t.excluded_device, START, END)
+    return clicks.tab_clicks(t.screen_event, city(t), t.excluded, START, END)
 
 
 @query("r7_video_clicks", f"""
@@ -266,14 +266,14 @@ FROM (SELECT p_date, tag, page, currentvalue, COUNT(DISTINCT traceid) AS click_t
   WHERE traceid <> '' AND TRY_CAST(versioncode AS INT) >= 204 AND tag IN ('click_video_detail', 'video_banner_click')
   GROUP BY p_date, tag, page, currentvalue) x""")
 def _(t):
-    return clicks.video_clicks(t.screen_event, t.excluded_device, START, END)
+    return clicks.video_clicks(t.screen_event, t.excluded, START, END)
 
 
 @query("r8_scan_extract", f"""
 SELECT {BLANK.format('utmsource')} AS utmsource, {BLANK.format('utmcampaign')} AS utmcampaign,
   {BLANK.format('utmcontent')} AS utmcontent, p_date AS date FROM ev WHERE event = 'SCAN'""")
 def _(t):
-    return clicks.scan_extract(t.screen_event, t.excluded_device, START, END)
+    return clicks.scan_extract(t.screen_event, t.excluded, START, END)
 
 
 # --- interaction: one subquery per metric, as plain SQL ---------------------------------
@@ -340,7 +340,7 @@ LEFT JOIN (SELECT a.p_date, a.daily_play_trip_content_cnt, b.inter_trip_content_
     WHERE {PAIR} AND event IN ('CLICK','SLIDE') AND tag NOT IN ({N7}) GROUP BY p_date) b ON a.p_date = b.p_date) c
   ON s.day = c.p_date""")
 def _(t):
-    return interaction.interaction_day(t.screen_event, t.excluded_device, START, END)
+    return interaction.interaction_day(t.screen_event, t.excluded, START, END)
 
 
 def _at(tag: str, pages: str) -> str:
@@ -386,7 +386,7 @@ SELECT s.day AS date, COALESCE(o.online_dev_cnt, 0) AS online_dev_cnt, {', '.joi
 FROM span s LEFT JOIN ({ONLINE}) o ON s.day = o.date {_per_day(TAXI, 'COUNT(1)', "category = 'TAXI' AND ")}""")
 def _(t):
     return interaction.taxi_interaction_day(
-        t.screen_event, t.heartbeat_day, taxi(t), RULES, t.excluded_device, START, END)
+        t.screen_event, t.heartbeat_day, taxi(t), RULES, t.excluded, START, END)
 
 
 @query("r10_1_online_heartbeats", ONLINE)
@@ -420,4 +420,4 @@ LEFT JOIN (SELECT contentid, tag, COUNT(DISTINCT traceid) AS n FROM ev WHERE {WE
       GROUP BY contentid, tag) c ON a.contentid = c.contentid
 GROUP BY a.contentid""")
 def _(t):
-    return interaction.content_interaction(t.screen_event, t.excluded_device, TODAY)
+    return interaction.content_interaction(t.screen_event, t.excluded, TODAY)

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from testbed.q_events import ENDED_SUMMARY, LABEL, PAIR, BEGIN_SUMMARY, agents, city, days
-from testbed.q_scale import agent_bindings, bindings, inputs
+from testbed.q_scale import R13_SQL, agent_bindings, bindings, inputs
 from testbed.registry import plain, query
 from testbed.tables import CAMPAIGN_RULES, END, RULES, START
 from tidemark.functions import predicates as P
@@ -17,7 +17,7 @@ from tidemark.operators import dims, frames
 from tidemark.operators.cumulative import first_seen, merge_first_seen
 from tidemark.operators.presence import marks, presence, seen
 from tidemark.operators.rollup import roll_up
-from tidemark.plans import interaction, plays, scale
+from tidemark.plans import daily, interaction, plays, scale
 from tidemark.session import shared_dir
 from tidemark.sinks import days as sink
 from tidemark.sinks.layouts import to_layout
@@ -147,11 +147,27 @@ def _(t):
     return frames.not_in(city(t), "third_code", t.abnormal_device, "device_name")
 
 
-@query("p6_known_devices", """
-SELECT devicename, COUNT(1) AS n FROM screen_event
-WHERE devicename NOT IN (SELECT devicename FROM excluded_device) GROUP BY devicename""")
+KNOWN = """SELECT devicename, COUNT(1) AS n FROM screen_event
+WHERE devicename NOT IN (SELECT devicename FROM excluded_device) GROUP BY devicename"""
+
+
+def _known(t, excluded):
+    return P.known_devices(t.screen_event, excluded).groupBy("devicename").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("p6_known_devices_list", KNOWN)
+def _(t):
+    return _known(t, t.excluded)
+
+
+@query("p6_known_devices_broadcast", KNOWN)
+def _(t):
+    return _known(t, P.exclusions(t.excluded_device, literal_limit=0))
+
+
+@query("p6_known_devices_hash", KNOWN)
 def _(t):
-    return P.known_devices(t.screen_event, t.excluded_device).groupBy("devicename").agg(F.count(F.lit(1)).alias("n"))
+    return _known(t, P.exclusions(t.excluded_device, literal_limit=0, broadcast_limit=0))
 
 
 # --- aggregation ------------------------------------------------------------------------------
@@ -163,7 +179,7 @@ SELECT s.day AS date, COALESCE(a.n, 0) AS daily_play_trip_content_cnt FROM span
 def _(t):
     # With the length in front two different pairs never read the same.
     key = F.concat(F.length("traceid").cast("string"), F.lit(":"), "traceid", "contentid")
-    counts = interaction.interaction_counts(t.screen_event, t.excluded_device, START, END, content_key=key)
+    counts = interaction.interaction_counts(t.screen_event, t.excluded, START, END, content_key=key)
     spine = frames.day_spine(t.spark, START, END, "date")
     return spine.join(counts, "date", "left").select("date", "daily_play_trip_content_cnt").fillna(0)
 
@@ -269,7 +285,7 @@ FROM ev WHERE (tag IN ('SCREEN_OTHER_CONTENT_BEGIN','splash_show_begin','video_b
   OR (tag = 'SCREEN_OTHER_RECOVER_END' AND message LIKE '内容正常结束%'))
   AND traceid <> '' AND TRY_CAST(versioncode AS INT) >= 179 GROUP BY p_date, contentid, tag""")
 def _(t):
-    report = plays.content_play_day(t.screen_event, CAMPAIGN_RULES, t.excluded_device, START, END)
+    report = plays.content_play_day(t.screen_event, CAMPAIGN_RULES, t.excluded, START, END)
     return to_layout(report, "content_play_day").select("date", "contentid", "tag", "play_cnt", "total_scan_cnt")
 
 
@@ -291,8 +307,26 @@ FROM ev WHERE (tag IN ('SCREEN_OTHER_CONTENT_BEGIN','splash_show_begin','video_b
 def _(t):
     report = incremental.Report(
         "content_play_day", day="date", default=D("2023-12-31"),
-        build=lambda w: plays.content_play_day(t.screen_event, CAMPAIGN_RULES, t.excluded_device, w.start, w.end))
+        build=lambda w: plays.content_play_day(t.screen_event, CAMPAIGN_RULES, t.excluded, w.start, w.end))
     path = scratch(t, "content_play_day")
     for today in ("2024-01-11", "2024-01-11", "2024-02-01"):
         incremental.load(t.spark, report, path, D(today))
     return t.spark.read.parquet(path).select("date", "contentid", "tag", "play_trip_cnt", "play_cnt")
+
+
+# --- whole daily runs ------------------------------------------------------------------------------
+
+def screen_run(t):
+    return daily.ScreenTables(
+        t.screen_event, t.device_service, t.screen_info, t.screen_car, t.device_snapshot, t.heartbeat_day, t.trip_server,
+        t.trip_client, t.archives, t.sensor_summary, t.abnormal_device, t.excluded)
+
+
+# The run's own calendar holds every day of the window.
+@query("i4_scale_after_trip_day", R13_SQL.replace("FROM calendar a", "FROM span a"))
+def _(t):
+    root = scratch(t, "screen")
+    reports = daily.screen_reports(t.spark, screen_run(t), RULES, CAMPAIGN_RULES, root, D("2023-12-31"))
+    wanted = [r for r in reports if r.name in ("calendar", "trip_day", "device_scale")]
+    incremental.run_all(t.spark, wanted, root, D("2024-02-01"))
+    return plain(t.spark.read.parquet(f"{root}/device_scale"))

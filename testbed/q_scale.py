@@ -152,13 +152,16 @@ _BASE = f"""SELECT a.day, a.city_sn, a.car_type, a.total_dev_num, f.total_trip_d
   LEFT JOIN ({TRIP_DAY}) g ON a.day = g.date AND a.city_sn = g.city_sn AND a.car_type = g.car_type"""
 
 
-@query("r13_device_scale", f"""
+R13_SQL = f"""
 SELECT b0.day, b0.city_sn, b0.car_type, {', '.join(f'COALESCE({m}, 0) AS {m}' for m in SCALE_MEASURES)},
   COALESCE(trip_time, 0) AS trip_time
 FROM ({_FILLED.format(_BASE)}) b0 {_left([
     ('f1', _FILLED.format(normal(C2))), ('f2', _FILLED.format(trip_devices(C2))), ('f3', _FILLED.format(online(C2))),
     ('f4', _FILLED.format(splash(C2))), ('f5', online_by(C2, 'trip_server', SAME_DAY[4])),
-    ('f6', online_by(C2, 'trip_client', SAME_DAY[5])), ('f7', _FILLED.format(beats_total(C2))), ('f8', beats(C2))], C2)}""")
+    ('f6', online_by(C2, 'trip_client', SAME_DAY[5])), ('f7', _FILLED.format(beats_total(C2))), ('f8', beats(C2))], C2)}"""
+
+
+@query("r13_device_scale", R13_SQL)
 def _(t):
     return plain(scale.device_scale(inputs(t), bindings(t), trip_report(t), START, END))
 

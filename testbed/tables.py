@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions import fixed_values as V
 from tidemark.functions.attribution import Rule
+from tidemark.functions.predicates import exclusions
 from tidemark.operators.dims import DeviceRules
 from tidemark.plans.interaction import VIDEO_PAGE_TAGS
 
@@ -227,7 +228,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str, prepared: str | None = None):
         self.spark, self.sf_dir, self.prepared = spark, sf_dir, prepared
-        self._cache: dict[str, DataFrame] = {}
+        self._cache: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -245,6 +246,13 @@ class Tables:
             self._cache[name] = df
         return self._cache[name]
 
+    @property
+    def excluded(self):
+        """Excluded devices, read once."""
+        if "__excluded" not in self._cache:
+            self._cache["__excluded"] = exclusions(self.excluded_device)
+        return self._cache["__excluded"]
+
     @property
     def archives(self) -> list[DataFrame]:
         return [getattr(self, n) for n in ARCHIVES]

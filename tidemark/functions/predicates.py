@@ -6,7 +6,7 @@ to the scan and keep the rest inside generated code.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,19 +69,41 @@ def has_content() -> Column:
     return F.col("contentid") != ""
 
 
-def known_devices(events: DataFrame, excluded: DataFrame | None) -> DataFrame:
-    """Rows of a named device that is not in the exclusion table.
+Excluded = DataFrame | Collection[str] | None
+LITERAL_LIMIT = 1_000
+BROADCAST_LIMIT = 1_000_000
 
-    The table holds one column ``devicename``.  A plain NOT IN is wanted, so a
-    row with a NULL device is dropped, also when nothing is excluded.
+
+def exclusions(table: DataFrame, literal_limit: int = LITERAL_LIMIT, broadcast_limit: int = BROADCAST_LIMIT) -> Excluded:
+    """The excluded devices in the cheapest form their number allows.
+
+    Read once per run.  A short list becomes literals, so no join touches the
+    event log; a longer one that is still small is broadcast; beyond that the
+    log is joined by hash, the one form in which it is shuffled for this.
+    """
+    listed = table.filter(F.col("devicename").isNotNull()).select("devicename").distinct()
+    short = listed.limit(literal_limit + 1).collect()
+    if len(short) <= literal_limit:
+        return tuple(sorted(r.devicename for r in short))
+    small = listed.limit(broadcast_limit + 1).count() <= broadcast_limit
+    return F.broadcast(listed) if small else listed
+
+
+def known_devices(events: DataFrame, excluded: Excluded) -> DataFrame:
+    """Rows of a named device that is not excluded.
+
+    ``excluded`` is a list or a table with the column ``devicename``.  The rule
+    is a plain NOT IN, so a row with a NULL device is dropped, also when nothing
+    is excluded.
     """
     events = events.filter(F.col("devicename").isNotNull())
     if excluded is None:
         return events
-    listed = excluded.filter(F.col("devicename").isNotNull()).select("devicename").distinct()
-    return events.join(listed, "devicename", "left_anti")
+    if isinstance(excluded, DataFrame):
+        return events.join(excluded.filter(F.col("devicename").isNotNull()), "devicename", "left_anti")
+    return events.filter(~F.col("devicename").isin(*excluded)) if excluded else events
 
 
-def prod_events(events: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def prod_events(events: DataFrame, excluded: Excluded, start: Day, end: Day) -> DataFrame:
     """Production rows of the day window without test devices."""
     return known_devices(events.filter(in_days(start, end) & prod()), excluded)

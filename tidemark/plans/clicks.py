@@ -11,7 +11,7 @@ from tidemark.functions.cells import Day, blank_to_zero
 from tidemark.operators.rollup import roll_up
 
 
-def tab_clicks(events: DataFrame, city: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def tab_clicks(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """Clicks, trips and devices by (date, city, car, tab target)."""
     rows = P.prod_events(events, excluded, start, end).filter(P.counted_trip() & (F.col("tag") == V.TAB_CLICK))
     per_device = rows.groupBy(
@@ -23,7 +23,7 @@ def tab_clicks(events: DataFrame, city: DataFrame, excluded: DataFrame | None, s
     return rolled.select(*keys, "click_times", "click_trip_cnt", "click_dev_cnt")
 
 
-def video_clicks(events: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def video_clicks(events: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """Trips and clicks on video details and banners by (date, tag, page, value)."""
     rows = P.prod_events(events, excluded, start, end).filter(
         P.in_trip() & P.min_version(V.CLICK_MIN_VERSION)
@@ -33,7 +33,7 @@ def video_clicks(events: DataFrame, excluded: DataFrame | None, start: Day, end:
     return grouped.withColumns({c: blank_to_zero(F.col(c)) for c in ("page", "currentvalue")})
 
 
-def scan_extract(events: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def scan_extract(events: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """One row per scan; no scans give an empty result."""
     rows = P.prod_events(events, excluded, start, end).filter(F.col("event") == "SCAN")
     return rows.select(

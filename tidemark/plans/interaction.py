@@ -79,7 +79,7 @@ def trip_content_key() -> Column:
     return F.concat("traceid", "contentid")
 
 
-def interaction_counts(events: DataFrame, excluded: DataFrame | None, start: Day, end: Day,
+def interaction_counts(events: DataFrame, excluded: P.Excluded, start: Day, end: Day,
                        content_key: Column | None = None) -> DataFrame:
     """The 28 metrics for each day that has any."""
     rows = P.prod_events(events, excluded, start, end).filter(P.in_trip())
@@ -92,7 +92,7 @@ def interaction_counts(events: DataFrame, excluded: DataFrame | None, start: Day
     return counts.withColumn("inter_trip_content_cnt", shown).withColumnRenamed("p_date", "date")
 
 
-def interaction_day(events: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def interaction_day(events: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """One row per day of the window, days without events as zeros."""
     counts = interaction_counts(events, excluded, start, end)
     columns = interaction_columns()
@@ -150,7 +150,7 @@ def online_heartbeats(heartbeat: DataFrame, taxi: DataFrame, start: Day, end: Da
 
 
 def taxi_interaction_day(events: DataFrame, heartbeat: DataFrame, taxi: DataFrame, rules: DeviceRules,
-                         excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+                         excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """One row per day of the window: online devices and 27 event counts."""
     metrics = taxi_metrics()
     rows = P.prod_events(events, excluded, start, end).filter(F.col("category") == rules.taxi_category)
@@ -174,7 +174,7 @@ CONTENT_PIVOT = {
 }
 
 
-def content_interaction(events: DataFrame, excluded: DataFrame | None, today: Day) -> DataFrame:
+def content_interaction(events: DataFrame, excluded: P.Excluded, today: Day) -> DataFrame:
     """Trips that played and touched each content in the 7 days before ``today``.
 
     A trip counts once per tag; a pivot column over two tags adds both counts.

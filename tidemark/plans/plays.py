@@ -18,7 +18,7 @@ CITY_KEYS = ("date", "city_sn", "car_type")
 CONTENT_KEYS = (*CITY_KEYS, "contentid", "tag")
 
 
-def scan_counts(events: DataFrame, rules: Iterable[Rule], excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def scan_counts(events: DataFrame, rules: Iterable[Rule], excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """Scans per day and attributed campaign content."""
     scans = P.prod_events(events, excluded, start, end).filter(F.col("event") == "SCAN")
     return (
@@ -27,7 +27,7 @@ def scan_counts(events: DataFrame, rules: Iterable[Rule], excluded: DataFrame |
     )
 
 
-def play_counts(events: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def play_counts(events: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """In-trip plays per (date, content, tag): trips, plays, devices, play time.
 
     Plays count a recovered play only when it ended normally; devices and play
@@ -49,7 +49,7 @@ def play_counts(events: DataFrame, excluded: DataFrame | None, start: Day, end:
 
 
 def content_play_day(
-    events: DataFrame, rules: Iterable[Rule], excluded: DataFrame | None, start: Day, end: Day
+    events: DataFrame, rules: Iterable[Rule], excluded: P.Excluded, start: Day, end: Day
 ) -> DataFrame:
     """In-trip plays by (date, content, tag) with the scans of the content.
 
@@ -62,7 +62,7 @@ def content_play_day(
         F.coalesce("scan_cnt", F.lit(0)).alias("scan_cnt"), "play_time")
 
 
-def content_play_total(events: DataFrame, excluded: DataFrame | None, start: Day, end: Day,
+def content_play_total(events: DataFrame, excluded: P.Excluded, start: Day, end: Day,
                        history: Day = V.EVENT_HISTORY_START) -> DataFrame:
     """Devices, plays and play time per (content, tag) from history start to each day."""
     rows = P.prod_events(events, excluded, history, end).filter(P.counted_trip() & P.played(V.HISTORY_TAGS))
@@ -73,7 +73,7 @@ def content_play_total(events: DataFrame, excluded: DataFrame | None, start: Day
     ).withColumn("contentid", blank_to_zero(F.col("contentid"))).withColumnRenamed("p_date", "date")
 
 
-def scan_total(events: DataFrame, rules: Iterable[Rule], excluded: DataFrame | None, start: Day, end: Day,
+def scan_total(events: DataFrame, rules: Iterable[Rule], excluded: P.Excluded, start: Day, end: Day,
                history: Day = V.EVENT_HISTORY_START) -> DataFrame:
     """Scans per attributed content from history start to each day."""
     scans = P.prod_events(events, excluded, history, end).filter(F.col("event") == "SCAN")
@@ -102,7 +102,7 @@ def _ad_rollup(per_device: DataFrame, city: DataFrame, measures: list[str]) -> D
     return rolled.filter(F.col("play_cnt") > 0)
 
 
-def ad_play_day(events: DataFrame, city: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def ad_play_day(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """In-trip ad plays by (date, city, car, content, tag)."""
     rows = P.prod_events(events, excluded, start, end).filter(
         P.counted_trip() & P.is_ad() & P.play_timed(V.PLAY_TAGS))
@@ -110,7 +110,7 @@ def ad_play_day(events: DataFrame, city: DataFrame, excluded: DataFrame | None,
     return rolled.select(*CONTENT_KEYS, "play_dev_cnt", "play_trip_cnt", "play_cnt", "play_time")
 
 
-def ad_play_fulltime(events: DataFrame, city: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def ad_play_fulltime(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """Ad plays in and outside trips by (date, city, car, content, tag)."""
     rows = P.prod_events(events, excluded, start, end).filter(P.is_ad() & P.play_timed(V.FULLTIME_TAGS))
     per_device = (
@@ -134,7 +134,7 @@ def _ad_total(rows: DataFrame, city: DataFrame, start: Day, end: Day, distinct:
     return running(daily, [k for k in CONTENT_KEYS if k != "date"], measures, start, end, "date")
 
 
-def ad_play_total(events: DataFrame, city: DataFrame, excluded: DataFrame | None, start: Day, end: Day,
+def ad_play_total(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day,
                   history: Day = V.EVENT_HISTORY_START) -> DataFrame:
     """In-trip ad plays from history start to each day."""
     rows = P.prod_events(events, excluded, history, end).filter(
@@ -143,14 +143,14 @@ def ad_play_total(events: DataFrame, city: DataFrame, excluded: DataFrame | None
         "total_play_trip_cnt": F.col("traceid"), "total_play_dev_cnt": F.col("devicename")})
 
 
-def ad_play_fulltime_total(events: DataFrame, city: DataFrame, excluded: DataFrame | None, start: Day, end: Day,
+def ad_play_fulltime_total(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day,
                            history: Day = V.EVENT_HISTORY_START) -> DataFrame:
     """Ad plays in and outside trips from history start to each day."""
     rows = P.prod_events(events, excluded, history, end).filter(P.is_ad() & P.played(V.HISTORY_TAGS))
     return _ad_total(rows, city, start, end, {"total_play_dev_cnt": F.col("devicename")})
 
 
-def ad_plan_day(events: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def ad_plan_day(events: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """Devices, trips and plays by (date, ad number, tag), in and outside trips.
 
     The groups are those of the raw ad number; its label turns empty and NULL

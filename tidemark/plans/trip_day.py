@@ -22,7 +22,7 @@ def heartbeat_devices(heartbeat: DataFrame, dim: DataFrame, keys: tuple[str, ...
     return count_devices(shown, dim, keys, {"daily_heartbeat_dev_num": seen("heartbeat")})
 
 
-def trip_summary(events: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def trip_summary(events: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """Trips, seconds, ads, splashes and play time per device and day in trips."""
     days = device_days(P.prod_events(events, excluded, start, end))
     return days.filter(F.col("trip_cnt") > 0).select(
@@ -30,14 +30,14 @@ def trip_summary(events: DataFrame, excluded: DataFrame | None, start: Day, end:
         "show_video_start", "video_time")
 
 
-def on_road_devices(events: DataFrame, city: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def on_road_devices(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """Devices with a counted trip, by (date, city, car)."""
     rows = P.prod_events(events, excluded, start, end).filter(P.counted_trip())
     devices = rows.select(F.col("p_date").alias("date"), "devicename").distinct()
     return roll_up(devices, city, KEYS, count="daily_trip_dev_cnt")
 
 
-def points_of_day(events: DataFrame, snapshot: DataFrame, city: DataFrame, excluded: DataFrame | None, start: Day,
+def points_of_day(events: DataFrame, snapshot: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day,
                   end: Day) -> DataFrame:
     """Playing points by (date, city, car)."""
     days = with_points(device_days(P.prod_events(events, excluded, start, end)), snapshot, start, end)
@@ -45,7 +45,7 @@ def points_of_day(events: DataFrame, snapshot: DataFrame, city: DataFrame, exclu
     return roll_up(points, city, KEYS, count="daily_play_dev_cnt")
 
 
-def fulltime_streams(events: DataFrame, city: DataFrame, excluded: DataFrame | None, start: Day, end: Day) -> DataFrame:
+def fulltime_streams(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
     """Stream ads, screensaver ads and play time, in and outside trips."""
     days = device_days(P.prod_events(events, excluded, start, end)).withColumnRenamed("p_date", "date")
     return roll_up(days, city, KEYS, sums=["stream_ad_cnt_fulltime", "screensaver_ad_cnt_fulltime",
@@ -57,14 +57,14 @@ def _devices_so_far(rows: DataFrame, city: DataFrame, start: Day, end: Day, name
     return running(roll_up(devices, city, KEYS, count=name), ["city_sn", "car_type"], [name], start, end, "date")
 
 
-def points_total(events: DataFrame, city: DataFrame, excluded: DataFrame | None, start: Day, end: Day,
+def points_total(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day,
                  history: Day = V.EVENT_HISTORY_START) -> DataFrame:
     """Devices that ever showed a splash, up to each day."""
     rows = P.prod_events(events, excluded, history, end).filter(F.col("tag") == V.SPLASH)
     return _devices_so_far(rows, city, start, end, "total_play_dev_cnt")
 
 
-def on_road_total(events: DataFrame, city: DataFrame, excluded: DataFrame | None, start: Day, end: Day,
+def on_road_total(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day,
                   history: Day = V.EVENT_HISTORY_START) -> DataFrame:
     """Devices that ever had a counted trip, up to each day."""
     rows = P.prod_events(events, excluded, history, end).filter(P.counted_trip())

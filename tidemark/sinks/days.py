@@ -25,7 +25,11 @@ def _by_day(df: DataFrame, day: str) -> DataFrame:
 
 
 def append_days(df: DataFrame, path: str, day: str = "day") -> None:
-    _by_day(df, day).write.mode("append").partitionBy(day).parquet(path)
+    """Add rows; a table of days and nothing else is not partitioned."""
+    if df.columns == [day]:
+        df.coalesce(1).write.mode("append").parquet(path)
+    else:
+        _by_day(df, day).write.mode("append").partitionBy(day).parquet(path)
 
 
 def _files(spark: SparkSession, path: str, start: Day, end: Day, day: str) -> dict:
