@@ -16,6 +16,7 @@ from tidemark.operators import dims
 from tidemark.operators.frames import day_spine
 from tidemark.operators.trips import device_days
 from tidemark.plans import clicks, interaction, plays, retail, scale, trip_day
+from tidemark.sinks.days import read_or_empty
 from tidemark.sources import logs
 from tidemark.streaming.incremental import DayWindow, Report
 
@@ -59,8 +60,11 @@ def screen_reports(spark: SparkSession, t: ScreenTables, devices: dims.DeviceRul
         return scale.ScaleInputs(t.heartbeat, t.server_trips, t.client_trips, t.archived_trips, t.summary, t.abnormal,
                                  spark.read.parquet(f"{root}/calendar"))
 
-    def in_window(name: str, w: DayWindow) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}").filter(P.in_days(w.start, w.end, "date"))
+    def trips(w: DayWindow) -> DataFrame:
+        return trip_day.trip_day(days(w), t.snapshot, t.heartbeat, city, w.start, w.end)
+
+    def loaded_trips(w: DayWindow) -> DataFrame:
+        return read_or_empty(trips(w), f"{root}/trip_day").filter(P.in_days(w.start, w.end, "date"))
 
     def report(name, build, day="date", **kw):
         return Report(name, build, day, default=first_mark, **kw)
@@ -70,7 +74,7 @@ def screen_reports(spark: SparkSession, t: ScreenTables, devices: dims.DeviceRul
         report("ad_play_day", lambda w: plays.ad_play_day(t.events, city, t.excluded, w.start, w.end)),
         report("ad_play_fulltime", lambda w: plays.ad_play_fulltime(t.events, city, t.excluded, w.start, w.end)),
         report("ad_plan_day", lambda w: plays.ad_plan_day(t.events, t.excluded, w.start, w.end)),
-        report("trip_day", lambda w: trip_day.trip_day(days(w), t.snapshot, t.heartbeat, city, w.start, w.end)),
+        report("trip_day", trips),
         report("tab_click", lambda w: clicks.tab_clicks(t.events, city, t.excluded, w.start, w.end)),
         report("video_click", lambda w: clicks.video_clicks(t.events, t.excluded, w.start, w.end)),
         report("scan_extract", lambda w: clicks.scan_extract(t.events, t.excluded, w.start, w.end)),
@@ -81,7 +85,7 @@ def screen_reports(spark: SparkSession, t: ScreenTables, devices: dims.DeviceRul
         Report("content_interaction", lambda w: interaction.content_interaction(t.events, t.excluded, w.start),
                mode="refresh"),
         report("calendar", lambda w: day_spine(spark, w.start, w.end), day="day", mode="append"),
-        report("device_scale", lambda w: scale.device_scale(inputs(), bound, in_window("trip_day", w), w.start, w.end),
+        report("device_scale", lambda w: scale.device_scale(inputs(), bound, loaded_trips(w), w.start, w.end),
                day="day", after=("calendar", "trip_day")),
         report("agent_day", lambda w: scale.agent_day(inputs(), days(w), bound_agents, agents, w.start, w.end),
                day="day", after=("calendar",)),
@@ -119,26 +123,31 @@ def retail_reports(spark: SparkSession, t: RetailTables, root: str, first_mark:
     def dated(df: DataFrame) -> DataFrame:
         return df.withColumn("day", as_day(F.col("add_time")))
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}")
+    def order_lines(w: DayWindow) -> DataFrame:
+        return dated(retail.order_lines(t.lines, drivers, t.user_tag, t.sku, t.sku_goods, w.start, w.end))
+
+    def order_facts(w: DayWindow) -> DataFrame:
+        loaded = read_or_empty(order_lines(w), f"{root}/order_lines")
+        return dated(retail.order_facts(t.orders, drivers, t.user_tag, loaded, w.start, w.end))
+
+    def scan_log(w: DayWindow) -> DataFrame:
+        return dated(logs.scan_log(logs.parse_scan_lines(t.log_lines))).filter(P.in_days(w.start, w.end, "day"))
 
     def scorecard(w: DayWindow) -> DataFrame:
-        in_window = P.in_days(w.start, w.end, "day")
+        facts, scans = [
+            read_or_empty(build(w), f"{root}/{name}").filter(P.in_days(w.start, w.end, "day")).drop("day")
+            for name, build in (("order_facts", order_facts), ("scan_log", scan_log))]
         return retail.scorecard(retail.ScorecardInputs(
-            t.company, t.driver, t.driver_info, t.driver_tag, t.driver_shelf, t.city, t.orders,
-            table("order_facts").filter(in_window).drop("day"), table("scan_log").filter(in_window).drop("day"),
+            t.company, t.driver, t.driver_info, t.driver_tag, t.driver_shelf, t.city, t.orders, facts, scans,
             t.replenishment, t.estimate), w.start, w.end)
 
     def report(name, build, **kw):
         return Report(name, build, default=first_mark, **kw)
 
     return [
-        report("order_lines", lambda w: dated(retail.order_lines(
-            t.lines, drivers, t.user_tag, t.sku, t.sku_goods, w.start, w.end))),
-        report("order_facts", lambda w: dated(retail.order_facts(
-            t.orders, drivers, t.user_tag, table("order_lines"), w.start, w.end)), after=("order_lines",)),
+        report("order_lines", order_lines),
+        report("order_facts", order_facts, after=("order_lines",)),
         report("order_comments", lambda w: dated(retail.order_comments(t.comments, t.comment_tags, w.start, w.end))),
-        report("scan_log", lambda w: dated(logs.scan_log(logs.parse_scan_lines(t.log_lines))).filter(
-            P.in_days(w.start, w.end, "day"))),
+        report("scan_log", scan_log),
         report("scorecard", scorecard, after=("order_facts", "scan_log")),
     ]

@@ -19,6 +19,12 @@ def read_report(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def read_or_empty(like: DataFrame, path: str) -> DataFrame:
+    """A report table, or no rows of the same shape when none were ever written."""
+    table = read_report(like.sparkSession, path)
+    return like.sparkSession.createDataFrame([], like.schema) if table is None else table
+
+
 def _by_day(df: DataFrame, day: str) -> DataFrame:
     # Rebalancing writes few files per day and still splits a day that is too big for one task.
     return df.hint("rebalance", F.col(day))
