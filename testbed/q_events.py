@@ -145,33 +145,34 @@ def _(t):
 
 # --- trip report ------------------------------------------------------------------
 
-TRIP_SUMMARY = """SELECT devicename, p_date AS date, COUNT(1) AS trip_cnt, SUM(inter) AS trip_time, SUM(ad_cnt) AS ad_cnt,
-  SUM(show_video_start) AS show_video_start, SUM(video_time) AS video_time FROM
-  (SELECT devicename, traceid, p_date, (MAX(time_stamp) - MIN(time_stamp)) / 1000 AS inter,
-    SUM(CASE WHEN ({ad} AND adsn <> '') OR tag = 'splash_show_begin' THEN 1 ELSE 0 END) AS ad_cnt,
-    SUM(CASE WHEN tag = 'splash_show_begin' THEN 1 ELSE 0 END) AS show_video_start,
-    SUM(CASE WHEN tag = 'SCREEN_OTHER_RECOVER_END' THEN playtime ELSE 0 END) AS video_time
-   FROM ev WHERE {trip} AND {v} GROUP BY devicename, traceid, p_date) a GROUP BY devicename, p_date"""
+# One row per trip (device, trip id, day), then one per device and day.
+TRIP_SUMMARY = """SELECT devicename, p_date AS date, COUNT(*) AS trip_cnt, SUM(ms / 1000) AS trip_time, SUM(ads + splashes) AS ad_cnt,
+  SUM(splashes) AS show_video_start, SUM(played) AS video_time
+FROM (SELECT devicename, p_date, traceid, MAX(time_stamp) - MIN(time_stamp) AS ms, COUNT(*) FILTER ({ad} AND adsn <> '') AS ads,
+        COUNT(*) FILTER (tag = 'splash_show_begin') AS splashes, SUM(playtime) FILTER (tag = 'SCREEN_OTHER_RECOVER_END') AS played
+      FROM ev WHERE {trip} AND {v} GROUP BY ALL) trips
+GROUP BY ALL"""
 BEGIN_SUMMARY = TRIP_SUMMARY.format(ad="tag = 'SCREEN_OTHER_CONTENT_BEGIN'", trip=TRIP, v=V179)
 ENDED_SUMMARY = TRIP_SUMMARY.format(ad=ENDED, trip=TRIP, v=V179)
 ON_ROAD = f"""SELECT date, city_sn, car_type, COUNT(devicename) AS daily_trip_dev_cnt FROM
   (SELECT DISTINCT p_date AS date, devicename FROM ev WHERE {TRIP} AND {V179}) x
   JOIN dim ON x.devicename = dim.third_code WHERE city_sn IS NOT NULL AND car_type IS NOT NULL GROUP BY 1, 2, 3"""
-POINTS = f"""SELECT date, city_sn, car_type, COUNT(devicename) AS daily_play_dev_cnt FROM
-  (SELECT DISTINCT a.p_date AS date, a.devicename FROM ev a JOIN device_snapshot b ON a.devicename = b.devicename
-   WHERE ((a.tag IN ('splash_show_begin', 'SCREEN_OTHER_CONTENT_BEGIN') AND {TRIP})
-     OR (a.tag IN ('screensaver_ad_begin', 'SCREEN_OTHER_CONTENT_BEGIN') AND b.city_sn = 310100))
-     AND b.p_date BETWEEN DATE '{START}' AND DATE '{END}') x
-  JOIN dim ON x.devicename = dim.third_code WHERE city_sn IS NOT NULL AND car_type IS NOT NULL GROUP BY 1, 2, 3"""
+# Devices of the snapshot, with whether any of its days puts them in the special city.
+POINTS = f"""SELECT p_date AS date, city_sn, car_type, COUNT(*) AS daily_play_dev_cnt
+FROM (SELECT e.p_date, e.devicename FROM ev e
+      JOIN (SELECT devicename, BOOL_OR(city_sn = 310100) AS special FROM device_snapshot GROUP BY devicename) listed USING (devicename)
+      GROUP BY ALL HAVING BOOL_OR(tag IN ('splash_show_begin', 'SCREEN_OTHER_CONTENT_BEGIN') AND {TRIP})
+        OR BOOL_OR(special AND tag IN ('screensaver_ad_begin', 'SCREEN_OTHER_CONTENT_BEGIN'))) points
+JOIN dim ON devicename = third_code WHERE city_sn IS NOT NULL AND car_type IS NOT NULL GROUP BY ALL"""
 BEATS = f"""SELECT a.day AS date, city_sn, car_type, COUNT(DISTINCT a.sn) AS daily_heartbeat_dev_num FROM
   (SELECT DISTINCT sn, day FROM heartbeat_day WHERE day BETWEEN DATE '{START}' AND DATE '{END}') a
   JOIN dim ON a.sn = dim.third_code GROUP BY 1, 2, 3"""
-STREAMS = """SELECT date, city_sn, car_type, CAST(SUM(s) AS BIGINT) AS stream_ad_cnt_fulltime,
-  CAST(SUM(v) AS BIGINT) AS screensaver_ad_cnt_fulltime, COALESCE(SUM(pt), 0) AS video_time_fulltime FROM
-  (SELECT devicename, p_date AS date, SUM(CASE WHEN tag = 'SCREEN_OTHER_CONTENT_BEGIN' AND adsn <> '' THEN 1 ELSE 0 END) AS s,
-     SUM(CASE WHEN tag = 'screensaver_ad_begin' THEN 1 ELSE 0 END) AS v,
-     SUM(CASE WHEN tag = 'SCREEN_OTHER_RECOVER_END' THEN playtime ELSE 0 END) AS pt FROM ev GROUP BY devicename, p_date) x
-  JOIN dim ON x.devicename = dim.third_code WHERE city_sn IS NOT NULL AND car_type IS NOT NULL GROUP BY 1, 2, 3"""
+# A roll-up of sums is the sum over all events of the matched devices.
+STREAMS = """SELECT p_date AS date, city_sn, car_type,
+  COUNT(*) FILTER (tag = 'SCREEN_OTHER_CONTENT_BEGIN' AND adsn <> '') AS stream_ad_cnt_fulltime,
+  COUNT(*) FILTER (tag = 'screensaver_ad_begin') AS screensaver_ad_cnt_fulltime,
+  COALESCE(SUM(playtime) FILTER (tag = 'SCREEN_OTHER_RECOVER_END'), 0) AS video_time_fulltime
+FROM ev JOIN dim ON devicename = third_code WHERE city_sn IS NOT NULL AND car_type IS NOT NULL GROUP BY ALL"""
 SUMMED = f"""SELECT date, city_sn, car_type, CAST(SUM(trip_cnt) AS BIGINT) AS trip_cnt, COALESCE(SUM(trip_time), 0) AS trip_time_sum,
   CAST(SUM(ad_cnt) AS BIGINT) AS ad_cnt, CAST(SUM(show_video_start) AS BIGINT) AS show_video_start,
   COALESCE(SUM(video_time), 0) AS video_time FROM ({BEGIN_SUMMARY}) x JOIN dim ON x.devicename = dim.third_code
@@ -320,6 +321,9 @@ TRIP_METRICS = {
 }
 PAIR = f"{TRIP} AND {V179} AND contentid IS NOT NULL AND contentid <> '' AND (adsn = '' OR adsn IS NULL)"
 
+PLAYED = "COUNT(DISTINCT traceid || contentid) FILTER (tag = 'SCREEN_OTHER_CONTENT_BEGIN')"
+INTERACTED = f"COUNT(DISTINCT traceid || contentid) FILTER (event IN ('CLICK','SLIDE') AND tag NOT IN ({N7}))"
+
 
 def _per_day(metrics: dict[str, str], counted: str, extra: str = "", source: str = "ev") -> str:
     """LEFT JOINs of one subquery per metric onto the day span."""
@@ -333,12 +337,8 @@ SELECT s.day AS date, {', '.join(f'COALESCE({m}, 0) AS {m}' for m in TRIP_METRIC
   COALESCE(daily_play_trip_content_cnt, 0) AS daily_play_trip_content_cnt,
   COALESCE(inter_trip_content_cnt, 0) AS inter_trip_content_cnt
 FROM span s {_per_day(TRIP_METRICS, 'COUNT(DISTINCT traceid)')}
-LEFT JOIN (SELECT a.p_date, a.daily_play_trip_content_cnt, b.inter_trip_content_cnt FROM
-   (SELECT p_date, COUNT(DISTINCT CONCAT(traceid, contentid)) AS daily_play_trip_content_cnt FROM ev
-    WHERE {PAIR} AND tag = 'SCREEN_OTHER_CONTENT_BEGIN' GROUP BY p_date) a
-   LEFT JOIN (SELECT p_date, COUNT(DISTINCT CONCAT(traceid, contentid)) AS inter_trip_content_cnt FROM ev
-    WHERE {PAIR} AND event IN ('CLICK','SLIDE') AND tag NOT IN ({N7}) GROUP BY p_date) b ON a.p_date = b.p_date) c
-  ON s.day = c.p_date""")
+LEFT JOIN (SELECT p_date, {PLAYED} AS daily_play_trip_content_cnt, CASE WHEN {PLAYED} > 0 THEN {INTERACTED} ELSE 0 END AS inter_trip_content_cnt
+   FROM ev WHERE {PAIR} GROUP BY p_date) pairs ON s.day = pairs.p_date""")
 def _(t):
     return interaction.interaction_day(t.screen_event, t.excluded, START, END)
 
@@ -398,26 +398,24 @@ WEEK = f"""{TRIP} AND contentid IS NOT NULL AND contentid <> '' AND adsn = ''
   AND p_date BETWEEN DATE '{TODAY}' - 7 AND DATE '{TODAY}' - 1"""
 CLICKED = f"event IN ('CLICK','SLIDE') AND tag NOT IN ({N6})"
 PIVOT = {
-    "screen_click_trip_cnt": "c.tag IN ('SCREEN_CLICK_SCREEN','screen_click')",
-    "recommend_swith_trip_cnt": "c.tag = 'video_recommend_swith'",
-    "click_speaker_button_trip_cnt": "c.tag = 'SCREEN_CLICK_SPEAKER_BUTTON'",
-    "volume_change_trip_cnt": "c.tag = 'SCREEN_OTHER_VOLUME_CHANGE'",
-    "recommend_click_trip_cnt": "c.tag = 'video_recommend_click'",
-    "recommend_change_trip_cnt": "c.tag = 'video_recommend_change'",
-    "progress_change_trip_cnt": "c.tag = 'video_progress_change'",
-    "pause_click_trip_cnt": "c.tag = 'video_pause_click'", "start_click_trip_cnt": "c.tag = 'video_start_click'",
+    "screen_click_trip_cnt": ("SCREEN_CLICK_SCREEN", "screen_click"), "recommend_swith_trip_cnt": ("video_recommend_swith",),
+    "click_speaker_button_trip_cnt": ("SCREEN_CLICK_SPEAKER_BUTTON",), "volume_change_trip_cnt": ("SCREEN_OTHER_VOLUME_CHANGE",),
+    "recommend_click_trip_cnt": ("video_recommend_click",), "recommend_change_trip_cnt": ("video_recommend_change",),
+    "progress_change_trip_cnt": ("video_progress_change",), "pause_click_trip_cnt": ("video_pause_click",),
+    "start_click_trip_cnt": ("video_start_click",),
 }
 
 
+def _trips(where: str) -> str:
+    return f"COUNT(DISTINCT traceid) FILTER ({where})"
+
+
+_PIVOTED = ", ".join(
+    " + ".join(_trips(f"{CLICKED} AND tag = '{tag}'") for tag in tags) + f" AS {m}" for m, tags in PIVOT.items())
+
+
 @query("r11_content_interaction", f"""
-SELECT a.contentid, MIN(a.play_trip_cnt) AS play_trip_cnt, COALESCE(MIN(b.total_inter_trip_cnt), 0) AS total_inter_trip_cnt,
-  {', '.join(f'CAST(SUM(CASE WHEN {w} THEN n ELSE 0 END) AS BIGINT) AS {m}' for m, w in PIVOT.items())}
-FROM (SELECT contentid, COUNT(DISTINCT traceid) AS play_trip_cnt FROM ev
-      WHERE {WEEK} AND tag = 'SCREEN_OTHER_CONTENT_BEGIN' GROUP BY contentid) a
-LEFT JOIN (SELECT contentid, COUNT(DISTINCT traceid) AS total_inter_trip_cnt FROM ev WHERE {WEEK} AND {CLICKED}
-      GROUP BY contentid) b ON a.contentid = b.contentid
-LEFT JOIN (SELECT contentid, tag, COUNT(DISTINCT traceid) AS n FROM ev WHERE {WEEK} AND {CLICKED}
-      GROUP BY contentid, tag) c ON a.contentid = c.contentid
-GROUP BY a.contentid""")
+SELECT contentid, {_trips("tag = 'SCREEN_OTHER_CONTENT_BEGIN'")} AS play_trip_cnt, {_trips(CLICKED)} AS total_inter_trip_cnt, {_PIVOTED}
+FROM ev WHERE {WEEK} GROUP BY contentid HAVING play_trip_cnt > 0""")
 def _(t):
     return interaction.content_interaction(t.screen_event, t.excluded, TODAY)

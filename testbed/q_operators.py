@@ -323,7 +323,7 @@ def screen_run(t):
 
 
 # The run's own calendar holds every day of the window.
-@query("i4_scale_after_trip_day", R13_SQL.replace("FROM calendar a", "FROM span a"))
+@query("i4_scale_after_trip_day", R13_SQL.replace("calendar a", "span a"))
 def _(t):
     root = scratch(t, "screen")
     reports = daily.screen_reports(t.spark, screen_run(t), RULES, CAMPAIGN_RULES, root, D("2023-12-31"))

@@ -38,19 +38,16 @@ WHERE a.day >= DATE '2019-08-12' AND a.day BETWEEN DATE '{START}' AND DATE '{END
 
 
 def trips_total(keys, dim: str = "dim") -> str:
-    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(DISTINCT b.device_name) AS total_trip_dev_num FROM calendar a JOIN
-  (SELECT x.day, x.device_name, {_k(keys, 'd.')} FROM
-    (SELECT DISTINCT device_name, CAST(add_time AS DATE) AS day FROM trip_all) x
-    JOIN {dim} d ON x.device_name = d.third_code GROUP BY ALL) b ON a.day >= b.day GROUP BY a.day, {_k(keys, 'b.')}"""
+    return f"""SELECT a.day, {_k(keys, 'g.')}, COUNT(DISTINCT device_name) AS total_trip_dev_num
+FROM trip_all JOIN {dim} g ON device_name = third_code JOIN calendar a ON CAST(add_time AS DATE) <= a.day GROUP BY ALL"""
 
 
 ONE_AGENT = "(SELECT third_code, MIN(parent_id) AS parent_id FROM dim GROUP BY third_code)"
 
 
 def beats_total(keys) -> str:
-    return f"""SELECT s.day, {_k(keys, 'b.')}, COUNT(DISTINCT a.sn) AS total_heartbeat_dev_num FROM span s
-JOIN (SELECT DISTINCT sn, day FROM heartbeat_day) a ON a.day <= s.day
-JOIN dim b ON a.sn = b.third_code AND b.bind_day <= s.day GROUP BY s.day, {_k(keys, 'b.')}"""
+    return f"""SELECT s.day, {_k(keys, 'g.')}, COUNT(DISTINCT sn) AS total_heartbeat_dev_num
+FROM heartbeat_day h JOIN dim g ON sn = third_code JOIN span s ON GREATEST(h.day, bind_day) <= s.day GROUP BY ALL"""
 
 
 def normal(keys) -> str:
@@ -60,34 +57,35 @@ WHERE NOT EXISTS (SELECT 1 FROM abnormal_device x WHERE x.day = s.day AND (x.dev
 GROUP BY s.day, {_k(keys, 'b.')}"""
 
 
+def _same_day(keys, pairs: str, name: str) -> str:
+    """Distinct devices of (device, day) pairs per day and group."""
+    return f"""SELECT p.day, {_k(keys, 'g.')}, COUNT(DISTINCT p.device) AS {name} FROM ({pairs}) p
+JOIN dim g ON p.device = g.third_code GROUP BY ALL"""
+
+
+_LIVE = "SELECT device_name AS device, CAST(add_time AS DATE) AS day FROM {0}"
+_BEAT = "SELECT sn AS device, day FROM heartbeat_day"
+
+
 def trip_devices(keys) -> str:
-    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(DISTINCT device_name) AS daily_trip_dev_num FROM
-(SELECT DISTINCT device_name, CAST(add_time AS DATE) AS day FROM trip_live) a JOIN dim b ON a.device_name = b.third_code
-GROUP BY a.day, {_k(keys, 'b.')}"""
+    return _same_day(keys, _LIVE.format("trip_live"), "daily_trip_dev_num")
 
 
 def online(keys) -> str:
-    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(DISTINCT sn) AS daily_online_dev_num FROM heartbeat_day a
-JOIN dim b ON a.sn = b.third_code
-WHERE (a.sn, a.day) IN (SELECT (device_name, CAST(add_time AS DATE)) FROM trip_live) GROUP BY a.day, {_k(keys, 'b.')}"""
+    return _same_day(keys, f"{_BEAT} INTERSECT {_LIVE.format('trip_live')}", "daily_online_dev_num")
 
 
 def splash(keys) -> str:
-    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(DISTINCT a.sn) AS daily_play_dev_num
-FROM (SELECT * FROM sensor_summary WHERE tag = 'splash_show_begin') a JOIN dim b ON a.sn = b.third_code
-GROUP BY a.day, {_k(keys, 'b.')}"""
+    shown = "SELECT sn AS device, day FROM sensor_summary WHERE tag = 'splash_show_begin'"
+    return _same_day(keys, shown, "daily_play_dev_num")
 
 
 def online_by(keys, table: str, name: str) -> str:
-    return f"""SELECT a.day, {_k(keys, 'c.')}, COUNT(DISTINCT a.device_name) AS {name}
-FROM (SELECT DISTINCT device_name, CAST(add_time AS DATE) AS day FROM {table}) a
-JOIN (SELECT DISTINCT sn, day FROM heartbeat_day) b ON a.device_name = b.sn AND a.day = b.day
-JOIN dim c ON a.device_name = c.third_code GROUP BY a.day, {_k(keys, 'c.')}"""
+    return _same_day(keys, f"{_BEAT} INTERSECT {_LIVE.format(table)}", name)
 
 
 def beats(keys) -> str:
-    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(DISTINCT a.sn) AS daily_heartbeat_dev_num
-FROM (SELECT DISTINCT sn, day FROM heartbeat_day) a JOIN dim b ON a.sn = b.third_code GROUP BY a.day, {_k(keys, 'b.')}"""
+    return _same_day(keys, _BEAT, "daily_heartbeat_dev_num")
 
 
 @query("r12_calendar_extension", f"""
@@ -172,11 +170,9 @@ AGENT_TRIPS = f"""SELECT date AS day, parent_id, CAST(SUM(trip_cnt) AS BIGINT) A
   ROUND(COALESCE(SUM(trip_time), 0), 3) AS trip_time_total, CAST(SUM(ad_cnt) AS BIGINT) AS ad_cnt,
   CAST(SUM(show_video_start) AS BIGINT) AS show_video_start, ROUND(COALESCE(SUM(video_time), 0), 3) AS video_time
 FROM ({ENDED_SUMMARY}) x JOIN agent_dim d ON x.devicename = d.third_code WHERE parent_id IS NOT NULL GROUP BY 1, 2"""
-AGENT_STREAMS = f"""SELECT date AS day, parent_id, CAST(SUM(s) AS BIGINT) AS stream_ad_cnt_fulltime,
-  ROUND(COALESCE(SUM(pt), 0), 3) AS video_time_fulltime FROM
-  (SELECT devicename, p_date AS date, SUM(CASE WHEN {ENDED} AND adsn <> '' THEN 1 ELSE 0 END) AS s,
-     SUM(CASE WHEN tag = 'SCREEN_OTHER_RECOVER_END' THEN playtime ELSE 0 END) AS pt FROM ev GROUP BY devicename, p_date) x
-  JOIN agent_dim d ON x.devicename = d.third_code WHERE parent_id IS NOT NULL GROUP BY 1, 2"""
+AGENT_STREAMS = f"""SELECT p_date AS day, parent_id, COUNT(*) FILTER ({ENDED} AND adsn <> '') AS stream_ad_cnt_fulltime,
+  ROUND(COALESCE(SUM(playtime) FILTER (tag = 'SCREEN_OTHER_RECOVER_END'), 0), 3) AS video_time_fulltime
+FROM ev JOIN agent_dim ON devicename = third_code WHERE parent_id IS NOT NULL GROUP BY ALL"""
 AGENT_BASE = f"""SELECT a.day, a.parent_id, a.total_dev_num, f.total_trip_dev_num FROM ({bound_total(A1)}) a
   LEFT JOIN ({trips_total(A1, ONE_AGENT)}) f ON a.day = f.day AND a.parent_id = f.parent_id"""
 

@@ -12,7 +12,7 @@ from tidemark.operators.dims import DeviceRules
 from tidemark.operators.flags import Where, distinct_counts, row_counts
 from tidemark.operators.frames import align, day_spine
 
-# Tags clicked on a video page, each a metric "<tag>_trip_cnt".
+# Tags clicked on a video page, each a metric "<tag>_trip_cnt".
 VIDEO_PAGE_TAGS = (
     "video_progress_change", "hide_detail", "click_video_detail", "channel_click", "video_zoomin", "video_zoomout",
     "video_banner_click", "video_recommend_swith", "video_recommend_change",
@@ -161,6 +161,7 @@ def taxi_interaction_day(events: DataFrame, heartbeat: DataFrame, taxi: DataFram
     return spine.join(aligned, "date", "left").select("date", *columns).fillna(0, subset=columns)
 
 
+# Pivot column and the tags it adds up.
 CONTENT_PIVOT = {
     "screen_click_trip_cnt": ("SCREEN_CLICK_SCREEN", "screen_click"),
     "recommend_swith_trip_cnt": ("video_recommend_swith",),
