@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from testbed import q_retail  # noqa: F401  registers the scan_log view used below
 from testbed.q_events import ENDED_SUMMARY, LABEL, PAIR, BEGIN_SUMMARY, agents, city, days
 from testbed.q_scale import R13_SQL, agent_bindings, bindings, inputs
 from testbed.registry import plain, query

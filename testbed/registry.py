@@ -64,6 +64,8 @@ def with_ctes(sql: str) -> str:
     # views use each other at most one level deep, base ones first
     ordered = [v for v in VIEWS if v in views]
     parts = [f"{n} AS MATERIALIZED ({q})" for n, q in ctes] + [f"{v} AS ({VIEWS[v]})" for v in ordered]
+    if not parts:
+        return sql
     return (f"WITH {', '.join(parts)} {sql}" if not sql.lstrip().upper().startswith("WITH ")
             else f"WITH {', '.join(parts)}, {sql.lstrip()[5:]}")
 

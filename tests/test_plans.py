@@ -19,7 +19,7 @@ def scans(text: str, table: str) -> list[str]:
     return [line for line in text.splitlines() if "FileScan" in line and f"/{table}" in line]
 
 
-WRITES = ("s7_", "k1_", "k2_", "k3_", "s8_", "i1_")
+WRITES = ("s7_", "k1_", "k2_", "k3_", "s8_", "i1_", "i4_")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in all_queries() if not n.startswith(WRITES)))
