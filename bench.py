@@ -13,6 +13,7 @@ import json
 import os
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -68,7 +69,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     registry = all_queries()
     t0 = time.perf_counter()
-    tables = prepare(spark, sf_dir, f"{shared_dir(spark)}/tables")
+    tables = prepare(spark, sf_dir, f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}/tables")
     run(registry["r8_scan_extract"].build(tables))  # start-up is not part of any query
     prepared = round(time.perf_counter() - t0, 3)
     queries = {name: timed(lambda: registry[name].build(tables)) for name in HEADLINE}

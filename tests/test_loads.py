@@ -35,6 +35,16 @@ def test_replacing_days(spark, tmp_path):
         assert rows(spark, path) == [(D(2024, 1, 1), 1), (D(2024, 1, 3), 30)]
 
 
+def test_files_are_sorted(spark, tmp_path):
+    rows = [(D(2024, 1, 1), n) for n in (5, 3, 9, 1)]
+    sink.append_days(spark.createDataFrame(rows, "day date, n int"), str(tmp_path / "t"), sort=("n",))
+    got = spark.read.parquet(str(tmp_path / "t")).select("n", F.col("_metadata.file_path").alias("f")).collect()
+    by_file = {}
+    for r in got:
+        by_file.setdefault(r.f, []).append(r.n)
+    assert all(v == sorted(v) for v in by_file.values()) and len(got) == 4
+
+
 def test_two_windows_equal_one(spark, tmp_path):
     data = frame(spark, *[(d, d) for d in range(1, 11)])
     report = Report("r", lambda w: data.filter(F.col("day").between(F.lit(w.start), F.lit(w.end))), default=D(2023, 12, 31))

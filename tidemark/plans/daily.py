@@ -74,7 +74,7 @@ def screen_reports(spark: SparkSession, t: ScreenTables, devices: dims.DeviceRul
         report("ad_play_day", lambda w: plays.ad_play_day(t.events, city, t.excluded, w.start, w.end)),
         report("ad_play_fulltime", lambda w: plays.ad_play_fulltime(t.events, city, t.excluded, w.start, w.end)),
         report("ad_plan_day", lambda w: plays.ad_plan_day(t.events, t.excluded, w.start, w.end)),
-        report("trip_day", trips),
+        report("trip_day", trips, sort=scale.CITY),
         report("tab_click", lambda w: clicks.tab_clicks(t.events, city, t.excluded, w.start, w.end)),
         report("video_click", lambda w: clicks.video_clicks(t.events, t.excluded, w.start, w.end)),
         report("scan_extract", lambda w: clicks.scan_extract(t.events, t.excluded, w.start, w.end)),
@@ -86,7 +86,7 @@ def screen_reports(spark: SparkSession, t: ScreenTables, devices: dims.DeviceRul
                mode="refresh"),
         report("calendar", lambda w: day_spine(spark, w.start, w.end), day="day", mode="append"),
         report("device_scale", lambda w: scale.device_scale(inputs(), bound, loaded_trips(w), w.start, w.end),
-               day="day", after=("calendar", "trip_day")),
+               day="day", after=("calendar", "trip_day"), sort=scale.CITY),
         report("agent_day", lambda w: scale.agent_day(inputs(), days(w), bound_agents, agents, w.start, w.end),
                day="day", after=("calendar",)),
     ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,17 +27,18 @@ def read_or_empty(like: DataFrame, path: str) -> DataFrame:
     return like.sparkSession.createDataFrame([], like.schema) if table is None else table
 
 
-def _by_day(df: DataFrame, day: str) -> DataFrame:
+def _by_day(df: DataFrame, day: str, sort: Sequence[str] = ()) -> DataFrame:
     # Rebalancing writes few files per day and still splits a day that is too big for one task.
-    return df.hint("rebalance", F.col(day))
+    # Rows are sorted within a file only, so no total order has to be shuffled for.
+    return df.hint("rebalance", F.col(day)).sortWithinPartitions(day, *sort)
 
 
-def append_days(df: DataFrame, path: str, day: str = "day") -> None:
+def append_days(df: DataFrame, path: str, day: str = "day", sort: Sequence[str] = ()) -> None:
     """Add rows; a table of days and nothing else is not partitioned."""
     if df.columns == [day]:
         df.coalesce(1).write.mode("append").parquet(path)
     else:
-        _by_day(df, day).write.mode("append").partitionBy(day).parquet(path)
+        _by_day(df, day, sort).write.mode("append").partitionBy(day).parquet(path)
 
 
 def _files(spark: SparkSession, path: str, start: Day, end: Day, day: str) -> dict:
@@ -48,7 +51,7 @@ def _files(spark: SparkSession, path: str, start: Day, end: Day, day: str) -> di
     return {r[0]: r[1] for r in rows.groupBy(day).agg(F.max("_metadata.file_path")).collect()}
 
 
-def replace_days(df: DataFrame, path: str, start: Day, end: Day, day: str = "day") -> None:
+def replace_days(df: DataFrame, path: str, start: Day, end: Day, day: str = "day", sort: Sequence[str] = ()) -> None:
     """Make the days [start, end] of the table hold exactly the rows of ``df``.
 
     Running it again gives the same table.  A day that had rows and has none any
@@ -57,7 +60,7 @@ def replace_days(df: DataFrame, path: str, start: Day, end: Day, day: str = "day
     spark = df.sparkSession
     rows = df.filter(F.col(day).between(day_lit(start), day_lit(end)))
     before = _files(spark, path, start, end, day)
-    (_by_day(rows, day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_by_day(rows, day, sort).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day).parquet(path))
     after = _files(spark, path, start, end, day) if before else {}
     for d in [d for d, name in before.items() if after.get(d) == name]:

@@ -45,6 +45,7 @@ class Report:
     mode: str = "replace"  # replace | append | refresh
     default: dt.date | None = None
     after: tuple[str, ...] = field(default=())
+    sort: tuple[str, ...] = field(default=())
 
 
 def load(spark: SparkSession, report: Report, path: str, today: dt.date) -> DayWindow:
@@ -61,9 +62,9 @@ def load(spark: SparkSession, report: Report, path: str, today: dt.date) -> DayW
     if report.name in LAYOUTS:
         rows = to_layout(rows, report.name)
     if report.mode == "append":
-        append_days(rows, path, report.day)
+        append_days(rows, path, report.day, report.sort)
     else:
-        replace_days(rows, path, window.start, window.end, report.day)
+        replace_days(rows, path, window.start, window.end, report.day, report.sort)
     return window
 
 
