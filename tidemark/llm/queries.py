@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
 from tidemark.llm.mixing import mix
+from tidemark.llm.secrets import listed, scan, with_spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +26,22 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows = with_spans(docs, scan(docs))
+
+    def kind(k: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return rows.select("doc_id", kind(0).alias("n_assign"), kind(1).alias("n_access"), kind(2).alias("n_hex"),
+                       F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
+    "op9_secrets": op9_secrets,
 }
 
 ORACLES: dict[str, str] = {}
