@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -13,6 +14,24 @@ SPACE = r"[\x20\x09-\x0D]"
 SPACES = SPACE + "+"
 SPACE_CHARS = "".join(map(chr, [0x20, *range(0x09, 0x0E)]))
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def in_tasks(function, **params):
+    """``function(batches, **params)`` for ``mapInArrow`` and its kin.  Tasks import it by name, so what its module keeps
+    (a tokenizer, a cache) serves all tasks of a worker; the package is found there or where the driver has it."""
+    module, name, root = function.__module__, function.__name__, ROOT
+
+    def run(batches):
+        import importlib
+        import sys
+
+        if root not in sys.path:
+            sys.path.append(root)
+        return getattr(importlib.import_module(module), name)(batches, **params)
+
+    return run
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared folder.  A session that names none, as in tests on one machine, gets one and keeps it."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
 from tidemark.llm.mixing import mix
+from tidemark.llm.packing import pack
 from tidemark.llm.secrets import listed, scan, with_spans
 
 
@@ -16,6 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge(docs).select("doc_id", *FIGURES, "base_failed", "kept")
@@ -39,6 +48,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
     "op9_secrets": op9_secrets,
