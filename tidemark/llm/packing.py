@@ -28,8 +28,9 @@ from tidemark.llm.common import col, in_tasks, stored
 LENGTH = 2048
 END_ID = 1
 DIMS, BITS = 4, 15
-#: White space as tokenizers see it (Unicode White_Space); words between are tokenized on their own.
-BLANK = re.compile("[\t-\r \x85\xa0  -     　]+")
+#: Code points of white space as tokenizers see it (Unicode White_Space); words between are tokenized alone.
+BLANKS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+BLANK = re.compile("[" + "".join(map(chr, BLANKS)) + "]+")
 #: Words of at most so many letters are kept with their ids, and so many of them, in a worker.
 LONG_WORD, MANY_WORDS = 40, 600_000
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
+from tidemark.llm import line_crf
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.secrets import listed, scan, with_spans
@@ -35,6 +36,17 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def held_out(parts: int, rest: int):
+    """Rows that are never learned from: crc32 of the id as text leaves ``rest``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(parts)) == rest
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_crf.classify(docs, table(spark, sf_dir, "labels"), ~held_out(3, 1))
+    return out.select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     rows = with_spans(docs, scan(docs))
@@ -51,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_secrets": op9_secrets,
 }
 
