@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
-from tidemark.llm import line_crf
+from tidemark.llm import line_crf, toxicity
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.secrets import listed, scan, with_spans
@@ -59,12 +59,19 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.classify(docs, table(spark, sf_dir, "labels"), ~held_out(5, 0))
+    return out.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_secrets": op9_secrets,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
