@@ -16,7 +16,7 @@ empty table; a text of any length is cut into as many pieces as it needs; extra
 
 from __future__ import annotations
 
-import re
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -28,52 +28,90 @@ from tidemark.llm.common import col, in_tasks, stored
 LENGTH = 2048
 END_ID = 1
 DIMS, BITS = 4, 15
-#: Code points of white space as tokenizers see it (Unicode White_Space); words between are tokenized alone.
-BLANKS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-BLANK = re.compile("[" + "".join(map(chr, BLANKS)) + "]+")
-#: Words of at most so many letters are kept with their ids, and so many of them, in a worker.
-LONG_WORD, MANY_WORDS = 40, 600_000
+#: Python splits at these as well, tokenizers do not: texts with them are tokenized as a whole.
+ONLY_PYTHON = "\x1c\x1d\x1e\x1f"
+#: A sign that stands between words to encode many at once; words with it are encoded alone.
+MARK = "\x01"
+#: Words of at most so many letters are kept with their ids, and so many of them, in a worker (about 200 bytes each).
+LONG_WORD, MANY_WORDS = 40, 1_200_000
 
 _loaded: dict = {}
 
 
 class Words:
-    """Ids of whole texts, put together from the ids of their words.  Right for tokenizers that drop white space and
-    never join across it; a text with the string of a special token is tokenized as a whole."""
+    """Ids of whole texts, put together from the ids of their words, which are kept.  Right for tokenizers that drop
+    white space and never join across it; that is tried out, and texts of others, or with the string of a special token,
+    are tokenized as a whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
+        self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
+        self.known: dict[str, bytes] = {}
+        a, b, mark = self.encode(["The", "end", MARK])
+        self.folds = self.encode(["THE Él ÀÇÜ"]) == self.encode(["the él àçü"])
+        self.apart = self.encode(["The  end\n"]) == [a + b]
+        self.mark = mark[0] if self.encode([f"The {MARK} end"]) == [a + mark + b] and len(mark) == 1 else None
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def packed(self, ids) -> bytes:
+        return np.array(ids, dtype=self.kind).tobytes()
+
+    def words(self, words: list[str], together: int = 200):
+        """Ids of each word, as bytes."""
+        if self.mark is None:
+            yield from map(self.packed, self.encode(words))
+            return
+        groups = [words[i: i + together] for i in range(0, len(words), together)]
+        for group, ids in zip(groups, self.encode([f" {MARK} ".join(g) for g in groups])):
+            found = np.array(ids, dtype=self.kind)
+            cuts = np.flatnonzero(found == self.mark)
+            if len(cuts) + 1 != len(group):  # a word with the mark's id in it
+                yield from map(self.packed, self.encode(group))
+                continue
+            raw, size = found.tobytes(), self.kind.itemsize
+            begins, ends = (np.append(-1, cuts) + 1) * size, np.append(cuts, len(found)) * size
+            yield from (raw[i:j] for i, j in zip(begins.tolist(), ends.tolist()))
+
+    def folded(self, text: str) -> str:
+        """Small letters where that is safe to do beforehand, for fewer different words: in texts of Latin-1."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text.lower() if self.folds else text
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        split = [BLANK.split(t) for t in texts]
-        known = self.known
-        if len(known) > MANY_WORDS:
-            known.clear()
-        new = list({w for words in split for w in words if w not in known})
-        known.update(zip(new, self.encode(new)))
+        known, new, split = self.known, set(), []
+        for text in texts:
+            whole = not self.apart or any(s in text for s in self.special) or any(c in text for c in ONLY_PYTHON)
+            split.append(None if whole else self.folded(text).split())
+            if not whole:
+                new.update(set(split[-1]).difference(known))
+        new = list(new)
+        known.update(zip(new, self.words(new)))
         out = []
         for text, words in zip(texts, split):
-            if any(s in text for s in self.special):
-                out.append(np.array(self.encode([text])[0], dtype=np.int64))
+            if words is None:
+                out.append(np.array(self.encode([text])[0], dtype=self.kind))
             else:
-                out.append(np.fromiter((i for w in words for i in known[w]), dtype=np.int64))
+                out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), dtype=self.kind))
+        full = len(known) > MANY_WORDS
         for w in new:
-            if len(w) > LONG_WORD:
+            if full or len(w) > LONG_WORD:
                 del known[w]
         return out
 
 
-def words_of_path(path: str) -> Words:
-    if path not in _loaded:
-        _loaded[path] = Words(path)
-    return _loaded[path]
+def words_of_path(path: str, end_id: int) -> Words:
+    if (path, end_id) not in _loaded:
+        _loaded[path, end_id] = Words(path, end_id)
+    return _loaded[path, end_id]
 
 
 def directions(seed: int, dims: int = DIMS) -> np.ndarray:
@@ -115,22 +153,22 @@ def places(ids: list[np.ndarray], seed: int) -> np.ndarray:
     for k, one in enumerate(ids):
         if len(one):
             # ids hash to rows of the table by a multiplicative hash
-            means[k] = table[(one * 40_503) & 0xFFFF].mean(axis=0)
+            means[k] = table[(one.astype(np.uint32) * np.uint32(40_503)) & np.uint32(0xFFFF)].mean(axis=0)
     grid = np.clip((means + 1.0) * (1 << BITS - 1), 0, (1 << BITS) - 1).astype(np.int64)
     return hilbert(grid)
 
 
 def tokenized(batches, path: str, end_id: int, seed: int):
     """(row, id, text) to (row, id, curve number, length, ids as 16- or 32-bit little-endian numbers)."""
-    words = words_of_path(path)
-    wide = "<u2" if max(words.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+    words = words_of_path(path, end_id)
+    last = np.array([end_id], dtype=words.kind)
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            ids = [np.append(i, end_id) for i in words.ids([t or "" for t in part.column(2).to_pylist()])]
+            ids = words.ids([t or "" for t in part.column(2).to_pylist()])
             yield pa.RecordBatch.from_arrays([
-                part.column(0), part.column(1), pa.array(places([i[:-1] for i in ids], seed), pa.int64()),
-                pa.array([len(i) for i in ids], pa.int64()), pa.array([i.astype(wide).tobytes() for i in ids], pa.binary()),
+                part.column(0), part.column(1), pa.array(places(ids, seed), pa.int64()), pa.array([len(i) + 1 for i in ids], pa.int64()),
+                pa.array([i.tobytes() + last.tobytes() for i in ids], pa.binary()),
             ], names=["row", "id", "place", "n", "ids"])
 
 
