@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
-from tidemark.llm import line_crf, toxicity
+from tidemark.llm import line_crf, ngram_join, toxicity
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.secrets import listed, scan, with_spans
@@ -36,6 +36,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.join(docs, size=3, num=9, den=10).select("doc_id", "n_shingles", "component_id")
+
+
 def held_out(parts: int, rest: int):
     """Rows that are never learned from: crc32 of the id as text leaves ``rest``."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(parts)) == rest
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
+    "op5_ngram_join": op5_ngram_join,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
