@@ -17,6 +17,7 @@ empty table; a text of any length is cut into as many pieces as it needs; extra
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -87,20 +88,21 @@ class Words:
         return text.lower() if self.folds else text
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        known, new, split = self.known, set(), []
+        known, split = self.known, []
         for text in texts:
             whole = not self.apart or any(s in text for s in self.special) or any(c in text for c in ONLY_PYTHON)
             split.append(None if whole else self.folded(text).split())
-            if not whole:
-                new.update(set(split[-1]).difference(known))
-        new = list(new)
+        # most look-ups go to a small table of this batch's words, not to the large one
+        here = dict.fromkeys(chain.from_iterable(filter(None, split)))
+        new = [w for w in here if w not in known]
         known.update(zip(new, self.words(new)))
+        here = dict(zip(here, map(known.__getitem__, here)))
         out = []
         for text, words in zip(texts, split):
             if words is None:
                 out.append(np.array(self.encode([text])[0], dtype=self.kind))
             else:
-                out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), dtype=self.kind))
+                out.append(np.frombuffer(b"".join(map(here.__getitem__, words)), dtype=self.kind))
         full = len(known) > MANY_WORDS
         for w in new:
             if full or len(w) > LONG_WORD:
@@ -149,11 +151,12 @@ def hilbert(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 def places(ids: list[np.ndarray], seed: int) -> np.ndarray:
     """Curve numbers of documents given as ids."""
     table = directions(seed)
-    means = np.zeros((len(ids), DIMS))
-    for k, one in enumerate(ids):
-        if len(one):
-            # ids hash to rows of the table by a multiplicative hash
-            means[k] = table[(one.astype(np.uint32) * np.uint32(40_503)) & np.uint32(0xFFFF)].mean(axis=0)
+    sizes = np.array([len(one) for one in ids])
+    # ids hash to rows of the table by a multiplicative hash; a last row of zeros keeps empty texts apart
+    rows = (np.concatenate(ids).astype(np.uint32) * np.uint32(40_503)) & np.uint32(0xFFFF)
+    vectors = np.concatenate([table.take(rows, axis=0), np.zeros((1, DIMS), dtype=np.float32)])
+    means = np.add.reduceat(vectors, np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0) / np.maximum(sizes, 1)[:, None]
+    means[sizes == 0] = 0
     grid = np.clip((means + 1.0) * (1 << BITS - 1), 0, (1 << BITS) - 1).astype(np.int64)
     return hilbert(grid)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
-from tidemark.llm import line_crf, ngram_join, toxicity
+from tidemark.llm import chunks, line_crf, ngram_join, toxicity
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.secrets import listed, scan, with_spans
@@ -36,6 +36,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each passage that an earlier document has: where it stands and who has it first."""
+    spans = chunks.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spans.select("doc_id", "start", "length", "words", F.array_min("first_ids").alias("first_doc_id"), F.col("first_ids").alias("first_doc_ids"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.join(docs, size=3, num=9, den=10).select("doc_id", "n_shingles", "component_id")
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_ngram_join": op5_ngram_join,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_secrets": op9_secrets,
