@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
-from tidemark.llm import chunks, line_crf, ngram_join, toxicity
+from tidemark.llm import chat, chunks, line_crf, ngram_join, topk, toxicity
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.secrets import listed, scan, with_spans
@@ -47,6 +47,16 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(docs, size=3, num=9, den=10).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.rotate(table(spark, sf_dir, "conversations"))
+    return out.select(F.col("conv").alias("conv_id"), "part", "speaker", "n_turns", "n_spoken", "text", chat.listed(F.col("mask")).alias("mask"))
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors, vectors.filter("vec_id % 50 = 0"), k=10)
+
+
 def held_out(parts: int, rest: int):
     """Rows that are never learned from: crc32 of the id as text leaves ``rest``."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(parts)) == rest
@@ -82,9 +92,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_ngram_join": op5_ngram_join,
+    "op6_chat_formatting": op6_chat_formatting,
+    "op7_topk": op7_topk,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_chat_formatting": chat.ORACLE, "op7_topk": topk.ORACLE}
