@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import col, in_tasks, stored
+from tidemark.llm.common import col, fresh, in_tasks, stored
 from tidemark.llm.components import components
 
 BLOCK = 2_048
@@ -88,12 +88,12 @@ def digest(grams: np.ndarray) -> int:
 
 
 def sets(batches, size: int):
-    """(id, text) to (id, n, node): the size of the set and its digest, NULL for an empty set."""
+    """(id, text, text_hash) to (id, text_hash, n, node): the size of the set and its digest, NULL for an empty set."""
     for batch in batches:
         found = [shingles(t.as_py(), size) for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array([len(g) for g in found], pa.int64()), pa.array([digest(g) if len(g) else None for g in found], pa.int64())],
-            names=["id", "n", "node"])
+            batch.column(0), batch.column(2), pa.array([len(g) for g in found], pa.int64()),
+            pa.array([digest(g) if len(g) else None for g in found], pa.int64())], names=["id", "text_hash", "n", "node"])
 
 
 def chosen_sets(batches, size: int):
@@ -398,11 +398,11 @@ def linked(known: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
-    """For each row of ``docs``: ``id_col``, ``n_shingles``, ``node`` (digest of the set) and ``component_id``: texts link when
-    their Jaccard similarity is at least num/den."""
+    """For each row of ``docs``: ``id_col``, ``text_hash``, ``n_shingles``, ``group`` (the same for all rows of a component,
+    NULL for an empty set) and ``component_id``, its smallest id: texts link when their Jaccard similarity is at least num/den."""
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
-    base = stored(rows.mapInArrow(in_tasks(sets, size=size), f"id {kind}, n long, node long"), "sets")
+    rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    base = stored(rows.mapInArrow(in_tasks(sets, size=size), f"id {kind}, text_hash long, n long, node long"), "sets")
     nodes = stored(base.filter("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")), "nodes")
     share = min(1.0, 2.2 * (den - num) / num)
     maybe = crowded(rows.select("text"), size, share, num, den)
@@ -412,8 +412,22 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", siz
     again = stored(crowded(known, None, 1.0, num, den), "open")
     known = stored(known.join(again, "node", "left_semi"), "open-sets")
     groups = components(linked(known, num, den))
-    named = nodes.select("node", "least", "copies").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").filter("copies > 1 or component_id <> least").select(F.col("node").alias("of"), "component_id")
+    # texts that are alone need no name from the others
+    named = named.join(least, "component").filter("copies > 1 or component <> node or not component_id <=> least")
+    named = named.select(F.col("node").alias("of"), "component", "component_id")
     out = base.join(named, base["node"] == named["of"], "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "node", F.coalesce("component_id", "id").alias("component_id"))
+    return out.select(F.col("id").alias(id_col), "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("group"),
+                      F.when(F.col("of").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """``docs`` without near duplicates: of each component one row with the smallest id stays.  Texts without words are
+    nobody's duplicates; of rows of the same id without words one stays."""
+    mine, key = fresh(docs, "mine_", "hash_")
+    found = join(docs, id_col=id_col, text_col=text_col, size=size, num=num, den=den)
+    keep = found.filter(col(id_col).eqNullSafe(F.col("component_id"))).groupBy(col(id_col).alias(mine), "group").agg(F.min(F.col("text_hash")).alias("kept_"))
+    tagged = docs.withColumn(key, F.xxhash64(col(text_col).cast("string")))
+    one = tagged.join(keep, tagged[id_col].eqNullSafe(F.col(mine)) & (tagged[key] == F.col("kept_")), "left_semi")
+    return one.dropDuplicates([id_col, key]).drop(key)
