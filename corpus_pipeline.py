@@ -32,7 +32,11 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources drawn to their target weights: a row for each time the mix takes a document."""
-    return shards_of(mix(docs)).select(*docs.columns)
+    # other columns travel as one, so that their names cannot clash with those of the mix
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "source")]
+    rows = docs.select("doc_id", "text", "source", F.struct(F.lit(1).alias("one"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("others"))
+    drawn = shards_of(mix(rows))
+    return drawn.select(*[F.col(f"others.c{others.index(c)}").alias(c) if c in others else F.col(c) for c in docs.columns])
 
 
 def curve_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

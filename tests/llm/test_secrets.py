@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+import random
+import re
+
+from awkward import empty, frame, texts
+from pyspark.sql import functions as F
+
+from tidemark.llm import secrets
+
+KINDS = [
+    ("assign", re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[1]) >= 12),
+    ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
+    ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 16),
+]
+
+
+def base(text):
+    found = [(m.start(), k, m.end()) for k, (_, p, ok) in enumerate(KINDS) for m in p.finditer(text or "") if ok(m)]
+    return ",".join(f"{KINDS[k][0]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def scanned(spark, df):
+    rows = secrets.with_spans(df, secrets.scan(df))
+    return rows.select("doc_id", "text", secrets.listed(F.filter("spans", lambda s: s["kind"] < 3)).alias("base"), secrets.listed(F.col("spans")).alias("all"))
+
+
+def test_base_spans_equal_brute_force(spark):
+    rng = random.Random(8)
+    bits = ["token", "Secret", "api_key", "APIKEY", "=", ": ", ' = "', "'", "abcdef012345", "AKIA", "ABCDEF0123456789", "deadbeef", "é", " ", "\n", ".", "password", "ſecret", "😀"]
+    rows = texts() + [(100 + i, "".join(rng.choice(bits) for _ in range(rng.randint(1, 60))), "s") for i in range(300)]
+    got = scanned(spark, frame(spark, rows)).collect()
+    assert len(got) == len(rows) and [(r.doc_id, r.text) for r in got if r.base != base(r.text)] == []
+
+
+def test_owners_tell_examples_from_live_tokens(spark):
+    copied, own = "sk_EXAMPLEexample0123456789", "sk_ONLYhere9876543210abcd"
+    rows = [(i, f"see {copied} here", f"owner{i}") for i in range(5)] + [(10 + i, f"see {own} here", "me") for i in range(50)]
+    got = {r.doc_id: r["all"] for r in scanned(spark, frame(spark, rows)).collect()}
+    assert {got[i] for i in range(5)} == {""} and {got[10 + i] for i in range(50)} == {f"token:4:{4 + len(own)}"}
+
+
+def test_redaction(spark):
+    copied = "password=abcdefghijklmnop"
+    rows = [(i, f"é {copied} x", f"o{i}") for i in range(4)] + [
+        (10, "a 0123456789abcdef0123 b token: 0123456789abcdef99 c", "me"), (11, "plain", None), (12, None, None)]
+    out = {r.doc_id: r for r in secrets.redact(frame(spark, rows)).collect()}
+    assert {out[i].text for i in range(4)} == {"é [EXAMPLE] x"} and out[10].text == "a [SECRET] b [SECRET] c"
+    assert out[11].text == "plain" and out[12].text is None and out[11].spans == "x"
+
+
+def test_odd_rows_stay(spark):
+    assert sorted(map(str, (r.doc_id for r in secrets.redact(frame(spark)).collect()))) == sorted(str(i) for i, _, _ in texts())
+
+
+def test_empty_table(spark):
+    assert scanned(spark, empty(spark)).collect() == [] and secrets.redact(empty(spark)).collect() == []

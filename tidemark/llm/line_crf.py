@@ -85,12 +85,12 @@ def repeats(words: np.ndarray, doc: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         w = words[:-2] * np.int64(0x9E3779B97F4A7C1) + words[1:-1] * np.int64(0x27D4EB2F165667C5) + words[2:] * np.int64(0x165667B19E3779F9)
         w ^= (doc[:-2] * np.int64(0x2545F4914F6CDD1D)) >> 7 ^ doc[:-2] << 40
-    order = np.argsort(w, kind="stable")
+    inside = np.flatnonzero(doc[:-2] == doc[2:])
+    order = inside[np.argsort(w[inside], kind="stable")]
     equal = w[order[1:]] == w[order[:-1]]
     twice = np.zeros(len(w), dtype=bool)
     twice[order[1:][equal]] = True
     twice[order[:-1][equal]] = True
-    twice &= doc[:-2] == doc[2:]
     for k in range(3):
         out[k: k + len(w)][twice] = 1
     return out
@@ -175,7 +175,7 @@ def qualities(model: Model, texts: list[str]) -> tuple[np.ndarray, list[np.ndarr
     doc = np.repeat(np.arange(len(texts)), np.diff(lines.first))
     weight = np.where(np.bincount(doc, weights=lines.chars, minlength=len(texts))[doc] > 0, lines.chars, 1.0)
     score = np.bincount(doc, weights=weight * marginal, minlength=len(texts)) / np.bincount(doc, weights=weight, minlength=len(texts))
-    return np.clip(score, 0.0, 1.0), np.split(marginal, lines.first[1:-1])
+    return np.round(np.clip(score, 0.0, 1.0), 12), np.split(marginal, lines.first[1:-1])
 
 
 def batches(texts: list[str]):

@@ -321,7 +321,7 @@ def star_rows(batches):
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
-    """Sizes of the intersections of all left with all right sets (left ones if there are none): partial overlaps, counted
+    """Sizes of the intersections of all left with all right sets (of two left ones if there are none): partial overlaps, counted
     for one fragment of the n-gram order after the other, are summed."""
     both = left + (right or [])
     sizes = [len(g) for g in both]

@@ -102,14 +102,14 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sou
     return judged.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("span")).alias("spans"))
 
 
-def with_spans(docs: DataFrame, scanned: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with their ``spans``, empty where nothing was found."""
+def with_spans(docs: DataFrame, scanned: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", out_col: str = "spans") -> DataFrame:
+    """``docs`` with their spans, empty where nothing was found."""
     key, = fresh(docs, "key_")
-    rows = docs.drop(*(c for c in docs.columns if c.lower() == "spans")).withColumn(key, F.xxhash64(text_of(text_col)))
+    rows = docs.drop(*(c for c in docs.columns if c.lower() == out_col)).withColumn(key, F.xxhash64(text_of(text_col)))
     s = scanned.select(F.col("id").alias("s_id"), "text_hash", "spans")
-    out = rows.join(s, rows[id_col].eqNullSafe(s["s_id"]) & (rows[key] == s["text_hash"]), "left")
+    joined = rows.join(s, rows[id_col].eqNullSafe(s["s_id"]) & (rows[key] == s["text_hash"]), "left")
     nothing = F.array().cast(scanned.schema["spans"].dataType)
-    return out.select(*[rows[c] for c in rows.columns if c != key], F.coalesce(s["spans"], nothing).alias("spans"))
+    return joined.select(*[rows[c] for c in rows.columns if c != key], F.coalesce(s["spans"], nothing).alias(out_col))
 
 
 def listed(spans: Column) -> Column:
@@ -123,9 +123,9 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
     Spans that overlap are replaced as one, live if one of them is.  Only the texts that have candidates are joined with
     their spans; the others pass as they are."""
     scanned = stored(scan(docs, id_col=id_col, text_col=text_col, source_col=source_col), "spans")
-    text = text_of(text_col)
+    text, (mine,) = text_of(text_col), fresh(docs, "found_")
     hit = (text.rlike("[:=]") & text.rlike(ASSIGN + VALUE)) | text.contains("AKIA") | text.rlike(HEX) | (text.rlike("[0-9]") & text.rlike(TOKEN))
-    held = with_spans(docs.filter(hit), scanned, id_col=id_col, text_col=text_col)
+    held = with_spans(docs.filter(hit), scanned, id_col=id_col, text_col=text_col, out_col=mine)
 
     def replaced(parts: Column) -> Column:
         def end(i: Column) -> Column:
@@ -135,7 +135,7 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
             F.substring(text, end(i - 1) + 1, p["start"].cast("int") - end(i - 1)), F.when(p["live"], "[SECRET]").otherwise("[EXAMPLE]")))
         return F.concat(F.array_join(cut, ""), F.substring(text, end(F.size(parts) - 1) + 1, F.length(text)))
 
-    held = held.withColumn(text_col, F.when(F.size("spans") > 0, let(merged(F.col("spans")), replaced)).otherwise(col(text_col)))
+    held = held.withColumn(text_col, F.when(F.size(mine) > 0, let(merged(F.col(mine)), replaced)).otherwise(col(text_col)))
     return docs.filter(~hit).unionByName(held.select(*map(col, docs.columns)))
 
 
