@@ -66,7 +66,8 @@ def test_large_clusters_are_counted_in_blocks(spark, monkeypatch):
 
 
 def test_partial_overlaps_sum_to_intersections(monkeypatch):
-    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    for name, value in (("COLUMNS", 7), ("FEW", 3), ("FRAGMENT", 11)):
+        monkeypatch.setattr(ngram_join, name, value)
     rng = np.random.default_rng(1)
     a, b = ([np.unique(rng.integers(0, 60, rng.integers(0, 40)).astype(np.uint64)) for _ in range(n)] for n in (6, 9))
     assert ngram_join.overlaps(a, b).tolist() == [[len(np.intersect1d(x, y)) for y in b] for x in a]

@@ -10,8 +10,7 @@ of that order are the vertical fragments.  All texts with the same set are one n
 2. Of what is left, nodes are candidates of each other if they share one of the first n - ceil(t n) + 1 n-grams of
    their sets; n-grams that a fixed-size table of counts shows as frequent come last in that order, so passages that
    many texts share link nobody.  Candidates that hang together are a cluster.
-3. Inside a cluster, overlaps are counted fragment by fragment (a cut of the sorted n-grams, as a small matrix of nodes by
-   n-grams) and the partial overlaps are summed for each pair.  Pairs are compared with the threshold in whole numbers.  A
+3. Inside a cluster, overlaps are counted fragment by fragment (a cut of the sorted n-grams) and the partial overlaps are summed for each pair.  Pairs are compared with the threshold in whole numbers.  A
    cluster beyond ``BLOCK`` nodes is split into blocks that are counted pair by pair of blocks in tasks of their own; a
    task returns only links that join what it has not joined yet.
 
@@ -33,13 +32,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import col, fresh, in_tasks, stored
 from tidemark.llm.components import components
 
-BLOCK = 2_048
+BLOCK = 1_024
 #: Counters of the table that tells frequent n-grams; its size never grows.
 COUNTERS = 1 << 20
 #: N-grams and texts of one packed exchange row's group; keys are cut to five bytes there.
 GROUP_GRAMS, GROUP_TEXTS, KEY_BYTES = 1 << 20, 60_000, 5
 SEEN = 65_535
-COLUMNS = 2_048
+#: N-grams of a fragment in step 3; sets that count as few; columns of a matrix.
+FRAGMENT, FEW, COLUMNS = 1 << 18, 12, 2_048
 MANY_WORDS = 800_000
 _M = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -321,29 +321,44 @@ def star_rows(batches):
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
-    """Sizes of the intersections of all left with all right sets (of two left ones if there are none): partial overlaps, counted
-    for one fragment of the n-gram order after the other, are summed."""
+    """Sizes of the intersections of all left with all right sets (of a left one with a later left one if there are none):
+    partial overlaps, counted for one fragment of the n-gram order after the other, are summed.  In a fragment, an n-gram of few
+    sets counts for its pairs one by one, the others as a matrix of sets by n-grams."""
     both = left + (right or [])
-    sizes = [len(g) for g in both]
+    n_left, n = len(left), len(both)
+    shape = (n_left, n - n_left) if right is not None else (n, n)
+    total = np.zeros(shape[0] * shape[1], dtype=np.int64)
     grams = np.concatenate(both) if both else np.zeros(0, dtype=np.uint64)
-    node = np.repeat(np.arange(len(both)), sizes)
+    node = np.repeat(np.arange(n), [len(g) for g in both])
     order = np.argsort(grams, kind="stable")
     grams, node = grams[order], node[order]
-    first = np.ones(len(grams), dtype=bool)
-    np.not_equal(grams[1:], grams[:-1], out=first[1:])
-    column = np.cumsum(first) - 1
-    often = np.bincount(column) > 1 if len(column) else np.zeros(0, dtype=bool)
-    keep = often[column] if len(column) else np.zeros(0, dtype=bool)
-    node, column = node[keep], (np.cumsum(often) - 1)[column[keep]] if len(column) else column
-    n_left = len(left)
-    total = np.zeros((n_left, len(both) - n_left if right is not None else n_left), dtype=np.int64)
-    width = int(column[-1]) + 1 if len(column) else 0
-    for at in range(0, width, COLUMNS):
-        a, b = np.searchsorted(column, [at, at + COLUMNS])
-        here = np.zeros((len(both), min(COLUMNS, width - at)), dtype=np.float32)
-        here[node[a:b], column[a:b] - at] = 1
-        total += (here[:n_left] @ (here[n_left:] if right is not None else here).T).astype(np.int64)
-    return total
+    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])) if len(grams) else np.zeros(0, dtype=np.int64)
+    often = np.diff(np.append(first, len(grams)))
+    for at in range(0, len(first), FRAGMENT):
+        begin, size = first[at: at + FRAGMENT], often[at: at + FRAGMENT]
+        for k in range(2, FEW + 1):
+            rows = begin[size == k]
+            if not len(rows):
+                continue
+            held = node[rows[:, None] + np.arange(k)]
+            for x in range(k):
+                for y in range(x + 1, k):
+                    i, j = held[:, x], held[:, y]  # in order, for the sort is stable
+                    if right is not None:
+                        across = (i < n_left) & (j >= n_left)
+                        i, j = i[across], j[across] - n_left
+                    np.add.at(total, i * shape[1] + j, 1)
+        many = begin[size > FEW]
+        if len(many):
+            sizes = size[size > FEW]
+            column = np.repeat(np.arange(len(many)), sizes)
+            held = np.repeat(many - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(len(column))
+            for c in range(0, len(many), COLUMNS):
+                a, b = np.searchsorted(column, [c, c + COLUMNS])
+                here = np.zeros((n, min(COLUMNS, len(many) - c)), dtype=np.float32)
+                here[node[held[a:b]], column[a:b] - c] = 1
+                total += (here[:n_left] @ (here[n_left:] if right is not None else here).T).astype(np.int64).ravel()
+    return total.reshape(shape)
 
 
 def links(left: list, right: list | None, num: int, den: int):
@@ -354,7 +369,7 @@ def links(left: list, right: list | None, num: int, den: int):
     union = n_left[:, None] + n_right[None, :] - inter
     hit = den * inter >= num * union
     if right is None:
-        hit = np.triu(hit, 1)
+        hit = np.triu(hit, 1)  # below, and on the diagonal, not all is counted
     forest, other = Forest(), left if right is None else right
     for i, j in zip(*np.nonzero(hit)):
         if forest.join(left[i][0], other[j][0]):
