@@ -17,18 +17,51 @@ SPACE_CHARS = "".join(map(chr, [0x20, *range(0x09, 0x0E)]))
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def give_back() -> None:
+    """Free memory of this process goes back to the system.  Workers stay after their tasks, and what they hold is missing
+    to the executor's next stage."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the usual C library on Linux
+    if trim:
+        trim(0)
+
+
 def in_tasks(function, **params):
-    """``function(batches, **params)`` for ``mapInArrow`` and its kin.  Tasks import it by name, so what its module keeps
+    """The generator ``function(batches, **params)`` for ``mapInArrow``.  Tasks import it by name, so what its module keeps
     (a tokenizer, a cache) serves all tasks of a worker; the package is found there or where the driver has it."""
-    module, name, root = function.__module__, function.__name__, ROOT
+    call = in_groups(function, **params)
+    root = ROOT
 
     def run(batches):
+        import sys
+
+        yield from call(batches)
+        if root not in sys.path:
+            sys.path.append(root)
+        from tidemark.llm.common import give_back
+
+        give_back()
+
+    return run
+
+
+def in_groups(function, **params):
+    """``function(rows, **params)`` for the groups of ``applyInArrow``, imported in the same way."""
+    module, name, root = function.__module__, function.__name__, ROOT
+
+    def run(rows):
         import importlib
         import sys
 
         if root not in sys.path:
             sys.path.append(root)
-        return getattr(importlib.import_module(module), name)(batches, **params)
+        return getattr(importlib.import_module(module), name)(rows, **params)
 
     return run
 

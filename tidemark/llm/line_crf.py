@@ -25,7 +25,7 @@ from tidemark.llm.common import ROOT, col, text_of
 
 #: Bound of the rows that the model is fitted on, and of the lines that one of them gives.
 TRAIN_ROWS, TRAIN_LINES = 3_000, 200
-SCORED_CHARS = 1 << 20
+SCORED_CHARS = 1 << 18
 
 # classes of bytes: 0 other, 1 capital, 2 small letter, 3 digit, 4 symbol, 5 bar, 6 exclamation mark, 7 part of an earlier character
 CLASSES = np.zeros(256, dtype=np.int64)
@@ -200,10 +200,11 @@ def quality(model: Model, text: Column, lines: bool = False) -> Column:
 
         if root not in sys.path:
             sys.path.append(root)
-        from tidemark.llm import line_crf
+        from tidemark.llm import common, line_crf
 
         got = [line_crf.qualities(model, part) for part in line_crf.batches(["" if t is None else t for t in series])]
         scores = np.concatenate([g[0] for g in got]) if got else np.zeros(0)
+        common.give_back()
         if not lines:
             return pd.Series(scores)
         return pd.DataFrame({"score": scores, "lines": [m for g in got for m in g[1]]})

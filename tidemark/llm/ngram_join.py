@@ -29,18 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import col, fresh, in_tasks, stored
+from tidemark.llm.common import col, fresh, in_groups, in_tasks, stored
 from tidemark.llm.components import components
 
 BLOCK = 1_024
 #: Counters of the table that tells frequent n-grams; its size never grows.
 COUNTERS = 1 << 20
 #: N-grams and texts of one packed exchange row's group; keys are cut to five bytes there.
-GROUP_GRAMS, GROUP_TEXTS, KEY_BYTES = 1 << 20, 60_000, 5
+GROUP_GRAMS, GROUP_TEXTS, KEY_BYTES = 1 << 19, 60_000, 5
 SEEN = 65_535
 #: N-grams of a fragment in step 3; sets that count as few; columns of a matrix.
 FRAGMENT, FEW, COLUMNS = 1 << 18, 12, 2_048
-MANY_WORDS = 800_000
+MANY_WORDS = 100_000
 _M = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
@@ -90,15 +90,17 @@ def digest(grams: np.ndarray) -> int:
 def sets(batches, size: int):
     """(id, text, text_hash) to (id, text_hash, n, node): the size of the set and its digest, NULL for an empty set."""
     for batch in batches:
-        found = [shingles(t.as_py(), size) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(2), pa.array([len(g) for g in found], pa.int64()),
-            pa.array([digest(g) if len(g) else None for g in found], pa.int64())], names=["id", "text_hash", "n", "node"])
+        sizes, nodes = [], []
+        for text in batch.column(1):
+            grams = shingles(text.as_py(), size)
+            sizes.append(len(grams)), nodes.append(digest(grams) if len(grams) else None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
+                                         names=["id", "text_hash", "n", "node"])
 
 
 def chosen_sets(batches, size: int):
     """(node, text) of the chosen texts to (node, n, grams); a text that is not the node's is left out."""
-    for batch in batches:
+    for batch in (b.slice(at, 1_000) for b in batches for at in range(0, b.num_rows, 1_000)):
         nodes, found = [], []
         for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             grams = shingles(text.as_py(), size)
@@ -242,7 +244,7 @@ def crowded(rows: DataFrame, size: int | None, share: float, num: int, den: int)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = rows.mapInArrow(in_tasks(fragment_rows, size=size, share=share, parts=parts, num=num, den=den), PACKED)
     counted = sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(in_tasks(shared_rows), PACKED)
-    return counted.groupBy("grp").applyInArrow(in_tasks(open_nodes), "node long").distinct()
+    return counted.groupBy("grp").applyInArrow(in_groups(open_nodes), "node long").distinct()
 
 
 def count_rows(batches):
@@ -264,7 +266,7 @@ def sum_counts(rows):
 def frequency_classes(known: DataFrame) -> np.ndarray:
     """For each counter the class of its count (how many bits it has): one byte each, a fixed-size table."""
     rows = known.select("grams").mapInArrow(in_tasks(count_rows), "slice int, counts binary").groupBy("slice").applyInArrow(
-        in_tasks(sum_counts), "slice int, counts binary").collect()
+        in_groups(sum_counts), "slice int, counts binary").collect()
     counts = np.zeros((64, COUNTERS // 64), dtype=np.int64)
     for r in rows:
         counts[r["slice"]] = np.frombuffer(r["counts"], dtype="<i8")
