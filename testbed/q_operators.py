@@ -13,7 +13,7 @@ from testbed.q_scale import R13_SQL, agent_bindings, bindings, inputs
 from testbed.registry import plain, query
 from testbed.tables import CAMPAIGN_RULES, END, RULES, START
 from tidemark.functions import predicates as P
-from tidemark.functions.attribution import Rule, attribute, load_rules
+from tidemark.functions.attribution import PARTS, Rule, attributed
 from tidemark.operators import dims, frames
 from tidemark.operators.cumulative import first_seen, merge_first_seen
 from tidemark.operators.presence import marks, presence, seen
@@ -163,12 +163,14 @@ def _(t):
 
 @query("p6_known_devices_broadcast", KNOWN)
 def _(t):
-    return _known(t, P.exclusions(t.excluded_device, literal_limit=0))
+    # a list with NULLs and the same devices twice
+    return _known(t, P.exclusions(t.excluded_device.union(t.excluded_device).union(t.spark.sql("SELECT string(NULL)"))))
 
 
 @query("p6_known_devices_hash", KNOWN)
 def _(t):
-    return _known(t, P.exclusions(t.excluded_device, literal_limit=0, broadcast_limit=0))
+    # the list as it is, without being made distinct before
+    return _known(t, t.excluded_device)
 
 
 # --- aggregation ------------------------------------------------------------------------------
@@ -228,7 +230,31 @@ def _(t):
     table = t.spark.createDataFrame(
         [(3, "src2", None, None, None, "x3"), (1, "src2", "camp1", None, None, "x1"), (2, None, None, "/b/4", "contains", "x2")],
         "priority int, utm_source string, utm_campaign string, content_match string, match_kind string, target string")
-    return t.screen_event.groupBy(attribute(load_rules(table)).alias("video")).agg(F.count(F.lit(1)).alias("n"))
+    counted = t.screen_event.groupBy(*PARTS).agg(F.count(F.lit(1)).alias("n"))
+    return attributed(counted, table, []).groupBy("video").agg(F.sum("n").alias("n"))
+
+
+# A rule for every order: 1,500 at sf0.001, 15,000 at sf0.01.  Some match by parts of the content.
+_RULES = """SELECT CAST(o_orderkey AS INT) AS priority, 'o' || CAST(o_orderkey AS {text}) AS target,
+  CASE WHEN o_orderkey % 4 < 3 THEN 'src' || CAST(o_orderkey % 7 AS {text}) END AS utm_source,
+  CASE WHEN o_orderkey % 3 > 0 THEN 'camp' || CAST(o_orderkey % 5 AS {text}) END AS utm_campaign,
+  CASE WHEN o_orderkey % 5 = 0 AND o_orderkey % 3 > 0 THEN NULL WHEN o_orderkey % 97 = 0 THEN 'x//a/' || CAST(o_orderkey % 90 AS {text})
+    ELSE 'http://b/' || CAST(o_orderkey % 11 AS {text}) END AS content_match,
+  CASE WHEN o_orderkey % 97 = 0 THEN 'contains' ELSE 'eq' END AS match_kind FROM {orders}"""
+
+
+@query("f4_attribution_many_rules", f"""
+WITH rules AS ({_RULES.format(text="VARCHAR", orders="orders")}),
+seen AS (SELECT utmsource, utmcampaign, utmcontent, COUNT(*) AS n FROM screen_event GROUP BY ALL),
+chosen AS (SELECT s.utmsource, s.utmcampaign, s.utmcontent, s.n, arg_min(r.target, r.priority) AS target FROM seen s LEFT JOIN rules r
+  ON (r.utm_source IS NULL OR r.utm_source = s.utmsource) AND (r.utm_campaign IS NULL OR r.utm_campaign = s.utmcampaign)
+  AND (r.content_match IS NULL OR r.content_match = s.utmcontent OR (r.match_kind = 'contains' AND contains(s.utmcontent, r.content_match)))
+  GROUP BY ALL)
+SELECT COALESCE(target, 'else ') AS video, CAST(SUM(n) AS BIGINT) AS n FROM chosen GROUP BY 1""")
+def _(t):
+    rules = t.spark.sql(_RULES.format(text="STRING", orders="{orders}"), orders=t.orders)
+    counted = t.screen_event.groupBy(*PARTS).agg(F.count(F.lit(1)).alias("n"))
+    return attributed(counted, rules, []).groupBy("video").agg(F.sum("n").alias("n"))
 
 
 @query("i2_zero_filled_days", """

@@ -124,7 +124,7 @@ SELECT day, city_sn, car_type, {', '.join(f'CAST(COALESCE(MAX({m}), 0) AS BIGINT
 FROM ({' UNION ALL BY NAME '.join(f'(SELECT * FROM ({q}) y{i})' for i, q in enumerate(same_day_frames(C2)))}) x
 GROUP BY day, city_sn, car_type""")
 def _(t):
-    return scale.daily_presence(scale.all_marks(inputs(t), END), bindings(t), C2, START, END)
+    return scale.daily_presence(scale.day_marks(inputs(t), START, END), bindings(t), C2, START, END)
 
 
 @query("r13h_heartbeat_total", f"SELECT * FROM ({beats_total(C2)}) x WHERE day >= DATE '{LATE_START}'")
@@ -191,7 +191,7 @@ SELECT day, parent_id, {', '.join(f'CAST(COALESCE(MAX({m}), 0) AS BIGINT) AS {m}
 FROM ({' UNION ALL BY NAME '.join(f'(SELECT * FROM ({q}) y{i})' for i, q in enumerate(same_day_frames(A1)))}) x
 GROUP BY day, parent_id""")
 def _(t):
-    return scale.daily_presence(scale.all_marks(inputs(t), END), agent_bindings(t), A1, START, END)
+    return scale.daily_presence(scale.day_marks(inputs(t), START, END), agent_bindings(t), A1, START, END)
 
 
 @query("r14e_agent_trip_summary", AGENT_TRIPS)

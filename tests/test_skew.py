@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import predicates as P
 from tidemark.operators.cumulative import increments
-from tidemark.operators.flags import Where, distinct_counts
+from tidemark.operators.flags import Where, distinct_counts, row_counts
 from tidemark.plans import retail
 
 NO_BROADCAST = {
@@ -65,11 +65,17 @@ def test_hot_trip_and_hot_day(big_cluster):
     assert inc.groupBy("tag").agg(F.sum("new")).orderBy("tag").collect() == df.groupBy("tag").agg(F.count_distinct("e")).orderBy("tag").collect()
 
 
-def test_exclusion_list_takes_the_form_its_size_allows(spark):
+def test_exclusions_are_one_anti_join_whatever_their_number(spark):
     table = spark.range(50).select(F.concat(F.lit("d"), "id").alias("devicename"))
     events = spark.range(100).select(F.concat(F.lit("d"), "id").alias("devicename"))
-    short = P.exclusions(table)
-    assert len(short) == 50 and P.exclusions(table.limit(0)) == ()
-    for excluded in (short, P.exclusions(table, 10), P.exclusions(table, 10, 20)):
-        assert P.known_devices(events, excluded).count() == 50
-    assert "Join" not in P.known_devices(events, short)._jdf.queryExecution().executedPlan().toString()
+    for excluded, left in ((P.exclusions(table.union(table)), 50), (P.exclusions(table.limit(0)), 100), (["d1", "d2"], 98), (None, 100)):
+        assert P.known_devices(events, excluded).count() == left
+
+
+def test_more_metrics_than_a_mask_has_bits(spark):
+    df = spark.range(500).selectExpr("'k' AS k", "cast(id % 200 AS string) AS tag", "cast(id AS string) AS e")
+    wheres = {f"m{i}": Where(isin={"tag": (str(i),)}) for i in range(150)}
+    want = {f"m{i}": 3 if i < 100 else 2 for i in range(150)}
+    got = distinct_counts(df, ["k"], {"e": (F.col("e"), wheres), "t": (F.col("tag"), {"all": Where()})}).first().asDict()
+    assert got == want | {"k": "k", "all": 200}
+    assert row_counts(df, ["k"], wheres).first().asDict() == want | {"k": "k"}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from testbed.tables import RULES
 from tidemark.functions import cells
 from tidemark.functions import predicates as P
-from tidemark.functions.attribution import Rule, attribute, load_rules
+from tidemark.functions.attribution import Rule, attributed
 from tidemark.operators import dims, frames
 from tidemark.operators.flags import Where, distinct_counts, row_counts
 from tidemark.operators.rollup import roll_up
@@ -113,16 +113,30 @@ def test_first_matching_rule_wins(spark):  # T12
     e = events(spark, {"utmsource": "s", "utmcampaign": "c"}, {"utmcontent": "xx/y"}, {"utmsource": None})
     rules = [Rule(9, "late", source="s"), Rule(1, "early", source="s", campaign="c"),
              Rule(2, "part", content="/y", kind="contains")]
-    assert rows(e.select(attribute(rules).alias("v"))) == [("early",), ("else ",), ("part",)]
+    assert rows(attributed(e, rules, []).select("video")) == [("early",), ("else ",), ("part",)]
+    assert rows(attributed(e, [], []).select("video")) == [("else ",)] * 3
 
 
-def test_rule_table_is_size_checked(spark):
-    table = spark.range(5).selectExpr(
-        "cast(id as int) priority", "'s' utm_source", "string(null) utm_campaign", "string(null) content_match",
-        "string(null) match_kind", "'t' target")
-    assert len(load_rules(table)) == 5
+def test_rules_of_any_shape_equal_a_scan_of_the_list(spark):
+    parts = [(s, c, t) for s in ("s1", "s2", None) for c in ("c1", "c2", None) for t in ("x/1", "y/1", None)]
+    e = events(spark, *[{"utmsource": s, "utmcampaign": c, "utmcontent": t} for s, c, t in parts])
+    rules = [Rule(i, f"t{i}", *p, kind=k) for i, (p, k) in enumerate((p, k) for p in reversed(parts) if p != (None,) * 3 for k in ("eq", "contains"))]
+    rules += [Rule(-1, "end", content="/1", kind="contains", source="s2"), Rule(200, "last", campaign="c1")]
+
+    def first(s, c, t):
+        for r in sorted(rules, key=lambda r: r.priority):
+            content = r.content is None or (t is not None and (r.content in t if r.kind == "contains" else r.content == t))
+            if content and r.source in (None, s) and r.campaign in (None, c):
+                return r.target
+        return "else "
+
+    got = attributed(e.select("utmsource", "utmcampaign", "utmcontent"), rules, []).collect()
+    assert {tuple(r) for r in got} == {(*p, first(*p)) for p in parts}
+
+
+def test_a_rule_needs_a_condition(spark):
     with pytest.raises(ValueError):
-        load_rules(table, limit=4)
+        attributed(events(spark), [Rule(1, "t")], [])
 
 
 def test_left_join_with_condition_on_the_right_is_inner(spark):  # T13
@@ -231,7 +245,7 @@ def test_cumulative_reports_keep_their_own_tags(spark):  # T27, T28
 
 def test_order_cost_covers_lines_of_all_days(spark):  # T29
     lines = spark.createDataFrame([("o1", 5), ("o1", 7), ("o2", None)], "order_sn string, cost_price bigint")
-    assert rows(retail.order_cost(lines)) == [("o1", 12), ("o2", None)]
+    assert rows(retail.order_cost(lines, lines)) == [("o1", 12), ("o2", None)]
 
 
 def test_comment_tags_are_not_trimmed_one_by_one(spark):  # T30, F11

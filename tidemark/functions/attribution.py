@@ -1,22 +1,21 @@
-"""Campaign attribution by ordered rules: the first rule that matches wins."""
+"""Campaign attribution by ordered rules: the matching rule of the lowest priority number wins."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
-from functools import reduce
-from operator import and_
+from collections.abc import Iterable, Sequence
+from dataclasses import astuple, dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 OTHER = "else "  # fixed value: target of a row that no rule matches (with the blank)
-MAX_RULES = 2_000
+PARTS = ("utmsource", "utmcampaign", "utmcontent")
+RULE_SCHEMA = "priority int, target string, utm_source string, utm_campaign string, content_match string, match_kind string"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """All parts that are given must match; ``kind`` is 'eq' or 'contains'."""
+    """All parts that are given must match; ``kind`` is 'eq' or 'contains' and tells how the content matches."""
 
     priority: int
     target: str
@@ -25,39 +24,47 @@ class Rule:
     content: str | None = None
     kind: str = "eq"
 
-    def matches(self) -> Column:
-        parts = []
-        if self.content is not None:
-            c = F.col("utmcontent")
-            parts.append(c.contains(self.content) if self.kind == "contains" else c == self.content)
-        if self.source is not None:
-            parts.append(F.col("utmsource") == self.source)
-        if self.campaign is not None:
-            parts.append(F.col("utmcampaign") == self.campaign)
-        if not parts:
-            raise ValueError(f"rule {self.priority} has no condition")
-        return reduce(and_, parts)
-
-
-def attribute(rules: Iterable[Rule], other: str = OTHER) -> Column:
-    """One CASE expression over the rules in priority order.
-
-    No join and no row per (event, rule) pair: the choice is made inside the
-    scan stage, whatever the size of the log.
+
+Rules = DataFrame | Iterable[Rule]
+
+
+def rule_table(spark: SparkSession, rules: Rules) -> DataFrame:
+    """Rules as a table (priority, target, utm_source, utm_campaign, content_match, match_kind) of any size."""
+    if isinstance(rules, DataFrame):
+        return rules
+    rows = [astuple(r) for r in rules]
+    for priority, _, *parts, _ in rows:
+        if all(p is None for p in parts):
+            raise ValueError(f"rule {priority} has no condition")
+    return spark.createDataFrame(rows, RULE_SCHEMA)
+
+
+def attributed(rows: DataFrame, rules: Rules, by: Sequence[str], out: str = "video", other: str = OTHER) -> DataFrame:
+    """``rows`` with their target.  ``by`` names the columns beside the campaign's that tell rows apart.
+
+    Rows should be counted by (``by``, source, campaign, content) before, so that the log itself does not pass through
+    here.  Rules of equality are looked up by one hash join: a row asks for each of the seven choices of its three parts.
+    Rules of containment are few by nature and tried in order inside one expression.  A rule without any condition
+    matches nothing.
     """
-    branch = None
-    for rule in sorted(rules, key=lambda r: r.priority):
-        branch = F.when(rule.matches(), rule.target) if branch is None else branch.when(rule.matches(), rule.target)
-    return F.lit(other) if branch is None else branch.otherwise(F.lit(other))
-
-
-def load_rules(table: DataFrame, limit: int = MAX_RULES) -> list[Rule]:
-    """Read a rule table (priority, target, utm_source, utm_campaign,
-    content_match, match_kind).  It is configuration, so its size is checked
-    before it comes to the driver."""
-    rows = table.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} attribution rules; this is not a rule table")
-    return [
-        Rule(r.priority, r.target, r.utm_source, r.utm_campaign, r.content_match, r.match_kind or "eq") for r in rows
-    ]
+    table = rule_table(rows.sparkSession, rules).select(
+        F.struct("priority", "target").alias("hit"), F.col("utm_source").alias("r0"), F.col("utm_campaign").alias("r1"),
+        F.col("content_match").alias("r2"), F.coalesce("match_kind", F.lit("eq")).alias("kind"))
+    shape = sum(F.when(F.col(f"r{i}").isNotNull(), 1 << i).otherwise(0) for i in range(3))
+    equal = table.filter("kind = 'eq' OR r2 IS NULL").groupBy(shape.alias("r_shape"), "r0", "r1", "r2").agg(F.min("hit").alias("__hit"))
+    asked = F.array(*[F.struct(F.lit(k).alias("shape"), *[
+        (F.col(p) if k >> i & 1 else F.lit(None).cast("string")).alias(f"a{i}") for i, p in enumerate(PARTS)]) for k in range(1, 8)])
+    keys = [*by, *PARTS]
+    others = [c for c in rows.columns if c not in keys]
+    long = rows.withColumn("__a", F.explode(asked))
+    same = F.col("__a.shape") == F.col("r_shape")
+    for i in range(3):
+        same &= F.col(f"__a.a{i}").eqNullSafe(F.col(f"r{i}"))
+    found = long.join(equal, same, "left").groupBy(*keys, *others).agg(F.min("__hit").alias("__equal"))
+    held = table.filter("kind = 'contains' AND r2 IS NOT NULL").agg(
+        F.sort_array(F.collect_list(F.struct("hit", "r0", "r1", "r2"))).alias("held")).scalar()
+    found = found.withColumn("__held", held)
+    first = F.get(F.filter("__held", lambda r: F.coalesce(F.col("utmcontent").contains(r["r2"]), F.lit(False)) & F.coalesce(
+        (r["r0"].isNull() | (F.col("utmsource") == r["r0"])) & (r["r1"].isNull() | (F.col("utmcampaign") == r["r1"])), F.lit(False))), 0)["hit"]
+    best = F.least("__equal", first)
+    return found.select(*rows.columns, F.coalesce(best["target"], F.lit(other)).alias(out))

@@ -70,23 +70,11 @@ def has_content() -> Column:
 
 
 Excluded = DataFrame | Collection[str] | None
-LITERAL_LIMIT = 1_000
-BROADCAST_LIMIT = 1_000_000
 
 
-def exclusions(table: DataFrame, literal_limit: int = LITERAL_LIMIT, broadcast_limit: int = BROADCAST_LIMIT) -> Excluded:
-    """The excluded devices in the cheapest form their number allows.
-
-    Read once per run.  A short list becomes literals, so no join touches the
-    event log; a longer one that is still small is broadcast; beyond that the
-    log is joined by hash, the one form in which it is shuffled for this.
-    """
-    listed = table.filter(F.col("devicename").isNotNull()).select("devicename").distinct()
-    short = listed.limit(literal_limit + 1).collect()
-    if len(short) <= literal_limit:
-        return tuple(sorted(r.devicename for r in short))
-    small = listed.limit(broadcast_limit + 1).count() <= broadcast_limit
-    return F.broadcast(listed) if small else listed
+def exclusions(table: DataFrame) -> DataFrame:
+    """The excluded devices, each once.  How they are joined is left to the optimizer, whatever their number."""
+    return table.filter(F.col("devicename").isNotNull()).select("devicename").distinct()
 
 
 def known_devices(events: DataFrame, excluded: Excluded) -> DataFrame:

@@ -1,8 +1,8 @@
 """Many filtered counts from one scan.
 
-Each metric is a ``Where``.  A row gets one bigint with a bit per metric, built
-from one lookup per column: the lookup gives the metrics that the column's value
-allows, and the lookups are AND-ed.  The cost per row grows with the number of
+Each metric is a ``Where``.  A row gets a bit per metric, in a bigint for each
+block of metrics, built from one lookup per column: the lookup gives the metrics
+that the column's value allows, and the lookups are AND-ed.  The cost per row grows with the number of
 distinct values named, not with metrics x conditions, and the generated code
 stays small enough to be compiled.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cells import flag
 
-MAX_METRICS = 62
+BLOCK = 62  # bits of a bigint that are used
 
 
 @dataclass(frozen=True)
@@ -49,13 +49,11 @@ def _text(v: str) -> str:
 
 
 def metric_mask(wheres: Sequence[Where], predicates: Mapping[str, Column]) -> Column:
-    """Bit i is set when the i-th metric holds.
+    """Bit i is set when the i-th metric of a block holds.
 
     The lookups are written as SQL text: a Column per value would cost one call
     into the JVM each.
     """
-    if len(wheres) > MAX_METRICS:
-        raise ValueError(f"at most {MAX_METRICS} metrics fit in one mask")
     other = object()  # a value no metric names
     lookups = []
     for column in sorted({c for w in wheres for c in (*w.isin, *w.notin)}):
@@ -70,7 +68,13 @@ def metric_mask(wheres: Sequence[Where], predicates: Mapping[str, Column]) -> Co
     for name, predicate in predicates.items():
         without = _bits(wheres, lambda w: name not in w.also)
         lookups.append(F.when(flag(predicate), F.expr("-1L")).otherwise(F.expr(f"{without}L")))
-    return reduce(lambda a, b: a.bitwiseAND(b), lookups)
+    return reduce(lambda a, b: a.bitwiseAND(b), lookups, F.lit((1 << len(wheres)) - 1).cast("bigint"))
+
+
+def metric_masks(wheres: Sequence[Where], predicates: Mapping[str, Column], blocks: int | None = None) -> list[Column]:
+    """A mask for each block of metrics, any number of them; ``blocks`` adds empty ones."""
+    masks = [metric_mask(wheres[i:i + BLOCK], predicates) for i in range(0, len(wheres), BLOCK)]
+    return masks + [F.lit(0).cast("bigint")] * ((blocks or 0) - len(masks))
 
 
 def bit_is_set(mask: str, i: int) -> Column:
@@ -91,22 +95,23 @@ def distinct_counts(
     shuffle, and the second one moves only partial sums.
     """
     names = list(entities)
+    blocks = max(-(-len(metrics) // BLOCK) for _, metrics in entities.values())
+    masks = [f"__m{b}" for b in range(blocks)]
     records = [
-        F.struct(
-            F.lit(n).alias("n"),
-            entities[n][0].cast("string").alias("e"),
-            metric_mask(list(entities[n][1].values()), predicates or {}).alias("m"),
-        ) for n in names
+        F.struct(F.lit(n).alias("n"), entities[n][0].cast("string").alias("e"), *[
+            m.alias(f"m{b}") for b, m in enumerate(metric_masks(list(entities[n][1].values()), predicates or {}, blocks))])
+        for n in names
     ]
-    # The mask is computed once, in the exploded record: a filter on a plain
-    # column would be pushed down and compute it a second time.
+    # The masks are computed once, in the exploded record: a filter on a plain
+    # column would be pushed down and compute them a second time.
     rows = df.select(*keys, F.explode(F.array(*records)).alias("__p")).selectExpr(
-        *[f"`{k}`" for k in keys], "__p.n AS __n", "__p.e AS __e", "__p.m AS __m")
+        *[f"`{k}`" for k in keys], "__p.n AS __n", "__p.e AS __e", *[f"__p.m{b} AS __m{b}" for b in range(blocks)])
+    some = " OR ".join(f"{m} != 0" for m in masks)
     per_entity = (
-        rows.filter("__m != 0 AND __e IS NOT NULL").groupBy(*keys, "__n", "__e").agg(F.bit_or("__m").alias("__m"))
+        rows.filter(f"({some}) AND __e IS NOT NULL").groupBy(*keys, "__n", "__e").agg(*[F.bit_or(m).alias(m) for m in masks])
     )
     return per_entity.groupBy(*keys).agg(*[
-        F.expr(f"count_if(__n = {_text(n)} AND (__m & {1 << i}L) != 0) AS `{metric}`")
+        F.expr(f"count_if(__n = {_text(n)} AND (__m{i // BLOCK} & {1 << i % BLOCK}L) != 0) AS `{metric}`")
         for n in names for i, metric in enumerate(entities[n][1])
     ])
 
@@ -115,14 +120,12 @@ def row_counts(df: DataFrame, keys: Sequence[str], metrics: Mapping[str, Where],
                predicates: Mapping[str, Column] | None = None) -> DataFrame:
     """Row counts under many filters: one scan and one shuffle of partial counts.
 
-    Rows are first counted per (keys, mask), which is a small map-side table,
+    Rows are first counted per (keys, masks), which is a small map-side table,
     and the masks are then taken apart.
     """
-    mask = metric_mask(list(metrics.values()), predicates or {})
-    by_mask = (
-        df.select(*keys, mask.alias("__m"))
-        .groupBy(*keys, "__m").agg(F.count(F.lit(1)).alias("__n"))
-    )
+    masks = [m.alias(f"__m{b}") for b, m in enumerate(metric_masks(list(metrics.values()), predicates or {}))]
+    by_mask = df.select(*keys, *masks).groupBy(*keys, *[f"__m{b}" for b in range(len(masks))]).agg(F.count(F.lit(1)).alias("__n"))
     return by_mask.groupBy(*keys).agg(*[
-        F.expr(f"coalesce(sum(__n) FILTER (WHERE (__m & {1 << i}L) != 0), 0L) AS `{m}`") for i, m in enumerate(metrics)
+        F.expr(f"coalesce(sum(__n) FILTER (WHERE (__m{i // BLOCK} & {1 << i % BLOCK}L) != 0), 0L) AS `{m}`")
+        for i, m in enumerate(metrics)
     ])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.cells import Day, day_lit
@@ -33,13 +33,8 @@ def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str])
     return left.join(r, cond, "left").drop(*[f"__{k}" for k in keys])
 
 
-def left_join_all(base: DataFrame, frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Left join frames that each have one row per key."""
-    return reduce(lambda a, b: a.join(b, list(keys), "left"), frames, base)
-
-
 def align(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Full outer alignment of frames that each have one row per key.
+    """Full outer alignment of frames that each have one row per key; a frame with a key twice is an error.
 
     The frames are stacked and folded by one aggregation, so N frames cost one
     small shuffle and not a chain of N-1 full outer joins.  Keys are matched by
@@ -49,7 +44,12 @@ def align(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     if len(set(measures)) != len(measures):
         raise ValueError("each measure must come from one frame only")
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return stacked.groupBy(*keys).agg(*[F.coalesce(F.max(m), F.lit(0)).alias(m) for m in measures])
+
+    def only(m: str) -> Column:
+        twice = F.raise_error(F.lit(f"a frame has a key with two values of {m}"))
+        return F.when(F.count(m) > 1, twice).otherwise(F.coalesce(F.max(m), F.lit(0)))
+
+    return stacked.groupBy(*keys).agg(*[only(m).alias(m) for m in measures])
 
 
 def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:

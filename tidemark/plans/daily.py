@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import predicates as P
-from tidemark.functions.attribution import Rule
+from tidemark.functions.attribution import Rules
 from tidemark.functions.cells import as_day
 from tidemark.operators import dims
 from tidemark.operators.frames import day_spine
@@ -39,14 +39,13 @@ class ScreenTables:
     excluded: P.Excluded
 
 
-def screen_reports(spark: SparkSession, t: ScreenTables, devices: dims.DeviceRules, campaigns: Iterable[Rule],
+def screen_reports(spark: SparkSession, t: ScreenTables, devices: dims.DeviceRules, campaigns: Rules,
                    root: str, first_mark: dt.date | None = None) -> list[Report]:
     """Reports of the in-car screens, in load order.
 
     The scale report reads the calendar and the trip report from their tables.
     ``first_mark`` replaces the built-in marks of empty tables.
     """
-    campaigns = list(campaigns)
     city = dims.city_dim(t.service, t.info, t.car, devices)
     agents = dims.agent_dim(t.service, t.info, devices)
     bound = dims.city_bindings(t.service, t.info, t.car, devices)

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed_values as V
 from tidemark.functions import predicates as P
-from tidemark.functions.attribution import Rule, attribute
+from tidemark.functions.attribution import PARTS, Rules, attributed
 from tidemark.functions.cells import Day, blank_to_zero, flag, key_label
 from tidemark.operators.cumulative import cumulative, increments, running
 from tidemark.operators.rollup import roll_up
@@ -18,13 +16,16 @@ CITY_KEYS = ("date", "city_sn", "car_type")
 CONTENT_KEYS = (*CITY_KEYS, "contentid", "tag")
 
 
-def scan_counts(events: DataFrame, rules: Iterable[Rule], excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
-    """Scans per day and attributed campaign content."""
+def _scans(events: DataFrame, rules: Rules, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
+    """Scans counted by (p_date, video): first by what the rules look at, so that few rows meet the rules."""
     scans = P.prod_events(events, excluded, start, end).filter(F.col("event") == "SCAN")
-    return (
-        scans.select(F.col("p_date").alias("date"), attribute(rules).alias("video"))
-        .groupBy("date", "video").agg(F.count(F.lit(1)).alias("scan_cnt"))
-    )
+    counted = scans.groupBy("p_date", *PARTS).agg(F.count(F.lit(1)).alias("n"))
+    return attributed(counted, rules, ["p_date"])
+
+
+def scan_counts(events: DataFrame, rules: Rules, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
+    """Scans per day and attributed campaign content."""
+    return _scans(events, rules, excluded, start, end).groupBy(F.col("p_date").alias("date"), "video").agg(F.sum("n").alias("scan_cnt"))
 
 
 def play_counts(events: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
@@ -49,7 +50,7 @@ def play_counts(events: DataFrame, excluded: P.Excluded, start: Day, end: Day) -
 
 
 def content_play_day(
-    events: DataFrame, rules: Iterable[Rule], excluded: P.Excluded, start: Day, end: Day
+    events: DataFrame, rules: Rules, excluded: P.Excluded, start: Day, end: Day
 ) -> DataFrame:
     """In-trip plays by (date, content, tag) with the scans of the content.
 
@@ -73,12 +74,11 @@ def content_play_total(events: DataFrame, excluded: P.Excluded, start: Day, end:
     ).withColumn("contentid", blank_to_zero(F.col("contentid"))).withColumnRenamed("p_date", "date")
 
 
-def scan_total(events: DataFrame, rules: Iterable[Rule], excluded: P.Excluded, start: Day, end: Day,
+def scan_total(events: DataFrame, rules: Rules, excluded: P.Excluded, start: Day, end: Day,
                history: Day = V.EVENT_HISTORY_START) -> DataFrame:
     """Scans per attributed content from history start to each day."""
-    scans = P.prod_events(events, excluded, history, end).filter(F.col("event") == "SCAN")
     return cumulative(
-        scans.select("p_date", attribute(rules).alias("video")), ["video"], start, end, counts=["total_scan_cnt"],
+        _scans(events, rules, excluded, history, end), ["video"], start, end, sums={"total_scan_cnt": F.col("n")},
     ).withColumnRenamed("p_date", "date")
 
 

@@ -55,9 +55,9 @@ def order_lines(lines: DataFrame, drivers: DataFrame, user_tag: DataFrame, sku:
         "update_time")
 
 
-def order_cost(line_facts: DataFrame) -> DataFrame:
-    """Cost per order over all its lines, whatever their day."""
-    return line_facts.groupBy("order_sn").agg(F.sum("cost_price").alias("cost"))
+def order_cost(line_facts: DataFrame, orders: DataFrame) -> DataFrame:
+    """Cost per order over all its lines, whatever their day, for the orders asked for."""
+    return line_facts.join(orders.select("order_sn").distinct(), "order_sn", "left_semi").groupBy("order_sn").agg(F.sum("cost_price").alias("cost"))
 
 
 def order_facts(orders: DataFrame, drivers: DataFrame, user_tag: DataFrame, line_facts: DataFrame, start: Day,
@@ -66,8 +66,9 @@ def order_facts(orders: DataFrame, drivers: DataFrame, user_tag: DataFrame, line
 
     ``line_facts`` is the loaded result of ``order_lines`` for all days.
     """
-    rows = _enrich(orders.filter(on_days("add_time", start, end)), drivers, user_tag)
-    return rows.join(order_cost(line_facts), "order_sn", "left").select(
+    placed = orders.filter(on_days("add_time", start, end))
+    rows = _enrich(placed, drivers, user_tag)
+    return rows.join(order_cost(line_facts, placed), "order_sn", "left").select(
         "id", "order_sn", "coupon_seq", "driver_id", "driver_tel", "city_sn",
         F.col("leasing_company_sn").alias("company_sn"), "work_type", "user_id", "user_tel", "driver_tag", "price",
         "discount_amount", "pay_amount", "cost", "num", "status", "pay_type", "pay_order_sn", "is_first", "add_time",
@@ -215,10 +216,11 @@ def replenishment_ratings(replenishment: DataFrame, estimate: DataFrame, driver_
     and ratings does not multiply.
     """
     companies = driver_info.select("driver_id", F.col("leasing_company_sn").alias("company_sn")).distinct()
-    owned = replenishment.filter(F.col("rep_type") != 2).select("driver_id", "rep_sn").distinct().join(
-        companies, "driver_id").select("rep_sn", "company_sn").distinct()
     rated = estimate.filter((F.col("level") > 0) & on_days("add_time", start, end)).select(
         as_day(F.col("add_time")).alias("day"), "rep_sn").distinct()
+    # Only the orders rated in the window are looked for in the whole history.
+    asked = replenishment.filter(F.col("rep_type") != 2).join(rated.select("rep_sn").distinct(), "rep_sn", "left_semi")
+    owned = asked.select("driver_id", "rep_sn").distinct().join(companies, "driver_id").select("rep_sn", "company_sn").distinct()
     return rated.join(owned, "rep_sn").groupBy(*KEYS).agg(F.count(F.lit(1)).alias("replenishment_comment_cnt"))
 
 

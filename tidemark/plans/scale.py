@@ -12,7 +12,7 @@ from tidemark.functions import fixed_values as V
 from tidemark.functions import predicates as P
 from tidemark.functions.cells import Day, as_day, day_lit
 from tidemark.operators.cumulative import running
-from tidemark.operators.frames import align, fill_keys
+from tidemark.operators.frames import align, fill_keys, left_join_null_safe
 from tidemark.operators.presence import count_devices, firsts, marks, presence, seen
 from tidemark.operators.rollup import roll_up
 
@@ -105,11 +105,9 @@ def normal_devices(bindings: DataFrame, abnormal: DataFrame, keys: Sequence[str]
 
 
 def daily_presence(rows: DataFrame, dim: DataFrame, keys: Sequence[str], start: Day, end: Day) -> DataFrame:
-    """All same-day device counts from the presence bits, in one join."""
+    """All same-day device counts from the presence bits, in one join.  ``rows`` are marks of the live tables."""
     trip = seen("server") | seen("client")
     shown = presence(rows.filter(P.in_days(start, end, "day")))
-    # A day known from an archived trip table alone is not reported.
-    shown = shown.filter(trip | seen("heartbeat") | seen("splash"))
     return count_devices(shown, dim, keys, {
         "daily_trip_dev_num": trip,
         "daily_online_dev_num": seen("heartbeat") & trip,
@@ -131,6 +129,13 @@ def all_marks(t: ScaleInputs, end: Day) -> DataFrame:
     )
 
 
+def day_marks(t: ScaleInputs, start: Day, end: Day) -> DataFrame:
+    """The signs of the window's days, from the live tables alone."""
+    inside, trips = P.in_days(start, end, "day"), as_day(F.col("add_time")).between(day_lit(start), day_lit(end))
+    return marks(heartbeat=t.heartbeat.filter(inside), server=t.server.filter(trips), client=t.client.filter(trips), archive=[],
+                 splash=t.summary.filter(inside & (F.col("tag") == V.SPLASH)))
+
+
 def device_firsts(t: ScaleInputs, end: Day) -> DataFrame:
     """First trip and first heartbeat per device over the history up to ``end``."""
     return firsts(all_marks(t, end).filter(~seen("splash")))
@@ -146,23 +151,22 @@ def device_scale(t: ScaleInputs, bindings: DataFrame, trip_report: DataFrame, st
     trips = trip_report.withColumnRenamed("date", "day").select(
         *keys, "total_play_dev_cnt", "trip_cnt", F.round(F.col("trip_time_sum") / 60, 0).alias("trip_time"))
     base = bindings_total(bindings, t.calendar, CITY, start, end).join(trips, keys, "left")
-    # Figures matched on the raw keys are lost for a group with a NULL key; the
-    # others match after NULL keys became 0.
+    # Some figures are not reported for a group with a NULL key.  All are matched on
+    # the raw keys and labels come last, so a NULL and a real 0 keep a row each.
     known = F.col("city_sn").isNotNull() & F.col("car_type").isNotNull()
     totals = device_totals(device_firsts(t, end), bindings, CITY, start, end).withColumn(
         "total_trip_dev_num", F.when(known, F.col("total_trip_dev_num")))
     raw = ("daily_heartbeat_dev_num", "daily_online_dev_num_server", "daily_online_dev_num_client")
-    daily = daily_presence(all_marks(t, end), bindings, CITY, start, end).withColumns(
+    daily = daily_presence(day_marks(t, start, end), bindings, CITY, start, end).withColumns(
         {m: F.when(known, F.col(m)) for m in raw})
     frames = [totals, normal_devices(bindings, t.abnormal, CITY, start, end), daily]
-    joined = fill_keys(base, **CITY_FILL).join(
-        align([fill_keys(f, **CITY_FILL) for f in frames], keys), keys, "left")
+    joined = left_join_null_safe(base, align(frames, keys), keys)
     measures = [
         "total_dev_num", "total_heartbeat_dev_num", "total_trip_dev_num", "total_play_dev_cnt", "normal_dev_num",
         "daily_trip_dev_num", "daily_online_dev_num", "daily_play_dev_num", "daily_heartbeat_dev_num",
         "daily_online_dev_num_server", "daily_online_dev_num_client", "trip_cnt", "trip_time",
     ]
-    return joined.select(*keys, *measures).fillna(0, subset=measures)
+    return fill_keys(joined.select(*keys, *measures).fillna(0, subset=measures), **CITY_FILL)
 
 
 def agent_day(t: ScaleInputs, days: DataFrame, bindings: DataFrame, agents: DataFrame, start: Day, end: Day) -> DataFrame:
@@ -176,7 +180,7 @@ def agent_day(t: ScaleInputs, days: DataFrame, bindings: DataFrame, agents: Data
     base = bindings_total(bindings, t.calendar, AGENT, start, end)
     totals = device_totals(device_firsts(t, end), bindings, AGENT, start, end, one_group=True).withColumn(
         "total_trip_dev_num", F.when(F.col("parent_id").isNotNull(), F.col("total_trip_dev_num")))
-    daily = daily_presence(all_marks(t, end), bindings, AGENT, start, end).select(
+    daily = daily_presence(day_marks(t, start, end), bindings, AGENT, start, end).select(
         *keys, "daily_trip_dev_num", "daily_online_dev_num", "daily_play_dev_num", "daily_heartbeat_dev_num")
     facts = roll_up(
         days.withColumnRenamed("p_date", "day"), agents, keys,
@@ -186,15 +190,15 @@ def agent_day(t: ScaleInputs, days: DataFrame, bindings: DataFrame, agents: Data
                           "stream_ad_ended_fulltime": "stream_ad_cnt_fulltime"})
     one = F.lit(1)
     frames = [
-        fill_keys(base, **AGENT_FILL).withColumn("__base", one),
-        fill_keys(totals, **AGENT_FILL).withColumn("__beats", (F.col("total_heartbeat_dev_num") > 0).cast("int")),
-        fill_keys(daily, **AGENT_FILL).withColumn("__daily", one),
+        base.withColumn("__base", one),
+        totals.withColumn("__beats", (F.col("total_heartbeat_dev_num") > 0).cast("int")),
+        daily.withColumn("__daily", one),
         facts.withColumn("__facts", one),
     ]
     # Trip totals belong to bound groups and make no row of their own.
     rows = align(frames, keys).filter("__base + __beats + __daily + __facts > 0").withColumn(
         "total_trip_dev_num", F.when(F.col("__base") > 0, F.col("total_trip_dev_num")).otherwise(F.lit(0)))
-    return rows.select(
+    return fill_keys(rows, **AGENT_FILL).select(
         *keys, "total_dev_num", "total_trip_dev_num", "daily_trip_dev_num", "daily_online_dev_num",
         "daily_play_dev_num", "trip_cnt", "trip_time_total", "ad_cnt", "show_video_start", "video_time",
         "total_heartbeat_dev_num", "daily_heartbeat_dev_num", "stream_ad_cnt_fulltime", "video_time_fulltime")

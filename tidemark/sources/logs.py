@@ -27,7 +27,7 @@ def parse_scan_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Marked lines split into fields, with ``ok`` telling good from bad.
 
     The word null in a field is no value.  A line is bad when it has too few
-    fields or a driver that is no whole number.
+    fields, a driver that is no whole number, or a time that cannot be read.
     """
     clean = strip(F.replace(F.col(line), F.lit(LEVEL), F.lit("")))
     marked = lines.filter(F.col(line).contains(MARKER)).select(clean.alias("line"))
@@ -38,14 +38,15 @@ def parse_scan_lines(lines: DataFrame, line: str = "value") -> DataFrame:
         return F.get("parts", F.lit(i))
 
     driver = null_text(field(DRIVER))
+    time = F.substring_index("line", ",", 1).try_cast("timestamp_ntz")
     return split.select(
         field(MODULE).alias("module"),
         null_text(field(USER_TEL)).alias("user_tel"),
         null_text(field(USER_ID)).alias("user_id"),
         null_text(field(SHELF)).alias("shelf_sn"),
         driver.try_cast("bigint").alias("driver_id"),
-        F.substring_index("line", ",", 1).try_cast("timestamp_ntz").alias("add_time"),
-        ((F.size("parts") > DRIVER) & (driver.isNull() | driver.try_cast("bigint").isNotNull())).alias("ok"),
+        time.alias("add_time"),
+        ((F.size("parts") > DRIVER) & time.isNotNull() & (driver.isNull() | driver.try_cast("bigint").isNotNull())).alias("ok"),
         "line",
     )
 
