@@ -31,6 +31,7 @@ END_ID = 1
 DIMS, BITS = 4, 15
 #: Python splits at these as well, tokenizers do not: texts with them are tokenized as a whole.
 ONLY_PYTHON = "\x1c\x1d\x1e\x1f"
+STOPS = ".,;:!?"
 #: A sign that stands between words to encode many at once; words with it are encoded alone.
 MARK = "\x01"
 #: Words of at most so many letters are kept with their ids, and so many of them, in a worker (about 200 bytes each).
@@ -53,6 +54,13 @@ class Words:
         self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         a, b, mark = self.encode(["The", "end", MARK])
+        # what words of ASCII letters and single stops give on their own, if the model alone gives the same as the whole
+        stems = ["the", "end", "a", "qwertyuiopasdfghjklzxcvbnm", "its", "don", "nononono", "thlyngreaonti"]
+        model = {w: [t.id for t in self.tokenizer.model.tokenize(w)] for w in stems}
+        stops = dict(zip(STOPS, self.encode(list(STOPS))))
+        same = self.encode(stems) == list(model.values()) and all(
+            self.encode([w + c for w in stems]) == [model[w] + ids for w in stems] for c, ids in stops.items())
+        self.direct = {c: self.packed(ids) for c, ids in stops.items()} if same else {}
         self.folds = self.encode(["THE Él ÀÇÜ"]) == self.encode(["the él àçü"])
         self.apart = self.encode(["The  end\n"]) == [a + b]
         self.mark = mark[0] if self.encode([f"The {MARK} end"]) == [a + mark + b] and len(mark) == 1 else None
@@ -63,12 +71,29 @@ class Words:
     def packed(self, ids) -> bytes:
         return np.array(ids, dtype=self.kind).tobytes()
 
-    def words(self, words: list[str], together: int = 200):
-        """Ids of each word, as bytes."""
+    def words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word, as bytes.  Of words of small ASCII letters, and such words with one stop behind, the parts go
+        to the model at once; the others are encoded many at a time."""
+        out, known, others = {}, self.known, []
+        for word in words:
+            stem = word[:-1] if word[-1] in STOPS and len(word) > 1 else word
+            if not (self.direct and stem.isascii() and stem.isalpha() and stem.islower()):
+                others.append(word)
+                continue
+            ids = known.get(stem) or out.get(stem)
+            if ids is None:
+                ids = out[stem] = self.packed([t.id for t in self.tokenizer.model.tokenize(stem)])
+            if stem is not word:
+                out[word] = ids + self.direct[word[-1]]
+        out.update(zip(others, self.together(others)))
+        return out
+
+    def together(self, words: list[str], many: int = 200):
+        """Ids of each word, as bytes, with a mark between the words of a group."""
         if self.mark is None:
             yield from map(self.packed, self.encode(words))
             return
-        groups = [words[i: i + together] for i in range(0, len(words), together)]
+        groups = [words[i: i + many] for i in range(0, len(words), many)]
         for group, ids in zip(groups, self.encode([f" {MARK} ".join(g) for g in groups])):
             found = np.array(ids, dtype=self.kind)
             cuts = np.flatnonzero(found == self.mark)
@@ -95,7 +120,7 @@ class Words:
         # most look-ups go to a small table of this batch's words, not to the large one
         here = dict.fromkeys(chain.from_iterable(filter(None, split)))
         new = [w for w in here if w not in known]
-        known.update(zip(new, self.words(new)))
+        known.update(self.words(new))
         here = dict(zip(here, map(known.__getitem__, here)))
         out = []
         for text, words in zip(texts, split):
@@ -162,46 +187,19 @@ def places(ids: list[np.ndarray], seed: int) -> np.ndarray:
 
 
 def tokenized(batches, path: str, end_id: int, seed: int):
-    """(row, id, text) to (row, id, curve number, length, ids as 16- or 32-bit little-endian numbers)."""
+    """(row, id, text) to (row, id, curve number, length, ids as little-endian unsigned 32-bit numbers)."""
     words = words_of_path(path, end_id)
-    last = np.array([end_id], dtype=words.kind)
+    last = np.array([end_id], dtype="<u4").tobytes()
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
             ids = words.ids([t or "" for t in part.column(2).to_pylist()])
             yield pa.RecordBatch.from_arrays([
                 part.column(0), part.column(1), pa.array(places(ids, seed), pa.int64()), pa.array([len(i) + 1 for i in ids], pa.int64()),
-                pa.array([i.tobytes() + last.tobytes() for i in ids], pa.binary()),
+                pa.array([i.astype("<u4").tobytes() + last for i in ids], pa.binary()),
             ], names=["row", "id", "place", "n", "ids"])
 
 
-def pieces(batches, length: int):
-    """Rows with their place in the stream to the pieces that sequences cut them into; ids as 32-bit numbers."""
-    for batch in batches:
-        ids_, n_, at_ = batch.column("ids"), batch.column("n").to_numpy(zero_copy_only=False), batch.column("at").to_numpy(zero_copy_only=False)
-        rows, start, size, seq, off, out = [], [], [], [], [], []
-        held = 0
-        for k in range(batch.num_rows):
-            raw, n, at = ids_[k].as_py(), int(n_[k]), int(at_[k])
-            ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4")
-            a = 0
-            while a < n:
-                place = (at + a) % length
-                b = min(n, a + length - place)
-                rows.append(k), start.append(a), size.append(b - a), seq.append((at + a) // length), off.append(place)
-                out.append(ids[a:b].tobytes())
-                a = b
-            held += n
-            if held > 1 << 20 or k + 1 == batch.num_rows:  # bounded output, however long the texts
-                if rows:
-                    yield pa.RecordBatch.from_arrays([
-                        batch.column("id").take(pa.array(rows)), pa.array(start, pa.int64()), pa.array(size, pa.int64()),
-                        pa.array(np.take(n_, rows), pa.int64()), pa.array(seq, pa.int64()), pa.array(off, pa.int64()), pa.array(out, pa.binary()),
-                    ], names=["id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
-                rows, start, size, seq, off, out = [], [], [], [], [], []
-                held = 0
-
-
 def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end_id: int = END_ID, seed: int = 7) -> DataFrame:
     """A row for each piece: ``id_col``, ``start`` (ids of its document before it), ``length``, ``doc_tokens``,
     ``sequence_id``, ``offset`` (in the sequence) and ``ids`` (little-endian unsigned 32-bit numbers)."""
@@ -218,6 +216,14 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
         "part", F.coalesce(F.sum("base").over(ahead), F.lit(0)).alias("base"))
     inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = small.join(base, "part").select("row", (F.col("base") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("at"))
-    joined = tokens.select("row", "id", "n", "ids").join(placed.hint("shuffle_hash"), "row").select("id", "n", "ids", "at")
-    out = joined.mapInArrow(in_tasks(pieces, length=length), f"id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
-    return out.withColumnRenamed("id", id_col)
+    joined = tokens.select("row", "id", "n", "ids").join(placed.hint("shuffle_hash"), "row")
+    # a document's part in each sequence that it touches; positions are inside the document
+    first, last = F.floor(F.col("at") / length), F.floor((F.col("at") + F.col("n") - 1) / length)
+    cut = joined.withColumn("sequence_id", F.explode(F.sequence(first, last)))
+    start = F.greatest(F.col("sequence_id") * length - F.col("at"), F.lit(0).cast("long"))
+    end = F.least((F.col("sequence_id") + 1) * length - F.col("at"), F.col("n"))
+    cut = cut.withColumn("start", start).withColumn("length", end - start)
+    return cut.select(
+        F.col("id").alias(id_col), "start", "length", F.col("n").alias("doc_tokens"), "sequence_id",
+        (F.col("at") + F.col("start") - F.col("sequence_id") * length).alias("offset"),
+        F.substring("ids", (4 * F.col("start") + 1).cast("int"), (4 * F.col("length")).cast("int")).alias("ids"))
