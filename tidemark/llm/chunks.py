@@ -91,7 +91,7 @@ def chunk_rows(batches):
             for a, b in zip(begins.tolist(), ends.tolist()):
                 d = xxhash.xxh3_128_intdigest(data[a:b])
                 high.append(d >> 64), low.append(d & 0xFFFFFFFFFFFFFFFF)
-            if len(high) > 1 << 18:
+            if len(high) > 1 << 16:
                 yield out(rows, start, length, words, high, low, batch.column(0))
                 rows, start, length, words, high, low = [], [], [], [], [], []
         if rows:
