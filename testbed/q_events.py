@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from testbed.registry import plain, query
+from testbed.registry import VIEWS, plain, query
 from testbed.tables import CAMPAIGN_RULES, END, HISTORY, LATE_START, RULES, START, TODAY
 from tidemark.functions import predicates as P
 from tidemark.operators import dims
 from tidemark.operators.trips import device_days
 from tidemark.plans import clicks, interaction, plays, trip_day
 
+# Tags, pages and targets below are fixed values of the log; they must be as they are.
 TRIP = "traceid IS NOT NULL AND traceid <> ''"
 V179 = "TRY_CAST(versioncode AS INT) >= 179"
 ENDED = "(tag = 'SCREEN_OTHER_RECOVER_END' AND message LIKE '内容正常结束%')"
@@ -17,10 +18,38 @@ FULL = PLAY + ",'screensaver_ad_begin','click_show_screensaver_detail','click_in
 HIST = "'SCREEN_OTHER_CONTENT_BEGIN','splash_show_begin','video_banner_click','click_video_detail'"
 LABEL = "CASE WHEN {0} IS NULL OR {0} = '' THEN '0' ELSE {0} END"
 BLANK = "CASE WHEN {0} = '' THEN '0' ELSE {0} END"
-VIDEO_OF = """CASE WHEN utmcontent LIKE '%//a/%' THEN 'c0' WHEN utmcontent = 'http://b/1' THEN 'c1'
- WHEN utmcontent IN ('http://b/2', 'http://b/3') THEN 'c2' WHEN utmsource = 'src0' AND utmcampaign = 'camp0' THEN 'c3'
- WHEN utmsource = 'src1' AND utmcampaign = 'camp0' THEN 'c4' WHEN utmsource = 'src1' AND utmcampaign = 'camp1' THEN 'c5'
- WHEN utmsource = 'src1' THEN 'c9' ELSE 'else ' END"""
+PLAYED_NOW = f"(tag IN ({PLAY}) OR {ENDED})"
+IN_TRIP = f"{TRIP} AND {V179}"
+# The campaign rules of the test tables as rows; a scan belongs to the first rule that holds.
+VIEWS["campaign_rule"] = "SELECT * FROM (VALUES " + ", ".join(
+    "({}, {})".format(r.priority, ", ".join("NULL" if v is None else f"'{v}'" for v in (r.target, r.source, r.campaign, r.content, r.kind)))
+    for r in CAMPAIGN_RULES) + ") v(priority, target, source, campaign, content, kind)"
+VIEWS["campaign_of"] = """SELECT x.utmsource, x.utmcampaign, x.utmcontent, COALESCE(arg_min(r.target, r.priority), 'else ') AS video
+FROM (SELECT DISTINCT utmsource, utmcampaign, utmcontent FROM screen_event) x LEFT JOIN campaign_rule r
+  ON COALESCE(r.source = x.utmsource, r.source IS NULL) AND COALESCE(r.campaign = x.utmcampaign, r.campaign IS NULL)
+  AND CASE WHEN r.content IS NULL THEN TRUE WHEN x.utmcontent IS NULL THEN FALSE WHEN r.kind = 'eq' THEN r.content = x.utmcontent
+    ELSE position(r.content IN x.utmcontent) > 0 END
+GROUP BY ALL"""
+VIEWS["scanned"] = """SELECT e.p_date, c.video FROM ev_hist e, campaign_of c WHERE e.event = 'SCAN'
+AND (e.utmsource, e.utmcampaign, e.utmcontent) IS NOT DISTINCT FROM (c.utmsource, c.utmcampaign, c.utmcontent)"""
+
+
+def ledger(keys: str, parts: list[tuple[str, str, str]], source: str = "", where: str = "TRUE") -> str:
+    """Every measure as postings of its own set of rows, added up by the keys: (measure, amount, rows)."""
+    posted = " UNION ALL BY NAME ".join(f"SELECT * EXCLUDE (amount), amount AS {m} FROM (SELECT *, {amount} AS amount FROM ({rows}) r_{m}) p_{m}"
+                                        for m, amount, rows in parts)
+    sums = ", ".join(f"SUM(COALESCE({m}, 0)) AS {m}" for m, _, _ in parts)
+    return f"SELECT {keys}, {sums} FROM ({posted}) postings {source} WHERE {where} GROUP BY ALL"
+
+
+def listed(measures: dict[str, str]) -> str:
+    """Counts as whole numbers and sums of doubles rounded, in that order of names."""
+    return ", ".join(f"CAST({m} AS BIGINT) AS {m}" if kind == "n" else f"ROUND({m}, 3) AS {m}" for m, kind in measures.items())
+
+
+CITY_OF = "JOIN dim ON devicename = third_code"
+WHOLE = "city_sn IS NOT NULL AND car_type IS NOT NULL AND contentid IS NOT NULL"
+UNTIL = "FROM span JOIN ev_hist ON p_date <= day WHERE day >= DATE '" + LATE_START + "'"
 
 
 def city(t):
@@ -38,107 +67,107 @@ def days(t):
 # --- plays ----------------------------------------------------------------------
 
 @query("r1_content_play_day", f"""
-SELECT a.p_date AS date, {LABEL.format('a.contentid')} AS contentid, a.tag, b.play_dev_cnt, a.play_trip_cnt, a.play_cnt,
-  COALESCE(s.scan_cnt, 0) AS scan_cnt, ROUND(COALESCE(b.play_time, 0), 3) AS play_time
-FROM (SELECT p_date, contentid, tag, COUNT(DISTINCT traceid) AS play_trip_cnt, COUNT(1) AS play_cnt FROM ev
-      WHERE (tag IN ({PLAY}) OR {ENDED}) AND {TRIP} AND {V179} GROUP BY p_date, contentid, tag) a
-LEFT JOIN (SELECT p_date, contentid, tag, COUNT(DISTINCT devicename) AS play_dev_cnt, SUM(playtime) AS play_time FROM ev
-      WHERE tag IN ({PLAY}, 'SCREEN_OTHER_RECOVER_END') AND {TRIP} AND {V179} GROUP BY p_date, contentid, tag) b
-  ON a.p_date = b.p_date AND a.contentid IS NOT DISTINCT FROM b.contentid AND a.tag = b.tag
-LEFT JOIN (SELECT p_date, {VIDEO_OF} AS video, COUNT(1) AS scan_cnt FROM ev WHERE event = 'SCAN' GROUP BY 1, 2) s
-  ON a.p_date = s.p_date AND a.contentid = s.video""")
+SELECT g.p_date AS date, {LABEL.format('g.contentid')} AS contentid, g.tag,
+  (SELECT COUNT(DISTINCT devicename) {{timed}}) AS play_dev_cnt, (SELECT COUNT(DISTINCT traceid) {{played}}) AS play_trip_cnt,
+  (SELECT COUNT(*) {{played}}) AS play_cnt, (SELECT COUNT(*) FROM scanned s WHERE s.p_date = g.p_date AND s.video = g.contentid) AS scan_cnt,
+  ROUND(COALESCE((SELECT SUM(playtime) {{timed}}), 0), 3) AS play_time
+FROM (SELECT DISTINCT p_date, contentid, tag FROM ev WHERE {PLAYED_NOW} AND {IN_TRIP}) g""".format(**{
+    name: f"FROM ev x WHERE x.p_date = g.p_date AND x.contentid IS NOT DISTINCT FROM g.contentid AND x.tag = g.tag AND {IN_TRIP} AND {where}"
+    for name, where in {"played": PLAYED_NOW, "timed": f"x.tag IN ({PLAY}, 'SCREEN_OTHER_RECOVER_END')"}.items()}))
 def _(t):
     return plain(plays.content_play_day(t.screen_event, CAMPAIGN_RULES, t.excluded, START, END))
 
 
-@query("r1a_scan_counts", f"""
-SELECT p_date AS date, {VIDEO_OF} AS video, COUNT(1) AS scan_cnt FROM ev WHERE event = 'SCAN' GROUP BY 1, 2""")
+@query("r1a_scan_counts", f"SELECT p_date AS date, video, COUNT(*) AS scan_cnt FROM scanned WHERE p_date >= DATE '{START}' GROUP BY ALL")
 def _(t):
     return plays.scan_counts(t.screen_event, CAMPAIGN_RULES, t.excluded, START, END)
 
 
+_HIST_IN_TRIP = f"{UNTIL} AND (tag IN ({HIST}) OR {ENDED}) AND {IN_TRIP}"
+
+
 @query("r1b_content_play_total", f"""
-SELECT s.day AS date, {BLANK.format('e.contentid')} AS contentid, e.tag, COUNT(DISTINCT e.devicename) AS total_play_dev_cnt,
-  COUNT(1) AS total_play_cnt, ROUND(COALESCE(SUM(e.playtime), 0), 3) AS total_play_time
-FROM span s JOIN ev e ON s.day >= e.p_date
-WHERE (e.tag IN ({HIST}) OR {ENDED}) AND {TRIP} AND {V179} AND s.day >= DATE '{LATE_START}'
-GROUP BY s.day, e.contentid, e.tag""")
+SELECT date, {BLANK.format('contentid')} AS contentid, tag, {listed({'total_play_dev_cnt': 'n', 'total_play_cnt': 'n', 'total_play_time': 's'})}
+FROM ({ledger('day AS date, contentid, tag', [
+    ('total_play_dev_cnt', '1', f'SELECT DISTINCT day, contentid, tag, devicename {_HIST_IN_TRIP}'),
+    ('total_play_cnt', '1', f'SELECT day, contentid, tag {_HIST_IN_TRIP}'),
+    ('total_play_time', 'playtime', f'SELECT day, contentid, tag, playtime {_HIST_IN_TRIP}')])}) sums""")
 def _(t):
     return plain(plays.content_play_total(t.screen_event, t.excluded, LATE_START, END, history=HISTORY))
 
 
 @query("r1c_scan_total", f"""
-SELECT s.day AS date, e.video, COUNT(1) AS total_scan_cnt
-FROM span s JOIN (SELECT p_date, {VIDEO_OF} AS video FROM ev WHERE event = 'SCAN') e ON s.day >= e.p_date
-WHERE s.day >= DATE '{LATE_START}' GROUP BY s.day, e.video""")
+SELECT d.day AS date, so_far.video, so_far.total_scan_cnt FROM (SELECT day FROM span WHERE day >= DATE '{LATE_START}') d,
+LATERAL (SELECT video, COUNT(*) AS total_scan_cnt FROM scanned WHERE p_date <= d.day GROUP BY video) so_far""")
 def _(t):
     return plays.scan_total(t.screen_event, CAMPAIGN_RULES, t.excluded, LATE_START, END, history=HISTORY)
 
 
+def _ad_plays(tags: str, where: str) -> tuple[str, str]:
+    """Rows that are plays, and rows whose time and device count."""
+    rows = f"FROM ev WHERE adsn <> '' AND {where}"
+    return f"{rows} AND (tag IN ({tags}) OR {ENDED})", f"{rows} AND tag IN ({tags}, 'SCREEN_OTHER_RECOVER_END')"
+
+
+_K = "p_date, devicename, contentid, tag"
+_AD_KEYS = f"p_date AS date, city_sn, car_type, {BLANK.format('contentid')} AS contentid, tag"
+_R2, _R2_TIMED = _ad_plays(PLAY, IN_TRIP)
+_R3, _R3_TIMED = _ad_plays(FULL, "TRUE")
+
+
 @query("r2_ad_play_day", f"""
-WITH a AS (SELECT p_date, city_sn, car_type, {BLANK.format('contentid')} AS c, tag, SUM(trips) AS trips, SUM(n) AS n
-  FROM (SELECT p_date, devicename, contentid, tag, COUNT(DISTINCT traceid) AS trips, COUNT(1) AS n FROM ev
-        WHERE (tag IN ({PLAY}) OR {ENDED}) AND {TRIP} AND {V179} AND adsn <> '' GROUP BY ALL) x
-  JOIN dim ON x.devicename = dim.third_code GROUP BY 1, 2, 3, 4, 5),
-b AS (SELECT p_date, city_sn, car_type, {BLANK.format('contentid')} AS c, tag, SUM(devs) AS devs, SUM(pt) AS pt
-  FROM (SELECT p_date, devicename, contentid, tag, COUNT(DISTINCT devicename) AS devs, SUM(playtime) AS pt FROM ev
-        WHERE tag IN ({PLAY}, 'SCREEN_OTHER_RECOVER_END') AND {TRIP} AND {V179} AND adsn <> '' GROUP BY ALL) x
-  JOIN dim ON x.devicename = dim.third_code GROUP BY 1, 2, 3, 4, 5)
-SELECT a.p_date AS date, a.city_sn, a.car_type, a.c AS contentid, a.tag, CAST(b.devs AS BIGINT) AS play_dev_cnt,
-  CAST(a.trips AS BIGINT) AS play_trip_cnt, CAST(a.n AS BIGINT) AS play_cnt, ROUND(COALESCE(b.pt, 0), 3) AS play_time
-FROM a LEFT JOIN b ON a.p_date = b.p_date AND a.city_sn = b.city_sn AND a.car_type = b.car_type AND a.c = b.c AND a.tag = b.tag
-WHERE a.city_sn IS NOT NULL AND a.car_type IS NOT NULL AND a.c IS NOT NULL""")
+SELECT date, city_sn, car_type, contentid, tag, {listed({'play_dev_cnt': 'n', 'play_trip_cnt': 'n', 'play_cnt': 'n', 'play_time': 's'})}
+FROM ({ledger(_AD_KEYS, [
+    ('play_dev_cnt', '1', f'SELECT DISTINCT {_K} {_R2_TIMED}'), ('play_trip_cnt', '1', f'SELECT DISTINCT {_K}, traceid {_R2}'),
+    ('play_cnt', '1', f'SELECT {_K} {_R2}'), ('play_time', 'playtime', f'SELECT {_K}, playtime {_R2_TIMED}')],
+    CITY_OF, WHOLE)}) sums WHERE play_cnt > 0""")
 def _(t):
     return plain(plays.ad_play_day(t.screen_event, city(t), t.excluded, START, END))
 
 
+_D = "day, devicename, contentid, tag"
+_AD_TOTAL_KEYS = f"day AS date, city_sn, car_type, {BLANK.format('contentid')} AS contentid, tag"
+_R2A = f"{_HIST_IN_TRIP} AND adsn <> ''"
+_R3A = f"{UNTIL} AND (tag IN ({HIST}) OR {ENDED}) AND adsn <> ''"
+
+
 @query("r2a_ad_play_total", f"""
-SELECT date, city_sn, car_type, {BLANK.format('contentid')} AS contentid, tag, CAST(SUM(trips) AS BIGINT) AS total_play_trip_cnt,
-  CAST(SUM(devs) AS BIGINT) AS total_play_dev_cnt, CAST(SUM(n) AS BIGINT) AS total_play_cnt,
-  ROUND(COALESCE(SUM(pt), 0), 3) AS total_play_time
-FROM (SELECT s.day AS date, devicename, contentid, tag, COUNT(DISTINCT traceid) AS trips, COUNT(DISTINCT devicename) AS devs,
-        COUNT(1) AS n, SUM(playtime) AS pt FROM span s JOIN ev e ON s.day >= e.p_date
-      WHERE (tag IN ({HIST}) OR {ENDED}) AND {TRIP} AND {V179} AND adsn <> '' AND s.day >= DATE '{LATE_START}' GROUP BY ALL) x
-JOIN dim ON x.devicename = dim.third_code
-WHERE city_sn IS NOT NULL AND car_type IS NOT NULL AND contentid IS NOT NULL GROUP BY 1, 2, 3, 4, 5""")
+SELECT date, city_sn, car_type, contentid, tag, {listed({'total_play_trip_cnt': 'n', 'total_play_dev_cnt': 'n', 'total_play_cnt': 'n', 'total_play_time': 's'})}
+FROM ({ledger(_AD_TOTAL_KEYS, [
+    ('total_play_trip_cnt', '1', f'SELECT DISTINCT {_D}, traceid {_R2A}'), ('total_play_dev_cnt', '1', f'SELECT DISTINCT {_D} {_R2A}'),
+    ('total_play_cnt', '1', f'SELECT {_D} {_R2A}'), ('total_play_time', 'playtime', f'SELECT {_D}, playtime {_R2A}')],
+    CITY_OF, WHOLE)}) sums""")
 def _(t):
     return plain(plays.ad_play_total(t.screen_event, city(t), t.excluded, LATE_START, END, history=HISTORY))
 
 
 @query("r3_ad_play_fulltime", f"""
-WITH a AS (SELECT p_date, city_sn, car_type, {BLANK.format('contentid')} AS c, tag, SUM(n) AS n
-  FROM (SELECT p_date, devicename, contentid, tag, COUNT(1) AS n FROM ev
-        WHERE (tag IN ({FULL}) OR {ENDED}) AND adsn <> '' GROUP BY ALL) x
-  JOIN dim ON x.devicename = dim.third_code GROUP BY 1, 2, 3, 4, 5),
-b AS (SELECT p_date, city_sn, car_type, {BLANK.format('contentid')} AS c, tag, SUM(devs) AS devs, SUM(pt) AS pt
-  FROM (SELECT p_date, devicename, contentid, tag, COUNT(DISTINCT devicename) AS devs, SUM(playtime) AS pt FROM ev
-        WHERE tag IN ({FULL}, 'SCREEN_OTHER_RECOVER_END') AND adsn <> '' GROUP BY ALL) x
-  JOIN dim ON x.devicename = dim.third_code GROUP BY 1, 2, 3, 4, 5)
-SELECT a.p_date AS date, a.city_sn, a.car_type, a.c AS contentid, a.tag, CAST(COALESCE(b.devs, 0) AS BIGINT) AS play_dev_cnt,
-  CAST(a.n AS BIGINT) AS play_cnt, ROUND(COALESCE(b.pt, 0), 3) AS play_time
-FROM a LEFT JOIN b ON a.p_date = b.p_date AND a.city_sn = b.city_sn AND a.car_type = b.car_type AND a.c = b.c AND a.tag = b.tag
-WHERE a.city_sn IS NOT NULL AND a.car_type IS NOT NULL AND a.c IS NOT NULL""")
+SELECT date, city_sn, car_type, contentid, tag, {listed({'play_dev_cnt': 'n', 'play_cnt': 'n', 'play_time': 's'})}
+FROM ({ledger(_AD_KEYS, [
+    ('play_dev_cnt', '1', f'SELECT DISTINCT {_K} {_R3_TIMED}'), ('play_cnt', '1', f'SELECT {_K} {_R3}'),
+    ('play_time', 'playtime', f'SELECT {_K}, playtime {_R3_TIMED}')], CITY_OF, WHOLE)}) sums WHERE play_cnt > 0""")
 def _(t):
     return plain(plays.ad_play_fulltime(t.screen_event, city(t), t.excluded, START, END))
 
 
 @query("r3a_ad_play_fulltime_total", f"""
-SELECT date, city_sn, car_type, {BLANK.format('contentid')} AS contentid, tag,
-  CAST(SUM(devs) AS BIGINT) AS total_play_dev_cnt, CAST(SUM(n) AS BIGINT) AS total_play_cnt,
-  ROUND(COALESCE(SUM(pt), 0), 3) AS total_play_time
-FROM (SELECT s.day AS date, devicename, contentid, tag, COUNT(DISTINCT devicename) AS devs,
-        COUNT(1) AS n, SUM(playtime) AS pt FROM span s JOIN ev e ON s.day >= e.p_date
-      WHERE (tag IN ({HIST}) OR {ENDED}) AND adsn <> '' AND s.day >= DATE '{LATE_START}' GROUP BY ALL) x
-JOIN dim ON x.devicename = dim.third_code
-WHERE city_sn IS NOT NULL AND car_type IS NOT NULL AND contentid IS NOT NULL GROUP BY 1, 2, 3, 4, 5""")
+SELECT date, city_sn, car_type, contentid, tag, {listed({'total_play_dev_cnt': 'n', 'total_play_cnt': 'n', 'total_play_time': 's'})}
+FROM ({ledger(_AD_TOTAL_KEYS, [
+    ('total_play_dev_cnt', '1', f'SELECT DISTINCT {_D} {_R3A}'), ('total_play_cnt', '1', f'SELECT {_D} {_R3A}'),
+    ('total_play_time', 'playtime', f'SELECT {_D}, playtime {_R3A}')], CITY_OF, WHOLE)}) sums""")
 def _(t):
     return plain(plays.ad_play_fulltime_total(t.screen_event, city(t), t.excluded, LATE_START, END, history=HISTORY))
 
 
+_PLAN = f"FROM ev WHERE tag IN ({FULL}, 'click_screensaver_dialog') OR {ENDED}"
+
+
 @query("r4_ad_plan_day", f"""
-SELECT p_date AS date, {LABEL.format('adsn')} AS adsn, tag, play_dev_cnt, play_trip_cnt, play_cnt FROM
-(SELECT p_date, adsn, tag, COUNT(DISTINCT devicename) AS play_dev_cnt, COUNT(DISTINCT traceid) AS play_trip_cnt,
-   COUNT(1) AS play_cnt FROM ev WHERE tag IN ({FULL}, 'click_screensaver_dialog') OR {ENDED} GROUP BY p_date, adsn, tag) x""")
+SELECT date, {LABEL.format('adsn')} AS adsn, tag, {listed({'play_dev_cnt': 'n', 'play_trip_cnt': 'n', 'play_cnt': 'n'})}
+FROM ({ledger('p_date AS date, adsn, tag', [
+    ('play_dev_cnt', '1', f'SELECT DISTINCT p_date, adsn, tag, devicename {_PLAN}'),
+    ('play_trip_cnt', 'CAST(traceid IS NOT NULL AS INT)', f'SELECT DISTINCT p_date, adsn, tag, traceid {_PLAN}'),
+    ('play_cnt', '1', f'SELECT p_date, adsn, tag {_PLAN}')])}) sums""")
 def _(t):
     return plays.ad_plan_day(t.screen_event, t.excluded, START, END)
 
@@ -160,7 +189,8 @@ ON_ROAD = f"""SELECT date, city_sn, car_type, COUNT(devicename) AS daily_trip_de
 # Devices of the snapshot, with whether any of its days puts them in the special city.
 POINTS = f"""SELECT p_date AS date, city_sn, car_type, COUNT(*) AS daily_play_dev_cnt
 FROM (SELECT e.p_date, e.devicename FROM ev e
-      JOIN (SELECT devicename, BOOL_OR(city_sn = 310100) AS special FROM device_snapshot GROUP BY devicename) listed USING (devicename)
+      JOIN (SELECT devicename, BOOL_OR(city_sn = 310100) AS special FROM device_snapshot
+            WHERE p_date IN (SELECT day FROM span) GROUP BY devicename) listed USING (devicename)
       GROUP BY ALL HAVING BOOL_OR(tag IN ('splash_show_begin', 'SCREEN_OTHER_CONTENT_BEGIN') AND {TRIP})
         OR BOOL_OR(special AND tag IN ('screensaver_ad_begin', 'SCREEN_OTHER_CONTENT_BEGIN'))) points
 JOIN dim ON devicename = third_code WHERE city_sn IS NOT NULL AND car_type IS NOT NULL GROUP BY ALL"""
@@ -215,10 +245,10 @@ def _(t):
     return trip_day.on_road_devices(t.screen_event, city(t), t.excluded, START, END)
 
 
-TOTAL = """SELECT date, city_sn, car_type, COUNT(devicename) AS {name} FROM
-  (SELECT DISTINCT s.day AS date, devicename FROM span s JOIN ev e ON s.day >= e.p_date
-   WHERE {where} AND s.day >= DATE '{late}') x
-  JOIN dim ON x.devicename = dim.third_code WHERE city_sn IS NOT NULL AND car_type IS NOT NULL GROUP BY 1, 2, 3"""
+# Day by day: which devices have been seen by then?
+TOTAL = """SELECT d.day AS date, so_far.* FROM (SELECT day FROM span WHERE day >= DATE '{late}') d,
+LATERAL (SELECT city_sn, car_type, COUNT(*) AS {name} FROM dim WHERE city_sn IS NOT NULL AND car_type IS NOT NULL
+  AND EXISTS (SELECT 1 FROM ev_hist e WHERE e.devicename = third_code AND e.p_date <= d.day AND {where}) GROUP BY ALL) so_far"""
 
 
 @query("r5c_points_total", TOTAL.format(name="total_play_dev_cnt", where="tag = 'splash_show_begin'", late=LATE_START))
@@ -250,29 +280,35 @@ def _(t):
 
 # --- clicks -------------------------------------------------------------------------
 
+_TAB_CLICK = f"FROM ev WHERE {IN_TRIP} AND tag = 'screen_tab_click'"
+_C = "p_date, devicename, targetvalue"
+
+
 @query("r6_tab_clicks", f"""
-SELECT date, city_sn, car_type, {BLANK.format('targetvalue')} AS targetvalue, CAST(SUM(n) AS BIGINT) AS click_times,
-  CAST(SUM(trips) AS BIGINT) AS click_trip_cnt, CAST(SUM(devs) AS BIGINT) AS click_dev_cnt FROM
-  (SELECT p_date AS date, devicename, targetvalue, COUNT(1) AS n, COUNT(DISTINCT traceid) AS trips,
-     COUNT(DISTINCT devicename) AS devs FROM ev WHERE {TRIP} AND {V179} AND tag = 'screen_tab_click' GROUP BY ALL) x
-  JOIN dim ON x.devicename = dim.third_code
-WHERE city_sn IS NOT NULL AND car_type IS NOT NULL AND targetvalue IS NOT NULL GROUP BY 1, 2, 3, 4""")
+SELECT date, city_sn, car_type, targetvalue, {listed({'click_times': 'n', 'click_trip_cnt': 'n', 'click_dev_cnt': 'n'})}
+FROM ({ledger(f"p_date AS date, city_sn, car_type, {BLANK.format('targetvalue')} AS targetvalue", [
+    ('click_times', '1', f'SELECT {_C} {_TAB_CLICK}'), ('click_trip_cnt', '1', f'SELECT DISTINCT {_C}, traceid {_TAB_CLICK}'),
+    ('click_dev_cnt', '1', f'SELECT DISTINCT {_C} {_TAB_CLICK}')],
+    CITY_OF, "city_sn IS NOT NULL AND car_type IS NOT NULL AND targetvalue IS NOT NULL")}) sums""")
 def _(t):
     return clicks.tab_clicks(t.screen_event, city(t), t.excluded, START, END)
 
 
+_VIDEO_CLICK = "FROM ev WHERE length(traceid) > 0 AND TRY_CAST(versioncode AS INT) > 203 AND tag IN ('click_video_detail', 'video_banner_click')"
+_V = "p_date, tag, page, currentvalue"
+
+
 @query("r7_video_clicks", f"""
-SELECT p_date AS date, tag, {BLANK.format('page')} AS page, {BLANK.format('currentvalue')} AS currentvalue, click_trip_cnt, click_cnt
-FROM (SELECT p_date, tag, page, currentvalue, COUNT(DISTINCT traceid) AS click_trip_cnt, COUNT(1) AS click_cnt FROM ev
-  WHERE traceid <> '' AND TRY_CAST(versioncode AS INT) >= 204 AND tag IN ('click_video_detail', 'video_banner_click')
-  GROUP BY p_date, tag, page, currentvalue) x""")
+SELECT date, tag, {BLANK.format('page')} AS page, {BLANK.format('currentvalue')} AS currentvalue, {listed({'click_trip_cnt': 'n', 'click_cnt': 'n'})}
+FROM ({ledger('p_date AS date, tag, page, currentvalue', [
+    ('click_trip_cnt', '1', f'SELECT DISTINCT {_V}, traceid {_VIDEO_CLICK}'), ('click_cnt', '1', f'SELECT {_V} {_VIDEO_CLICK}')])}) sums""")
 def _(t):
     return clicks.video_clicks(t.screen_event, t.excluded, START, END)
 
 
 @query("r8_scan_extract", f"""
-SELECT {BLANK.format('utmsource')} AS utmsource, {BLANK.format('utmcampaign')} AS utmcampaign,
-  {BLANK.format('utmcontent')} AS utmcontent, p_date AS date FROM ev WHERE event = 'SCAN'""")
+SELECT p_date AS date, {', '.join(f"rpad({c}, CAST(greatest(length({c}), 1) AS INT), '0') AS {c}" for c in ('utmsource', 'utmcampaign', 'utmcontent'))}
+FROM ev WHERE event = 'SCAN'""")
 def _(t):
     return clicks.scan_extract(t.screen_event, t.excluded, START, END)
 

@@ -11,7 +11,7 @@ from testbed import q_retail  # noqa: F401  registers the scan_log view used bel
 from testbed.q_events import ENDED_SUMMARY, LABEL, PAIR, BEGIN_SUMMARY, agents, city, days
 from testbed.q_scale import R13_SQL, agent_bindings, bindings, inputs
 from testbed.registry import plain, query
-from testbed.tables import CAMPAIGN_RULES, END, RULES, START
+from testbed.tables import CAMPAIGN_RULES, END, RULES, START, TODAY
 from tidemark.functions import predicates as P
 from tidemark.functions.attribution import PARTS, Rule, attributed
 from tidemark.operators import dims, frames
@@ -287,7 +287,7 @@ def _(t):
 
 @query("k2_replace_days", f"""
 SELECT day, CASE WHEN day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' THEN n + 1 ELSE n END AS n FROM ({BEATS_SQL}) x
-WHERE day <> DATE '2024-01-06'""")
+WHERE day <> DATE '2024-01-06' AND day BETWEEN DATE '{START}' AND DATE '{END}'""")
 def _(t):
     path, beats = scratch(t, "beats"), _beats(t)
     sink.replace_days(beats, path, START, END)
@@ -333,10 +333,10 @@ FROM ev WHERE (tag IN ('SCREEN_OTHER_CONTENT_BEGIN','splash_show_begin','video_b
   AND traceid <> '' AND TRY_CAST(versioncode AS INT) >= 179 GROUP BY p_date, contentid, tag""")
 def _(t):
     report = incremental.Report(
-        "content_play_day", day="date", default=D("2023-12-31"),
+        "content_play_day", day="date", default=D(START) - dt.timedelta(days=1),
         build=lambda w: plays.content_play_day(t.screen_event, CAMPAIGN_RULES, t.excluded, w.start, w.end))
     path = scratch(t, "content_play_day")
-    for today in ("2024-01-11", "2024-01-11", "2024-02-01"):
+    for today in ("2024-01-11", "2024-01-11", TODAY):
         incremental.load(t.spark, report, path, D(today))
     return t.spark.read.parquet(path).select("date", "contentid", "tag", "play_trip_cnt", "play_cnt")
 
@@ -350,10 +350,10 @@ def screen_run(t):
 
 
 # The run's own calendar holds every day of the window.
-@query("i4_scale_after_trip_day", R13_SQL.replace("calendar a", "span a"))
+@query("i4_scale_after_trip_day", R13_SQL.replace("SELECT day FROM calendar INTERSECT ", "").replace("calendar a", "span a"))
 def _(t):
     root = scratch(t, "screen")
-    reports = daily.screen_reports(t.spark, screen_run(t), RULES, CAMPAIGN_RULES, root, D("2023-12-31"))
+    reports = daily.screen_reports(t.spark, screen_run(t), RULES, CAMPAIGN_RULES, root, D(START) - dt.timedelta(days=1))
     wanted = [r for r in reports if r.name in ("calendar", "trip_day", "device_scale")]
-    incremental.run_all(t.spark, wanted, root, D("2024-02-01"))
+    incremental.run_all(t.spark, wanted, root, D(TODAY))
     return plain(t.spark.read.parquet(f"{root}/device_scale"))

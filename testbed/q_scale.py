@@ -33,8 +33,10 @@ def _k(keys: tuple[str, ...], prefix: str = "") -> str:
 
 
 def bound_total(keys) -> str:
-    return f"""SELECT a.day, {_k(keys, 'b.')}, COUNT(1) AS total_dev_num FROM calendar a JOIN dim b ON a.day >= b.bind_day
-WHERE a.day >= DATE '2019-08-12' AND a.day BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY a.day, {_k(keys, 'b.')}"""
+    # day by day: how many bindings are there by then?
+    return f"""SELECT c.day, {_k(keys, 'so_far.')}, so_far.n AS total_dev_num
+FROM (SELECT day FROM calendar INTERSECT SELECT day FROM span WHERE day >= DATE '2019-08-12') c,
+LATERAL (SELECT {_k(keys)}, COUNT(*) AS n FROM dim WHERE bind_day <= c.day GROUP BY ALL) so_far"""
 
 
 def trips_total(keys, dim: str = "dim") -> str:
@@ -60,7 +62,7 @@ GROUP BY s.day, {_k(keys, 'b.')}"""
 def _same_day(keys, pairs: str, name: str) -> str:
     """Distinct devices of (device, day) pairs per day and group."""
     return f"""SELECT p.day, {_k(keys, 'g.')}, COUNT(DISTINCT p.device) AS {name} FROM ({pairs}) p
-JOIN dim g ON p.device = g.third_code GROUP BY ALL"""
+JOIN dim g ON p.device = g.third_code WHERE p.day IN (SELECT day FROM span) GROUP BY ALL"""
 
 
 _LIVE = "SELECT device_name AS device, CAST(add_time AS DATE) AS day FROM {0}"
@@ -133,30 +135,34 @@ def _(t):
     return total.filter("total_heartbeat_dev_num > 0").drop("total_trip_dev_num")
 
 
-def _left(frames: list[tuple[str, str]], keys) -> str:
-    return " ".join(
-        f"LEFT JOIN ({q}) {a} ON b0.day = {a}.day AND " + " AND ".join(f"b0.{k} = {a}.{k}" for k in keys)
-        for a, q in frames)
-
-
-_FILLED = "SELECT * REPLACE (COALESCE(city_sn, 0) AS city_sn, COALESCE(car_type, '0') AS car_type) FROM ({0}) z"
 SCALE_MEASURES = (
-    "total_dev_num", "total_heartbeat_dev_num", "total_trip_dev_num", "total_play_dev_cnt", "normal_dev_num",
-    "daily_trip_dev_num", "daily_online_dev_num", "daily_play_dev_num", "daily_heartbeat_dev_num",
-    "daily_online_dev_num_server", "daily_online_dev_num_client", "trip_cnt")
-_BASE = f"""SELECT a.day, a.city_sn, a.car_type, a.total_dev_num, f.total_trip_dev_num, g.total_play_dev_cnt, g.trip_cnt,
-  ROUND(g.trip_time_sum / 60, 0) AS trip_time FROM ({bound_total(C2)}) a
-  LEFT JOIN ({trips_total(C2)}) f ON a.day = f.day AND a.city_sn = f.city_sn AND a.car_type = f.car_type
-  LEFT JOIN ({TRIP_DAY}) g ON a.day = g.date AND a.city_sn = g.city_sn AND a.car_type = g.car_type"""
+    "total_heartbeat_dev_num", "total_trip_dev_num", "total_play_dev_cnt", "normal_dev_num", "daily_trip_dev_num",
+    "daily_online_dev_num", "daily_play_dev_num", "daily_heartbeat_dev_num", "daily_online_dev_num_server",
+    "daily_online_dev_num_client", "trip_cnt")
+# A group without city or car has only these figures.
+OF_ANY_GROUP = ("total_heartbeat_dev_num", "normal_dev_num", "daily_trip_dev_num", "daily_online_dev_num", "daily_play_dev_num")
+_FIGURES = {
+    "total_heartbeat_dev_num": beats_total(C2), "total_trip_dev_num": trips_total(C2), "normal_dev_num": normal(C2),
+    "daily_trip_dev_num": trip_devices(C2), "daily_online_dev_num": online(C2), "daily_play_dev_num": splash(C2),
+    "daily_heartbeat_dev_num": beats(C2), "daily_online_dev_num_server": online_by(C2, "trip_server", SAME_DAY[4]),
+    "daily_online_dev_num_client": online_by(C2, "trip_client", SAME_DAY[5]),
+} | {m: f"SELECT date AS day, city_sn, car_type, MAX({m}) AS {m} FROM ({TRIP_DAY}) x GROUP BY ALL" for m in ("total_play_dev_cnt", "trip_cnt")}
+
+
+def _of_group(measure: str) -> str:
+    """The figure of a bound group by its own keys, NULLs included where the group may have it."""
+    same = "f.city_sn IS NOT DISTINCT FROM g.city_sn AND f.car_type IS NOT DISTINCT FROM g.car_type"
+    if measure not in OF_ANY_GROUP:
+        same = "f.city_sn = g.city_sn AND f.car_type = g.car_type"
+    return f"COALESCE((SELECT MAX(f.{measure}) FROM ({_FIGURES[measure]}) f WHERE f.day = g.day AND {same}), 0) AS {measure}"
 
 
 R13_SQL = f"""
-SELECT b0.day, b0.city_sn, b0.car_type, {', '.join(f'COALESCE({m}, 0) AS {m}' for m in SCALE_MEASURES)},
-  COALESCE(trip_time, 0) AS trip_time
-FROM ({_FILLED.format(_BASE)}) b0 {_left([
-    ('f1', _FILLED.format(normal(C2))), ('f2', _FILLED.format(trip_devices(C2))), ('f3', _FILLED.format(online(C2))),
-    ('f4', _FILLED.format(splash(C2))), ('f5', online_by(C2, 'trip_server', SAME_DAY[4])),
-    ('f6', online_by(C2, 'trip_client', SAME_DAY[5])), ('f7', _FILLED.format(beats_total(C2))), ('f8', beats(C2))], C2)}"""
+SELECT g.day, COALESCE(g.city_sn, 0) AS city_sn, COALESCE(g.car_type, '0') AS car_type, g.total_dev_num,
+  {', '.join(map(_of_group, SCALE_MEASURES))},
+  COALESCE((SELECT MAX(ROUND(t.trip_time_sum / 60, 0)) FROM ({TRIP_DAY}) t
+            WHERE t.date = g.day AND t.city_sn = g.city_sn AND t.car_type = g.car_type), 0) AS trip_time
+FROM ({bound_total(C2)}) g"""
 
 
 @query("r13_device_scale", R13_SQL)
@@ -173,8 +179,8 @@ FROM ({ENDED_SUMMARY}) x JOIN agent_dim d ON x.devicename = d.third_code WHERE p
 AGENT_STREAMS = f"""SELECT p_date AS day, parent_id, COUNT(*) FILTER ({ENDED} AND adsn <> '') AS stream_ad_cnt_fulltime,
   ROUND(COALESCE(SUM(playtime) FILTER (tag = 'SCREEN_OTHER_RECOVER_END'), 0), 3) AS video_time_fulltime
 FROM ev JOIN agent_dim ON devicename = third_code WHERE parent_id IS NOT NULL GROUP BY ALL"""
-AGENT_BASE = f"""SELECT a.day, a.parent_id, a.total_dev_num, f.total_trip_dev_num FROM ({bound_total(A1)}) a
-  LEFT JOIN ({trips_total(A1, ONE_AGENT)}) f ON a.day = f.day AND a.parent_id = f.parent_id"""
+AGENT_BASE = f"""SELECT g.day, g.parent_id, g.total_dev_num, (SELECT MAX(f.total_trip_dev_num) FROM ({trips_total(A1, ONE_AGENT)}) f
+  WHERE f.day = g.day AND f.parent_id = g.parent_id) AS total_trip_dev_num FROM ({bound_total(A1)}) g"""
 
 
 @query("r14a_agent_totals", f"SELECT day, parent_id, total_dev_num, COALESCE(total_trip_dev_num, 0) AS total_trip_dev_num FROM ({AGENT_BASE}) x")
@@ -222,10 +228,11 @@ _AGENT_FRAMES = [AGENT_BASE, trip_devices(A1), online(A1), splash(A1), AGENT_TRI
 
 
 @query("r14_agent_day", f"""
-SELECT day, COALESCE(parent_id, '0') AS parent_id, {', '.join(f'CAST(COALESCE(MAX({m}), 0) AS BIGINT) AS {m}' for m in AGENT_COUNTS)},
+SELECT * REPLACE (COALESCE(parent_id, '0') AS parent_id) FROM (
+SELECT day, parent_id, {', '.join(f'CAST(COALESCE(MAX({m}), 0) AS BIGINT) AS {m}' for m in AGENT_COUNTS)},
   {', '.join(f'COALESCE(MAX({m}), 0) AS {m}' for m in ('trip_time_total', 'video_time', 'video_time_fulltime'))}
 FROM ({' UNION ALL BY NAME '.join(f'(SELECT * FROM ({q}) y{i})' for i, q in enumerate(_AGENT_FRAMES))}) x
-GROUP BY 1, 2""")
+GROUP BY day, parent_id) groups""")
 def _(t):
     return plain(scale.agent_day(inputs(t), days(t), agent_bindings(t), agents(t), START, END))
 

@@ -21,27 +21,28 @@ class Query:
 
 REGISTRY: dict[str, Query] = {}
 
-# Naive forms of the dimensions and shared sets, for the oracles only.
-_BOUND = """status = 0 AND is_delete = 0 AND a.tag = 'SVC-1' AND b.main_app IN ({apps}) AND b.desc NOT LIKE '%测试%'"""
-_CITY = """SELECT a.third_code, c.city_sn, c.car_type, CAST(a.add_time AS DATE) AS bind_day, b.owner_sn AS parent_id
-FROM device_service a JOIN screen_info b ON a.third_code = b.device_name JOIN screen_car c ON a.car_id = c.id
-WHERE """ + _BOUND
+# Views for the oracles only, from the definitions of the survey: what is a binding, what is a screen in service, and
+# which of both belong together.
 VIEWS: dict[str, str] = {
-    "dim": _CITY.format(apps="'app.stream', 'app.taxi'"),
-    "taxi_dim": _CITY.format(apps="'app.taxi'"),
-    "agent_dim": """SELECT a.third_code, b.owner_sn AS parent_id FROM device_service a
-LEFT JOIN screen_info b ON a.third_code = b.device_name WHERE """ + _BOUND.format(apps="'app.stream', 'app.taxi'"),
-    "vendor_dim": """SELECT a.third_code, CASE WHEN b.desc LIKE '%vendor-x%' THEN 'vendor-x' ELSE 'ELSE' END AS type
-FROM device_service a LEFT JOIN screen_info b ON a.third_code = b.device_name WHERE """
-    + _BOUND.format(apps="'app.stream'"),
+    "binding": """SELECT third_code, car_id, CAST(add_time AS DATE) AS bind_day FROM device_service
+WHERE tag = 'SVC-1' AND status + is_delete = 0""",
+    "in_service": """SELECT device_name, owner_sn, main_app = 'app.taxi' AS taxi, regexp_matches(i.desc, 'vendor-x') AS of_vendor_x
+FROM screen_info i WHERE regexp_full_match(main_app, 'app[.](stream|taxi)') AND position('测试' IN i.desc) = 0""",
+    "dim": """SELECT v.third_code, c.city_sn, c.car_type, v.bind_day, s.owner_sn AS parent_id
+FROM binding v, in_service s, screen_car c WHERE s.device_name = v.third_code AND c.id = v.car_id""",
+    "taxi_dim": """SELECT * FROM dim WHERE EXISTS (FROM in_service s WHERE s.taxi AND s.device_name = third_code)""",
+    "agent_dim": """SELECT v.third_code, s.owner_sn AS parent_id FROM binding v, in_service s WHERE s.device_name = v.third_code""",
+    "vendor_dim": """SELECT v.third_code, if(s.of_vendor_x, 'vendor-x', 'ELSE') AS type
+FROM binding v, in_service s WHERE s.device_name = v.third_code AND NOT s.taxi""",
     "trip_all": " UNION ".join(
         f"SELECT device_name, add_time FROM {n}" for n in
         ["trip_server", "trip_client", "trip_archive_1", "trip_archive_2", "trip_archive_3", "trip_archive_4"]),
     "trip_live": "SELECT device_name, add_time FROM trip_server UNION SELECT device_name, add_time FROM trip_client",
     "span": f"SELECT CAST(unnest(generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 DAY)) AS DATE) AS day",
-    # production rows of the window, without test devices
-    "ev": f"""SELECT * FROM screen_event WHERE env = 'prod' AND p_date BETWEEN DATE '{START}' AND DATE '{END}'
-AND devicename NOT IN (SELECT devicename FROM excluded_device)""",
+    # production rows up to the last day, without test devices, and those of the window
+    "ev_hist": f"""SELECT * FROM screen_event e WHERE env = 'prod' AND p_date <= DATE '{END}' AND devicename IS NOT NULL
+AND NOT EXISTS (FROM excluded_device x WHERE x.devicename = e.devicename)""",
+    "ev": f"SELECT * FROM ev_hist WHERE p_date >= DATE '{START}'",
 }
 
 
@@ -61,7 +62,7 @@ def with_ctes(sql: str) -> str:
         seen |= more
         pending += [w for w in VIEWS if w in more and w != v]
     ctes = duck_ctes([t for t in TABLES if t in seen])
-    # views use each other at most one level deep, base ones first
+    # views use only views that stand before them
     ordered = [v for v in VIEWS if v in views]
     parts = [f"{n} AS MATERIALIZED ({q})" for n, q in ctes] + [f"{v} AS ({VIEWS[v]})" for v in ordered]
     if not parts:

@@ -17,11 +17,11 @@ from tidemark.functions.predicates import exclusions
 from tidemark.operators.dims import DeviceRules
 from tidemark.plans.interaction import VIDEO_PAGE_TAGS
 
-# Windows of the runs: the whole span of the data.
-START, END, TODAY = "2024-01-01", "2024-01-31", "2024-01-31"
+# Windows of the runs: there is data on both sides of them.
+START, END, TODAY = "2024-01-04", "2024-01-26", "2024-01-27"
 # Cumulative runs report from here on and carry the earlier days in.
 LATE_START = "2024-01-10"
-SHOP_START, SHOP_END = "1995-01-01", "2001-12-31"
+SHOP_START, SHOP_END = "1996-03-01", "1999-05-28"
 HISTORY = "2023-01-01"
 
 RULES = DeviceRules(service_tag="SVC-1", apps=("app.stream", "app.taxi"), taxi_app="app.taxi",
@@ -96,14 +96,15 @@ FROM (SELECT c_custkey, c_custkey AS car_id FROM {customer}
       UNION ALL SELECT c_custkey, c_custkey + 1 AS car_id FROM {customer} WHERE c_custkey % 29 = 1) c""",
     "screen_info": """
 SELECT 'd' || CAST(c_custkey AS STRING) AS device_name,
-  CASE WHEN c_custkey % 31 = 8 THEN NULL ELSE 'a' || CAST(c_nationkey % 6 AS STRING) END AS owner_sn,
+  CASE WHEN c_custkey % 31 = 8 THEN NULL WHEN c_custkey % 31 = 9 THEN '0' ELSE 'a' || CAST(c_nationkey % 6 AS STRING) END AS owner_sn,
   CASE WHEN c_custkey % 21 = 9 THEN 'app.old' WHEN c_custkey % 3 = 0 THEN 'app.taxi' ELSE 'app.stream' END AS main_app,
   CASE WHEN c_custkey % 23 = 4 THEN NULL WHEN c_custkey % 37 = 2 THEN '测试 device'
     WHEN c_custkey % 5 = 0 THEN 'by vendor-x' ELSE 'ok' END AS desc
 FROM {customer}""",
     "screen_car": """
-SELECT c_custkey AS id, CASE WHEN c_nationkey % 5 = 0 THEN 310100 ELSE 100 + c_nationkey % 5 END AS city_sn,
-  CASE WHEN c_custkey % 41 = 6 THEN NULL ELSE c_mktsegment END AS car_type
+SELECT c_custkey AS id, CASE WHEN c_custkey % 47 = 3 THEN NULL WHEN c_custkey % 43 = 5 THEN 0 WHEN c_nationkey % 5 = 0 THEN 310100
+    ELSE 100 + c_nationkey % 5 END AS city_sn,
+  CASE WHEN c_custkey % 41 = 6 THEN NULL WHEN c_custkey % 41 = 7 THEN '0' ELSE c_mktsegment END AS car_type
 FROM {customer}""",
     "device_snapshot": """
 SELECT CAST(ts AS DATE) AS p_date, 'd' || CAST(user_id AS STRING) AS devicename,
@@ -150,7 +151,7 @@ FROM {customer} WHERE c_custkey % 3 <> 0""",
     "shop_order": f"""
 SELECT o_orderkey AS id, CAST(o_orderkey AS STRING) AS order_sn,
   CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'cp' || CAST(o_orderkey % 9 AS STRING) END AS coupon_seq,
-  o_custkey % 110 AS driver_id, '2' || CAST(o_custkey % 110 AS STRING) AS driver_tel, o_custkey AS user_id,
+  o_custkey % (SELECT COUNT(*) + 10 FROM {{supplier}}) AS driver_id, '2' || CAST(o_custkey % (SELECT COUNT(*) + 10 FROM {{supplier}}) AS STRING) AS driver_tel, o_custkey AS user_id,
   '1' || CAST(o_custkey AS STRING) AS user_tel, price, price - pay AS discount_amount, pay AS pay_amount,
   o_orderkey % 4 + 1 AS num, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS status,
   CAST(o_orderkey % 3 AS INT) AS pay_type, 'p' || CAST(o_orderkey AS STRING) AS pay_order_sn,
@@ -161,7 +162,7 @@ FROM (SELECT *, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE {CENTS.format('o_totalp
       FROM {{orders}}) o""",
     "order_line": f"""
 SELECT l_orderkey * 10 + l_linenumber AS id, CAST(l_orderkey AS STRING) AS order_sn, l_suppkey AS driver_id,
-  '2' || CAST(l_suppkey AS STRING) AS driver_tel, '1' || CAST(l_orderkey % 1700 AS STRING) AS user_tel,
+  '2' || CAST(l_suppkey AS STRING) AS driver_tel, '1' || CAST(l_orderkey % (SELECT COUNT(*) + 200 FROM {{customer}}) AS STRING) AS user_tel,
   'b' || CAST(l_linenumber AS STRING) AS box_sn, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_partkey END AS sku_id,
   {CENTS.format('l_extendedprice')} AS price, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS status,
   l_shipdate AS add_time, l_shipdate + INTERVAL 2 DAY AS update_time
@@ -182,13 +183,14 @@ SELECT CAST(o_orderkey AS STRING) AS order_sn, CAST(o_orderkey % 5 + 1 AS INT) A
 FROM {orders}""",
     "comment_tag": "SELECT r_regionkey + 1 AS id, r_name AS tag FROM {region}",
     "scan_line": """
-SELECT CASE WHEN event_id % 8 = 0 THEN '[INFO ]' ELSE '' END || CAST(CAST(ts - INTERVAL 9000 DAY AS DATE) AS STRING)
+SELECT CASE WHEN event_id % 8 = 0 THEN '[INFO ]' ELSE '' END
+  || CASE WHEN event_id % 37 = 5 THEN 'at noon' ELSE CAST(CAST(ts - INTERVAL 9000 DAY AS DATE) AS STRING) END
   || ' 08:30:00,123 [INFO ]web ' || CASE WHEN event_id % 11 = 0 THEN 'otherRequest' ELSE 'submitRequest' END
   || '|' || CASE event_type WHEN 'click' THEN 'home' WHEN 'view' THEN 'home' WHEN 'purchase' THEN 'order' ELSE 'goods' END
   || '|' || CASE WHEN event_id % 7 = 0 THEN 'null' ELSE '1' || CAST(user_id AS STRING) END
   || CASE WHEN event_id % 13 = 0 THEN '' ELSE '|' || CASE WHEN event_id % 5 = 0 THEN 'null' ELSE CAST(user_id AS STRING) END
-       || '|' || CASE WHEN event_id % 17 = 0 THEN 'null' ELSE 'sh' || CAST(event_id % 120 AS STRING) END
-       || '|' || CASE WHEN event_id % 19 = 0 THEN 'null' WHEN event_id % 23 = 0 THEN 'x1' ELSE CAST(event_id % 120 AS STRING) END
+       || '|' || CASE WHEN event_id % 17 = 0 THEN 'null' ELSE 'sh' || CAST(event_id % (SELECT COUNT(*) + 20 FROM {supplier}) AS STRING) END
+       || '|' || CASE WHEN event_id % 19 = 0 THEN 'null' WHEN event_id % 23 = 0 THEN 'x1' ELSE CAST(event_id % (SELECT COUNT(*) + 20 FROM {supplier}) AS STRING) END
      END || ' ' AS value
 FROM {events}""",
     "replenishment": """

@@ -8,7 +8,8 @@ import pytest
 
 from testbed.q_events import city, trip_report
 from testbed.q_operators import screen_run
-from testbed.q_retail import scan_log, scorecard_inputs
+from tidemark.sources.logs import scan_log_rejects
+from testbed.q_retail import parsed, scan_log, scorecard_inputs
 from testbed.q_scale import bindings, inputs
 from testbed.registry import plain
 from testbed.tables import CAMPAIGN_RULES, RULES
@@ -27,12 +28,15 @@ def test_screen_run(spark, prepared, tmp_path):
     t, root = prepared, str(tmp_path)
     reports = daily.screen_reports(spark, screen_run(t), RULES, CAMPAIGN_RULES, root, D(2024, 1, 22))
     assert [r.name for r in reports if r.after] == ["device_scale", "agent_day"]
-    names = ("ad_play_fulltime", "content_interaction", "calendar", "trip_day", "device_scale", "agent_day")
     for today in (D(2024, 1, 24), D(2024, 1, 26)):
-        run_all(spark, [r for r in reports if r.name in names], root, today)
+        run_all(spark, reports, root, today)
     first, last = "2024-01-23", "2024-01-25"
     want = plays.ad_play_fulltime(t.screen_event, city(t), t.excluded, first, last)
     assert as_rows(spark.read.parquet(f"{root}/ad_play_fulltime").select(*want.columns)) == as_rows(want)
+    total = plays.ad_play_total(t.screen_event, city(t), t.excluded, first, last)
+    assert as_rows(spark.read.parquet(f"{root}/ad_play_total").select(*total.columns)) == as_rows(total) and total.count() > 0
+    for r in reports:
+        assert spark.read.parquet(f"{root}/{r.name}").count() > 0, r.name
     days = spark.read.parquet(f"{root}/calendar")
     t2 = scale.ScaleInputs(*[getattr(inputs(t), f) for f in ("heartbeat", "server", "client", "archive", "summary", "abnormal")], days)
     window = trip_report(t).filter(f"date between '{first}' and '{last}'")
@@ -59,3 +63,4 @@ def test_retail_run(spark, prepared, retail_tables, tmp_path):
     assert as_rows(got) == as_rows(want) and got.count() > 0
     logs = scan_log(prepared).filter("add_time between '1999-05-12' and '1999-05-16'")
     assert as_rows(spark.read.parquet(f"{root}/scan_log").drop("day")) == as_rows(logs)
+    assert as_rows(spark.read.parquet(f"{root}/scan_log_rejects")) == as_rows(scan_log_rejects(parsed(prepared)))

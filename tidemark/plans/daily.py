@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import fixed_values as V
 from tidemark.functions import predicates as P
 from tidemark.functions.attribution import Rules
 from tidemark.functions.cells import as_day
@@ -65,11 +66,19 @@ def screen_reports(spark: SparkSession, t: ScreenTables, devices: dims.DeviceRul
     def loaded_trips(w: DayWindow) -> DataFrame:
         return read_or_empty(trips(w), f"{root}/trip_day").filter(P.in_days(w.start, w.end, "date"))
 
-    def report(name, build, day="date", **kw):
-        return Report(name, build, day, default=first_mark, **kw)
+    def report(name, build, day="date", since=None, **kw):
+        """``since`` names the report whose first day this one shares."""
+        return Report(name, build, day, default=first_mark or (V.DEFAULT_HIGH_WATER_MARK[since] if since else None), **kw)
 
     return [
         report("content_play_day", lambda w: plays.content_play_day(t.events, campaigns, t.excluded, w.start, w.end)),
+        report("content_play_total", lambda w: plays.content_play_total(t.events, t.excluded, w.start, w.end), since="content_play_day"),
+        report("scan_total", lambda w: plays.scan_total(t.events, campaigns, t.excluded, w.start, w.end), since="content_play_day"),
+        report("ad_play_total", lambda w: plays.ad_play_total(t.events, city, t.excluded, w.start, w.end), since="ad_play_day"),
+        report("ad_play_fulltime_total", lambda w: plays.ad_play_fulltime_total(t.events, city, t.excluded, w.start, w.end),
+               since="ad_play_fulltime"),
+        report("points_total", lambda w: trip_day.points_total(t.events, city, t.excluded, w.start, w.end), since="trip_day"),
+        report("on_road_total", lambda w: trip_day.on_road_total(t.events, city, t.excluded, w.start, w.end), since="trip_day"),
         report("ad_play_day", lambda w: plays.ad_play_day(t.events, city, t.excluded, w.start, w.end)),
         report("ad_play_fulltime", lambda w: plays.ad_play_fulltime(t.events, city, t.excluded, w.start, w.end)),
         report("ad_plan_day", lambda w: plays.ad_plan_day(t.events, t.excluded, w.start, w.end)),
@@ -129,8 +138,10 @@ def retail_reports(spark: SparkSession, t: RetailTables, root: str, first_mark:
         loaded = read_or_empty(order_lines(w), f"{root}/order_lines")
         return dated(retail.order_facts(t.orders, drivers, t.user_tag, loaded, w.start, w.end))
 
+    parsed = logs.parse_scan_lines(t.log_lines)
+
     def scan_log(w: DayWindow) -> DataFrame:
-        return dated(logs.scan_log(logs.parse_scan_lines(t.log_lines))).filter(P.in_days(w.start, w.end, "day"))
+        return dated(logs.scan_log(parsed)).filter(P.in_days(w.start, w.end, "day"))
 
     def scorecard(w: DayWindow) -> DataFrame:
         facts, scans = [
@@ -148,5 +159,7 @@ def retail_reports(spark: SparkSession, t: RetailTables, root: str, first_mark:
         report("order_facts", order_facts, after=("order_lines",)),
         report("order_comments", lambda w: dated(retail.order_comments(t.comments, t.comment_tags, w.start, w.end))),
         report("scan_log", scan_log),
+        # Bad lines may have no day, so the table is replaced as a whole.
+        Report("scan_log_rejects", lambda w: logs.scan_log_rejects(parsed), mode="refresh"),
         report("scorecard", scorecard, after=("order_facts", "scan_log")),
     ]

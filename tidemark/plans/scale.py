@@ -150,6 +150,8 @@ def device_scale(t: ScaleInputs, bindings: DataFrame, trip_report: DataFrame, st
     keys = ["day", *CITY]
     trips = trip_report.withColumnRenamed("date", "day").select(
         *keys, "total_play_dev_cnt", "trip_cnt", F.round(F.col("trip_time_sum") / 60, 0).alias("trip_time"))
+    # The trip report has labels, so a label may be there twice; groups with a NULL key have no trips of their own.
+    trips = trips.groupBy(*keys).agg(*[F.max(m).alias(m) for m in trips.columns if m not in keys])
     base = bindings_total(bindings, t.calendar, CITY, start, end).join(trips, keys, "left")
     # Some figures are not reported for a group with a NULL key.  All are matched on
     # the raw keys and labels come last, so a NULL and a real 0 keep a row each.
