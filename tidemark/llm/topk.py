@@ -18,7 +18,9 @@ several codes once for each; with fewer than k others, all are returned; an empt
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ from tidemark.llm.common import col, stored
 
 #: A radius with more masks than this for one segment is not probed: the queries left are compared with all codes, in blocks.
 MOST_MASKS = 1_000
-BLOCK_CODES = 50_000
+BLOCK_CODES = 5_000
 
 
 def segments(bits: int, rows: int) -> list[int]:
@@ -52,8 +54,8 @@ def differences(a: str, b: str, m: int) -> Column:
     return F.array(*[F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(m)])
 
 
-def total(parts: Column) -> Column:
-    return F.aggregate(parts, F.lit(0), lambda a, x: a + x)
+def distance(a: str, b: str, m: int) -> Column:
+    return reduce(add, [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(m)])
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
@@ -72,7 +74,8 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str =
     ranked = coded.withColumn("rank", F.row_number().over(Window.partitionBy("code").orderBy("id"))).filter(F.col("rank") <= want)
     index = stored(ranked.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "codes")
     asked = stored(queries.filter(valid).select(col(id_col).alias("query_id"), code(col(vector_col), lengths).alias("query")).distinct(), "queries")
-    open_ = asked.select("query").distinct()
+    # queries that are left, with the distance that a better neighbour must not exceed
+    open_ = asked.select("query", F.lit(None).cast("int").alias("far")).distinct()
     places = index.select("code", "ids", F.posexplode("code").alias("segment", "value"))
     found, radius = None, 0
     while True:
@@ -80,17 +83,19 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str =
             found = merged(found, in_blocks(open_, index, m, want), want)
             break
         masks = F.array(*[F.array(*[F.lit(sum(1 << j for j in at)).cast("long") for at in combinations(range(n), radius)]) for n in lengths])
-        probes = open_.select("query", F.posexplode("query").alias("segment", "part"))
-        probes = probes.select("query", "segment", F.col("part"), F.explode(F.get(masks, F.col("segment"))).alias("mask"))
-        probes = probes.select("query", "segment", F.col("part").bitwiseXOR(F.col("mask")).alias("value"))
-        hits = probes.join(places, ["segment", "value"]).withColumn("parts", differences("query", "code", m))
+        # few queries make many probes, so queries are dealt out first and probes are never broadcast
+        probes = open_.repartition("query").select("query", "far", F.posexplode("query").alias("segment", "part"))
+        probes = probes.select("query", "far", "segment", F.col("part"), F.explode(F.get(masks, F.col("segment"))).alias("mask"))
+        probes = probes.select("query", "far", "segment", F.col("part").bitwiseXOR(F.col("mask")).alias("value"))
+        hits = probes.repartition("segment", "value").join(places.hint("shuffle_hash"), ["segment", "value"]).withColumn("parts", differences("query", "code", m))
         # only where no segment differs less, and in the first that differs so little
         hits = hits.filter((F.array_min("parts") == radius) & (F.array_position("parts", F.lit(radius)) == F.col("segment") + 1))
-        hits = hits.select("query", total(F.col("parts")).alias("distance"), F.explode("ids").alias("id"))
-        found = merged(found, best(hits, want), want)
+        hits = hits.select("query", "far", distance("query", "code", m).alias("distance"), F.explode("ids").alias("id"))
+        found = merged(found, best(nearer(hits), want), want)
         sure = found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
-        sure = sure.filter((F.col("n") >= want) & (F.col("far") <= m * (radius + 1) - 1))
-        open_ = stored(asked.select("query").distinct().join(sure, "query", "left_anti"), "open")
+        full = F.col("n") >= want
+        left = asked.select("query").distinct().join(sure, "query", "left").filter(F.coalesce(~full | (F.col("far") > m * (radius + 1) - 1), F.lit(True)))
+        open_ = stored(left.select("query", F.when(full, F.col("far")).alias("far")), "open")
         radius += 1
         if radius > max(lengths) or open_.isEmpty():
             break
@@ -100,6 +105,11 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str =
         "query_id", "rank", F.col("id").alias("neighbor_id"), "distance")
 
 
+def nearer(hits: DataFrame) -> DataFrame:
+    """What is no farther than the worst of the neighbours that a query has; all, if it has too few."""
+    return hits.filter(F.col("far").isNull() | (F.col("distance") <= F.col("far"))).drop("far")
+
+
 def merged(found: DataFrame | None, new: DataFrame, k: int) -> DataFrame:
     return stored(new if found is None else best(found.union(new).distinct(), k), "best")
 
@@ -110,8 +120,9 @@ def in_blocks(queries: DataFrame, index: DataFrame, m: int, k: int) -> DataFrame
     blocks = max(1, -(-index.count() // BLOCK_CODES))
     parts = index.withColumn("block", F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int"))
     sent = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    hits = sent.join(parts, "block").select("query", total(differences("query", "code", m)).alias("distance"), F.explode("ids").alias("id"))
-    return best(hits, k)
+    hits = sent.repartition("block").join(parts.hint("shuffle_hash"), "block")
+    hits = nearer(hits.select("query", "far", distance("query", "code", m).alias("distance"), "ids"))
+    return best(hits.select("query", "distance", F.explode("ids").alias("id")), k)
 
 
 #: Brute force in SQL for ``op7_topk``: all pairs of queries and rows.
