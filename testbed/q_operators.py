@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from testbed import q_retail  # noqa: F401  registers the scan_log view used below
 from testbed.q_events import ENDED_SUMMARY, LABEL, PAIR, BEGIN_SUMMARY, agents, city, days
 from testbed.q_scale import R13_SQL, agent_bindings, bindings, inputs
-from testbed.registry import plain, query
+from testbed.registry import REGISTRY, plain, query, scratch_dir
 from testbed.tables import CAMPAIGN_RULES, END, RULES, START, TODAY
 from tidemark.functions import predicates as P
 from tidemark.functions.attribution import PARTS, Rule, attributed
@@ -19,9 +19,8 @@ from tidemark.operators.cumulative import first_seen, merge_first_seen
 from tidemark.operators.presence import marks, presence, seen
 from tidemark.operators.rollup import roll_up
 from tidemark.plans import daily, interaction, plays, scale
-from tidemark.session import shared_dir
 from tidemark.sinks import days as sink
-from tidemark.sinks.layouts import to_layout
+from tidemark.sinks.layouts import LAYOUTS, ZERO, to_layout
 from tidemark.sources import logs
 from tidemark.sources.tables import clean_cells
 from tidemark.streaming import incremental
@@ -30,7 +29,7 @@ D = dt.date.fromisoformat
 
 
 def scratch(t, name: str) -> str:
-    return f"{shared_dir(t.spark)}/tidemark-{uuid.uuid4().hex}/{name}"
+    return f"{scratch_dir(t.spark)}/{name}"
 
 
 # --- sources ---------------------------------------------------------------------------
@@ -316,6 +315,29 @@ def _(t):
     return to_layout(report, "content_play_day").select("date", "contentid", "tag", "play_cnt", "total_scan_cnt")
 
 
+def _laid_out(of: str, report: str) -> str:
+    """The columns of a report's table, from the oracle of the report."""
+    return "SELECT " + ", ".join(
+        c if isinstance(c, str) else f"CAST({0 if c[1] is ZERO else 'NULL'} AS BIGINT) AS {c[0]}" for c in LAYOUTS[report]) + (
+        f" FROM ({REGISTRY[of].sql}) report")
+
+
+for _report, _of in {"content_play_day": "r1_content_play_day", "ad_play_day": "r2_ad_play_day",
+                     "ad_play_fulltime": "r3_ad_play_fulltime", "agent_day": "r14_agent_day"}.items():
+    query(f"k5_{_report}", _laid_out(_of, _report))(lambda t, r=_report, q=_of: to_layout(REGISTRY[q].build(t), r))
+
+
+@query("o1_days_in_order", """
+SELECT day, sn, CAST(row_number() OVER (PARTITION BY day ORDER BY sn) AS INTEGER) AS place FROM (SELECT DISTINCT day, sn FROM heartbeat_day)""")
+def _(t):
+    # rows of a day come back in the order of the file they were written to
+    path = scratch(t, "sorted")
+    rows = t.heartbeat_day.select("day", "sn").distinct()
+    sink.append_days(rows, path, sort=("sn",))
+    read = t.spark.read.parquet(path).withColumn("at", F.monotonically_increasing_id())
+    return read.select("day", "sn", F.row_number().over(Window.partitionBy("day").orderBy("at")).alias("place"))
+
+
 @query("s8_high_water_mark", "SELECT MAX(day) AS mark, DATE '2019-08-01' AS mark_of_nothing FROM heartbeat_day")
 def _(t):
     path = scratch(t, "beats")

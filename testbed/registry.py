@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from testbed.tables import END, START, TABLES, Tables, duck_ctes
+from tidemark.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -81,6 +84,14 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def scratch_dir(spark) -> str:
+    """A new folder for the tables of a query or a bench: in the cluster's shared folder, on one machine in /tmp."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        root = shared_dir(spark)
+    return f"{root.rstrip('/')}/tidemark-{uuid.uuid4().hex}" if root else tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def plain(df: DataFrame, digits: int = 3) -> DataFrame:
     """Doubles rounded and decimals as doubles: sums of doubles differ between
     engines in their last bits."""

@@ -69,8 +69,9 @@ def test_run_order(spark, tmp_path):
     c = Report("c", lambda w: frame(spark, (1, 7)), mode="refresh")
     done = run_all(spark, [a, b, c], str(tmp_path), D(2024, 1, 2))
     assert list(done) == ["a", "b", "c"] and rows(spark, f"{tmp_path}/b") == [(D(2024, 1, 1), 1)]
+    assert list(run_all(spark, [b], str(tmp_path), D(2024, 1, 2))) == ["b"]  # its table of an earlier run is there
     with pytest.raises(ValueError, match="after a"):
-        run_all(spark, [b], str(tmp_path), D(2024, 1, 2))
+        run_all(spark, [b], str(tmp_path / "elsewhere"), D(2024, 1, 2))
 
 
 def test_layout_adds_placeholders(spark):
@@ -92,6 +93,6 @@ def test_shared_folder_is_the_clusters():
     from tidemark.session import shared_dir
 
     assert shared_dir(_Session("hdfs://x/tmp/", "spark://m:7077")) == "hdfs://x/tmp"
-    assert shared_dir(_Session(None, "local[2]")).startswith("/tmp/run-")
-    with pytest.raises(RuntimeError):
-        shared_dir(_Session(None, "spark://m:7077"))
+    for master in ("local[2]", "spark://m:7077"):
+        with pytest.raises(RuntimeError):
+            shared_dir(_Session(None, master))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -30,11 +28,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: the cluster's checkpoint folder.  Only a
-    local session may fall back to a folder of this machine."""
+    """Folder all executors can reach: the cluster's checkpoint folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return folder.rstrip("/")

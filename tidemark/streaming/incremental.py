@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions import fixed_values as V
-from tidemark.sinks.days import append_days, high_water_mark, refresh, replace_days
+from tidemark.sinks.days import append_days, high_water_mark, read_report, refresh, replace_days
 from tidemark.sinks.layouts import LAYOUTS, to_layout
 
 
@@ -71,11 +71,12 @@ def load(spark: SparkSession, report: Report, path: str, today: dt.date) -> DayW
 def run_all(spark: SparkSession, reports: list[Report], root: str, today: dt.date) -> Mapping[str, DayWindow]:
     """Load the reports in the order given.
 
-    A report that reads another one's table must come later; this is checked.
+    A report that reads another one's table must come later, or the table must
+    be there from an earlier run; this is checked.
     """
     done: dict[str, DayWindow] = {}
     for r in reports:
-        missing = [a for a in r.after if a not in done]
+        missing = [a for a in r.after if a not in done and read_report(spark, f"{root}/{a}") is None]
         if missing:
             raise ValueError(f"{r.name} must run after {', '.join(missing)}")
         done[r.name] = load(spark, r, f"{root}/{r.name}", today)
