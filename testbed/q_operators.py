@@ -11,7 +11,7 @@ from testbed import q_retail  # noqa: F401  registers the scan_log view used bel
 from testbed.q_events import ENDED_SUMMARY, LABEL, PAIR, BEGIN_SUMMARY, agents, city, days
 from testbed.q_scale import R13_SQL, agent_bindings, bindings, inputs
 from testbed.registry import REGISTRY, plain, query, scratch_dir
-from testbed.tables import CAMPAIGN_RULES, END, RULES, START, TODAY
+from testbed.tables import CAMPAIGN_RULES, END, HISTORY, LATE_START, RULES, START, TODAY
 from tidemark.functions import predicates as P
 from tidemark.functions.attribution import PARTS, Rule, attributed
 from tidemark.operators import dims, frames
@@ -363,6 +363,27 @@ def _(t):
     return t.spark.read.parquet(path).select("date", "contentid", "tag", "play_trip_cnt", "play_cnt")
 
 
+def _two_runs(t, name: str, run):
+    """The report's table after a first run to the middle of the window and a second one from there."""
+    path = scratch(t, name)
+    report = incremental.Report(name, None, day="date", default=D(LATE_START) - dt.timedelta(days=1), run=run)
+    for today in (D("2024-01-18"), D("2024-01-18"), D(TODAY)):
+        incremental.load(t.spark, report, path, today)
+    return t.spark.read.parquet(path)
+
+
+@query("i3_content_total_in_two_runs", f"SELECT * FROM ({REGISTRY['r1b_content_play_total'].sql}) report")
+def _(t):
+    run = lambda w, s: plays.content_play_run(t.screen_event, t.excluded, w.start, w.end, s, history=HISTORY)
+    return plain(_two_runs(t, "content_play_total", run))
+
+
+@query("i3_ad_total_in_two_runs", f"SELECT * FROM ({REGISTRY['r2a_ad_play_total'].sql}) report")
+def _(t):
+    run = lambda w, s: plays.ad_play_run(t.screen_event, city(t), t.excluded, w.start, w.end, s, history=HISTORY)
+    return plain(_two_runs(t, "ad_play_total", run))
+
+
 # --- whole daily runs ------------------------------------------------------------------------------
 
 def screen_run(t):

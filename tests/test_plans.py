@@ -9,6 +9,8 @@ import pytest
 from testbed import all_queries
 from testbed.tables import END, START
 from tidemark.functions import predicates as P
+from tidemark.operators.cumulative import State
+from tidemark.plans import plays
 
 
 def plan(df) -> str:
@@ -19,7 +21,7 @@ def scans(text: str, table: str) -> list[str]:
     return [line for line in text.splitlines() if "FileScan" in line and f"/{table}" in line]
 
 
-WRITES = ("s7_", "k1_", "k2_", "k3_", "s8_", "i1_", "i4_")
+WRITES = ("s7_", "k1_", "k2_", "k3_", "s8_", "i1_", "i3_", "i4_", "o1_")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in all_queries() if not n.startswith(WRITES)))
@@ -63,3 +65,13 @@ def test_facts_are_aggregated_before_the_dimension_join(prepared):
     join = text.index("Join")
     assert "Aggregate" in text[join:], "events are aggregated below the join"
     assert START < END
+
+
+def test_a_run_with_a_state_reads_new_days_only(prepared, tmp_path):
+    t = prepared
+    whole, state = plays.content_play_run(t.screen_event, t.excluded, "2024-01-10", "2024-01-15", None, history="2023-01-01")
+    state.seen.write.parquet(f"{tmp_path}/seen")
+    state.totals.write.parquet(f"{tmp_path}/totals")
+    kept = State(t.spark.read.parquet(f"{tmp_path}/seen"), t.spark.read.parquet(f"{tmp_path}/totals"))
+    text = plan(plays.content_play_run(t.screen_event, t.excluded, "2024-01-16", "2024-01-20", kept)[0])
+    assert "p_date#" in text and "2024-01-16" in " ".join(scans(text, "screen_event")) and "2023-01-01" not in text

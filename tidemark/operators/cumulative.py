@@ -10,6 +10,8 @@ history plus groups x window days, not days x history.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,6 +65,21 @@ def increments(
 ) -> DataFrame:
     """What each day adds: rows, sums, and entities never seen before.
 
+    See ``folded`` and ``added``.
+    """
+    return added(folded(df, keys, day, counts, sums, distinct), keys, day, counts, sums, distinct)
+
+
+def folded(
+    df: DataFrame,
+    keys: Sequence[str],
+    day: str,
+    counts: Sequence[str] = (),
+    sums: Mapping[str, Column] | None = None,
+    distinct: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """A row per (keys, day) with its totals, and one per (keys, entity) with its first day.
+
     One scan also with several distinct entities: a row is split into one
     record for the day's totals and one per entity, and all records share one
     aggregation (totals by day, entities by their first day).
@@ -77,12 +94,24 @@ def increments(
             *[F.lit(None).cast(types[m].dataType).alias(f"s_{m}") for m in sums]))
     rows = df.select(*keys, F.col(day).alias("__day"), F.explode(F.array(*records)).alias("r"))
     rows = rows.filter((F.col("r.k") == 0) | F.col("r.e").isNotNull())
-    folded = rows.groupBy(*keys, F.col("r.k").alias("__k"), F.col("r.e").alias("__e"), F.col("r.d").alias("__d")).agg(
+    return rows.groupBy(*keys, F.col("r.k").alias("__k"), F.col("r.e").alias("__e"), F.col("r.d").alias("__d")).agg(
         F.min("__day").alias("__first"),
         F.sum("r.n").alias("__n"),
         *[F.sum(f"r.s_{m}").alias(f"__s_{m}") for m in sums],
     )
-    return folded.groupBy(*keys, F.col("__first").alias(day)).agg(
+
+
+def added(
+    rows: DataFrame,
+    keys: Sequence[str],
+    day: str,
+    counts: Sequence[str] = (),
+    sums: Mapping[str, Column] | None = None,
+    distinct: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """What each day adds, from the folded rows."""
+    sums, distinct = dict(sums or {}), dict(distinct or {})
+    return rows.groupBy(*keys, F.col("__first").alias(day)).agg(
         *[F.sum("__n").alias(c) for c in counts],
         *[F.coalesce(F.sum(f"__s_{m}"), F.lit(0)).alias(m) for m in sums],
         *[F.count_if(F.col("__k") == i).alias(m) for i, m in enumerate(distinct, start=1)],
@@ -103,3 +132,42 @@ def cumulative(
     df = df.filter(F.col(day) <= day_lit(end)).withColumn(day, F.greatest(F.col(day), day_lit(start)))
     measures = [*counts, *(sums or {}), *(distinct or {})]
     return running(increments(df, keys, day, counts, sums, distinct), keys, measures, start, end, day)
+
+
+@dataclass(frozen=True)
+class State:
+    """What a run keeps so that the next one reads new days only: entities with their first day, and totals."""
+
+    seen: DataFrame
+    totals: DataFrame
+
+
+def continued(
+    df: DataFrame,
+    keys: Sequence[str],
+    day: str,
+    start: Day,
+    before: State | None,
+    counts: Sequence[str] = (),
+    sums: Mapping[str, Column] | None = None,
+    distinct: Mapping[str, Column] | None = None,
+) -> tuple[DataFrame, State]:
+    """What each day from ``start`` on adds, with everything before as an addition on ``start``; and the state after.
+
+    ``df`` has the new days if there is a state before, else the whole history.  An entity that the state has
+    seen adds nothing again.  ``seen`` of the state after has the new entities only, to be added to the table;
+    ``totals`` replace the old ones.
+    """
+    measures = [*counts, *(sums or {}), *(distinct or {})]
+    rows = folded(df, keys, day, counts, sums, distinct)
+    if before is not None:
+        old = before.seen.select(*[F.col(c).alias(f"o_{c}") for c in (*keys, "__k", "__e")])
+        same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(old[f"o_{c}"]) for c in (*keys, "__k", "__e")])
+        rows = rows.join(old, same, "left_anti")
+    daily = added(rows, keys, day, counts, sums, distinct).withColumn(day, F.greatest(F.col(day), day_lit(start)))
+    if before is not None:
+        daily = daily.unionByName(before.totals.select(*keys, day_lit(start).alias(day), *measures))
+    daily = daily.groupBy(*keys, day).agg(*[F.sum(m).alias(m) for m in measures])
+    totals = daily.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+    seen = rows.filter("__k > 0").select(*keys, "__k", "__e", F.col("__first").alias("since"))
+    return daily, State(seen, totals)

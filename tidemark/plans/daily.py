@@ -72,11 +72,13 @@ def screen_reports(spark: SparkSession, t: ScreenTables, devices: dims.DeviceRul
 
     return [
         report("content_play_day", lambda w: plays.content_play_day(t.events, campaigns, t.excluded, w.start, w.end)),
-        report("content_play_total", lambda w: plays.content_play_total(t.events, t.excluded, w.start, w.end), since="content_play_day"),
+        report("content_play_total", None, since="content_play_day",
+               run=lambda w, s: plays.content_play_run(t.events, t.excluded, w.start, w.end, s)),
         report("scan_total", lambda w: plays.scan_total(t.events, campaigns, t.excluded, w.start, w.end), since="content_play_day"),
-        report("ad_play_total", lambda w: plays.ad_play_total(t.events, city, t.excluded, w.start, w.end), since="ad_play_day"),
-        report("ad_play_fulltime_total", lambda w: plays.ad_play_fulltime_total(t.events, city, t.excluded, w.start, w.end),
-               since="ad_play_fulltime"),
+        report("ad_play_total", None, since="ad_play_day",
+               run=lambda w, s: plays.ad_play_run(t.events, city, t.excluded, w.start, w.end, s)),
+        report("ad_play_fulltime_total", None, since="ad_play_fulltime",
+               run=lambda w, s: plays.ad_play_fulltime_run(t.events, city, t.excluded, w.start, w.end, s)),
         report("points_total", lambda w: trip_day.points_total(t.events, city, t.excluded, w.start, w.end), since="trip_day"),
         report("on_road_total", lambda w: trip_day.on_road_total(t.events, city, t.excluded, w.start, w.end), since="trip_day"),
         report("ad_play_day", lambda w: plays.ad_play_day(t.events, city, t.excluded, w.start, w.end)),

@@ -9,7 +9,7 @@ from tidemark.functions import fixed_values as V
 from tidemark.functions import predicates as P
 from tidemark.functions.attribution import PARTS, Rules, attributed
 from tidemark.functions.cells import Day, blank_to_zero, flag, key_label
-from tidemark.operators.cumulative import cumulative, increments, running
+from tidemark.operators.cumulative import State, continued, cumulative, running
 from tidemark.operators.rollup import roll_up
 
 CITY_KEYS = ("date", "city_sn", "car_type")
@@ -66,12 +66,20 @@ def content_play_day(
 def content_play_total(events: DataFrame, excluded: P.Excluded, start: Day, end: Day,
                        history: Day = V.EVENT_HISTORY_START) -> DataFrame:
     """Devices, plays and play time per (content, tag) from history start to each day."""
-    rows = P.prod_events(events, excluded, history, end).filter(P.counted_trip() & P.played(V.HISTORY_TAGS))
-    return cumulative(
-        rows, ["contentid", "tag"], start, end,
-        counts=["total_play_cnt"], sums={"total_play_time": F.col("playtime")},
-        distinct={"total_play_dev_cnt": F.col("devicename")},
-    ).withColumn("contentid", blank_to_zero(F.col("contentid"))).withColumnRenamed("p_date", "date")
+    return content_play_run(events, excluded, start, end, None, history)[0]
+
+
+def content_play_run(events: DataFrame, excluded: P.Excluded, start: Day, end: Day, before: State | None,
+                     history: Day = V.EVENT_HISTORY_START) -> tuple[DataFrame, State]:
+    """The same with the state that an earlier run kept: then only the window's days are read."""
+    rows = P.prod_events(events, excluded, history if before is None else start, end).filter(P.counted_trip() & P.played(V.HISTORY_TAGS))
+    daily, after = continued(
+        rows, ["contentid", "tag"], "p_date", start, before, counts=["total_play_cnt"],
+        sums={"total_play_time": F.col("playtime")}, distinct={"total_play_dev_cnt": F.col("devicename")})
+    measures = ["total_play_cnt", "total_play_time", "total_play_dev_cnt"]
+    report = running(daily, ["contentid", "tag"], measures, start, end, "p_date").withColumn(
+        "contentid", blank_to_zero(F.col("contentid"))).withColumnRenamed("p_date", "date")
+    return report, after
 
 
 def scan_total(events: DataFrame, rules: Rules, excluded: P.Excluded, start: Day, end: Day,
@@ -123,31 +131,44 @@ def ad_play_fulltime(events: DataFrame, city: DataFrame, excluded: P.Excluded, s
     return rolled.select(*CONTENT_KEYS, "play_dev_cnt", "play_cnt", "play_time")
 
 
-def _ad_total(rows: DataFrame, city: DataFrame, start: Day, end: Day, distinct: dict) -> DataFrame:
-    """What each device adds per day, rolled up to the city, then summed over days."""
-    per_device = increments(
-        rows, ["devicename", "contentid", "tag"], "p_date",
-        counts=["total_play_cnt"], sums={"total_play_time": F.col("playtime")}, distinct=distinct,
-    ).withColumn("contentid", blank_to_zero(F.col("contentid"))).withColumnRenamed("p_date", "date")
+def _ad_total(rows: DataFrame, city: DataFrame, start: Day, end: Day, distinct: dict, before: State | None) -> tuple[DataFrame, State]:
+    """What each device adds per day, rolled up to the city, then summed over days.  The state is kept per device, so
+    that a device counts where it is bound now, as without a state."""
+    per_device, after = continued(
+        rows, ["devicename", "contentid", "tag"], "p_date", start, before,
+        counts=["total_play_cnt"], sums={"total_play_time": F.col("playtime")}, distinct=distinct)
+    per_device = per_device.withColumn("contentid", blank_to_zero(F.col("contentid"))).withColumnRenamed("p_date", "date")
     measures = [*distinct, "total_play_cnt", "total_play_time"]
     daily = roll_up(per_device, city, CONTENT_KEYS, sums=measures)
-    return running(daily, [k for k in CONTENT_KEYS if k != "date"], measures, start, end, "date")
+    return running(daily, [k for k in CONTENT_KEYS if k != "date"], measures, start, end, "date"), after
 
 
 def ad_play_total(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day,
                   history: Day = V.EVENT_HISTORY_START) -> DataFrame:
     """In-trip ad plays from history start to each day."""
-    rows = P.prod_events(events, excluded, history, end).filter(
+    return ad_play_run(events, city, excluded, start, end, None, history)[0]
+
+
+def ad_play_run(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day, before: State | None,
+                history: Day = V.EVENT_HISTORY_START) -> tuple[DataFrame, State]:
+    """The same with the state that an earlier run kept: then only the window's days are read."""
+    rows = P.prod_events(events, excluded, history if before is None else start, end).filter(
         P.counted_trip() & P.is_ad() & P.played(V.HISTORY_TAGS))
     return _ad_total(rows, city, start, end, {
-        "total_play_trip_cnt": F.col("traceid"), "total_play_dev_cnt": F.col("devicename")})
+        "total_play_trip_cnt": F.col("traceid"), "total_play_dev_cnt": F.col("devicename")}, before)
 
 
 def ad_play_fulltime_total(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day,
                            history: Day = V.EVENT_HISTORY_START) -> DataFrame:
     """Ad plays in and outside trips from history start to each day."""
-    rows = P.prod_events(events, excluded, history, end).filter(P.is_ad() & P.played(V.HISTORY_TAGS))
-    return _ad_total(rows, city, start, end, {"total_play_dev_cnt": F.col("devicename")})
+    return ad_play_fulltime_run(events, city, excluded, start, end, None, history)[0]
+
+
+def ad_play_fulltime_run(events: DataFrame, city: DataFrame, excluded: P.Excluded, start: Day, end: Day, before: State | None,
+                         history: Day = V.EVENT_HISTORY_START) -> tuple[DataFrame, State]:
+    """The same with the state that an earlier run kept: then only the window's days are read."""
+    rows = P.prod_events(events, excluded, history if before is None else start, end).filter(P.is_ad() & P.played(V.HISTORY_TAGS))
+    return _ad_total(rows, city, start, end, {"total_play_dev_cnt": F.col("devicename")}, before)
 
 
 def ad_plan_day(events: DataFrame, excluded: P.Excluded, start: Day, end: Day) -> DataFrame:

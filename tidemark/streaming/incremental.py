@@ -11,8 +11,11 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions import fixed_values as V
+from tidemark.functions.cells import day_lit
+from tidemark.operators.cumulative import State
 from tidemark.sinks.days import append_days, high_water_mark, read_report, refresh, replace_days
 from tidemark.sinks.layouts import LAYOUTS, to_layout
 
@@ -40,12 +43,35 @@ class Report:
     """A named report: ``build(window)`` gives its rows."""
 
     name: str
-    build: Callable[[DayWindow], DataFrame]
+    build: Callable[[DayWindow], DataFrame] | None
     day: str = "day"
     mode: str = "replace"  # replace | append | refresh
     default: dt.date | None = None
     after: tuple[str, ...] = field(default=())
     sort: tuple[str, ...] = field(default=())
+    # With a state, ``run(window, state)`` gives the rows and the state after; the state is kept beside the report.
+    run: Callable[[DayWindow, State | None], tuple[DataFrame, State]] | None = None
+
+
+def kept_state(spark: SparkSession, path: str, start: dt.date) -> State | None:
+    """The state that runs before ``start`` have kept, or None."""
+    totals = read_report(spark, f"{path}_totals")
+    if totals is None:
+        return None
+    upto = totals.filter(F.col("upto") < day_lit(start)).agg(F.max("upto")).first()[0]
+    if upto is None:
+        return None
+    seen = read_report(spark, f"{path}_seen")
+    totals = totals.filter(F.col("upto") == day_lit(upto)).drop("upto")
+    return State(seen.filter(F.col("since") < day_lit(start)), totals)
+
+
+def keep_state(path: str, state: State, window: DayWindow, first: bool) -> None:
+    """Write the state after a window.  Writing it again replaces the same days."""
+    since = dt.date(1, 1, 1) if first else window.start
+    replace_days(state.seen, f"{path}_seen", since, window.end, "since")
+    totals = state.totals.withColumn("upto", day_lit(window.end))
+    replace_days(totals, f"{path}_totals", window.end, window.end, "upto")
 
 
 def load(spark: SparkSession, report: Report, path: str, today: dt.date) -> DayWindow:
@@ -58,13 +84,19 @@ def load(spark: SparkSession, report: Report, path: str, today: dt.date) -> DayW
     window = next_window(high_water_mark(spark, path, default, report.day), today)
     if window.empty:
         return window
-    rows = report.build(window)
+    if report.run is not None:
+        before = kept_state(spark, path, window.start)
+        rows, after = report.run(window, before)
+    else:
+        rows = report.build(window)
     if report.name in LAYOUTS:
         rows = to_layout(rows, report.name)
     if report.mode == "append":
         append_days(rows, path, report.day, report.sort)
     else:
         replace_days(rows, path, window.start, window.end, report.day, report.sort)
+    if report.run is not None:
+        keep_state(path, after, window, before is None)
     return window
 
 
