@@ -73,7 +73,7 @@ def plan(rows: DataFrame, seed: int, weights: tuple[float, ...], cap: float, sha
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS,
-        cap: float = 3.0, shards: int = 64, block_words: int = 1 << 22, seed: int = 17) -> DataFrame:
+        cap: float = 3.0, shards: int = 64, block_words: int = 1 << 18, seed: int = 17) -> DataFrame:
     """Every row of ``docs`` with ``size``, ``source_size``, ``target``, ``taken`` (words, repeats counted) and ``draws``:
     an array of (copy, shard, words), one for each time the mix takes the document.  ``block_words`` is the size that
     a block would have if there were one source; smaller sources have smaller blocks."""
