@@ -140,3 +140,23 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ru
         verdict = verdict.when(rule.rejects(c), F.lit(rule.name))
     df = df.withColumn("rejected_by", verdict)
     return df.select(*map(col, keep), *FIGURES, "base_failed", F.col("rejected_by").isNull().alias("kept"), "rejected_by")
+
+
+#: The figures and verdicts in SQL, rule by rule, for ``op2_quality_rules``.
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+  [l for l in string_split(t, chr(10)) if regexp_matches(l, '[^\x20\x09-\x0D]')] AS ls FROM d),
+g AS (SELECT r, unnest([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] for i in range(1, len(ws) - 1)]) AS three,
+  unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) > 2),
+c AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, three) > 1),
+n AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM c) x GROUP BY r),
+f AS (SELECT doc_id, t, ws, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum([length(x) for x in ws]), 0) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(n.n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines FROM w LEFT JOIN n USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 2 * n_dup_lines > n_lines
+    OR 5 * len(regexp_extract_all(t, '\p{Lu}')) > 2 * len(regexp_extract_all(t, '\p{L}')) OR 2 * len(regexp_extract_all(t, '!')) > n_words
+    OR 2 * len(regexp_extract_all(t, '[0-9]')) > word_chars OR 10 * len([x for x in ws if NOT regexp_matches(x, '\p{L}')]) > 4 * n_words) AS kept
+FROM b"""

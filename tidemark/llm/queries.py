@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
-from tidemark.llm import chat, chunks, line_crf, ngram_join, topk, toxicity
+from tidemark.llm import cascade, chat, chunks, line_crf, ngram_join, topk, toxicity
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.secrets import listed, scan, with_spans
@@ -99,4 +99,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {"op6_chat_formatting": chat.ORACLE, "op7_topk": topk.ORACLE}
+ORACLES: dict[str, str] = {"op2_quality_rules": cascade.ORACLE, "op6_chat_formatting": chat.ORACLE, "op7_topk": topk.ORACLE}
