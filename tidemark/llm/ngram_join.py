@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import col, fresh, in_groups, in_tasks, stored
 from tidemark.llm.components import components
 
-BLOCK = 1_024
+BLOCK = 2_048
 #: Counters of the table that tells frequent n-grams; its size never grows.
 COUNTERS = 1 << 20
 #: N-grams and texts of one packed exchange row's group; keys are cut to five bytes there.
