@@ -17,7 +17,6 @@ empty table; a text of any length is cut into as many pieces as it needs; extra
 from __future__ import annotations
 
 import os
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,6 @@ END_ID = 1
 DIMS, BITS = 4, 15
 #: Python splits at these as well, tokenizers do not: texts with them are tokenized as a whole.
 ONLY_PYTHON = "\x1c\x1d\x1e\x1f"
-STOPS = ".,;:!?"
 #: A sign that stands between words to encode many at once; words with it are encoded alone.
 MARK = "\x01"
 #: Words of at most so many letters are kept with their ids, and so many of them, in a worker (about 200 bytes each).
@@ -54,13 +52,6 @@ class Words:
         self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         a, b, mark = self.encode(["The", "end", MARK])
-        # what words of ASCII letters and single stops give on their own, if the model alone gives the same as the whole
-        stems = ["the", "end", "a", "qwertyuiopasdfghjklzxcvbnm", "its", "don", "nononono", "thlyngreaonti"]
-        model = {w: [t.id for t in self.tokenizer.model.tokenize(w)] for w in stems}
-        stops = dict(zip(STOPS, self.encode(list(STOPS))))
-        same = self.encode(stems) == list(model.values()) and all(
-            self.encode([w + c for w in stems]) == [model[w] + ids for w in stems] for c, ids in stops.items())
-        self.direct = {c: self.packed(ids) for c, ids in stops.items()} if same else {}
         self.folds = self.encode(["THE Él ÀÇÜ"]) == self.encode(["the él àçü"])
         self.apart = self.encode(["The  end\n"]) == [a + b]
         self.mark = mark[0] if self.encode([f"The {MARK} end"]) == [a + mark + b] and len(mark) == 1 else None
@@ -71,29 +62,12 @@ class Words:
     def packed(self, ids) -> bytes:
         return np.array(ids, dtype=self.kind).tobytes()
 
-    def words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each word, as bytes.  Of words of small ASCII letters, and such words with one stop behind, the parts go
-        to the model at once; the others are encoded many at a time."""
-        out, known, others = {}, self.known, []
-        for word in words:
-            stem = word[:-1] if word[-1] in STOPS and len(word) > 1 else word
-            if not (self.direct and stem.isascii() and stem.isalpha() and stem.islower()):
-                others.append(word)
-                continue
-            ids = known.get(stem) or out.get(stem)
-            if ids is None:
-                ids = out[stem] = self.packed([t.id for t in self.tokenizer.model.tokenize(stem)])
-            if stem is not word:
-                out[word] = ids + self.direct[word[-1]]
-        out.update(zip(others, self.together(others)))
-        return out
-
-    def together(self, words: list[str], many: int = 200):
-        """Ids of each word, as bytes, with a mark between the words of a group."""
+    def words(self, words: list[str], together: int = 200):
+        """Ids of each word, as bytes."""
         if self.mark is None:
             yield from map(self.packed, self.encode(words))
             return
-        groups = [words[i: i + many] for i in range(0, len(words), many)]
+        groups = [words[i: i + together] for i in range(0, len(words), together)]
         for group, ids in zip(groups, self.encode([f" {MARK} ".join(g) for g in groups])):
             found = np.array(ids, dtype=self.kind)
             cuts = np.flatnonzero(found == self.mark)
@@ -113,21 +87,20 @@ class Words:
         return text.lower() if self.folds else text
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        known, split = self.known, []
+        known, new, split = self.known, set(), []
         for text in texts:
             whole = not self.apart or any(s in text for s in self.special) or any(c in text for c in ONLY_PYTHON)
             split.append(None if whole else self.folded(text).split())
-        # most look-ups go to a small table of this batch's words, not to the large one
-        here = dict.fromkeys(chain.from_iterable(filter(None, split)))
-        new = [w for w in here if w not in known]
-        known.update(self.words(new))
-        here = dict(zip(here, map(known.__getitem__, here)))
+            if not whole:
+                new.update(set(split[-1]).difference(known))
+        new = list(new)
+        known.update(zip(new, self.words(new)))
         out = []
         for text, words in zip(texts, split):
             if words is None:
                 out.append(np.array(self.encode([text])[0], dtype=self.kind))
             else:
-                out.append(np.frombuffer(b"".join(map(here.__getitem__, words)), dtype=self.kind))
+                out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), dtype=self.kind))
         full = len(known) > MANY_WORDS
         for w in new:
             if full or len(w) > LONG_WORD:
