@@ -37,3 +37,39 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert rotate(spark, []) == {}
+
+
+def renderings(spark, rows, **kw):
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA).repartition(3)
+    out = {}
+    for r in sorted(chat.renderings(df, **kw).collect(), key=lambda r: r.part):
+        out.setdefault((r.conv, r.speaker), []).append(r)
+    return out
+
+
+def by_hand(rows, speaker):
+    """Rendering and mask of a whole dialogue, turn by turn."""
+    text, mask = "", []
+    for _, _, who, said in rows:
+        text += f"<|im_start|>{who if who == 'system' else 'assistant' if who == speaker else 'user name=' + who}\n"
+        if who == speaker:
+            mask.append((len(text), len(text) + len(said) + len("<|im_end|>\n")))
+        text += said + "<|im_end|>\n"
+    return text, mask
+
+
+def same(parts, rows, speaker, part_turns):
+    assert [p.part for p in parts] == list(range(-(-len(rows) // part_turns))) and max(p.n_turns for p in parts) <= part_turns
+    text, mask = by_hand(rows, speaker)
+    assert "".join(p.text for p in parts) == text and [tuple(m) for p in parts for m in p["mask"]] == mask
+    for k, p in enumerate(parts):
+        assert (p.turn_at, p.begin) == (k * part_turns, sum(len(q.text) for q in parts[:k]))
+
+
+def test_every_participant_has_the_whole_dialogue(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_PARTS", 3)
+    rows = [(7, i, "system" if i % 17 == 0 else f"speaker{i // 70}", f"té{i}") for i in range(200)]
+    got = renderings(spark, rows + [(8, 0, "ann", "Hi")], part_turns=16)
+    assert set(got) == {(7, "speaker0"), (7, "speaker1"), (7, "speaker2"), (8, "ann")}
+    for s in range(3):
+        same(got[7, f"speaker{s}"], rows, f"speaker{s}", 16)

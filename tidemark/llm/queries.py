@@ -48,7 +48,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = chat.rotate(table(spark, sf_dir, "conversations"))
+    out = chat.renderings(table(spark, sf_dir, "conversations"))
     return out.select(F.col("conv").alias("conv_id"), "part", "speaker", "n_turns", "n_spoken", "text", chat.listed(F.col("mask")).alias("mask"))
 
 
