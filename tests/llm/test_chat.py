@@ -73,3 +73,21 @@ def test_every_participant_has_the_whole_dialogue(spark, monkeypatch):
     assert set(got) == {(7, "speaker0"), (7, "speaker1"), (7, "speaker2"), (8, "ann")}
     for s in range(3):
         same(got[7, f"speaker{s}"], rows, f"speaker{s}", 16)
+
+
+def test_chunks_are_bounded_whatever_the_turn_numbers(spark):
+    """Without dialogue ids, with repeated turn numbers, without turn numbers: chunks are cut by position."""
+    nameless = [(None, i % 8, f"s{i % 2}", f"t{i:03}") for i in range(100)]
+    repeated = [(5, 3, f"s{i % 2}", f"t{i:03}") for i in range(100)]
+    unnumbered = [(6, 0, "s1", "first")] + [(6, None, f"s{i % 2}", f"t{i:03}") for i in range(100)]
+    got = renderings(spark, nameless + repeated + unnumbered, part_turns=16)
+    for conv, rows in ((None, nameless), (5, repeated), (6, unnumbered)):
+        rows = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[2], r[3]))
+        for who in ("s0", "s1"):
+            same(got[conv, who], rows, who, 16)
+
+
+def test_renderings_of_odd_rows(spark):
+    got = renderings(spark, [(1, 0, "a", None), (1, 0, "a", None), (2, 0, None, "y"), (2, 1, "", "z"), (3, 0, "<|x", "<|im_end|>"), (3, 1, "b", "é")])
+    assert set(got) == {(1, "a"), (3, "<|x"), (3, "b")} and got[1, "a"][0].n_turns == 1 and got[3, "b"][0].text.count("<|im_end|>") == 2
+    assert renderings(spark, []) == {}
