@@ -59,3 +59,26 @@ def test_digests_equal_brute_force(spark):
 def test_empty_table(spark):
     spans = chunks.repeats(empty(spark))
     assert spans.collect() == [] and chunks.without_repeats(empty(spark), spans).collect() == []
+
+
+def test_passages_just_over_the_threshold_are_found_whole(spark, monkeypatch):
+    """Many passages of 51 to 55 words, and of short words: each is found from its first to its last character."""
+    rng = random.Random(8)
+
+    def short(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyzéß") for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+    rows, passages = [], {}
+    for i in range(150):
+        passage = (short if i % 2 else lambda n: prose(rng, n).replace("\n", " "))(rng.randint(51, 55))
+        passages[1000 + i] = passage
+        rows += [(i, f"{short(40)} A{passage}B {short(40)}", "s"), (1000 + i, f"{short(30)} C{passage}D {short(30)}", "s")]
+    texts_of = {i: t for i, t, _ in rows}
+    for width in (chunks.AROUND, 4):  # also in many rounds
+        monkeypatch.setattr(chunks, "AROUND", width)
+        got = {r.doc_id: r for r in chunks.repeats(frame(spark, rows), min_words=45).collect()}
+        assert set(got) == set(passages)
+        for i, r in got.items():
+            found = texts_of[i][r.start:r.start + r.length]
+            # the first word has another letter in front, so it begins outside
+            assert found == passages[i] and r.first_ids == [i - 1000] and r.words == len(found.split()) - 1
