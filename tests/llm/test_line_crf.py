@@ -68,3 +68,19 @@ def test_no_labels_and_empty_table(spark):
     nothing = labels(spark, [])
     assert {r.score for r in line_crf.classify(frame(spark), nothing, F.lit(True)).collect()} == {0.5}
     assert line_crf.classify(empty(spark), labels(spark, [(1, 1, 0)]), F.lit(True)).collect() == []
+
+
+def test_bad_lines_late_in_a_long_text_are_learned():
+    from random import Random
+
+    rng = Random(6)
+
+    def lines(n):
+        return [prose(rng, 12).replace("\n", " ") for _ in range(n)]
+
+    junk = ["BUY NOW!! $$ | ## WIN | 100% %% <<>> !!"] * 400
+    texts_ = ["\n".join(lines(220) + junk) if i % 2 else "\n".join(lines(300)) for i in range(20)]
+    model = line_crf.fit(texts_, np.array([1 - i % 2 for i in range(20)]))
+    bad, good = line_crf.qualities(model, ["\n".join(junk[:50]), "\n".join(lines(50))])[0]
+    late = line_crf.qualities(model, ["\n".join(lines(220) + junk)])[0][0]
+    assert bad < 0.1 and late < 0.5 < good

@@ -6,7 +6,7 @@ length); a transition score ties neighbouring lines.  Forward-backward gives eve
 good, and a document's quality is their mean, weighted by the lengths of the lines.
 
 Labels exist for documents only, so in training every line has the label of its document.  The model is fitted on at most
-``train_rows`` labelled rows, chosen by a hash of their ids; scoring covers every line of every text.
+``train_rows`` labelled rows, chosen by a hash of their ids, and on every line of them; scoring covers every line of every text.
 
 Defined results: a NULL text is empty; an empty text is one empty line and gets the marginal of such a line; labels other than
 0 and 1 and NULL ids are not learned from; without labels of both kinds every score is 0.5; repeated rows score alike; an
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ROOT, col, text_of
 
-#: Bound of the rows that the model is fitted on, and of the lines that one of them gives.
-TRAIN_ROWS, TRAIN_LINES = 3_000, 200
+#: Bound of the rows that the model is fitted on; their texts are whole.
+TRAIN_ROWS = 3_000
 SCORED_CHARS = 1 << 18
 
 # classes of bytes: 0 other, 1 capital, 2 small letter, 3 digit, 4 symbol, 5 bar, 6 exclamation mark, 7 part of an earlier character
@@ -149,7 +149,7 @@ def fit(texts: list[str], good: np.ndarray, rounds: int = 120, rate: float = 0.1
     """Maximum likelihood with a ridge, by Adam steps over all texts; small and dense, so it is done in one place."""
     if len(set(good.tolist())) < 2:
         return Model()
-    lines = lines_of(["\n".join(t.split("\n")[:TRAIN_LINES]) for t in texts])
+    lines = lines_of(texts)
     model = Model(mean=lines.x.mean(axis=0), scale=lines.x.std(axis=0) + 1e-6)
     design, at = model.design(lines.x), steps(lines.first)
     y = np.repeat(good.astype(float), np.diff(lines.first))
