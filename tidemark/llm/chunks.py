@@ -9,8 +9,8 @@ span, and spans of at least ``min_words`` words that begin in them count: short
 A shorter passage without a single common chunk has no seed.
 
 One row for each chunk (digest, document, place) is exchanged; holders are found by partial minima, and the join of
-chunks with digests of several documents is an equi-join that Spark can split, so a passage of a third of all rows is no
-group in one task.  Adjoining chunks with the same place in the same holder are extended together.  Only the characters around
+chunks with digests of several documents is an equi-join.  The join with their first places follows an aggregation by digest and
+is not split by Spark, so the copies of one very common chunk meet in one task.  Adjoining chunks with the same place in the same holder are extended together.  Only the characters around
 a stretch's ends are exchanged, ``AROUND`` at first; where all of them are equal, 16 times as many in the next round, until none are.
 
 Defined results: NULL and empty texts have no chunks; rows of the same id are one document and no repeats of each
