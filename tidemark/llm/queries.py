@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
-from tidemark.llm import cascade, chat, chunks, line_crf, ngram_join, topk, toxicity
+from tidemark.llm import cascade, chat, chunks, decontaminate, line_crf, ngram_join, topk, toxicity
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.secrets import listed, scan, with_spans
@@ -86,6 +86,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    out = decontaminate.hits(docs, items)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    ids = F.filter(F.transform("items", lambda i: i["item"]), lambda i: i.isNotNull())
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -97,6 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
+    "op12_decontamination": op12_decontamination,
 }
 
-ORACLES: dict[str, str] = {"op2_quality_rules": cascade.ORACLE, "op6_chat_formatting": chat.ORACLE, "op7_topk": topk.ORACLE}
+ORACLES: dict[str, str] = {"op2_quality_rules": cascade.ORACLE, "op6_chat_formatting": chat.ORACLE, "op7_topk": topk.ORACLE,
+                           "op12_decontamination": decontaminate.ORACLE}
