@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
-from tidemark.llm import cascade, chat, chunks, decontaminate, line_crf, ngram_join, topk, toxicity
+from tidemark.llm import cascade, chat, chunks, collocations, decontaminate, line_crf, ngram_join, part_codes, topk, toxicity
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.secrets import listed, scan, with_spans
@@ -86,6 +86,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = part_codes.encode(table(spark, sf_dir, "embeddings"))
+    rows = part_codes.with_label_errors(coded.rows)
+    return rows.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(coded.books_sha256()).alias("codebooks_sha256"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
     out = decontaminate.hits(docs, items)
@@ -95,6 +101,10 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -106,8 +116,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_secrets": op9_secrets,
     "op10_toxicity": op10_toxicity,
+    "op11_vector_codes": op11_vector_codes,
     "op12_decontamination": op12_decontamination,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {"op2_quality_rules": cascade.ORACLE, "op6_chat_formatting": chat.ORACLE, "op7_topk": topk.ORACLE,
-                           "op12_decontamination": decontaminate.ORACLE}
+                           "op11_vector_codes": part_codes.ORACLE, "op12_decontamination": decontaminate.ORACLE, "op13_collocations": collocations.ORACLE}
