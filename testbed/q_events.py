@@ -207,7 +207,8 @@ SUMMED = f"""SELECT date, city_sn, car_type, CAST(SUM(trip_cnt) AS BIGINT) AS tr
   CAST(SUM(ad_cnt) AS BIGINT) AS ad_cnt, CAST(SUM(show_video_start) AS BIGINT) AS show_video_start,
   COALESCE(SUM(video_time), 0) AS video_time FROM ({BEGIN_SUMMARY}) x JOIN dim ON x.devicename = dim.third_code
   WHERE city_sn IS NOT NULL AND car_type IS NOT NULL GROUP BY 1, 2, 3"""
-TRIP_DAY = f"""SELECT a.date, COALESCE(a.city_sn, 0) AS city_sn, COALESCE(a.car_type, '0') AS car_type,
+# by the raw keys of the heartbeat groups
+TRIP_FIGURES = f"""SELECT a.date, a.city_sn, a.car_type,
   COALESCE(r.daily_trip_dev_cnt, 0) AS daily_trip_dev_cnt, COALESCE(p.daily_play_dev_cnt, 0) AS daily_play_dev_cnt,
   CAST(0 AS BIGINT) AS total_trip_dev_cnt, CAST(0 AS BIGINT) AS total_play_dev_cnt,
   CASE WHEN a.city_sn = 310100 THEN COALESCE(f.stream_ad_cnt_fulltime, 0) + COALESCE(f.screensaver_ad_cnt_fulltime, 0)
@@ -224,13 +225,16 @@ LEFT JOIN ({SUMMED}) s ON a.date = s.date AND a.city_sn = s.city_sn AND a.car_ty
 LEFT JOIN ({ON_ROAD}) r ON a.date = r.date AND a.city_sn = r.city_sn AND a.car_type = r.car_type"""
 
 
-def trip_report(t):
-    return trip_day.trip_day(days(t), t.device_snapshot, t.heartbeat_day, city(t), START, END)
+TRIP_DAY = f"SELECT * REPLACE (COALESCE(city_sn, 0) AS city_sn, COALESCE(car_type, '0') AS car_type) FROM ({TRIP_FIGURES}) figures"
+
+
+def trip_figures(t):
+    return trip_day.trip_figures(days(t), t.device_snapshot, t.heartbeat_day, city(t), START, END)
 
 
 @query("r5_trip_day", TRIP_DAY)
 def _(t):
-    return plain(trip_report(t))
+    return plain(trip_day.trip_day(days(t), t.device_snapshot, t.heartbeat_day, city(t), START, END))
 
 
 @query("r5a_trip_summary", f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from testbed import q_retail  # noqa: F401  registers the scan_log view used below
 from testbed.q_events import ENDED_SUMMARY, LABEL, PAIR, BEGIN_SUMMARY, agents, city, days
-from testbed.q_scale import R13_SQL, agent_bindings, bindings, inputs
+from testbed.q_scale import AGENT_COLUMNS, R13_SQL, agent_bindings, bindings, inputs
 from testbed.registry import REGISTRY, plain, query, scratch_dir
 from testbed.tables import CAMPAIGN_RULES, END, HISTORY, LATE_START, RULES, START, TODAY
 from tidemark.functions import predicates as P
@@ -18,12 +19,12 @@ from tidemark.operators import dims, frames
 from tidemark.operators.cumulative import first_seen, merge_first_seen
 from tidemark.operators.presence import marks, presence, seen
 from tidemark.operators.rollup import roll_up
-from tidemark.plans import daily, interaction, plays, scale
+from tidemark.operators.trips import device_days
+from tidemark.plans import daily, interaction, plays, scale, trip_day
 from tidemark.sinks import days as sink
 from tidemark.sinks.layouts import LAYOUTS, ZERO, to_layout
-from tidemark.sources import logs
 from tidemark.sources.tables import clean_cells
-from tidemark.streaming import incremental
+from tidemark.streaming import incremental, kept
 
 D = dt.date.fromisoformat
 
@@ -50,13 +51,33 @@ def _(t):
     return clean_cells(t.screen_event.select("adsn", "traceid", "versioncode"))
 
 
+def write_logs(t, root: str, where: str) -> None:
+    """Some of the log lines as day logs of two hosts and two modules, beside what is there."""
+    lines = t.scan_line.withColumn("crc", F.crc32(F.col("value").cast("binary"))).filter(where)
+    day = F.coalesce(F.substr("value", F.lit(1), F.lit(10)).try_cast("date"), F.substr("value", F.lit(8), F.lit(10)).try_cast("date"), F.lit("1999-05-14").cast("date"))
+    lines.select("value", F.when(F.col("crc") % 2 == 0, "host_a").otherwise("host_b").alias("host"), F.when(F.col("crc") % 3 == 0, "goods-web").otherwise(
+        "order-web").alias("folder"), F.concat(F.lit("app.log."), day.cast("string")).alias("log")).write.mode("append").partitionBy("host", "folder", "log").text(root)
+
+
+def load_logs(t) -> str:
+    """The path of the scan log after two loads: the second finds further files of logs that were read, new logs and old ones."""
+    root, path = scratch(t, "logs"), scratch(t, "scan_log")
+    write_logs(t, root, "crc % 7 < 3 AND (crc % 2 = 0 OR crc % 3 > 0)")
+    daily.load_scan_logs(t.spark, root, path, D("1990-01-01"), D("1999-05-20"))
+    write_logs(t, root, "crc % 7 >= 3 AND (crc % 2 = 0 OR crc % 3 > 0)")
+    write_logs(t, root, "crc % 2 = 1 AND crc % 3 = 0")
+    daily.load_scan_logs(t.spark, root, path, D("1990-01-01"), D("2030-01-01"))
+    return path
+
+
 @query("s7_log_files", "SELECT module, user_tel, user_id, shelf_sn, driver_id, add_time FROM scan_log")
 def _(t):
-    paths = [scratch(t, name) for name in ("host_a", "host_b")]
-    lines = t.scan_line.withColumn("host", F.crc32(F.col("value").cast("binary")) % 2)
-    for i, path in enumerate(paths):
-        lines.filter(F.col("host") == i).select("value").write.text(path)
-    return logs.scan_log(logs.parse_scan_lines(logs.read_lines(t.spark, paths)))
+    return t.spark.read.parquet(load_logs(t)).select("module", "user_tel", "user_id", "shelf_sn", "driver_id", "add_time")
+
+
+@query("d4_rejects_of_log_files", f"SELECT * FROM ({REGISTRY['d4_scan_log_rejects'].sql}) rejects")
+def _(t):
+    return t.spark.read.parquet(load_logs(t) + "_rejects").select("line")
 
 
 # --- dimensions --------------------------------------------------------------------------
@@ -230,7 +251,7 @@ def _(t):
         [(3, "src2", None, None, None, "x3"), (1, "src2", "camp1", None, None, "x1"), (2, None, None, "/b/4", "contains", "x2")],
         "priority int, utm_source string, utm_campaign string, content_match string, match_kind string, target string")
     counted = t.screen_event.groupBy(*PARTS).agg(F.count(F.lit(1)).alias("n"))
-    return attributed(counted, table, []).groupBy("video").agg(F.sum("n").alias("n"))
+    return attributed(counted, table).groupBy("video").agg(F.sum("n").alias("n"))
 
 
 # A rule for every order: 1,500 at sf0.001, 15,000 at sf0.01.  Some match by parts of the content.
@@ -253,7 +274,29 @@ SELECT COALESCE(target, 'else ') AS video, CAST(SUM(n) AS BIGINT) AS n FROM chos
 def _(t):
     rules = t.spark.sql(_RULES.format(text="STRING", orders="{orders}"), orders=t.orders)
     counted = t.screen_event.groupBy(*PARTS).agg(F.count(F.lit(1)).alias("n"))
-    return attributed(counted, rules, []).groupBy("video").agg(F.sum("n").alias("n"))
+    return attributed(counted, rules).groupBy("video").agg(F.sum("n").alias("n"))
+
+
+# A rule of containment for every order: pieces that many rules have, some of one or two characters, most of them in no content.
+_CONTAINED = """SELECT CAST(o_orderkey AS INT) AS priority, 'o' || CAST(o_orderkey AS {text}) AS target,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'src' || CAST(o_orderkey % 7 AS {text}) END AS utm_source,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'camp' || CAST(o_orderkey % 5 AS {text}) END AS utm_campaign,
+  CASE WHEN o_orderkey % 101 = 0 THEN '/' || CAST(o_orderkey % 10 AS {text}) WHEN o_orderkey % 103 = 0 THEN CAST(o_orderkey % 10 AS {text})
+    WHEN o_orderkey % 89 = 0 THEN '//b/' || CAST(o_orderkey % 10 AS {text}) ELSE 'http://b/' || CAST(o_orderkey AS {text}) END AS content_match,
+  'contains' AS match_kind FROM {orders}"""
+
+
+@query("f4_attribution_contained_pieces", f"""
+WITH rules AS ({_CONTAINED.format(text="VARCHAR", orders="orders")}),
+seen AS (SELECT utmsource, utmcampaign, utmcontent, COUNT(*) AS n FROM screen_event GROUP BY ALL),
+chosen AS (SELECT s.utmsource, s.utmcampaign, s.utmcontent, s.n, arg_min(r.target, r.priority) AS target FROM seen s LEFT JOIN rules r
+  ON (r.utm_source IS NULL OR r.utm_source = s.utmsource) AND (r.utm_campaign IS NULL OR r.utm_campaign = s.utmcampaign)
+  AND contains(s.utmcontent, r.content_match) GROUP BY ALL)
+SELECT COALESCE(target, 'else ') AS video, CAST(SUM(n) AS BIGINT) AS n FROM chosen GROUP BY 1""")
+def _(t):
+    rules = t.spark.sql(_CONTAINED.format(text="STRING", orders="{orders}"), orders=t.orders)
+    counted = t.screen_event.groupBy(*PARTS).agg(F.count(F.lit(1)).alias("n"))
+    return attributed(counted, rules).groupBy("video").agg(F.sum("n").alias("n"))
 
 
 @query("i2_zero_filled_days", """
@@ -298,11 +341,39 @@ def _(t):
 
 
 @query("k3_full_refresh", BEATS_SQL)
+def _(t):
+    path = scratch(t, "beats")
+    for factor in (5, 4, 3, 2, 1):  # more often than there are folders for versions
+        sink.refresh(_beats(t).withColumn("n", F.col("n") * factor), path)
+    return sink.read_report(t.spark, path)
+
+
+@query("k3_refresh_that_stopped", BEATS_SQL)
 def _(t):
     path = scratch(t, "beats")
     sink.refresh(_beats(t).withColumn("n", F.col("n") * 2), path)
     sink.refresh(_beats(t), path)
-    return t.spark.read.parquet(path)
+    # the next one writes its rows and dies before it names the version
+    _beats(t).withColumn("n", F.col("n") * 7).write.mode("overwrite").parquet(f"{path}/versions/{3 % sink.SLOTS}")
+    return sink.read_report(t.spark, path)
+
+
+@query("o2_interaction_in_order", f"""
+SELECT date, play_trip_cnt, row_number() OVER (ORDER BY date) AS place FROM ({REGISTRY['r9_interaction_day'].sql}) report""")
+def _(t):
+    path = scratch(t, "interaction")
+    sink.refresh(interaction.interaction_day(t.screen_event, t.excluded, START, END), path, order=["date"])
+    return sink.read_ordered(sink.read_report(t.spark, path)).select("date", "play_trip_cnt", "place")
+
+
+@query("o2_scan_total_newest_first", f"""
+SELECT *, row_number() OVER (ORDER BY date DESC, video) AS place FROM ({REGISTRY['r1c_scan_total'].sql}) report""")
+def _(t):
+    path = scratch(t, "scans")
+    total = plays.scan_total(t.screen_event, CAMPAIGN_RULES, t.excluded, LATE_START, END, history=HISTORY)
+    # several files, as a large table has
+    sink.refresh(total.repartition(4), path, order=[F.desc("date"), "video"])
+    return sink.read_ordered(sink.read_report(t.spark, path))
 
 
 @query("k5_sink_layout", f"""
@@ -384,12 +455,102 @@ def _(t):
     return plain(_two_runs(t, "ad_play_total", run))
 
 
+def _ad_fulltime_run(t):
+    return lambda w, s: plays.ad_play_fulltime_run(t.screen_event, city(t), t.excluded, w.start, w.end, s, history=HISTORY)
+
+
+def _ad_run(t):
+    return lambda w, s: plays.ad_play_run(t.screen_event, city(t), t.excluded, w.start, w.end, s, history=HISTORY)
+
+
+def _content_run(t):
+    return lambda w, s: plays.content_play_run(t.screen_event, t.excluded, w.start, w.end, s, history=HISTORY)
+
+
+@query("i3_ad_fulltime_total_in_two_runs", f"SELECT * FROM ({REGISTRY['r3a_ad_play_fulltime_total'].sql}) report")
+def _(t):
+    return plain(_two_runs(t, "ad_play_fulltime_total", _ad_fulltime_run(t)))
+
+
+@query("i3_points_total_in_two_runs", f"SELECT * FROM ({REGISTRY['r5c_points_total'].sql}) report")
+def _(t):
+    run = lambda w, s: trip_day.points_run(t.screen_event, city(t), t.excluded, w.start, w.end, s, history=HISTORY)
+    return _two_runs(t, "points_total", run)
+
+
+@query("i3_on_road_total_in_two_runs", f"SELECT * FROM ({REGISTRY['r5d_on_road_total'].sql}) report")
+def _(t):
+    # the second run takes its days from the device days that other reports share
+    def run(w, s):
+        days_of = device_days(P.prod_events(t.screen_event, t.excluded, w.start, w.end))
+        return trip_day.on_road_run(t.screen_event, city(t), t.excluded, w.start, w.end, s, history=HISTORY, days=days_of)
+    return _two_runs(t, "on_road_total", run)
+
+
+@query("i3_scan_total_under_new_rules", f"SELECT * FROM ({REGISTRY['r1c_scan_total'].sql}) report WHERE date >= DATE '2024-01-18'")
+def _(t):
+    old = [Rule(1, "c9", content="http://b/", kind="contains"), Rule(2, "gone", source="src1")]
+
+    def run(w, s):  # the first run has other rules
+        rules = old if s is None else CAMPAIGN_RULES
+        return plays.scan_run(t.screen_event, rules, t.excluded, w.start, w.end, s, history=HISTORY)
+    return _two_runs(t, "scan_total", run).filter("date >= '2024-01-18'")
+
+
+def _with_stops(t, name: str, run):
+    """The report's table after runs of which two have stopped: one after its state was committed and before its rows were
+    written, one after the first table of its state."""
+    path = scratch(t, name)
+    report = incremental.Report(name, None, day="date", default=D(LATE_START) - dt.timedelta(days=1), run=run)
+    incremental.load(t.spark, report, path, D("2024-01-15"))
+    before = kept.kept(t.spark, path)
+    stopped = incremental.next_window(before.upto, D("2024-01-18"))
+    kept.commit(t.spark, path, run(stopped, before.state), stopped.end, before)
+    run(stopped, before.state).added.write.parquet(f"{path}_state/added/{before.commits[0].number + 2}")
+    for today in (D("2024-01-20"), D(TODAY)):
+        incremental.load(t.spark, report, path, today)
+    return t.spark.read.parquet(path)
+
+
+@query("i3_after_a_stop", f"SELECT * FROM ({REGISTRY['r1b_content_play_total'].sql}) report")
+def _(t):
+    return plain(_with_stops(t, "content_play_total", _content_run(t)))
+
+
+@query("i3_ad_total_after_a_stop", f"SELECT * FROM ({REGISTRY['r2a_ad_play_total'].sql}) report")
+def _(t):
+    return plain(_with_stops(t, "ad_play_total", _ad_run(t)))
+
+
+@query("i3_ad_fulltime_total_after_a_stop", f"SELECT * FROM ({REGISTRY['r3a_ad_play_fulltime_total'].sql}) report")
+def _(t):
+    return plain(_with_stops(t, "ad_play_fulltime_total", _ad_fulltime_run(t)))
+
+
+@query("i1_reload_of_an_earlier_day", f"SELECT * FROM ({REGISTRY['r1b_content_play_total'].sql}) report")
+def _(t):
+    # some rows of a day come late: the day is loaded again when the table is well past it
+    late = t.screen_event.filter("NOT (p_date = '2024-01-12' AND devicename LIKE '%3')")
+    path = scratch(t, "content_play_total")
+
+    def report(events):
+        run = lambda w, s: plays.content_play_run(events, t.excluded, w.start, w.end, s, history=HISTORY)
+        return incremental.Report("content_play_total", None, day="date", default=D(LATE_START) - dt.timedelta(days=1), run=run)
+
+    for today in (D("2024-01-12"), D("2024-01-16"), D("2024-01-21")):
+        incremental.load(t.spark, report(late), path, today)
+    incremental.load(t.spark, report(t.screen_event), path, D("2024-01-21"), since=D("2024-01-12"))
+    incremental.load(t.spark, report(t.screen_event), path, D(TODAY))
+    return plain(t.spark.read.parquet(path))
+
+
 # --- whole daily runs ------------------------------------------------------------------------------
 
-def screen_run(t):
-    return daily.ScreenTables(
+def screen_run(t, **changes):
+    tables = daily.ScreenTables(
         t.screen_event, t.device_service, t.screen_info, t.screen_car, t.device_snapshot, t.heartbeat_day, t.trip_server,
         t.trip_client, t.archives, t.sensor_summary, t.abnormal_device, t.excluded)
+    return dataclasses.replace(tables, **changes)
 
 
 # The run's own calendar holds every day of the window.
@@ -397,6 +558,30 @@ def screen_run(t):
 def _(t):
     root = scratch(t, "screen")
     reports = daily.screen_reports(t.spark, screen_run(t), RULES, CAMPAIGN_RULES, root, D(START) - dt.timedelta(days=1))
-    wanted = [r for r in reports if r.name in ("calendar", "trip_day", "device_scale")]
+    wanted = [r for r in reports if r.name in ("calendar", "trip_day", "device_firsts", "device_scale")]
     incremental.run_all(t.spark, wanted, root, D(TODAY))
     return plain(t.spark.read.parquet(f"{root}/device_scale"))
+
+
+def _scale_in_two_runs(t, name: str):
+    """The days of a second run; devices bound after the first one count in it from their binding on."""
+    root, mark = scratch(t, "screen"), D(START) - dt.timedelta(days=1)
+    early = t.device_service.filter("add_time < '2024-01-08'")
+    for today, service in ((D("2024-01-17"), early), (D(TODAY), t.device_service)):
+        reports = daily.screen_reports(t.spark, screen_run(t, service=service), RULES, CAMPAIGN_RULES, root, mark)
+        incremental.run_all(t.spark, [r for r in reports if r.name in ("calendar", "device_firsts", name)], root, today)
+    return plain(t.spark.read.parquet(f"{root}/{name}").filter("day >= '2024-01-17'"))
+
+
+@query("i3_device_scale_in_two_runs", f"""
+SELECT * FROM ({R13_SQL.replace("SELECT day FROM calendar INTERSECT ", "").replace("calendar a", "span a")}) report WHERE day >= DATE '2024-01-17'""")
+def _(t):
+    return _scale_in_two_runs(t, "device_scale")
+
+
+@query("i3_agent_day_in_two_runs", f"""
+SELECT * FROM ({REGISTRY['r14_agent_day'].sql.replace("SELECT day FROM calendar INTERSECT ", "").replace("calendar a", "span a")}) report
+WHERE day >= DATE '2024-01-17'""")
+def _(t):
+    report = _scale_in_two_runs(t, "agent_day")
+    return report.select(*[c for c in report.columns if c in AGENT_COLUMNS])

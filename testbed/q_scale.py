@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from testbed.q_events import ENDED, ENDED_SUMMARY, TRIP_DAY, agents, days, trip_report
+from testbed.q_events import ENDED, ENDED_SUMMARY, TRIP_FIGURES, agents, days, trip_figures
 from testbed.registry import plain, query
 from testbed.tables import END, LATE_START, RULES, START, TODAY
 from tidemark.functions import fixed_values as V
@@ -146,7 +146,7 @@ _FIGURES = {
     "daily_trip_dev_num": trip_devices(C2), "daily_online_dev_num": online(C2), "daily_play_dev_num": splash(C2),
     "daily_heartbeat_dev_num": beats(C2), "daily_online_dev_num_server": online_by(C2, "trip_server", SAME_DAY[4]),
     "daily_online_dev_num_client": online_by(C2, "trip_client", SAME_DAY[5]),
-} | {m: f"SELECT date AS day, city_sn, car_type, MAX({m}) AS {m} FROM ({TRIP_DAY}) x GROUP BY ALL" for m in ("total_play_dev_cnt", "trip_cnt")}
+} | {m: f"SELECT date AS day, city_sn, car_type, {m} FROM ({TRIP_FIGURES}) x" for m in ("total_play_dev_cnt", "trip_cnt")}
 
 
 def _of_group(measure: str) -> str:
@@ -160,14 +160,14 @@ def _of_group(measure: str) -> str:
 R13_SQL = f"""
 SELECT g.day, COALESCE(g.city_sn, 0) AS city_sn, COALESCE(g.car_type, '0') AS car_type, g.total_dev_num,
   {', '.join(map(_of_group, SCALE_MEASURES))},
-  COALESCE((SELECT MAX(ROUND(t.trip_time_sum / 60, 0)) FROM ({TRIP_DAY}) t
+  COALESCE((SELECT ROUND(t.trip_time_sum / 60, 0) FROM ({TRIP_FIGURES}) t
             WHERE t.date = g.day AND t.city_sn = g.city_sn AND t.car_type = g.car_type), 0) AS trip_time
 FROM ({bound_total(C2)}) g"""
 
 
 @query("r13_device_scale", R13_SQL)
 def _(t):
-    return plain(scale.device_scale(inputs(t), bindings(t), trip_report(t), START, END))
+    return plain(scale.device_scale(inputs(t), bindings(t), trip_figures(t), START, END))
 
 
 # --- agents ---------------------------------------------------------------------------
@@ -224,6 +224,7 @@ def _(t):
 AGENT_COUNTS = ("total_dev_num", "total_trip_dev_num", "daily_trip_dev_num", "daily_online_dev_num",
                 "daily_play_dev_num", "trip_cnt", "ad_cnt", "show_video_start", "total_heartbeat_dev_num",
                 "daily_heartbeat_dev_num", "stream_ad_cnt_fulltime")
+AGENT_COLUMNS = ("day", "parent_id", *AGENT_COUNTS, "trip_time_total", "video_time", "video_time_fulltime")
 _AGENT_FRAMES = [AGENT_BASE, trip_devices(A1), online(A1), splash(A1), AGENT_TRIPS, beats_total(A1), beats(A1), AGENT_STREAMS]
 
 

@@ -95,7 +95,7 @@ def test_ad_report_without_play_time_is_zero(spark, city):  # T9
 def test_play_needs_normal_end_but_play_time_does_not(spark):  # T10
     e = events(spark, {"tag": "SCREEN_OTHER_RECOVER_END", "message": "内容正常结束 1", "playtime": 2.0},
                {"tag": "SCREEN_OTHER_RECOVER_END", "message": "cut", "playtime": 3.0, "traceid": "t2"})
-    got = rows(plays.play_counts(e, None, DAY, DAY), "play_trip_cnt", "play_cnt", "play_time")
+    got = rows(plays.content_play_day(e, [], None, DAY, DAY), "play_trip_cnt", "play_cnt", "play_time")
     assert got == [(1, 1, 5.0)]
 
 
@@ -113,8 +113,8 @@ def test_first_matching_rule_wins(spark):  # T12
     e = events(spark, {"utmsource": "s", "utmcampaign": "c"}, {"utmcontent": "xx/y"}, {"utmsource": None})
     rules = [Rule(9, "late", source="s"), Rule(1, "early", source="s", campaign="c"),
              Rule(2, "part", content="/y", kind="contains")]
-    assert rows(attributed(e, rules, []).select("video")) == [("early",), ("else ",), ("part",)]
-    assert rows(attributed(e, [], []).select("video")) == [("else ",)] * 3
+    assert rows(attributed(e, rules).select("video")) == [("early",), ("else ",), ("part",)]
+    assert rows(attributed(e, []).select("video")) == [("else ",)] * 3
 
 
 def test_rules_of_any_shape_equal_a_scan_of_the_list(spark):
@@ -130,13 +130,13 @@ def test_rules_of_any_shape_equal_a_scan_of_the_list(spark):
                 return r.target
         return "else "
 
-    got = attributed(e.select("utmsource", "utmcampaign", "utmcontent"), rules, []).collect()
+    got = attributed(e.select("utmsource", "utmcampaign", "utmcontent"), rules).collect()
     assert {tuple(r) for r in got} == {(*p, first(*p)) for p in parts}
 
 
 def test_a_rule_needs_a_condition(spark):
     with pytest.raises(ValueError):
-        attributed(events(spark), [Rule(1, "t")], [])
+        attributed(events(spark), [Rule(1, "t")])
 
 
 def test_left_join_with_condition_on_the_right_is_inner(spark):  # T13
@@ -240,7 +240,7 @@ def test_three_meanings_of_ad(spark):  # T26
 def test_cumulative_reports_keep_their_own_tags(spark):  # T27, T28
     e = events(spark, {"tag": "video_banner_show"}, {"tag": "video_banner_click"})
     assert rows(plays.content_play_total(e, None, DAY, DAY), "tag") == [("video_banner_click",)]
-    assert len(rows(plays.play_counts(e, None, DAY, DAY), "tag")) == 2
+    assert len(rows(plays.content_play_day(e, [], None, DAY, DAY), "tag")) == 2
 
 
 def test_order_cost_covers_lines_of_all_days(spark):  # T29

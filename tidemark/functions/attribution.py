@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 OTHER = "else "  # fixed value: target of a row that no rule matches (with the blank)
 PARTS = ("utmsource", "utmcampaign", "utmcontent")
+GRAM, PIECE, SHORT = 3, 100, 101  # characters of a piece; marks that keep the kinds of keys apart
 RULE_SCHEMA = "priority int, target string, utm_source string, utm_campaign string, content_match string, match_kind string"
 
 
@@ -39,32 +40,53 @@ def rule_table(spark: SparkSession, rules: Rules) -> DataFrame:
     return spark.createDataFrame(rows, RULE_SCHEMA)
 
 
-def attributed(rows: DataFrame, rules: Rules, by: Sequence[str], out: str = "video", other: str = OTHER) -> DataFrame:
-    """``rows`` with their target.  ``by`` names the columns beside the campaign's that tell rows apart.
+def _grams(text: Column) -> Column:
+    """The pieces of three characters of a text, each once; none of a shorter one or of NULL."""
+    n = F.coalesce(F.length(text), F.lit(0))
+    at = F.when(n >= GRAM, F.sequence(F.lit(1), n - (GRAM - 1))).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(at, lambda i: F.substr(text, i, F.lit(GRAM))))
 
-    Rows should be counted by (``by``, source, campaign, content) before, so that the log itself does not pass through
-    here.  Rules of equality are looked up by one hash join: a row asks for each of the seven choices of its three parts.
-    Rules of containment are few by nature and tried in order inside one expression.  A rule without any condition
-    matches nothing.
+
+def _rule_index(table: DataFrame) -> DataFrame:
+    """Each rule under one key that every row it matches asks for.
+
+    A rule of equality is filed under its parts, one of containment under the rarest among the rules of the pieces of
+    its text, so that pieces which many rules have lead to few of them; one whose text is too short for a piece under SHORT.
+    """
+    parts = ("__r0", "__r1", "__r2")
+    shape = sum(F.when(F.col(r).isNotNull(), 1 << i).otherwise(0) for i, r in enumerate(parts))
+    by_text = (F.col("__kind") == "contains") & F.col("__r2").isNotNull()
+    equal = table.filter(~by_text & (shape > 0)).withColumn("__file", F.xxhash64(shape, *parts))
+    held = table.filter(by_text)
+    pieces = held.select("__rule", *parts, "__kind", F.explode(_grams(F.col("__r2"))).alias("piece"))
+    often = pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    rarest = pieces.join(often, "piece").groupBy("__rule", *parts, "__kind").agg(F.min(F.struct("n", "piece"))["piece"].alias("piece"))
+    filed = rarest.withColumn("__file", F.xxhash64(F.lit(PIECE), "piece")).drop("piece")
+    short = held.filter(F.length("__r2") < GRAM).withColumn("__file", F.xxhash64(F.lit(SHORT)))
+    return equal.unionByName(filed).unionByName(short)
+
+
+def attributed(rows: DataFrame, rules: Rules, out: str = "video", other: str = OTHER, where: Column | None = None) -> DataFrame:
+    """``rows``, which must differ from each other, with their target; rows beside ``where`` ask for nothing.
+
+    Rows should be counted by source, campaign and content (and a day) before, so that the log itself does not pass through
+    here.  A row asks the rule index for each of the seven choices of its three parts and for the pieces of its content, in one hash
+    join; what it finds is tested, and the lowest priority wins.  A rule without any condition matches nothing.
     """
     table = rule_table(rows.sparkSession, rules).select(
-        F.struct("priority", "target").alias("hit"), F.col("utm_source").alias("r0"), F.col("utm_campaign").alias("r1"),
-        F.col("content_match").alias("r2"), F.coalesce("match_kind", F.lit("eq")).alias("kind"))
-    shape = sum(F.when(F.col(f"r{i}").isNotNull(), 1 << i).otherwise(0) for i in range(3))
-    equal = table.filter("kind = 'eq' OR r2 IS NULL").groupBy(shape.alias("r_shape"), "r0", "r1", "r2").agg(F.min("hit").alias("__hit"))
-    asked = F.array(*[F.struct(F.lit(k).alias("shape"), *[
-        (F.col(p) if k >> i & 1 else F.lit(None).cast("string")).alias(f"a{i}") for i, p in enumerate(PARTS)]) for k in range(1, 8)])
-    keys = [*by, *PARTS]
-    others = [c for c in rows.columns if c not in keys]
-    long = rows.withColumn("__a", F.explode(asked))
-    same = F.col("__a.shape") == F.col("r_shape")
-    for i in range(3):
-        same &= F.col(f"__a.a{i}").eqNullSafe(F.col(f"r{i}"))
-    found = long.join(equal, same, "left").groupBy(*keys, *others).agg(F.min("__hit").alias("__equal"))
-    held = table.filter("kind = 'contains' AND r2 IS NOT NULL").agg(
-        F.sort_array(F.collect_list(F.struct("hit", "r0", "r1", "r2"))).alias("held")).scalar()
-    found = found.withColumn("__held", held)
-    first = F.get(F.filter("__held", lambda r: F.coalesce(F.col("utmcontent").contains(r["r2"]), F.lit(False)) & F.coalesce(
-        (r["r0"].isNull() | (F.col("utmsource") == r["r0"])) & (r["r1"].isNull() | (F.col("utmcampaign") == r["r1"])), F.lit(False))), 0)["hit"]
-    best = F.least("__equal", first)
-    return found.select(*rows.columns, F.coalesce(best["target"], F.lit(other)).alias(out))
+        F.struct("priority", "target").alias("__rule"), F.col("utm_source").alias("__r0"), F.col("utm_campaign").alias("__r1"),
+        F.col("content_match").alias("__r2"), F.coalesce("match_kind", F.lit("eq")).alias("__kind"))
+    index = _rule_index(table)
+    none = F.lit(None).cast("string")
+    asked = [F.xxhash64(F.lit(k), *[F.col(p) if k >> i & 1 else none for i, p in enumerate(PARTS)]) for k in range(1, 8)]
+    keys = F.concat(F.array(*asked, F.xxhash64(F.lit(SHORT))),
+                    F.transform(_grams(F.col("utmcontent")), lambda g: F.xxhash64(F.lit(PIECE), g)))
+    long = rows.withColumn("__key", F.explode(keys) if where is None else F.explode_outer(F.when(where, keys)))
+    matches = [F.col("__r0").isNull() | (F.col("utmsource") == F.col("__r0")), F.col("__r1").isNull() | (F.col("utmcampaign") == F.col("__r1")),
+               F.col("__r2").isNull() | F.when(F.col("__kind") == "contains", F.col("utmcontent").contains(F.col("__r2"))).otherwise(
+                   F.col("utmcontent") == F.col("__r2"))]
+    same = F.col("__key") == F.col("__file")
+    for m in matches:
+        same &= F.coalesce(m, F.lit(False))
+    found = long.join(index, same, "left").groupBy(*rows.columns).agg(F.min("__rule").alias("__hit"))
+    return found.select(*rows.columns, F.coalesce(F.col("__hit")["target"], F.lit(other)).alias(out))

@@ -9,7 +9,7 @@ history plus groups x window days, not days x history.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -136,10 +136,22 @@ def cumulative(
 
 @dataclass(frozen=True)
 class State:
-    """What a run keeps so that the next one reads new days only: entities with their first day, and totals."""
+    """What earlier runs have kept: every row they added (entities with their first day), and totals up to their last day."""
 
     seen: DataFrame
-    totals: DataFrame
+    totals: DataFrame | None
+
+
+@dataclass(frozen=True)
+class Step:
+    """One run of a report that continues from a state.
+
+    ``added`` are the rows that the run adds to the state.  ``finish`` takes them as they were written and gives the rows of the
+    report and the totals after the run (None for a state without totals), so that the log itself is read once.
+    """
+
+    added: DataFrame
+    finish: Callable[[DataFrame], tuple[DataFrame | None, DataFrame | None]]
 
 
 def continued(
@@ -148,26 +160,46 @@ def continued(
     day: str,
     start: Day,
     before: State | None,
+    report: Callable[[DataFrame], DataFrame],
     counts: Sequence[str] = (),
     sums: Mapping[str, Column] | None = None,
     distinct: Mapping[str, Column] | None = None,
-) -> tuple[DataFrame, State]:
-    """What each day from ``start`` on adds, with everything before as an addition on ``start``; and the state after.
+) -> Step:
+    """A step of cumulative counts, sums and distinct counts; ``report`` makes its rows from what each day from ``start`` on
+    adds, with everything before as an addition on ``start``.
 
-    ``df`` has the new days if there is a state before, else the whole history.  An entity that the state has
-    seen adds nothing again.  ``seen`` of the state after has the new entities only, to be added to the table;
-    ``totals`` replace the old ones.
+    ``df`` has the new days if there is a state before, else the whole history.  An entity that the state has seen adds
+    nothing again.
     """
     measures = [*counts, *(sums or {}), *(distinct or {})]
     rows = folded(df, keys, day, counts, sums, distinct)
     if before is not None:
-        old = before.seen.select(*[F.col(c).alias(f"o_{c}") for c in (*keys, "__k", "__e")])
+        old = before.seen.filter("__k > 0").select(*[F.col(c).alias(f"o_{c}") for c in (*keys, "__k", "__e")])
         same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(old[f"o_{c}"]) for c in (*keys, "__k", "__e")])
         rows = rows.join(old, same, "left_anti")
-    daily = added(rows, keys, day, counts, sums, distinct).withColumn(day, F.greatest(F.col(day), day_lit(start)))
+
+    def finish(new: DataFrame) -> tuple[DataFrame, DataFrame]:
+        daily = added(new, keys, day, counts, sums, distinct).withColumn(day, F.greatest(F.col(day), day_lit(start)))
+        if before is not None:
+            daily = daily.unionByName(before.totals.select(*keys, day_lit(start).alias(day), *measures))
+        daily = daily.groupBy(*keys, day).agg(*[F.sum(m).alias(m) for m in measures])
+        return report(daily), daily.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+
+    return Step(rows, finish)
+
+
+def entities(new: DataFrame, keys: Sequence[str], before: State | None, report: Callable[[DataFrame], DataFrame]) -> Step:
+    """A step that keeps the first day of entities: ``new`` has a row for each of its window, those that the state knows add
+    nothing.  ``report`` makes its rows from all entities."""
     if before is not None:
-        daily = daily.unionByName(before.totals.select(*keys, day_lit(start).alias(day), *measures))
-    daily = daily.groupBy(*keys, day).agg(*[F.sum(m).alias(m) for m in measures])
-    totals = daily.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
-    seen = rows.filter("__k > 0").select(*keys, "__k", "__e", F.col("__first").alias("since"))
-    return daily, State(seen, totals)
+        new = new.join(before.seen.select(*keys), list(keys), "left_anti")
+
+    def finish(rows: DataFrame) -> tuple[DataFrame, None]:
+        return report(rows if before is None else before.seen.unionByName(rows)), None
+
+    return Step(new, finish)
+
+
+def whole(step: Step) -> DataFrame:
+    """The rows of a report that keeps nothing."""
+    return step.finish(step.added)[0]

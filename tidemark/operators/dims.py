@@ -27,40 +27,70 @@ class DeviceRules:
     test_word: str = "测试"  # fixed value: "test" in a device description
 
 
-def _bound(service: DataFrame, info: DataFrame, rules: DeviceRules, apps: tuple[str, ...]) -> DataFrame:
+def bound(service: DataFrame, info: DataFrame, rules: DeviceRules) -> DataFrame:
+    """Devices bound under the service tag with a screen in service, of any application: what all dimensions start from."""
     live = service.filter((F.col("status") == 0) & (F.col("is_delete") == 0) & (F.col("tag") == rules.service_tag))
+    apps = sorted({*rules.apps, rules.taxi_app, rules.vendor_app})
     # A NULL description fails the "not like" test as well.
     real = info.filter(F.col("main_app").isin(*apps) & ~F.col("desc").contains(rules.test_word))
     return live.select("third_code", "car_id", "add_time").join(
-        real.select("device_name", "owner_sn", "desc"), F.col("third_code") == F.col("device_name"), "inner")
+        real.select("device_name", "owner_sn", "main_app", "desc"), F.col("third_code") == F.col("device_name"), "inner").drop("device_name")
 
 
-def _with_car(bound: DataFrame, car: DataFrame) -> DataFrame:
+def with_car(bound: DataFrame, car: DataFrame) -> DataFrame:
     return bound.join(car.select(F.col("id").alias("car_id"), "city_sn", "car_type"), "car_id", "inner")
 
 
+# The dimensions, from ``bound`` and from ``with_car``.
+
+def agents_of(bound: DataFrame, rules: DeviceRules) -> DataFrame:
+    return bound.filter(F.col("main_app").isin(*rules.apps)).select("third_code", F.col("owner_sn").alias("parent_id"))
+
+
+def cities_of(cars: DataFrame, rules: DeviceRules) -> DataFrame:
+    return cars.filter(F.col("main_app").isin(*rules.apps)).select("third_code", "city_sn", "car_type")
+
+
+def taxis_of(cars: DataFrame, rules: DeviceRules) -> DataFrame:
+    return cars.filter(F.col("main_app") == rules.taxi_app).select("third_code", "city_sn", "car_type")
+
+
+def vendors_of(bound: DataFrame, rules: DeviceRules) -> DataFrame:
+    kind = F.when(F.col("desc").contains(rules.vendor_word), F.lit(rules.vendor_word)).otherwise(F.lit("ELSE"))
+    return bound.filter(F.col("main_app") == rules.vendor_app).select("third_code", kind.alias("type"))
+
+
+def city_bindings_of(cars: DataFrame, rules: DeviceRules) -> DataFrame:
+    return cars.filter(F.col("main_app").isin(*rules.apps)).select(
+        "third_code", "city_sn", "car_type", as_day(F.col("add_time")).alias("bind_day"))
+
+
+def agent_bindings_of(cars: DataFrame, rules: DeviceRules) -> DataFrame:
+    return cars.filter(F.col("main_app").isin(*rules.apps)).select(
+        "third_code", F.col("owner_sn").alias("parent_id"), as_day(F.col("add_time")).alias("bind_day"))
+
+
+# The same from the device tables.
+
 def agent_dim(service: DataFrame, info: DataFrame, rules: DeviceRules) -> DataFrame:
-    return _bound(service, info, rules, rules.apps).select("third_code", F.col("owner_sn").alias("parent_id"))
+    return agents_of(bound(service, info, rules), rules)
 
 
 def city_dim(service: DataFrame, info: DataFrame, car: DataFrame, rules: DeviceRules) -> DataFrame:
-    return _with_car(_bound(service, info, rules, rules.apps), car).select("third_code", "city_sn", "car_type")
+    return cities_of(with_car(bound(service, info, rules), car), rules)
 
 
 def taxi_dim(service: DataFrame, info: DataFrame, car: DataFrame, rules: DeviceRules) -> DataFrame:
-    return _with_car(_bound(service, info, rules, (rules.taxi_app,)), car).select("third_code", "city_sn", "car_type")
+    return taxis_of(with_car(bound(service, info, rules), car), rules)
 
 
 def vendor_dim(service: DataFrame, info: DataFrame, rules: DeviceRules) -> DataFrame:
-    kind = F.when(F.col("desc").contains(rules.vendor_word), F.lit(rules.vendor_word)).otherwise(F.lit("ELSE"))
-    return _bound(service, info, rules, (rules.vendor_app,)).select("third_code", kind.alias("type"))
+    return vendors_of(bound(service, info, rules), rules)
 
 
 def city_bindings(service: DataFrame, info: DataFrame, car: DataFrame, rules: DeviceRules) -> DataFrame:
-    return _with_car(_bound(service, info, rules, rules.apps), car).select(
-        "third_code", "city_sn", "car_type", as_day(F.col("add_time")).alias("bind_day"))
+    return city_bindings_of(with_car(bound(service, info, rules), car), rules)
 
 
 def agent_bindings(service: DataFrame, info: DataFrame, car: DataFrame, rules: DeviceRules) -> DataFrame:
-    return _with_car(_bound(service, info, rules, rules.apps), car).select(
-        "third_code", F.col("owner_sn").alias("parent_id"), as_day(F.col("add_time")).alias("bind_day"))
+    return agent_bindings_of(with_car(bound(service, info, rules), car), rules)

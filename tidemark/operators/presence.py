@@ -46,12 +46,12 @@ def marks(
 
 
 def presence(rows: DataFrame) -> DataFrame:
-    """One row per (device, day) with the bits of everything seen that day.
+    """One row per (device, day) with the bits of everything seen that day and the number of heartbeat rows.
 
     All sources go through one aggregation, so a later "heartbeat and trip that
     day" is a bit test and needs no semi join.
     """
-    return rows.groupBy("device", "day").agg(F.bit_or("seen").alias("seen"))
+    return rows.groupBy("device", "day").agg(F.bit_or("seen").alias("seen"), F.count_if(seen("heartbeat")).alias("beats"))
 
 
 def firsts(rows: DataFrame) -> DataFrame:

@@ -60,6 +60,7 @@ def device_days(events: DataFrame) -> DataFrame:
         F.sum("savers").alias("screensaver_ad_cnt_fulltime"),
         F.sum("ended_ads").alias("stream_ad_ended_fulltime"),
         F.coalesce(F.sum("played"), F.lit(0)).alias("video_time_fulltime"),
+        F.sum("splashes").alias("splashes_fulltime"),
         F.bool_or("point_in_trip").alias("point_in_trip"),
         F.bool_or("point_any").alias("point_any"),
     )

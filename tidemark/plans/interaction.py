@@ -140,22 +140,27 @@ def taxi_metrics() -> dict[str, Where]:
     }
 
 
-def online_heartbeats(heartbeat: DataFrame, taxi: DataFrame, start: Day, end: Day) -> DataFrame:
+def online_heartbeats(heartbeat: DataFrame, taxi: DataFrame, start: Day, end: Day, shown: DataFrame | None = None) -> DataFrame:
     """Heartbeat rows of taxi devices per day: rows, not distinct devices."""
     # Rows per device are counted before the join, a device bound twice counts twice.
-    beats = heartbeat.filter(P.in_days(start, end, "day") & F.col("sn").isNotNull()).groupBy("sn", "day").agg(
-        F.count(F.lit(1)).alias("n"))
+    if shown is None:
+        beats = heartbeat.filter(P.in_days(start, end, "day") & F.col("sn").isNotNull()).groupBy("sn", "day").agg(
+            F.count(F.lit(1)).alias("n"))
+    else:
+        beats = shown.filter(P.in_days(start, end, "day") & (F.col("beats") > 0)).select(
+            F.col("device").alias("sn"), "day", F.col("beats").alias("n"))
     joined = beats.join(taxi.select("third_code"), F.col("sn") == F.col("third_code"), "inner")
     return joined.groupBy(F.col("day").alias("date")).agg(F.sum("n").alias("online_dev_cnt"))
 
 
 def taxi_interaction_day(events: DataFrame, heartbeat: DataFrame, taxi: DataFrame, rules: DeviceRules,
-                         excluded: P.Excluded, start: Day, end: Day) -> DataFrame:
-    """One row per day of the window: online devices and 27 event counts."""
+                         excluded: P.Excluded, start: Day, end: Day, shown: DataFrame | None = None) -> DataFrame:
+    """One row per day of the window: online devices and 27 event counts.  ``shown`` is the window's ``presence``,
+    if it is at hand."""
     metrics = taxi_metrics()
     rows = P.prod_events(events, excluded, start, end).filter(F.col("category") == rules.taxi_category)
     counts = row_counts(rows.withColumnRenamed("p_date", "date"), ["date"], metrics)
-    aligned = align([online_heartbeats(heartbeat, taxi, start, end), counts], ["date"])
+    aligned = align([online_heartbeats(heartbeat, taxi, start, end, shown), counts], ["date"])
     columns = ["online_dev_cnt", *metrics]
     spine = day_spine(events.sparkSession, start, end, "date")
     return spine.join(aligned, "date", "left").select("date", *columns).fillna(0, subset=columns)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import fixed_values as V
 from tidemark.functions import predicates as P
 from tidemark.functions.cells import Day, as_day, day_lit
-from tidemark.operators.cumulative import running
+from tidemark.operators.cumulative import State, Step, running
 from tidemark.operators.frames import align, fill_keys, left_join_null_safe
 from tidemark.operators.presence import count_devices, firsts, marks, presence, seen
 from tidemark.operators.rollup import roll_up
@@ -33,7 +33,7 @@ class ScaleInputs:
     archive: Sequence[DataFrame]
     summary: DataFrame
     abnormal: DataFrame
-    calendar: DataFrame
+    calendar: DataFrame | None = None
 
 
 def calendar_extension(calendar: DataFrame, today: Day,
@@ -141,25 +141,47 @@ def device_firsts(t: ScaleInputs, end: Day) -> DataFrame:
     return firsts(all_marks(t, end).filter(~seen("splash")))
 
 
-def device_scale(t: ScaleInputs, bindings: DataFrame, trip_report: DataFrame, start: Day, end: Day) -> DataFrame:
+def firsts_run(t: ScaleInputs, start: Day, end: Day, before: State | None, shown: DataFrame | None = None) -> Step:
+    """The same from a state: a device's first trip and first heartbeat are kept, each added when it is first seen, and only
+    the live tables' days of the window are read.  Bindings are no part of it, so that a later binding moves the totals."""
+    if before is None:
+        return Step(device_firsts(t, end), lambda new: (None, None))
+    known = merged_firsts(before.seen).withColumnsRenamed({"first_trip": "known_trip", "first_beat": "known_beat"})
+    rows = day_marks(t, start, end) if shown is None else shown
+    new = firsts(rows).join(known, "device", "left").select(
+        "device", F.when(F.col("known_trip").isNull(), F.col("first_trip")).alias("first_trip"),
+        F.when(F.col("known_beat").isNull(), F.col("first_beat")).alias("first_beat"))
+    return Step(new.filter("first_trip IS NOT NULL OR first_beat IS NOT NULL"), lambda new: (None, None))
+
+
+def merged_firsts(rows: DataFrame) -> DataFrame:
+    """One row per device of what several runs kept."""
+    return rows.groupBy("device").agg(F.min("first_trip").alias("first_trip"), F.min("first_beat").alias("first_beat"))
+
+
+def device_scale(t: ScaleInputs, bindings: DataFrame, trips: DataFrame, start: Day, end: Day,
+                 first: DataFrame | None = None, shown: DataFrame | None = None) -> DataFrame:
     """Device scale by (day, city, car): 13 measures on the bound groups.
 
-    ``bindings`` has the dimension with bind days; ``trip_report`` is the trip
-    report of the window.  Groups without a binding are not reported.
+    ``bindings`` has the dimension with bind days; ``trips`` are the
+    ``trip_day.trip_figures`` of the window, by raw keys.  Groups without a
+    binding are not reported.  ``first`` are the devices' first days and
+    ``shown`` the window's ``presence``, if they are kept; else the history and
+    the live tables are read.
     """
+    first = device_firsts(t, end) if first is None else first
     keys = ["day", *CITY]
-    trips = trip_report.withColumnRenamed("date", "day").select(
+    # A group with a NULL key has no trips of its own: NULLs do not meet here.
+    trips = trips.withColumnRenamed("date", "day").select(
         *keys, "total_play_dev_cnt", "trip_cnt", F.round(F.col("trip_time_sum") / 60, 0).alias("trip_time"))
-    # The trip report has labels, so a label may be there twice; groups with a NULL key have no trips of their own.
-    trips = trips.groupBy(*keys).agg(*[F.max(m).alias(m) for m in trips.columns if m not in keys])
     base = bindings_total(bindings, t.calendar, CITY, start, end).join(trips, keys, "left")
     # Some figures are not reported for a group with a NULL key.  All are matched on
     # the raw keys and labels come last, so a NULL and a real 0 keep a row each.
     known = F.col("city_sn").isNotNull() & F.col("car_type").isNotNull()
-    totals = device_totals(device_firsts(t, end), bindings, CITY, start, end).withColumn(
+    totals = device_totals(first, bindings, CITY, start, end).withColumn(
         "total_trip_dev_num", F.when(known, F.col("total_trip_dev_num")))
     raw = ("daily_heartbeat_dev_num", "daily_online_dev_num_server", "daily_online_dev_num_client")
-    daily = daily_presence(day_marks(t, start, end), bindings, CITY, start, end).withColumns(
+    daily = daily_presence(day_marks(t, start, end) if shown is None else shown, bindings, CITY, start, end).withColumns(
         {m: F.when(known, F.col(m)) for m in raw})
     frames = [totals, normal_devices(bindings, t.abnormal, CITY, start, end), daily]
     joined = left_join_null_safe(base, align(frames, keys), keys)
@@ -171,18 +193,21 @@ def device_scale(t: ScaleInputs, bindings: DataFrame, trip_report: DataFrame, st
     return fill_keys(joined.select(*keys, *measures).fillna(0, subset=measures), **CITY_FILL)
 
 
-def agent_day(t: ScaleInputs, days: DataFrame, bindings: DataFrame, agents: DataFrame, start: Day, end: Day) -> DataFrame:
+def agent_day(t: ScaleInputs, days: DataFrame, bindings: DataFrame, agents: DataFrame, start: Day, end: Day,
+              first: DataFrame | None = None, shown: DataFrame | None = None) -> DataFrame:
     """Agent report by (day, agent): 14 measures over the union of all groups.
 
     ``bindings`` is the agent dimension with bind days (through the car table),
     ``agents`` the plain agent dimension used for event figures, ``days`` is
-    ``trips.device_days`` of the window.
+    ``trips.device_days`` of the window, ``first`` and
+    ``shown`` as in ``device_scale``.
     """
+    first = device_firsts(t, end) if first is None else first
     keys = ["day", *AGENT]
     base = bindings_total(bindings, t.calendar, AGENT, start, end)
-    totals = device_totals(device_firsts(t, end), bindings, AGENT, start, end, one_group=True).withColumn(
+    totals = device_totals(first, bindings, AGENT, start, end, one_group=True).withColumn(
         "total_trip_dev_num", F.when(F.col("parent_id").isNotNull(), F.col("total_trip_dev_num")))
-    daily = daily_presence(day_marks(t, start, end), bindings, AGENT, start, end).select(
+    daily = daily_presence(day_marks(t, start, end) if shown is None else shown, bindings, AGENT, start, end).select(
         *keys, "daily_trip_dev_num", "daily_online_dev_num", "daily_play_dev_num", "daily_heartbeat_dev_num")
     facts = roll_up(
         days.withColumnRenamed("p_date", "day"), agents, keys,

@@ -5,26 +5,60 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.cells import Day, day_lit
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame | None:
-    """A report table, or None when nothing has been written yet."""
+MISSING, NO_ROWS = "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"
+#: Folders that the versions of a refreshed table take in turn: the newest, and those that readers may still have open.
+SLOTS = 3
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | str:
+    """A table as it stands, or why there is none."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
+        if e.getCondition() in (MISSING, NO_ROWS):
+            return e.getCondition()
         raise
 
 
-def read_or_empty(like: DataFrame, path: str) -> DataFrame:
-    """A report table, or no rows of the same shape when none were ever written."""
-    table = read_report(like.sparkSession, path)
-    return like.sparkSession.createDataFrame([], like.schema) if table is None else table
+def _version(spark: SparkSession, path: str) -> int | None:
+    """The newest complete version of a refreshed table."""
+    table = _read(spark, f"{path}/published")
+    return None if isinstance(table, str) else table.agg(F.max("version")).first()[0]
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame | str:
+    version = _version(spark, path)
+    return _read(spark, path if version is None else f"{path}/versions/{version % SLOTS}")
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame | None:
+    """A report table (its newest complete version, if it is refreshed), or None when it has no rows yet."""
+    table = _table(spark, path)
+    return None if isinstance(table, str) else table
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a report was ever loaded, with rows or without."""
+    table = _table(spark, path)
+    return not isinstance(table, str) or table != MISSING
+
+
+def read_loaded(like: DataFrame, path: str) -> DataFrame:
+    """A report table that an earlier load has written; no rows of the same shape where it had none.
+
+    A table that was never loaded is an error: a wrong folder must not read as "no rows"."""
+    table = _table(like.sparkSession, path)
+    if isinstance(table, str):
+        if table == MISSING:
+            raise FileNotFoundError(f"{path} was never loaded")
+        return like.sparkSession.createDataFrame([], like.schema)
+    return table
 
 
 def _by_day(df: DataFrame, day: str, sort: Sequence[str] = ()) -> DataFrame:
@@ -68,9 +102,47 @@ def replace_days(df: DataFrame, path: str, start: Day, end: Day, day: str = "day
         empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{day}={d}")
 
 
-def refresh(df: DataFrame, path: str) -> None:
-    """Replace the whole table."""
-    df.write.mode("overwrite").parquet(path)
+def refresh(df: DataFrame, path: str, order: Sequence[str | Column] = ()) -> None:
+    """Replace the whole table, in a total order over its files if one is given.
+
+    Rows go to a folder that no reader uses, and a small file that names the version makes it the table; a refresh that stops
+    before leaves the table as it was.  Read it with ``read_report``.
+    """
+    spark = df.sparkSession
+    version = (_version(spark, path) or 0) + 1
+    place = f"{path}/versions/{version % SLOTS}"
+    write_ordered(df, place, order) if order else df.write.mode("overwrite").parquet(place)
+    spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{path}/published")
+
+
+def write_ordered(df: DataFrame, path: str, order: Sequence[str | Column]) -> None:
+    """Write rows in one order over all files: ranges of the keys are dealt to tasks, each sorts its own, and files are
+    numbered in the order of the ranges."""
+    df.orderBy(*order).write.mode("overwrite").parquet(path)
+
+
+def read_ordered(df: DataFrame) -> DataFrame:
+    """The rows of a table read from ordered files, with ``place``: 1 for the first row of the first file, and so on.
+
+    Only one small row per file is put in order in one place."""
+    number = [F.regexp_extract("_metadata.file_name", pattern, 1).cast("bigint") for pattern in (r"^part-(\d+)", r"-c(\d+)\.")]
+    rows = df.select("*", F.struct(*[F.coalesce(n, F.lit(0)).alias(f"n{i}") for i, n in enumerate(number)]).alias("__file"),
+                     F.col("_metadata.row_index").alias("__row"))
+    files = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return rows.join(files, "__file").select(*df.columns, (F.col("__before") + F.col("__row") + 1).alias("place"))
+
+
+def replace_parts(df: DataFrame, path: str, parts: Sequence[str], changed: Sequence[Sequence[object]] = ()) -> None:
+    """Make the partitions that ``df`` has rows of hold exactly these rows, and empty those of ``changed`` that it has none of."""
+    spark = df.sparkSession
+    full = {tuple(map(str, r)) for r in df.select(*parts).distinct().collect()} if changed else set()
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    for values in changed:  # files that were read before and have no such rows any more: few
+        if tuple(map(str, values)) not in full:
+            empty = spark.createDataFrame([], df.drop(*parts).schema)
+            empty.coalesce(1).write.mode("overwrite").parquet("/".join([path, *[f"{p}={v}" for p, v in zip(parts, values)]]))
 
 
 def high_water_mark(spark: SparkSession, path: str, default: Day, day: str = "day"):

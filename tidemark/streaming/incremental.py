@@ -11,13 +11,15 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions import fixed_values as V
-from tidemark.functions.cells import day_lit
-from tidemark.operators.cumulative import State
-from tidemark.sinks.days import append_days, high_water_mark, read_report, refresh, replace_days
+from tidemark.operators.cumulative import State, Step
+from tidemark.sinks.days import append_days, exists, high_water_mark, refresh, replace_days
 from tidemark.sinks.layouts import LAYOUTS, to_layout
+from tidemark.streaming import kept
+from tidemark.streaming.shared import Shared
+
+ONE_DAY = dt.timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -45,58 +47,55 @@ class Report:
     name: str
     build: Callable[[DayWindow], DataFrame] | None
     day: str = "day"
-    mode: str = "replace"  # replace | append | refresh
+    mode: str = "replace"  # replace | append | refresh | state (nothing but what is kept)
     default: dt.date | None = None
     after: tuple[str, ...] = field(default=())
     sort: tuple[str, ...] = field(default=())
-    # With a state, ``run(window, state)`` gives the rows and the state after; the state is kept beside the report.
-    run: Callable[[DayWindow, State | None], tuple[DataFrame, State]] | None = None
-
-
-def kept_state(spark: SparkSession, path: str, start: dt.date) -> State | None:
-    """The state that runs before ``start`` have kept, or None."""
-    totals = read_report(spark, f"{path}_totals")
-    if totals is None:
-        return None
-    upto = totals.filter(F.col("upto") < day_lit(start)).agg(F.max("upto")).first()[0]
-    if upto is None:
-        return None
-    seen = read_report(spark, f"{path}_seen")
-    totals = totals.filter(F.col("upto") == day_lit(upto)).drop("upto")
-    return State(seen.filter(F.col("since") < day_lit(start)), totals)
+    # With a state, ``run(window, state)`` gives the step of the run; what it adds is kept beside the report.
+    run: Callable[[DayWindow, State | None], Step] | None = None
+    # A report that does not go by days loads itself: ``own(path, today)`` gives the days it has loaded.
+    own: Callable[[str, dt.date], DayWindow] | None = None
+    # What the report shares with others of its run.
+    shared: Shared | None = None
 
 
-def keep_state(path: str, state: State, window: DayWindow, first: bool) -> None:
-    """Write the state after a window.  Writing it again replaces the same days."""
-    since = dt.date(1, 1, 1) if first else window.start
-    replace_days(state.seen, f"{path}_seen", since, window.end, "since")
-    totals = state.totals.withColumn("upto", day_lit(window.end))
-    replace_days(totals, f"{path}_totals", window.end, window.end, "upto")
+def load(spark: SparkSession, report: Report, path: str, today: dt.date, since: dt.date | None = None) -> DayWindow:
+    """Bring one report table up to yesterday and return the window loaded.
 
-
-def load(spark: SparkSession, report: Report, path: str, today: dt.date) -> DayWindow:
-    """Bring one report table up to yesterday and return the window loaded."""
+    With ``since``, days that were loaded before are loaded again from there on.  A report with a state starts on the day after the
+    newest state that is not ahead of its table, so the two never part: the state is committed first, and after a run that stopped
+    in between the next one goes back to the state before.  Without any such state it reads the history.
+    """
+    if report.own is not None:
+        return report.own(path, today)
     if report.mode == "refresh":
         window = DayWindow(today, today)
-        refresh(report.build(window), path)
+        refresh(report.build(window), path, report.sort)
         return window
     default = report.default or V.DEFAULT_HIGH_WATER_MARK[report.name]
-    window = next_window(high_water_mark(spark, path, default, report.day), today)
+    if report.mode == "state":
+        before = kept.kept(spark, path, None if since is None else since - ONE_DAY)
+        mark = before.upto if before is not None else default if since is None else since - ONE_DAY
+    else:
+        mark = high_water_mark(spark, path, default, report.day)
+        mark = mark if since is None else min(mark, since - ONE_DAY)
+        before = kept.kept(spark, path, mark) if report.run is not None else None
+        mark = before.upto if before is not None else mark
+    window = next_window(mark, today)
     if window.empty:
         return window
     if report.run is not None:
-        before = kept_state(spark, path, window.start)
-        rows, after = report.run(window, before)
+        rows = kept.commit(spark, path, report.run(window, before.state if before is not None else None), window.end, before)
     else:
         rows = report.build(window)
+    if report.mode == "state":
+        return window
     if report.name in LAYOUTS:
         rows = to_layout(rows, report.name)
     if report.mode == "append":
         append_days(rows, path, report.day, report.sort)
     else:
         replace_days(rows, path, window.start, window.end, report.day, report.sort)
-    if report.run is not None:
-        keep_state(path, after, window, before is None)
     return window
 
 
@@ -107,9 +106,20 @@ def run_all(spark: SparkSession, reports: list[Report], root: str, today: dt.dat
     be there from an earlier run; this is checked.
     """
     done: dict[str, DayWindow] = {}
-    for r in reports:
-        missing = [a for a in r.after if a not in done and read_report(spark, f"{root}/{a}") is None]
-        if missing:
-            raise ValueError(f"{r.name} must run after {', '.join(missing)}")
-        done[r.name] = load(spark, r, f"{root}/{r.name}", today)
+    shared = {id(r.shared): r.shared for r in reports if r.shared is not None}.values()
+    for s in shared:
+        s.begin()
+    try:
+        for r in reports:
+            missing = [a for a in r.after if a not in done and not loaded_before(spark, f"{root}/{a}")]
+            if missing:
+                raise ValueError(f"{r.name} must run after {', '.join(missing)}")
+            done[r.name] = load(spark, r, f"{root}/{r.name}", today)
+    finally:
+        for s in shared:
+            s.end()
     return done
+
+
+def loaded_before(spark: SparkSession, path: str) -> bool:
+    return exists(spark, path) or bool(kept.commits(spark, path))
