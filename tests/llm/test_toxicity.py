@@ -34,6 +34,31 @@ def test_features():
     assert read.features("") == [0.0] * toxicity.N_FEATURES == read.features(" \n ") and not any(read.features("kind words only")[:7])
 
 
+def test_long_words_are_looked_at():
+    read = toxicity.Reader({"zork*": 2.0})
+    for mark in "!", "?", "#":
+        for n in (1, 199, 200, 5_000):
+            f = read.features("you idiot" + mark * n)
+            assert f[1] == 1 and f[6] == 1, (mark, n)
+    assert read.features("you zork" + "x" * 1_000)[3] == 1 and max(map(len, read.known)) < toxicity.KEPT_CHARS
+
+
+def test_the_lexicon_has_every_term_that_reaches_the_odds(spark):
+    rows = [(f"bad{i:04} " * 2, 1) for i in range(1_500) for _ in range(4)] + [(f"fine{i}", 0) for i in range(9_000)]
+    learned = toxicity.lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert sum(t.startswith("bad") and not t.endswith("*") for t in learned) == 1_500
+
+
+def test_training_rows_are_bounded(spark, monkeypatch):
+    """Also where a labelled id is on many rows."""
+    seen = []
+    real = toxicity.lexicon
+    monkeypatch.setattr(toxicity, "lexicon", lambda r: (seen.append(r.count()), real(r))[1])
+    docs = frame(spark, [(i % 10, f"text {i}", "s") for i in range(400)])
+    toxicity.train(docs, labels(spark, [(i, 1, i % 2) for i in range(10)]), F.lit(True), train_rows=30)
+    assert 0 < seen[0] <= 30
+
+
 def test_odd_rows(spark):
     known = labels(spark, [(1, 1, 0), (12, 1, 0), (15, 0, 1), (None, 1, 1), (2, None, None), (4, 7, 7)])
     got = toxicity.classify(frame(spark), known, F.lit(True)).collect()

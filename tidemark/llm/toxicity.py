@@ -7,7 +7,8 @@ an insult when the signs are read as letters).  Spark's own trees are fitted on
 is mapped to a probability on the others, so the score is calibrated on rows the trees have not seen.
 
 Training reads at most ``train_rows`` labelled rows, chosen by a hash of their ids; scoring covers every word of every
-text.  The lexicon has at most ``MAX_TERMS`` terms, so it travels with the function.
+text, of any length.  The lexicon has every term of these rows that reaches the odds, so it is bounded by them and travels
+with the function.
 
 Defined results: a NULL text is empty and has only zeros as features; labels other than 0 and 1 and NULL ids are not learned
 from; without labels of both kinds every score is the share of toxic labels (0 without any); repeated rows score alike; an
@@ -26,10 +27,12 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROOT, col, stored, text_of
+from tidemark.llm.common import ROOT, col, stored
+from tidemark.llm.training import labelled
 
 TRAIN_ROWS = 12_000
-MAX_TERMS = 1_000
+#: Words of more characters are looked at each time they come.
+KEPT_CHARS = 200
 #: A learned term is in at least so many toxic texts and so many times likelier there.
 MIN_TOXIC, MIN_ODDS = 4, 8.0
 #: Fixed list: insults of everyday use in the four languages of the corpus.
@@ -63,7 +66,7 @@ def terms_of(text: str) -> set[str]:
     return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
 
 
-def lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, float]:
+def lexicon(rows: DataFrame) -> dict[str, float]:
     """Terms of toxic texts with their log odds; ``rows`` has text and toxic.  Counted in parts, then summed."""
     root = ROOT
 
@@ -84,8 +87,7 @@ def lexicon(rows: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, float]:
     terms = rows.select("text", "toxic").mapInPandas(count, "term string, pos long, neg long").groupBy("term").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).filter(F.col("pos") >= MIN_TOXIC)
     odds = F.log((F.col("pos") + 0.5) / (n[1] + 1.0)) - F.log((F.col("neg") + 0.5) / (n[0] + 1.0))
-    best = terms.withColumn("odds", odds).filter(F.col("odds") >= float(np.log(MIN_ODDS))).orderBy(
-        (F.col("odds") * F.col("pos")).desc(), "term").limit(max_terms)
+    best = terms.withColumn("odds", odds).filter(F.col("odds") >= float(np.log(MIN_ODDS)))
     return {r["term"]: float(r["odds"]) for r in best.collect()}
 
 
@@ -127,9 +129,10 @@ class Reader:
         for i, w in enumerate(words):
             seen = known.get(w)
             if seen is None:
-                seen = known[w] = self.look(w) if len(w) < 200 else (False, 0.0, False, False, False)
-                if not any(seen):
-                    known[w] = seen = False
+                seen = self.look(w)
+                seen = seen if any(seen) else False
+                if len(w) < KEPT_CHARS:
+                    known[w] = seen
             if seen:
                 if seen[0] or seen[1] or seen[4]:
                     hits.append(i)
@@ -178,12 +181,9 @@ class Model:
 
 def train(docs: DataFrame, labels: DataFrame, learnable: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           train_rows: int = TRAIN_ROWS) -> Model:
-    """``learnable`` is a condition on ``labels``.  The chosen labels are at most ``train_rows`` rows, so they are broadcast."""
-    chosen = labels.filter(learnable & col(label_col).isin(0, 1) & col(id_col).isNotNull()).select(
-        col(id_col).alias("l_id"), col(label_col).cast("int").alias("toxic"), F.xxhash64(col(id_col).cast("string")).alias("h"))
-    chosen = chosen.orderBy("h", "l_id").limit(train_rows)
-    rows = docs.select(col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("l_id"))
-    rows = stored(rows.select("text", "toxic", "h"), "toxic-rows")
+    """``learnable`` is a condition on ``labels``; rows are bounded as ``training.labelled`` says."""
+    rows = labelled(docs, labels, learnable, id_col=id_col, text_col=text_col, label_col=label_col, rows=train_rows)
+    rows = rows.select("text", F.col("label").alias("toxic"), "h")
     counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     # a quarter for the calibration; the lexicon is learned from the rows of the trees alone
