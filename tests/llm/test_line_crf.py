@@ -6,7 +6,7 @@ import numpy as np
 from awkward import empty, frame, labels, prose, texts
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_crf
+from tidemark.llm import line_crf, training
 
 
 def test_marginals_and_moves_equal_enumeration():
@@ -14,7 +14,8 @@ def test_marginals_and_moves_equal_enumeration():
     first = np.array([0, 4, 5, 8])
     design = rng.normal(size=(8, 3))
     model = line_crf.Model(weights=rng.normal(size=3), moves=rng.normal(size=(2, 2)), begin=rng.normal(size=2))
-    marginal, moved, started = line_crf.forward_backward(model, design, line_crf.steps(first))
+    marginal, moved, started, total = line_crf.forward_backward(model, design, line_crf.steps(first))
+    logs = 0.0
     score = design @ model.weights
     moves, begun = np.zeros((2, 2)), np.zeros(2)
     for a, b in zip(first, first[1:]):
@@ -22,6 +23,7 @@ def test_marginals_and_moves_equal_enumeration():
         for path in paths:
             s = model.begin[path[0]] + sum(score[a + t] * y for t, y in enumerate(path)) + sum(model.moves[x, y] for x, y in zip(path, path[1:]))
             weights.append(np.exp(s))
+        logs += np.log(sum(weights))
         weights = np.array(weights) / sum(weights)
         for t in range(b - a):
             assert np.isclose(marginal[a + t, 1], sum(w for w, p in zip(weights, paths) if p[t]))
@@ -29,7 +31,45 @@ def test_marginals_and_moves_equal_enumeration():
             begun[p[0]] += w
             for x, y in zip(p, p[1:]):
                 moves[x, y] += w
-    assert np.allclose(moved, moves) and np.allclose(started, begun)
+    assert np.allclose(moved, moves) and np.allclose(started, begun) and np.isclose(total, logs)
+
+
+def test_the_gradient_is_that_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    width = 3 * line_crf.OWN
+    x, first, good = rng.normal(size=(9, width)), np.array([0, 4, 5, 9]), np.array([1, 0, 1])
+
+    def at(p):
+        return line_crf.Model(weights=p[:width + 1], moves=p[width + 1:width + 5].reshape(2, 2), begin=p[width + 5:])
+
+    p = rng.normal(size=width + 7) * 0.3
+    value, gradient = line_crf.learned_from(at(p), x, first, good)
+    for k in [*range(0, width + 1, 7), *range(width + 1, width + 7)]:
+        d = np.zeros(len(p))
+        d[k] = 1e-5
+        slope = (line_crf.learned_from(at(p + d), x, first, good)[0] - line_crf.learned_from(at(p - d), x, first, good)[0]) / 2e-5
+        assert np.isclose(slope, gradient[k], atol=1e-4)
+    assert value < 0
+
+
+def test_the_least_place_of_a_convex_function():
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=(12, 12))
+    a = a @ a.T + np.eye(12)
+    b = rng.normal(size=12)
+    calls = []
+    p = line_crf.least(lambda x: (calls.append(1), (0.5 * x @ a @ x - b @ x, a @ x - b))[1], np.zeros(12), 80)
+    assert np.allclose(a @ p, b, atol=1e-3) and len(calls) <= 80
+
+
+def test_rows_of_one_id_are_bounded(spark):
+    """Many rows of one labelled id, of one text and of several."""
+    docs = frame(spark, [(1, "same text", "s")] * 50 + [(2, f"text {i}", "s") for i in range(50)] + [(3, "other", "s")])
+    known = labels(spark, [(1, 1, 0), (2, 0, 0), (3, 1, 0), (3, 1, 0)])
+    got = training.labelled(docs, known, F.lit(True), id_col="doc_id", text_col="text", label_col="quality", rows=20).collect()
+    assert len(got) == 20 and len({(r.h, r.text) for r in got}) == 20
+    every = training.labelled(docs, known, F.lit(True), id_col="doc_id", text_col="text", label_col="quality", rows=1000).collect()
+    assert len(every) == 52 and {(r.h, r.text) for r in got} <= {(r.h, r.text) for r in every}
 
 
 def test_repeats_equal_brute_force():
@@ -70,7 +110,7 @@ def test_no_labels_and_empty_table(spark):
     assert line_crf.classify(empty(spark), labels(spark, [(1, 1, 0)]), F.lit(True)).collect() == []
 
 
-def test_bad_lines_late_in_a_long_text_are_learned():
+def test_bad_lines_late_in_a_long_text_are_learned(spark):
     from random import Random
 
     rng = Random(6)
@@ -80,7 +120,7 @@ def test_bad_lines_late_in_a_long_text_are_learned():
 
     junk = ["BUY NOW!! $$ | ## WIN | 100% %% <<>> !!"] * 400
     texts_ = ["\n".join(lines(220) + junk) if i % 2 else "\n".join(lines(300)) for i in range(20)]
-    model = line_crf.fit(texts_, np.array([1 - i % 2 for i in range(20)]))
+    model = line_crf.fit(spark.createDataFrame([(i, 1 - i % 2, t) for i, t in enumerate(texts_)], "h long, label int, text string"))
     bad, good = line_crf.qualities(model, ["\n".join(junk[:50]), "\n".join(lines(50))])[0]
     late = line_crf.qualities(model, ["\n".join(lines(220) + junk)])[0][0]
     assert bad < 0.1 and late < 0.5 < good

@@ -6,7 +6,8 @@ length); a transition score ties neighbouring lines.  Forward-backward gives eve
 good, and a document's quality is their mean, weighted by the lengths of the lines.
 
 Labels exist for documents only, so in training every line has the label of its document.  The model is fitted on at most
-``train_rows`` labelled rows, chosen by a hash of their ids, and on every line of them; scoring covers every line of every text.
+``train_rows`` labelled rows, chosen by a hash of their ids, and on every line of them, by quasi-Newton steps: tasks add up the
+gradient of their texts, the driver sees sums only.  Scoring covers every line of every text.
 
 Defined results: a NULL text is empty; an empty text is one empty line and gets the marginal of such a line; labels other than
 0 and 1 and NULL ids are not learned from; without labels of both kinds every score is 0.5; repeated rows score alike; an
@@ -18,14 +19,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROOT, col, text_of
+from tidemark.llm.common import ROOT, col, in_tasks, stored
+from tidemark.llm.training import labelled
 
 #: Bound of the rows that the model is fitted on; their texts are whole.
 TRAIN_ROWS = 3_000
 SCORED_CHARS = 1 << 18
+#: Tasks that hold the rows while the model is fitted.
+MOST_TASKS = 64
 
 # classes of bytes: 0 other, 1 capital, 2 small letter, 3 digit, 4 symbol, 5 bar, 6 exclamation mark, 7 part of an earlier character
 CLASSES = np.zeros(256, dtype=np.int64)
@@ -124,8 +129,8 @@ def log_sum(a: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(a - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def forward_backward(model: Model, design: np.ndarray, at: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marginals of the lines, expected moves, and marginals of the first lines (both summed over texts)."""
+def forward_backward(model: Model, design: np.ndarray, at: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Marginals of the lines, expected moves, marginals of the first lines (both summed over texts), and the sum of the texts' log totals."""
     score = np.zeros((len(design), 2))
     score[:, 1] = design @ model.weights
     alpha, beta = np.zeros_like(score), np.zeros_like(score)
@@ -136,36 +141,124 @@ def forward_backward(model: Model, design: np.ndarray, at: list[np.ndarray]) ->
         nxt = at[t + 1]
         beta[at[t][: len(nxt)]] = log_sum(model.moves + (score[nxt] + beta[nxt])[:, None, :], 2)
     both = alpha + beta
-    marginal = np.exp(both - log_sum(both, 1)[:, None])
+    total = log_sum(both, 1)
+    marginal = np.exp(both - total[:, None])
     for t in range(len(at) - 1):
         nxt, now = at[t + 1], at[t][: len(at[t + 1])]
         pair = alpha[now][:, :, None] + model.moves + (score[nxt] + beta[nxt])[:, None, :]
-        pair = np.exp(pair - log_sum(both[now], 1)[:, None, None])
+        pair = np.exp(pair - total[now][:, None, None])
         moved += pair.sum(axis=0)
-    return marginal, moved, marginal[at[0]].sum(axis=0) if at else np.zeros(2)
-
-
-def fit(texts: list[str], good: np.ndarray, rounds: int = 120, rate: float = 0.15, ridge: float = 1e-3) -> Model:
-    """Maximum likelihood with a ridge, by Adam steps over all texts; small and dense, so it is done in one place."""
-    if len(set(good.tolist())) < 2:
+    if not at:
+        return marginal, moved, np.zeros(2), 0.0
+    return marginal, moved, marginal[at[0]].sum(axis=0), float(total[at[0]].sum())
+
+
+def learned_from(model: Model, x: np.ndarray, first: np.ndarray, good: np.ndarray) -> tuple[float, np.ndarray]:
+    """Log likelihood of some texts whose lines are all good or all bad, and its gradient (weights, moves, begin)."""
+    design, at = model.design(x), steps(first)
+    sizes = np.diff(first)
+    y = np.repeat(good.astype(float), sizes)
+    told = np.diag([float((sizes - 1)[good == k].sum()) for k in (0, 1)])
+    begun = np.array([float((good == k).sum()) for k in (0, 1)])
+    marginal, moved, started, total = forward_backward(model, design, at)
+    own = float((design @ model.weights) @ y + (told * model.moves).sum() + begun @ model.begin)
+    return own - total, np.concatenate([design.T @ (y - marginal[:, 1]), (told - moved).ravel(), begun - started])
+
+
+def prepared(batches):
+    """(label, text) to lists of texts of bounded length: features of their lines, first lines, labels."""
+    for batch in batches:
+        at = 0
+        for held in batches_of(batch.column("text").to_pylist()):
+            lines = lines_of(held)
+            good = np.array(batch.column("label").slice(at, len(held)).to_pylist(), dtype=np.uint8)
+            at += len(held)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lines.x.astype("<f4").tobytes()], pa.binary()), pa.array([lines.first.astype("<i8").tobytes()], pa.binary()), pa.array([good.tobytes()], pa.binary())],
+                names=["x", "first", "good"])
+
+
+def unpacked(batches):
+    for batch in batches:
+        for x, first, good in zip(*(c.to_pylist() for c in batch.columns)):
+            yield (np.frombuffer(x, dtype="<f4").reshape(-1, 3 * OWN).astype(float), np.frombuffer(first, dtype="<i8"), np.frombuffer(good, dtype=np.uint8))
+
+
+def summed(rows) -> pa.RecordBatch:
+    """One row with the sum of some arrays of numbers."""
+    return pa.RecordBatch.from_arrays([pa.array([np.sum(rows, axis=0).astype("<f8").tobytes()], pa.binary())], names=["sums"])
+
+
+def moments(batches):
+    """Numbers of texts, good texts and lines, sums and sums of squares of the features."""
+    rows = [np.concatenate([[len(good), good.sum(), len(x)], x.sum(axis=0), (x * x).sum(axis=0)]) for x, _, good in unpacked(batches)]
+    if rows:
+        yield summed(rows)
+
+
+def gradients(batches, model: Model):
+    rows = [np.concatenate([[value], gradient]) for value, gradient in (learned_from(model, *one) for one in unpacked(batches))]
+    if rows:
+        yield summed(rows)
+
+
+def added(rows: DataFrame) -> np.ndarray | None:
+    """The sum of the rows that tasks have made: some dozens of numbers from each."""
+    got = [np.frombuffer(r["sums"], dtype="<f8") for r in rows.collect()]
+    return np.sum(got, axis=0) if got else None
+
+
+def fit(rows: DataFrame, rounds: int = 40, ridge: float = 1e-3) -> Model:
+    """The model of most likelihood, with a ridge, of (h, label, text).  Tasks keep the texts: each round they add up likelihood and
+    gradient of theirs, and the driver takes a quasi-Newton step with some dozens of numbers."""
+    tasks = max(1, min(rows.sparkSession.sparkContext.defaultParallelism, MOST_TASKS))
+    dealt = rows.select("h", "label", "text").repartition(tasks, "h").sortWithinPartitions("h", F.xxhash64("text"))
+    features = stored(dealt.mapInArrow(in_tasks(prepared), "x binary, first binary, good binary"), "features")
+    sums = added(features.mapInArrow(in_tasks(moments), "sums binary"))
+    if sums is None or not 0 < sums[1] < sums[0]:
         return Model()
-    lines = lines_of(texts)
-    model = Model(mean=lines.x.mean(axis=0), scale=lines.x.std(axis=0) + 1e-6)
-    design, at = model.design(lines.x), steps(lines.first)
-    y = np.repeat(good.astype(float), np.diff(lines.first))
-    same = np.diff(lines.first) - 1
-    told = np.diag([same[good == 0].sum(), same[good == 1].sum()]).astype(float)
-    begun = np.array([(good == 0).sum(), (good == 1).sum()], dtype=float)
-    params = [model.weights, model.moves, model.begin]
-    m, v, n = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], len(texts)
-    for k in range(1, rounds + 1):
-        marginal, moved, started = forward_backward(model, design, at)
-        grads = [design.T @ (y - marginal[:, 1]) / n, (told - moved) / n, (begun - started) / n]
-        for i, (p, g) in enumerate(zip(params, grads)):
-            g = g - ridge * p
-            m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.99 * v[i] + 0.01 * g * g
-            p += rate * (m[i] / (1 - 0.9 ** k)) / (np.sqrt(v[i] / (1 - 0.99 ** k)) + 1e-8)
-    return model
+    texts, n, width = sums[0], sums[2], 3 * OWN
+    mean = sums[3: 3 + width] / n
+    base = Model(mean=mean, scale=np.sqrt(np.maximum(sums[3 + width:] / n - mean**2, 0)) + 1e-6)
+
+    def at(p: np.ndarray) -> Model:
+        return Model(base.mean, base.scale, p[: width + 1], p[width + 1: width + 5].reshape(2, 2), p[width + 5:])
+
+    def loss(p: np.ndarray) -> tuple[float, np.ndarray]:
+        got = added(features.mapInArrow(in_tasks(gradients, model=at(p)), "sums binary"))
+        return 0.5 * ridge * float(p @ p) - got[0] / texts, ridge * p - got[1:] / texts
+
+    return at(least(loss, np.zeros(width + 7), rounds))
+
+
+def least(loss, p: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
+    """The place of the least of a smooth convex function that gives value and gradient: limited-memory quasi-Newton steps, halved
+    until they lead down enough; ``rounds`` evaluations at most."""
+    value, grad = loss(p)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    used = 1
+    while used < rounds and np.abs(grad).max() > 1e-5:
+        q, alphas = grad.copy(), []
+        for s, y in reversed(pairs):
+            alphas.append((s @ q) / (s @ y))
+            q -= alphas[-1] * y
+        q *= (pairs[-1][0] @ pairs[-1][1]) / (pairs[-1][1] @ pairs[-1][1]) if pairs else 1.0 / max(1.0, float(np.abs(grad).max()))
+        for (s, y), a in zip(pairs, reversed(alphas)):
+            q += s * (a - (y @ q) / (s @ y))
+        step, slope = 1.0, float(grad @ q)
+        while used < rounds:
+            new_value, new_grad = loss(p - step * q)
+            used += 1
+            if new_value <= value - 1e-4 * step * slope:
+                break
+            step /= 2
+        else:
+            break
+        s, y = -step * q, new_grad - grad
+        if s @ y > 1e-12:
+            pairs = [*pairs, (s, y)][-memory:]
+        p, value, grad = p - step * q, new_value, new_grad
+    return p
 
 
 def qualities(model: Model, texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -178,7 +271,7 @@ def qualities(model: Model, texts: list[str]) -> tuple[np.ndarray, list[np.ndarr
     return np.round(np.clip(score, 0.0, 1.0), 12), np.split(marginal, lines.first[1:-1])
 
 
-def batches(texts: list[str]):
+def batches_of(texts: list[str]):
     """Texts in order, in lists of bounded length."""
     held, size = [], 0
     for t in texts:
@@ -202,7 +295,7 @@ def quality(model: Model, text: Column, lines: bool = False) -> Column:
             sys.path.append(root)
         from tidemark.llm import common, line_crf
 
-        got = [line_crf.qualities(model, part) for part in line_crf.batches(["" if t is None else t for t in series])]
+        got = [line_crf.qualities(model, part) for part in line_crf.batches_of(["" if t is None else t for t in series])]
         scores = np.concatenate([g[0] for g in got]) if got else np.zeros(0)
         common.give_back()
         if not lines:
@@ -220,13 +313,8 @@ def quality(model: Model, text: Column, lines: bool = False) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, learnable: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           train_rows: int = TRAIN_ROWS) -> Model:
-    """``learnable`` is a condition on ``labels``.  The chosen labels are at most ``train_rows`` rows, so they are broadcast."""
-    chosen = labels.filter(learnable & col(label_col).isin(0, 1) & col(id_col).isNotNull()).select(
-        col(id_col).alias("l_id"), col(label_col).cast("int").alias("l_good"), F.xxhash64(col(id_col).cast("string")).alias("l_hash"))
-    chosen = chosen.orderBy("l_hash", "l_id").limit(train_rows)
-    rows = docs.select(col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("l_id"))
-    rows = rows.select("l_hash", "l_good", "text").orderBy("l_hash", "text").limit(train_rows).toPandas()
-    return fit(rows["text"].tolist(), rows["l_good"].to_numpy(dtype=int))
+    """``learnable`` is a condition on ``labels``; rows are bounded as ``training.labelled`` says."""
+    return fit(labelled(docs, labels, learnable, id_col=id_col, text_col=text_col, label_col=label_col, rows=train_rows))
 
 
 def classify(docs: DataFrame, labels: DataFrame, learnable: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
