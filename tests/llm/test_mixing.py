@@ -33,8 +33,12 @@ def test_sources_meet_their_targets(spark):
     expected = water(dict(size))
     for r in got:
         assert r["source_size"] == size[r["source"]] and r["target"] == pytest.approx(expected[r["source"]])
+    longest = Counter()
+    for r in got:
+        longest[r["source"]] = max(longest[r["source"]], r["size"])
+        assert all(d.words == r["size"] for d in r["draws"])  # whole documents
     for s, t in expected.items():
-        assert abs(taken[s] - t) <= 4, s
+        assert abs(taken[s] - t) <= longest[s] / 2 + 1, s
     assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((i, len(WORD.findall(t or ""))) for i, t, _ in texts())
 
 
@@ -63,3 +67,25 @@ def test_hot_source_and_empty_table(spark):
     assert mixing.mix(empty(spark)).collect() == []
     nothing = mixing.mix(frame(spark, [(1, None, "a"), (2, "", None)])).collect()
     assert [r["taken"] for r in nothing] == [0, 0]
+
+
+def test_the_mix_has_whole_texts(spark):
+    rows = [(i, f"a  b\tc\n{'d ' * (i % 40)}", "xyz"[i % 3]) for i in range(200)]
+    by = {i: t for i, t, _ in rows}
+    out = mixing.shards_of(mixing.mix(frame(spark, rows), block_words=100)).collect()
+    assert out and all(r.text == by[r.doc_id] for r in out)
+
+
+def test_shards_grow_with_the_words(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 50)
+    monkeypatch.setattr(mixing, "LEAST_SHARDS", 2)
+    df = frame(spark, [(i, "w " * 10, "abc"[i % 3]) for i in range(300)])
+    assert len({d.shard for r in mixing.mix(df, block_words=20).collect() for d in r.draws}) > 40
+
+
+def test_columns_of_any_name(spark):
+    names = ["words", "room", "part", "cut_id", "p_size", "draws", "shard", "copy", "src", "block", "h", "doc", "id", "size", "before", "key", "rank", "Target"]
+    df = frame(spark, [(1, "a b", "x"), (2, "c", "y")]).select("doc_id", "text", "source").selectExpr("*", *[f"'v' AS `{n}`" for n in names])
+    got = mixing.mix(df)
+    assert {(r.words, r.room, r.part, r.cut_id, r.p_size, r.src, r.doc, r.id) for r in got.collect()} == {("v",) * 8}
+    assert {r.room for r in mixing.shards_of(got).collect()} == {"v"}

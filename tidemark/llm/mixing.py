@@ -1,8 +1,8 @@
 """Mixing sources to target weights.
 
 Each source is cut into blocks by a hash of its rows.  A source takes whole passes over its blocks and, for the
-rest of its target, the first blocks of one more pass in a permuted order; the last of these blocks is cut at a row
-and the last row at a word, so that a source meets its target exactly (but for rounding).  The blocks to draw are
+rest of its target, the first blocks of one more pass in a permuted order; the last of these blocks is cut at a row, which is
+taken whole or not at all, whatever is nearer: a source misses its target by half a document at most.  The blocks to draw are
 dealt to the output shards by a splitting tree: a random permutation of all draws is halved again and again, which
 gives every node an exact number of blocks and a multivariate hypergeometric number of each source.  Shards draw
 disjoint blocks and shuffle their rows locally.
@@ -11,8 +11,8 @@ Only counts per (source, block) are ever shuffled; ranks and running sums have t
 blocks of a source.  Per source there is one row, and these rows alone meet in one task.
 
 Defined results: a NULL text has size 0; NULL is a source of its own, the last; a document without words takes 0 and
-is drawn nowhere; repeated rows are separate documents (those at the cut share it evenly); an empty table gives an
-empty table; extra columns are kept, whatever their names."""
+is drawn nowhere; repeated rows of one id and source are separate documents, which are drawn alike (those at the cut count as one
+there); an empty table gives an empty table; extra columns are kept unless they have the name of a result column."""
 
 from __future__ import annotations
 
@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import col, fresh, running_sum, stored, text_of, words_of
 
 WEIGHTS = (1.0, 2.0, 3.0)
+#: Words of a shard, and the fewest shards.
+SHARD_WORDS, LEAST_SHARDS = 1 << 22, 64
+RESULTS = ("size", "source_size", "target", "taken", "draws")
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = 3.0) -> DataFrame:
@@ -73,52 +76,49 @@ def plan(rows: DataFrame, seed: int, weights: tuple[float, ...], cap: float, sha
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS,
-        cap: float = 3.0, shards: int = 64, block_words: int = 1 << 18, seed: int = 17) -> DataFrame:
+        cap: float = 3.0, shards: int | None = None, block_words: int = 1 << 18, seed: int = 17) -> DataFrame:
     """Every row of ``docs`` with ``size``, ``source_size``, ``target``, ``taken`` (words, repeats counted) and ``draws``:
     an array of (copy, shard, words), one for each time the mix takes the document.  ``block_words`` is the size that
-    a block would have if there were one source; smaller sources have smaller blocks."""
-    names = ("size", "source_size", "target", "taken", "draws")
-    src, block, h, size = fresh(docs, "src", "block", "h", "size")
-    key = F.xxhash64(F.lit(seed), col(source_col), col(id_col))
-    sized = docs.withColumn(size, F.size(words_of(text_of(text_col))).cast("long")).withColumn(h, key).withColumn(src, col(source_col).cast("string"))
-    small = stored(sized.select(col(src).alias("src"), col(id_col).alias("id"), col(h).alias("h"), col(size).alias("size")), "sizes")
+    a block would have if there were one source; smaller sources have smaller blocks.  Without a number of ``shards``, each has
+    about ``SHARD_WORDS`` words."""
+    # the row travels as one column, so that no name of it meets one of the plan's
+    rows = docs.select(
+        F.struct(*map(col, docs.columns)).alias("doc"), col(source_col).cast("string").alias("src"), col(id_col).alias("id"),
+        F.xxhash64(F.lit(seed), col(source_col), col(id_col)).alias("h"), F.size(words_of(text_of(text_col))).cast("long").alias("size"))
+    small = stored(rows.select("src", "id", "h", "size"), "sizes")
     total = small.agg(F.sum("size")).first()[0] or 0
     bits = min(40, max(1, math.ceil(math.log2(max(2, total / block_words)))))
     small = small.withColumn("block", F.shiftrightunsigned("h", 64 - bits))
-    blocks = stored(plan(small, seed, weights, cap, shards), "plan")
+    blocks = stored(plan(small, seed, weights, cap, shards or max(LEAST_SHARDS, -(-total // SHARD_WORDS))), "plan")
     # the row at which a cut block ends: rows by hash, equal ones together
     cut = blocks.filter((F.col("room") > 0) & (F.col("room") < F.col("words"))).select(F.col("src").alias("c_src"), F.col("block").alias("c_block"), "room")
     inside = small.filter("size > 0").join(cut, small["src"].eqNullSafe(cut["c_src"]) & (small["block"] == cut["c_block"])).groupBy(
         "c_src", "c_block", "room", "h", F.col("id").alias("cut_id")).agg(F.sum("size").alias("has"))
     inside = inside.withColumn("upto", F.sum("has").over(Window.partitionBy("c_src", "c_block").orderBy("h", F.col("cut_id"))))
     ends = inside.filter((F.col("upto") >= F.col("room")) & (F.col("upto") - F.col("has") < F.col("room"))).select(
-        "c_src", "c_block", F.col("h").alias("cut_h"), "cut_id", ((F.col("room") - F.col("upto") + F.col("has")) / F.col("has")).alias("part"))
+        "c_src", "c_block", F.col("h").alias("cut_h"), "cut_id", (2 * (F.col("room") - F.col("upto") + F.col("has")) >= F.col("has")).alias("taken_whole"))
     full = blocks.join(ends, blocks["src"].eqNullSafe(ends["c_src"]) & (blocks["block"] == ends["c_block"]), "left").select(
-        F.col("src").alias("p_src"), F.col("block").alias("p_block"), F.col("source_size").alias("p_size"), F.col("target").alias("p_target"),
-        F.col("draws").alias("p_draws"), "words", "room", "cut_h", "cut_id", "part")
-    rows = sized.withColumn(block, F.shiftrightunsigned(col(h), 64 - bits))
-    joined = rows.join(full, rows[src].eqNullSafe(full["p_src"]) & (rows[block] == full["p_block"]))
-    row_id = rows[id_col]
-    last = (  # of a draw that is the last and partial
-        F.when((F.col("room") == 0) | (F.col("room") == F.col("words")), rows[size])
-        .when((rows[h] < F.col("cut_h")) | ((rows[h] == F.col("cut_h")) & (row_id < F.col("cut_id"))), rows[size])
-        .when((rows[h] == F.col("cut_h")) & row_id.eqNullSafe(F.col("cut_id")), F.round(rows[size] * F.col("part")).cast("long"))
-        .otherwise(F.lit(0).cast("long")))
-    draws = F.filter(F.transform(F.coalesce(F.col("p_draws"), F.array().cast("array<struct<copy:bigint,shard:int>>")), lambda d, i: F.struct(
-        d["copy"].alias("copy"), d["shard"].alias("shard"),
-        F.when(i + 1 == F.size("p_draws"), last).otherwise(rows[size]).alias("words"))), lambda d: d["words"] > 0)
-    out = [rows[c] for c in docs.columns if c.lower() not in names]
-    result = joined.select(*out, rows[size].alias("size"), F.col("p_size").alias("source_size"), F.col("p_target").alias("target"), draws.alias("draws"))
-    return result.withColumn("taken", F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]))
-
-
-def shards_of(mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 17) -> DataFrame:
-    """The mix itself: a row for each draw with its shard, its text cut to the words it takes (white space becomes one
-    space in a cut text only), dealt by shard and shuffled inside it.  A hot shard does not exist: all have as many blocks."""
+        F.col("src").alias("p_src"), F.col("block").alias("p_block"), "source_size", "target", F.col("draws").alias("p_draws"), "words", "room",
+        "cut_h", "cut_id", "taken_whole")
+    rows = rows.withColumn("block", F.shiftrightunsigned("h", 64 - bits))
+    joined = rows.join(full, rows["src"].eqNullSafe(full["p_src"]) & (rows["block"] == full["p_block"]))
+    before = (F.col("h") < F.col("cut_h")) | ((F.col("h") == F.col("cut_h")) & (F.col("id") < F.col("cut_id")))
+    at = (F.col("h") == F.col("cut_h")) & F.col("id").eqNullSafe(F.col("cut_id"))
+    # of a draw that is the last and partial
+    last = (F.col("room") == 0) | (F.col("room") == F.col("words")) | F.coalesce(before, F.lit(False)) | F.coalesce(at & F.col("taken_whole"), F.lit(False))
+    every = F.coalesce(F.col("p_draws"), F.array().cast("array<struct<copy:bigint,shard:int>>"))
+    draws = F.transform(F.filter(every, lambda d, i: (F.col("size") > 0) & ((i + 1 < F.size("p_draws")) | last)), lambda d: F.struct(
+        d["copy"].alias("copy"), d["shard"].alias("shard"), F.col("size").alias("words")))
+    out = [F.col("doc").getField(c).alias(c) for c in docs.columns if c.lower() not in RESULTS]
+    # names of the documents' columns come in a step of their own, so that nothing above can mean one of them
+    mixed = joined.select("doc", "size", "source_size", "target", draws.alias("draws"))
+    return mixed.select(*out, "size", "source_size", "target", "draws", (F.size("draws") * F.col("size")).alias("taken"))
+
+
+def shards_of(mixed: DataFrame, id_col: str = "doc_id", seed: int = 17) -> DataFrame:
+    """The mix itself: a row for each draw, whole texts, dealt by shard and shuffled inside it; with ``shard``, ``copy`` and
+    ``words`` (in place of columns of these names).  A hot shard does not exist: all have as many blocks."""
     d, order = fresh(mixed, "draw", "order")
-    rows = mixed.withColumn(d, F.explode("draws"))
-    cut = F.array_join(F.slice(words_of(text_of(text_col)), 1, F.greatest(col(d)["words"], F.lit(1)).cast("int")), " ")
-    rows = rows.withColumn(text_col, F.when(col(d)["words"] < F.col("size"), cut).otherwise(col(text_col)))
-    rows = rows.withColumn("shard", col(d)["shard"]).withColumn("copy", col(d)["copy"]).withColumn("words", col(d)["words"])
+    rows = mixed.withColumn(d, F.explode("draws")).withColumns({f: col(d)[f] for f in ("shard", "copy", "words")})
     rows = rows.withColumn(order, F.xxhash64(F.lit(seed), F.lit("row"), "copy", col(id_col)))
     return rows.repartition("shard").sortWithinPartitions("shard", order).drop(d, order, "draws")
