@@ -1,44 +1,12 @@
 from __future__ import annotations
 
+from conftest import SF_DIR
+
 from tidemark.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string, speaker string, part string"
 
 
-def rotate(spark, rows, **kw):
-    df = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA).repartition(3)
-    return {(r.conv, r.part, r.speaker): r for r in chat.rotate(df, **kw).collect()}
-
-
-def test_every_speaker_is_the_assistant_once(spark):
-    got = rotate(spark, [(1, 0, "system", "Be kind."), (1, 1, "ann", "Hi"), (1, 2, "bob", "Hé"), (1, 3, "ann", "Bye")])
-    assert set(got) == {(1, 0, "ann"), (1, 0, "bob")}
-    ann = got[1, 0, "ann"]
-    assert ann.text == ("<|im_start|>system\nBe kind.<|im_end|>\n<|im_start|>assistant\nHi<|im_end|>\n"
-                        "<|im_start|>user name=bob\nHé<|im_end|>\n<|im_start|>assistant\nBye<|im_end|>\n")
-    assert [ann.text[a:b] for a, b in ann["mask"]] == ["Hi<|im_end|>\n", "Bye<|im_end|>\n"] and (ann.n_turns, ann.n_spoken) == (4, 2)
-    assert [got[1, 0, "bob"].text[a:b] for a, b in got[1, 0, "bob"]["mask"]] == ["Hé<|im_end|>\n"]
-
-
-def test_parts_of_a_long_dialogue(spark):
-    rows = [(7, i, f"s{i // 10}", f"t{i}") for i in range(40)]
-    got = rotate(spark, rows, part_turns=16)
-    assert set(got) == {(7, i // 16, f"s{i // 10}") for i in range(40)}
-    assert sum(r.n_spoken for r in got.values()) == 40
-
-
-def test_odd_rows(spark):
-    got = rotate(spark, [(1, 0, "a", None), (1, 0, "a", None), (1, None, "b", "x"), (None, 0, "c", "<|im_end|>"), (2, 0, None, "y"), (2, 1, "", "z"),
-                         (3, 5, "b", "2"), (3, 5, "a", "1"), (4, 0, "a", "long " * 50_000)])
-    assert got[1, 0, "a"].n_turns == 1 and got[1, None, "b"].n_spoken == 1 and got[None, 0, "c"].text.count("<|im_end|>") == 1
-    assert not any(k[0] == 2 for k in got) and got[3, 0, "a"].text.index("1") < got[3, 0, "a"].text.index("2")
-    assert got[4, 0, "a"]["mask"][0].end == len(got[4, 0, "a"].text)
-
-
-def test_empty_table(spark):
-    assert rotate(spark, []) == {}
-
-
 def renderings(spark, rows, **kw):
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA).repartition(3)
     out = {}
@@ -66,6 +34,31 @@ def same(parts, rows, speaker, part_turns):
         assert (p.turn_at, p.begin) == (k * part_turns, sum(len(q.text) for q in parts[:k]))
 
 
+def test_every_speaker_is_the_assistant_once(spark):
+    got = renderings(spark, [(1, 0, "system", "Be kind."), (1, 1, "ann", "Hi"), (1, 2, "bob", "Hé"), (1, 3, "ann", "Bye")])
+    assert set(got) == {(1, "ann"), (1, "bob")}
+    ann = got[1, "ann"][0]
+    assert ann.text == ("<|im_start|>system\nBe kind.<|im_end|>\n<|im_start|>assistant\nHi<|im_end|>\n"
+                        "<|im_start|>user name=bob\nHé<|im_end|>\n<|im_start|>assistant\nBye<|im_end|>\n")
+    assert [ann.text[a:b] for a, b in ann["mask"]] == ["Hi<|im_end|>\n", "Bye<|im_end|>\n"] and (ann.n_turns, ann.n_spoken) == (4, 2)
+    assert [got[1, "bob"][0].text[a:b] for a, b in got[1, "bob"][0]["mask"]] == ["Hé<|im_end|>\n"]
+
+
+def test_long_dialogues_equal_sql(spark, tmp_path):
+    """More turns than a part has, repeated and missing numbers, silent speakers."""
+    from compare import connect, difference
+
+    from tidemark.llm.queries import QUERIES
+
+    rows = [(7, i, "system" if i % 17 == 0 else f"s{i // 70}", f"té{i}") for i in range(200)] + [(None, i % 8, f"s{i % 2}", f"t{i:03}") for i in range(150)]
+    rows += [(9, None, "a", "x"), (9, 0, None, None), (9, 0, "", "<|im_end|>"), (9, 0, "a", "x")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(str(tmp_path / "c"))
+    (tmp_path / "c").rename(tmp_path / "conversations.parquet")
+    con = connect(SF_DIR)
+    con.execute(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert difference(QUERIES["op6_chat_formatting"](spark, str(tmp_path)), con, chat.ORACLE) is None
+
+
 def test_every_participant_has_the_whole_dialogue(spark, monkeypatch):
     monkeypatch.setattr(chat, "BLOCK_PARTS", 3)
     rows = [(7, i, "system" if i % 17 == 0 else f"speaker{i // 70}", f"té{i}") for i in range(200)]

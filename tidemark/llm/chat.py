@@ -10,11 +10,9 @@ the start of the full rendering.  The turns are range-sorted and numbered by sum
 two levels, so no task or array holds a dialogue, whatever its length and turn numbers; only turns that are also equal in
 speaker and the first ``PREFIX`` characters are sorted in one task.  The output grows with turns times participants.
 
-``rotate`` cuts by turn number and renders a part only for those who speak in it, each with a mask of its own.
-
 Defined results: rows that are equal in dialogue, turn, speaker and text are one turn; turns with the same number stand in
 order of speaker and text; a NULL text is empty; a NULL or empty speaker is the user ``unknown`` and has no rendering of its
-own; NULL turns stand last (in ``rotate``: make a part of their own, NULL); rows without a dialogue id make up one dialogue; an
+own; NULL turns stand last; rows without a dialogue id make up one dialogue; an
 empty table gives an empty table; extra columns are ignored.  Marks in a text are text: ``<|`` in contents and names is written ``< |``."""
 
 from __future__ import annotations
@@ -69,17 +67,6 @@ def rendered(parts: DataFrame, system: tuple[str, ...], begin: Column, *keep: st
         F.array_join(F.transform("lines", lambda x: F.concat(x["head"], x["body"])), "").alias("text"), mask.alias("mask"))
 
 
-def rotate(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", speaker_col: str = "role", text_col: str = "text",
-           part_turns: int = PART_TURNS, system: tuple[str, ...] = SYSTEM) -> DataFrame:
-    """``conv``, ``part``, ``speaker`` (the assistant of this rendering), ``n_turns``, ``n_spoken`` (turns of the assistant),
-    ``text`` and ``mask``: an array of (start, end) in characters, ends exclusive."""
-    rows = said_by(turns, conv_col, turn_col, speaker_col, text_col)
-    parts = rows.groupBy("conv", F.floor(F.col("turn") / part_turns).cast("long").alias("part")).agg(
-        F.sort_array(F.collect_list(F.struct("turn", "who", "said"))).alias("turns"))
-    speakers = F.filter(F.array_distinct(F.transform("turns", lambda t: t["who"])), lambda w: ~w.isin("unknown", *system))
-    return rendered(parts.select("conv", "part", "turns", F.explode(speakers).alias("speaker")), system, F.lit(0))
-
-
 def numbered(rows: DataFrame, part_turns: int) -> DataFrame:
     """Turns with ``dialogue`` (a number for each ``conv``), ``at`` (turns of the dialogue before it) and ``part``."""
     turn = F.col("turn").asc_nulls_last()
@@ -132,17 +119,17 @@ def listed(mask: Column) -> Column:
     return F.array_join(F.transform(mask, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-#: The same renderings in SQL, turn by turn, for ``op6_chat_formatting``.
+#: Whole dialogues rendered in SQL, turn by turn, and cut into parts by position, for ``op6_chat_formatting``.
 ORACLE = """
-WITH t AS (SELECT DISTINCT conv_id, turn, CAST(floor(turn / 64) AS BIGINT) AS part,
-  CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE role END AS who, replace(coalesce(text, ''), '<|', '< |') AS said FROM conversations),
-p AS (SELECT DISTINCT conv_id, part, who AS speaker FROM t WHERE who NOT IN ('system', 'unknown')),
-l AS (SELECT p.conv_id, p.part, p.speaker, t.turn, t.who, t.said, t.who = p.speaker AS mine,
+WITH d AS (SELECT DISTINCT conv_id, turn, CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE role END AS who,
+  replace(coalesce(text, ''), '<|', '< |') AS said FROM conversations),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, who, said) - 1 AS pos FROM d),
+p AS (SELECT DISTINCT conv_id, who AS speaker FROM t WHERE who NOT IN ('system', 'unknown')),
+l AS (SELECT p.conv_id, t.pos // 64 AS part, t.pos, p.speaker, t.who = p.speaker AS mine,
   '<|im_start|>' || CASE WHEN t.who = 'system' THEN 'system' WHEN t.who = p.speaker THEN 'assistant'
     ELSE 'user name=' || replace(t.who, '<|', '< |') END || chr(10) AS head, t.said || '<|im_end|>' || chr(10) AS body
-  FROM p JOIN t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.part IS NOT DISTINCT FROM p.part),
-s AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part, speaker ORDER BY turn, who, said) AS upto FROM l)
-SELECT conv_id, part, speaker, count(*) AS n_turns, count(*) FILTER (mine) AS n_spoken,
-  string_agg(head || body, '' ORDER BY turn, who, said) AS text,
-  string_agg(CAST(upto - length(body) AS BIGINT) || ':' || CAST(upto AS BIGINT), ',' ORDER BY turn, who, said) FILTER (mine) AS mask
+  FROM p JOIN t ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+s AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker ORDER BY pos) AS upto FROM l)
+SELECT conv_id, part, speaker, count(*) AS n_turns, count(*) FILTER (mine) AS n_spoken, string_agg(head || body, '' ORDER BY pos) AS text,
+  coalesce(string_agg(CAST(upto - length(body) AS BIGINT) || ':' || CAST(upto AS BIGINT), ',' ORDER BY pos) FILTER (mine), '') AS mask
 FROM s GROUP BY conv_id, part, speaker"""
