@@ -56,6 +56,28 @@ def test_digests_equal_brute_force(spark):
     assert {r.doc_id for r in got} == {i for i, v in expected.items() if v}
 
 
+def test_each_text_of_an_id_is_cut_by_its_own_spans(spark):
+    rng = random.Random(6)
+    passage, clean, other = prose(rng, 60), prose(rng, 90), prose(rng, 60)
+    rows = [(1, passage + " " + other, "s"), (2, "x " + passage + " y", "s"), (2, clean, "s"), (2, "x " + passage + " y", "s"),
+            (None, "z " + other, "s"), (None, clean + " more", "s")]
+    df = frame(spark, rows)
+    out = sorted((str(r.doc_id), r.text) for r in chunks.without_repeats(df, chunks.repeats(df)).collect())
+    assert (("2", clean) in out and ("1", passage + " " + other) in out and ("None", clean + " more") not in out) is True
+    cut = [t for i, t in out if i == "2" and t != clean]
+    assert len(cut) == 2 and cut[0] == cut[1] and len(cut[0]) < 12 and len(next(t for i, t in out if i == "None" and t.startswith("z"))) < 12
+
+
+def test_passages_of_the_threshold_have_seeds():
+    """Pairs of equal passages between other words: how many share a whole chunk."""
+    rng, found = random.Random(12), 0
+    for _ in range(400):
+        passage = prose(rng, chunks.MIN_WORDS)
+        a, b = (set(pieces(f"{prose(rng, 20)} {passage} {prose(rng, 20)}")) for _ in range(2))
+        found += bool(a & b)
+    assert found >= 396
+
+
 def test_empty_table(spark):
     spans = chunks.repeats(empty(spark))
     assert spans.collect() == [] and chunks.without_repeats(empty(spark), spans).collect() == []

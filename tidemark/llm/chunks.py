@@ -9,13 +9,14 @@ span, and spans of at least ``min_words`` words that begin in them count: short
 A shorter passage without a single common chunk has no seed.
 
 One row for each chunk (digest, document, place) is exchanged; holders are found by partial minima, and the join of
-chunks with digests of several documents is an equi-join.  The join with their first places follows an aggregation by digest and
-is not split by Spark, so the copies of one very common chunk meet in one task.  Adjoining chunks with the same place in the same holder are extended together.  Only the characters around
+chunks with digests of several documents is an equi-join.  Holders and first places are written before they are joined, so that Spark
+can split the copies of one very common chunk over several tasks.  Adjoining chunks with the same place in the same holder are extended together.  Only the characters around
 a stretch's ends are exchanged, ``AROUND`` at first; where all of them are equal, 16 times as many in the next round, until none are.
 
 Defined results: NULL and empty texts have no chunks; rows of the same id are one document and no repeats of each
 other; with NULL ids, chunks that a document with an id holds are repeats; an empty table gives an empty table; a text of any
-length is chunked as a whole; extra columns are kept by ``without_repeats`` and ignored by ``repeats``."""
+length is chunked as a whole; rows of one id with different texts have spans of their own; extra columns are kept by
+``without_repeats`` and ignored by ``repeats``."""
 
 from __future__ import annotations
 
@@ -31,7 +32,8 @@ from tidemark.llm.common import col, fresh, in_tasks, let, stored, text_of
 
 #: Bytes that a hash depends on; least and greatest size of a chunk.
 WINDOW, LEAST, MOST = 16, 24, 96
-MIN_WORDS = 20
+#: Passages of fewer words may have no chunk in common (of 30 random words 1 in 400 had none, of 20 one in five), and are not looked for.
+MIN_WORDS = 30
 AROUND = 96
 _GEAR = np.random.default_rng(20_011).integers(0, 1 << 16, 256, dtype=np.uint16)
 _BLANK = np.zeros(256, dtype=bool)
@@ -172,12 +174,12 @@ def grown(batches, side: int, width: int):
 
 def joined_up(batches):
     """(id, version, lo, hi, lo_words, hi_words, seed_lo, seed_hi, first) in order of id, version and lo, to a row for each span of
-    stretches that overlap or adjoin: id, start, length, words, first_ids."""
+    stretches that overlap or adjoin: id, version, start, length, words, first_ids."""
     key, held, ids, out = None, [], None, []
 
     def row():
         lo, hi = min(h[0] for h in held), max(h[1] for h in held)
-        return ids, lo, hi - lo, max(h[3] for h in held) - min(h[2] for h in held), sorted({h[6] for h in held})
+        return ids, key[1], lo, hi - lo, max(h[3] for h in held) - min(h[2] for h in held), sorted({h[6] for h in held})
 
     def rows():
         nonlocal held
@@ -192,9 +194,9 @@ def joined_up(batches):
         held = []
 
     def batch_of(rows, kind):
-        columns = list(zip(*rows)) or [()] * 5
-        kinds = [kind, pa.int64(), pa.int64(), pa.int64(), pa.list_(kind)]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "start", "length", "words", "first_ids"])
+        columns = list(zip(*rows)) or [()] * 6
+        kinds = [kind, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(kind)]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["id", "version", "start", "length", "words", "first_ids"])
 
     kind = None
     for batch in batches:
@@ -274,16 +276,16 @@ def extended(texts: DataFrame, seeds: DataFrame, width: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each span that repeats an earlier document: ``id_col``, ``start`` and ``length`` in characters, ``words``
-    and ``first_ids``, the documents that hold its chunks first (a chunk in a stretch of an earlier holder is that one's, unless
+    """A row for each span that repeats an earlier document: ``id_col`` and ``text_hash`` (of the text that it stands in), ``start``
+    and ``length`` in characters, ``words`` and ``first_ids``, the documents that hold its chunks first (a chunk in a stretch of an earlier holder is that one's, unless
     its own stretch goes on for a whole word)."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(col(id_col).alias("id"), F.xxhash64(col(text_col).cast("string")).alias("version"), col(text_col).cast("string").alias("text"))
     chunks = stored(rows.mapInArrow(in_tasks(chunk_rows), f"id {kind}, version long, start long, length long, before long, words long, high long, low long"), "chunks")
     holders = chunks.groupBy("high", "low").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("nameless"))
-    holders = holders.filter("first <> last or (nameless and first is not null)").select("high", "low", "first")
+    holders = stored(holders.filter("first <> last or (nameless and first is not null)").select("high", "low", "first"), "holders")
     held = stored(chunks.join(holders, ["high", "low"]), "held")
-    places = held.filter("id = first").groupBy("high", "low").agg(F.min(F.struct("version", "start")).alias("place"))
+    places = stored(held.filter("id = first").groupBy("high", "low").agg(F.min(F.struct("version", "start")).alias("place")), "first-places")
     twice = held.filter(F.col("id").isNull() | (F.col("id") != F.col("first"))).join(places, ["high", "low"])
     twice = twice.select("id", "version", "start", "length", "before", "words", "first", F.col("place.version").alias("first_version"),
                          (F.col("place.start") - F.col("start")).alias("shift")).distinct()
@@ -309,15 +311,16 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         stretches = stretches.union(one)
     stretches = stretches.select("id", "version", "lo", "hi", "lo_words", "hi_words", "seed_lo", "seed_hi", "first")
     stretches = stretches.repartition("id", "version").sortWithinPartitions("id", "version", "lo", "hi")
-    spans = stretches.mapInArrow(in_tasks(joined_up), f"id {kind}, start long, length long, words long, first_ids array<{kind}>")
-    return spans.filter(F.col("words") >= min_words).select(F.col("id").alias(id_col), "start", "length", "words", "first_ids")
+    spans = stretches.mapInArrow(in_tasks(joined_up), f"id {kind}, version long, start long, length long, words long, first_ids array<{kind}>")
+    return spans.filter(F.col("words") >= min_words).select(F.col("id").alias(id_col), F.col("version").alias("text_hash"), "start", "length", "words", "first_ids")
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the spans cut out of their texts."""
-    key, cut = fresh(docs, "key_", "cut_")
-    found = spans.groupBy(col(id_col).alias(key)).agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias(cut))
-    joined = docs.join(found, docs[id_col].eqNullSafe(found[key]), "left")
+    key, of, cut, mine = fresh(docs, "key_", "of_", "cut_", "mine_")
+    found = spans.groupBy(col(id_col).alias(key), F.col("text_hash").alias(of)).agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias(cut))
+    rows = docs.withColumn(mine, F.xxhash64(col(text_col).cast("string")))
+    joined = rows.join(found, rows[id_col].eqNullSafe(found[key]) & (rows[mine] == found[of]), "left")
     text = text_of(text_col)
 
     def rest(parts: Column) -> Column:
