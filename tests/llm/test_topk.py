@@ -41,12 +41,28 @@ def test_equals_brute_force(spark, bits, k):
 
 
 def test_queries_left_are_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(topk, "MOST_MASKS", 1)
+    monkeypatch.setattr(topk, "MOST_PROBES", 0.1)
     monkeypatch.setattr(topk, "BLOCK_CODES", 40)
     rows = vectors(5, 150, 40)
     assert search(spark, rows, {0, 50, 100, 160}, 10) == brute(rows, {0, 50, 100, 160}, 10)
 
 
+def test_probes_are_all_values_of_a_radius(spark):
+    lengths = [5, 4]
+    asked = spark.createDataFrame([([19, 6], None)], "query array<long>, far int")
+    for radius in range(6):
+        got = sorted((r.segment, r.value) for r in topk.within(asked, lengths, radius).collect())
+        assert got == sorted((s, v) for s, (n, q) in enumerate(zip(lengths, (19, 6))) for v in range(2**n) if bin(v ^ q).count("1") == radius)
+
+
+def test_spread_codes_are_settled_by_the_index(spark, monkeypatch):
+    """Random codes need a large radius; no query is left for the blocks."""
+    monkeypatch.setattr(topk, "in_blocks", lambda *a: (_ for _ in ()).throw(AssertionError("blocks")))
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(40)]) for i in range(1500)]
+    assert search(spark, rows, {0, 500, 1000}, 5) == brute(rows, {0, 500, 1000}, 5)
+
+
 def test_odd_rows(spark):
     rows = [(0, [1.0, -1.0, None, 2.0]), (1, [1.0]), (2, None), (3, []), (None, [1.0, 1.0]), (4, [float("nan"), -1.0, 0.0, 1.0]), (4, [1.0, -1.0, 0.0, 1.0])]
     got = search(spark, rows, {0, 1, 2, 3}, 10)

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import math
 from functools import reduce
-from itertools import combinations
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,8 +26,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import col, stored
 
-#: A radius with more masks than this for one segment is not probed: the queries left are compared with all codes, in blocks.
-MOST_MASKS = 1_000
+#: A radius that would ask for more values than this times the number of codes is not probed: to compare the queries that are left
+#: with all codes, in blocks, takes less then.
+MOST_PROBES = 1.0
 BLOCK_CODES = 5_000
 
 
@@ -77,16 +77,12 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str =
     # queries that are left, with the distance that a better neighbour must not exceed
     open_ = asked.select("query", F.lit(None).cast("int").alias("far")).distinct()
     places = index.select("code", "ids", F.posexplode("code").alias("segment", "value"))
-    found, radius = None, 0
+    found, radius, codes = None, 0, index.count()
     while True:
-        if any(math.comb(n, radius) > MOST_MASKS for n in lengths):
+        if sum(math.comb(n, radius) for n in lengths) > MOST_PROBES * codes:
             found = merged(found, in_blocks(open_, index, m, want), want)
             break
-        masks = F.array(*[F.array(*[F.lit(sum(1 << j for j in at)).cast("long") for at in combinations(range(n), radius)]) for n in lengths])
-        # few queries make many probes, so queries are dealt out first and probes are never broadcast
-        probes = open_.repartition("query").select("query", "far", F.posexplode("query").alias("segment", "part"))
-        probes = probes.select("query", "far", "segment", F.col("part"), F.explode(F.get(masks, F.col("segment"))).alias("mask"))
-        probes = probes.select("query", "far", "segment", F.col("part").bitwiseXOR(F.col("mask")).alias("value"))
+        probes = within(open_, lengths, radius)
         hits = probes.repartition("segment", "value").join(places.hint("shuffle_hash"), ["segment", "value"]).withColumn("parts", differences("query", "code", m))
         # only where no segment differs less, and in the first that differs so little
         hits = hits.filter((F.array_min("parts") == radius) & (F.array_position("parts", F.lit(radius)) == F.col("segment") + 1))
@@ -105,6 +101,19 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str =
         "query_id", "rank", F.col("id").alias("neighbor_id"), "distance")
 
 
+def within(queries: DataFrame, lengths: list[int], radius: int) -> DataFrame:
+    """(query, far, segment, value): all values that differ in ``radius`` bits from a query's segment, one flipped bit after the other.
+
+    Few queries make many probes, so queries are dealt out first and probes are never broadcast."""
+    n = F.get(F.array(*map(F.lit, lengths)), F.col("segment"))
+    rows = queries.repartition("query").select("query", "far", F.posexplode("query").alias("segment", "value"))
+    rows = rows.filter(n >= radius).withColumn("at", F.lit(-1))
+    for k in range(radius):  # the next bit is above the last one and leaves room for those that follow
+        rows = rows.withColumn("at", F.explode(F.sequence(F.col("at") + 1, n - (radius - k))))
+        rows = rows.withColumn("value", F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at"))))
+    return rows.drop("at")
+
+
 def nearer(hits: DataFrame) -> DataFrame:
     """What is no farther than the worst of the neighbours that a query has; all, if it has too few."""
     return hits.filter(F.col("far").isNull() | (F.col("distance") <= F.col("far"))).drop("far")
