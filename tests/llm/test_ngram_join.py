@@ -65,6 +65,66 @@ def test_large_clusters_are_counted_in_blocks(spark, monkeypatch):
     assert got == brute(rows, 3, 9, 10)
 
 
+def test_near_copies_without_ids_are_linked(spark):
+    rng = random.Random(5)
+    base = prose(rng, 100).split()
+    near_one, bridge = " ".join(base[:99] + ["x"]), " ".join(base[:98] + ["y", "z"])
+    other = prose(rng, 50)
+    rows = [(1, " ".join(base), "s"), (None, near_one, "s"), (None, near_one, "s"), (None, other, "s"), (None, other + " w", "s"), (7, other + " w v", "s")]
+    got = ngram_join.join(frame(spark, rows), size=3, num=8, den=10).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.component_id) for r in got if r.doc_id) == [(False, 1, 1), (False, 7, 7)]
+    assert sorted(r.component_id for r in got if r.doc_id is None) == [1, 1, 7, 7] and bridge
+    kept = ngram_join.representatives(frame(spark, rows), size=3).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 7]
+    # linked through a text without an id only
+    chain = [(5, " ".join(base), "s"), (None, " ".join(base[:96] + list("abcd")), "s"), (6, " ".join(base[:92] + list("efghabcd")), "s")]
+    linked = {r.doc_id: r.component_id for r in ngram_join.join(frame(spark, chain), size=1, num=9, den=10).collect()}
+    assert linked == {5: 5, None: 5, 6: 5}
+
+
+def test_several_texts_of_one_id(spark):
+    rng = random.Random(6)
+    a, b = prose(rng, 60), prose(rng, 60)
+    rows = [(1, a, "s"), (1, b, "s"), (2, a + " x", "s"), (3, b + " y", "s")]
+    got = sorted((r.doc_id, r.component_id) for r in ngram_join.join(frame(spark, rows), size=3, num=8, den=10).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1)]
+
+
+@pytest.mark.parametrize("pivots", [0, 1, 3])
+def test_large_clusters_are_contracted(spark, monkeypatch, pivots):
+    """Copies that link with a pivot, chains whose ends do not, and groups that only hang together by common passages."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "PIVOTS", max(1, pivots))
+    monkeypatch.setattr(ngram_join, "PIVOT_ROUNDS", pivots)
+    rng = random.Random(11)
+    rows, word = [], [f"w{i}" for i in range(400)]
+    for i in range(24):  # a chain: neighbours are similar, the ends have nothing in common
+        rows.append((i, " ".join(word[3 * i: 3 * i + 60]), "s"))
+    base = [f"v{i}" for i in range(80)]
+    for i in range(30):  # copies of one text
+        t = list(base)
+        t[rng.randrange(80)] = f"n{i}"
+        rows.append((100 + i, " ".join(t), "s"))
+    for i in range(20):  # two groups with half of their words in common
+        t = base[:40] + [f"u{i % 2}_{j}" for j in range(40)]
+        t[rng.randrange(80)] = f"m{i}"
+        rows.append((200 + i, " ".join(t), "s"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(frame(spark, rows), size=3, num=7, den=10).collect()}
+    assert got == brute(rows, 3, 7, 10)
+
+
+def test_many_parts_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PART_GRAMS", 40)
+    rows = near(12)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(frame(spark, rows), size=3, num=9, den=10).collect()}
+    assert got == brute(rows, 3, 9, 10)
+
+
+def test_representatives_with_columns_of_any_name(spark):
+    df = frame(spark, [(1, "a b c d", "s"), (2, "a b c d", "s")]).selectExpr("*", *[f"'v' AS `{n}`" for n in ("kept_", "mine_", "hash_", "group_", "group", "text_hash", "component_id")])
+    assert [(r.doc_id, r["kept_"], r["group"]) for r in ngram_join.representatives(df).collect()] == [(1, "v", "v")]
+
+
 def test_partial_overlaps_sum_to_intersections(monkeypatch):
     for name, value in (("COLUMNS", 7), ("FEW", 3), ("FRAGMENT", 11)):
         monkeypatch.setattr(ngram_join, name, value)

@@ -11,12 +11,13 @@ of that order are the vertical fragments.  All texts with the same set are one n
    their sets; n-grams that a fixed-size table of counts shows as frequent come last in that order, so passages that
    many texts share link nobody.  Candidates that hang together are a cluster.
 3. Inside a cluster, overlaps are counted fragment by fragment (a cut of the sorted n-grams) and the partial overlaps are summed for each pair.  Pairs are compared with the threshold in whole numbers.  A
-   cluster beyond ``BLOCK`` nodes is split into blocks that are counted pair by pair of blocks in tasks of their own; a
-   task returns only links that join what it has not joined yet.
+   cluster beyond ``BLOCK`` nodes is first compared, block by block, with a few of its nodes: the copies of one text are linked
+   with one of them and hang together.  Of what a cluster then falls into, the largest component needs no comparison inside; the
+   other nodes, if any, are compared with all, pair by pair of blocks.  A task returns only links that join what it has not joined yet.
 
 All steps are exact but for collisions of 64-bit hashes.  No step caps or samples anything, no list of pairs is written,
-and exchanged rows hold packed numbers of many texts.  What grows is step 3: a cluster of n nodes that are near copies of
-each other takes (n / BLOCK)^2 / 2 tasks of equal size, which spread over the cluster.
+and exchanged rows hold packed numbers of many texts.  The work of step 3 is linear in a cluster of near copies; nodes outside its
+largest component cost a comparison with every block of the cluster.
 
 Defined results: NULL and word-less texts have an empty set and are linked with nothing; a text of fewer words than ``size``
 has one shingle, all its words; rows of equal sets (repeated rows, too) are linked; a component is named by its smallest
@@ -24,19 +25,24 @@ id, NULL ids last; an empty table gives an empty table; extra columns are ignore
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import col, fresh, in_groups, in_tasks, stored
 from tidemark.llm.components import components
 
-BLOCK = 2_048
+BLOCK = 512
+#: Nodes of a large cluster that all of it is compared with, and how often.
+PIVOTS, PIVOT_ROUNDS = 4, 3
 #: Counters of the table that tells frequent n-grams; its size never grows.
 COUNTERS = 1 << 20
 #: N-grams and texts of one packed exchange row's group; keys are cut to five bytes there.
 GROUP_GRAMS, GROUP_TEXTS, KEY_BYTES = 1 << 19, 60_000, 5
+PART_GRAMS = 1 << 22
 SEEN = 65_535
 #: N-grams of a fragment in step 3; sets that count as few; columns of a matrix.
 FRAGMENT, FEW, COLUMNS = 1 << 18, 12, 2_048
@@ -239,11 +245,14 @@ def open_nodes(rows):
     return pa.table({"node": pa.array(nodes[shared >= need], pa.int64())})
 
 
-def crowded(rows: DataFrame, size: int | None, share: float, num: int, den: int) -> DataFrame:
-    """Nodes of ``rows`` that may be linked, after the fragment's n-grams are counted."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def crowded(rows: DataFrame, size: int | None, share: float, num: int, den: int, total: int) -> DataFrame:
+    """Nodes of ``rows``, which have ``total`` n-grams, that may be linked, after the fragment's n-grams are counted.
+
+    The fragment has so many parts that each holds about ``PART_GRAMS`` n-grams; a task counts one of its parts after the other."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(tasks, math.ceil(total * min(share, 1.0) / PART_GRAMS))
     sent = rows.mapInArrow(in_tasks(fragment_rows, size=size, share=share, parts=parts, num=num, den=den), PACKED)
-    counted = sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(in_tasks(shared_rows), PACKED)
+    counted = sent.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(in_tasks(shared_rows), PACKED)
     return counted.groupBy("grp").applyInArrow(in_groups(open_nodes), "node long").distinct()
 
 
@@ -405,28 +414,89 @@ def linked(known: DataFrame, num: int, den: int) -> DataFrame:
     tokens = known.select("node", "grams").mapInArrow(in_tasks(prefix_rows, classes=classes, num=num, den=den), "token long, node long")
     tokens = tokens.repartition("token").sortWithinPartitions("token", "node")
     clusters = components(tokens.mapInArrow(in_tasks(star_rows), "a long, b long"))
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = clusters.join(sizes, "component").withColumn("side", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.select("node", F.col("component").alias("cluster"), "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+    sizes = stored(clusters.groupBy("component").agg(F.count(F.lit(1)).alias("nodes")), "clusters")
+    large = sizes.filter(F.col("nodes") > BLOCK)
+    small = clusters.join(sizes.filter(F.col("nodes") <= BLOCK), "component")
+    pairs = small.select("node", F.col("component").alias("cluster"), *[F.lit(0).alias(c) for c in ("side", "i", "j")])
+    if large.isEmpty():
+        return compared(known, pairs, num, den)
+    # nodes of the large clusters, with the component that the links found so far give them
+    placed = clusters.join(large, "component").select("node", F.col("component").alias("cluster"), F.col("node").alias("part"))
+    found = stored(compared(known, pairs, num, den), "links")
+    for k in range(PIVOT_ROUNDS):
+        found, placed = (stored(x, name) for x, name in zip(contracted(known, found, placed, k, num, den), ("links", "placed")))
+    return found.union(compared(known, across(placed), num, den))
+
+
+def compared(known: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Links of ``pairs`` (node, cluster, side, i, j): the sets of side i with those of side j, or with each other if i is j."""
     rows = known.select("node", "grams").join(pairs, "node").select("cluster", "i", "j", "side", "node", "grams")
     rows = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     return rows.mapInArrow(in_tasks(verified, num=num, den=den), "a long, b long")
 
 
+def blocks_of(nodes: DataFrame, *keys: str) -> DataFrame:
+    """``nodes`` with ``block``: about ``BLOCK`` of the same keys have the same, and ``blocks``, how many there are."""
+    sizes = nodes.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    return nodes.join(sizes, list(keys)).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+
+
+def outside(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``main``: whether a node is in the largest part of its cluster."""
+    parts = placed.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("n"))
+    largest = parts.groupBy("cluster").agg(F.max(F.struct("n", "part"))["part"].alias("largest"))
+    return placed.join(largest, "cluster").select("node", "cluster", "part", (F.col("part") == F.col("largest")).alias("main"))
+
+
+def contracted(known: DataFrame, found: DataFrame, placed: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The links after all nodes outside the largest part of their cluster (in the first round: all) were compared with a few
+    of these nodes; and the nodes with the parts that these links make."""
+    open_ = outside(placed).filter(~F.col("main")) if k else placed
+    order = Window.partitionBy("cluster", "salt").orderBy("h")
+    some = open_.withColumn("h", F.xxhash64(F.lit(k), "node")).withColumn("salt", F.pmod("h", F.lit(64)))
+    some = some.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= PIVOTS)
+    some = some.withColumn("rank", F.row_number().over(Window.partitionBy("cluster").orderBy("h"))).filter(F.col("rank") <= PIVOTS)
+    pivots = some.select("node", "cluster")
+    # all of the cluster meets them: they may also link what is left with the largest part
+    blocks = blocks_of(placed.join(pivots.select("cluster").distinct(), "cluster"), "cluster")
+    others = blocks.join(pivots.select("node"), "node", "left_anti").select("node", "cluster", F.col("block").alias("side"), F.col("block").alias("i"), F.lit(-1).alias("j"))
+    each = blocks.select("cluster", F.col("block").alias("i")).distinct()
+    here = pivots.join(each, "cluster").select("node", "cluster", F.lit(-1).alias("side"), "i", F.lit(-1).alias("j"))
+    found = found.union(compared(known, others.union(here), num, den))
+    groups = components(found).withColumnRenamed("component", "part")
+    return found, placed.drop("part").join(groups, "node", "left").select("node", "cluster", F.coalesce("part", "node").alias("part"))
+
+
+def across(placed: DataFrame) -> DataFrame:
+    """Pairs of blocks that hold all pairs of nodes of a cluster but those inside its largest part."""
+    blocks = blocks_of(outside(placed), "cluster", "main")
+    # blocks of the largest part are numbered behind the others
+    counts = blocks.groupBy("cluster").agg(F.coalesce(F.max(F.when(~F.col("main"), F.col("blocks"))), F.lit(0)).alias("n_open"),
+                                           F.coalesce(F.max(F.when(F.col("main"), F.col("blocks"))), F.lit(0)).alias("n_main")).filter("n_open > 0")
+    placed = blocks.join(counts, "cluster").withColumn("side", F.col("block") + F.when(F.col("main"), F.col("n_open")).otherwise(0))
+    last = F.when(F.col("main"), F.col("n_open")).otherwise(F.col("n_open") + F.col("n_main")) - 1
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return pairs.select("node", "cluster", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+
+
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """For each row of ``docs``: ``id_col``, ``text_hash``, ``n_shingles``, ``group`` (the same for all rows of a component,
     NULL for an empty set) and ``component_id``, its smallest id: texts link when their Jaccard similarity is at least num/den."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     base = stored(rows.mapInArrow(in_tasks(sets, size=size), f"id {kind}, text_hash long, n long, node long"), "sets")
-    nodes = stored(base.filter("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")), "nodes")
+    # a node is fetched by the row with the smallest id and, of that id, the smallest hash; ids that are NULL come last
+    nodes = base.filter("node is not null").groupBy("node").agg(
+        F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "text_hash")).alias("row"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
+    nodes = stored(nodes.select("node", F.col("row.id").alias("least"), F.col("row.text_hash").alias("text_hash"), "copies", "n"), "nodes")
+    total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     share = min(1.0, 2.2 * (den - num) / num)
-    maybe = crowded(rows.select("text"), size, share, num, den)
-    chosen = nodes.join(maybe, "node", "left_semi").filter("least is not null").select("node", F.col("least").alias("id"))
-    known = rows.join(chosen, "id").select("node", "text").mapInArrow(in_tasks(chosen_sets, size=size), "node long, n long, grams binary")
-    known = stored(known, "chosen")
-    again = stored(crowded(known, None, 1.0, num, den), "open")
+    maybe = crowded(rows.select("text"), size, share, num, den, total)
+    chosen = nodes.join(maybe, "node", "left_semi").select("node", F.col("least").alias("id"), "text_hash")
+    named = rows.join(chosen.filter("id is not null"), ["id", "text_hash"]).dropDuplicates(["id", "text_hash"]).select("node", "text")
+    nameless = rows.filter("id is null").join(chosen.filter("id is null").select("node", "text_hash"), "text_hash").select("node", "text").dropDuplicates(["node"])
+    known = stored(named.union(nameless).mapInArrow(in_tasks(chosen_sets, size=size), "node long, n long, grams binary"), "chosen")
+    again = stored(crowded(known, None, 1.0, num, den, known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]), "open")
     known = stored(known.join(again, "node", "left_semi"), "open-sets")
     groups = components(linked(known, num, den))
     named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -442,9 +512,25 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", siz
 def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """``docs`` without near duplicates: of each component one row with the smallest id stays.  Texts without words are
     nobody's duplicates; of rows of the same id without words one stays."""
-    mine, key = fresh(docs, "mine_", "hash_")
+    mine, key, group, kept = fresh(docs, "mine_", "hash_", "group_", "kept_")
     found = join(docs, id_col=id_col, text_col=text_col, size=size, num=num, den=den)
-    keep = found.filter(col(id_col).eqNullSafe(F.col("component_id"))).groupBy(col(id_col).alias(mine), "group").agg(F.min(F.col("text_hash")).alias("kept_"))
+    keep = found.filter(col(id_col).eqNullSafe(F.col("component_id"))).groupBy(col(id_col).alias(mine), F.col("group").alias(group)).agg(F.min(F.col("text_hash")).alias(kept))
     tagged = docs.withColumn(key, F.xxhash64(col(text_col).cast("string")))
-    one = tagged.join(keep, tagged[id_col].eqNullSafe(F.col(mine)) & (tagged[key] == F.col("kept_")), "left_semi")
+    one = tagged.join(keep, tagged[id_col].eqNullSafe(F.col(mine)) & tagged[key].eqNullSafe(F.col(kept)), "left_semi")
     return one.dropDuplicates([id_col, key]).drop(key)
+
+
+#: All pairs that share a shingle, and what can be reached from a document by links, for ``op5_ngram_join``.
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT doc_id, unnest(list_distinct([array_to_string(ws[i : i + 2], ' ') for i in range(1, greatest(len(ws) - 1, 2))])) AS shingle
+  FROM d WHERE len(ws) > 0),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a, a AS b FROM edge UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a),
+least AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least.c, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = d.doc_id"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.cascade import FIGURES, judge
-from tidemark.llm import cascade, chat, chunks, collocations, decontaminate, line_crf, ngram_join, part_codes, topk, toxicity
+from tidemark.llm import cascade, chat, chunks, collocations, decontaminate, line_crf, ngram_join, part_codes, secrets, topk, toxicity
 from tidemark.llm.mixing import mix
 from tidemark.llm.packing import pack
 from tidemark.llm.secrets import listed, scan, with_spans
@@ -75,9 +75,11 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def kind(k: int):
         return F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
 
-    base = F.filter("spans", lambda s: s["kind"] < 3)
+    base, examples = F.filter("spans", lambda s: s["kind"] < 3), F.filter("spans", lambda s: s["verdict"] == "example")
     return rows.select("doc_id", kind(0).alias("n_assign"), kind(1).alias("n_access"), kind(2).alias("n_hex"),
-                       F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+                       F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+                       kind(3).alias("n_token"), F.size(F.filter("spans", lambda s: s["verdict"] == "live")).cast("long").alias("n_live"),
+                       F.size(examples).cast("long").alias("n_example"), listed(examples).alias("examples"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,5 +123,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_collocations": op13_collocations,
 }
 
-ORACLES: dict[str, str] = {"op2_quality_rules": cascade.ORACLE, "op6_chat_formatting": chat.ORACLE, "op7_topk": topk.ORACLE,
+ORACLES: dict[str, str] = {"op2_quality_rules": cascade.ORACLE, "op5_ngram_join": ngram_join.ORACLE, "op9_secrets": secrets.ORACLE, "op6_chat_formatting": chat.ORACLE, "op7_topk": topk.ORACLE,
                            "op11_vector_codes": part_codes.ORACLE, "op12_decontamination": decontaminate.ORACLE, "op13_collocations": collocations.ORACLE}

@@ -152,3 +152,29 @@ def merged(spans: Column) -> Column:
             F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), both))
 
     return F.aggregate(spans, zero, add)
+
+
+#: Spans, owners of their values and verdicts in SQL, for ``op9_secrets``: pieces and matches of a pattern give the places.
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+pattern(kind, p, g) AS (VALUES (0, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1),
+  (1, 'AKIA[A-Z0-9]+', 0), (2, '[0-9a-f]+', 0), (3, '[A-Za-z0-9+/_=-]+', 0)),
+m AS (SELECT r, doc_id, source, kind, regexp_split_to_array(t, p) AS gaps, regexp_extract_all(t, p, 0) AS hits,
+  CASE g WHEN 1 THEN regexp_extract_all(t, p, 1) ELSE regexp_extract_all(t, p, 0) END AS vals FROM d, pattern),
+one AS (SELECT r, doc_id, source, kind, unnest(range(1, len(hits) + 1)) AS i, unnest(hits) AS hit, unnest(vals) AS val, unnest(gaps[1 : len(hits)]) AS gap FROM m),
+placed AS (SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY r, kind ORDER BY i) AS BIGINT) AS upto FROM one),
+found AS (SELECT r, doc_id, source, kind, upto - length(hit) AS start_, upto AS end_, val FROM placed
+  WHERE length(val) >= [12, 18, 16, 20][kind + 1] AND (kind < 3 OR regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]'))),
+candidate AS (SELECT * FROM found f WHERE kind < 3
+  OR NOT EXISTS (FROM found b WHERE b.kind < 3 AND b.r = f.r AND b.start_ < f.end_ AND f.start_ < b.end_)),
+owners AS (SELECT val, count(DISTINCT coalesce(source, chr(1))) AS n FROM candidate GROUP BY val),
+judged AS (SELECT r, doc_id, kind, start_, end_, n < 3 AS live, ['assign', 'access', 'hex', 'token'][kind + 1] || ':' || start_ || ':' || end_ AS span
+  FROM candidate JOIN owners USING (val) WHERE kind < 3 OR n < 3),
+listed AS (SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+  count(*) FILTER (kind = 3) AS n_token, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example,
+  string_agg(span, ',' ORDER BY start_, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY start_, kind) AS spans,
+  string_agg(span, ',' ORDER BY start_, kind) FILTER (NOT live) AS examples FROM judged GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_token, 0) AS n_token, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+  coalesce(examples, '') AS examples
+FROM d LEFT JOIN listed USING (r)"""
