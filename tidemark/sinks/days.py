@@ -138,7 +138,8 @@ def replace_parts(df: DataFrame, path: str, parts: Sequence[str], changed: Seque
     """Make the partitions that ``df`` has rows of hold exactly these rows, and empty those of ``changed`` that it has none of."""
     spark = df.sparkSession
     full = {tuple(map(str, r)) for r in df.select(*parts).distinct().collect()} if changed else set()
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    # few files per partition, and a large one is split
+    df.hint("rebalance", *map(F.col, parts)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
     for values in changed:  # files that were read before and have no such rows any more: few
         if tuple(map(str, values)) not in full:
             empty = spark.createDataFrame([], df.drop(*parts).schema)
