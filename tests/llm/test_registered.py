@@ -20,7 +20,7 @@ def test_equals_sql(spark, name):
     assert difference(QUERIES[name](spark, SF_DIR), connect(SF_DIR), ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", ["op2_quality_rules", "op3_mixing", "op5_ngram_join", "op8_quality_classifier", "op9_secrets", "op10_toxicity"])
+@pytest.mark.parametrize("name", ["op2_quality_rules", "op3_mixing", "op5_ngram_join", "op8_quality_classifier", "op9_secrets", "op10_toxicity", "op12_decontamination"])
 def test_a_row_for_each_document(spark, name):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     got = QUERIES[name](spark, SF_DIR)

@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import col, fresh, in_groups, in_tasks, stored
 from tidemark.llm.components import components
 
-BLOCK = 512
+BLOCK = 2_048
 #: Nodes of a large cluster that all of it is compared with, and how often.
-PIVOTS, PIVOT_ROUNDS = 4, 3
+PIVOTS, PIVOT_ROUNDS = 4, 2
 #: Counters of the table that tells frequent n-grams; its size never grows.
 COUNTERS = 1 << 20
 #: N-grams and texts of one packed exchange row's group; keys are cut to five bytes there.
@@ -421,11 +421,17 @@ def linked(known: DataFrame, num: int, den: int) -> DataFrame:
     if large.isEmpty():
         return compared(known, pairs, num, den)
     # nodes of the large clusters, with the component that the links found so far give them
-    placed = clusters.join(large, "component").select("node", F.col("component").alias("cluster"), F.col("node").alias("part"))
-    found = stored(compared(known, pairs, num, den), "links")
+    placed = stored(clusters.join(large, "component").select("node", F.col("component").alias("cluster"), F.col("node").alias("part")), "placed")
+    few, found = compared(known, pairs, num, den), None
     for k in range(PIVOT_ROUNDS):
-        found, placed = (stored(x, name) for x, name in zip(contracted(known, found, placed, k, num, den), ("links", "placed")))
-    return found.union(compared(known, across(placed), num, den))
+        found, placed = contracted(known, found, placed, k, num, den)
+        left = outside(placed).filter(~F.col("main")).groupBy("cluster").count().agg(F.max("count")).first()[0]
+        if left is None:  # every large cluster is one part
+            return few.union(found)
+        if left <= BLOCK:
+            break
+    rest = compared(known, across(placed), num, den)
+    return few.union(rest if found is None else found.union(rest))
 
 
 def compared(known: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
@@ -448,23 +454,23 @@ def outside(placed: DataFrame) -> DataFrame:
     return placed.join(largest, "cluster").select("node", "cluster", "part", (F.col("part") == F.col("largest")).alias("main"))
 
 
-def contracted(known: DataFrame, found: DataFrame, placed: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def contracted(known: DataFrame, found: DataFrame | None, placed: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """The links after all nodes outside the largest part of their cluster (in the first round: all) were compared with a few
-    of these nodes; and the nodes with the parts that these links make."""
+    of them; and the nodes with the parts that these links make.  What links the largest part with others is found by ``across``."""
     open_ = outside(placed).filter(~F.col("main")) if k else placed
     order = Window.partitionBy("cluster", "salt").orderBy("h")
     some = open_.withColumn("h", F.xxhash64(F.lit(k), "node")).withColumn("salt", F.pmod("h", F.lit(64)))
     some = some.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= PIVOTS)
     some = some.withColumn("rank", F.row_number().over(Window.partitionBy("cluster").orderBy("h"))).filter(F.col("rank") <= PIVOTS)
     pivots = some.select("node", "cluster")
-    # all of the cluster meets them: they may also link what is left with the largest part
-    blocks = blocks_of(placed.join(pivots.select("cluster").distinct(), "cluster"), "cluster")
+    blocks = blocks_of(open_, "cluster")
     others = blocks.join(pivots.select("node"), "node", "left_anti").select("node", "cluster", F.col("block").alias("side"), F.col("block").alias("i"), F.lit(-1).alias("j"))
     each = blocks.select("cluster", F.col("block").alias("i")).distinct()
     here = pivots.join(each, "cluster").select("node", "cluster", F.lit(-1).alias("side"), "i", F.lit(-1).alias("j"))
-    found = found.union(compared(known, others.union(here), num, den))
+    new = stored(compared(known, others.union(here), num, den), "links")
+    found = new if found is None else found.union(new)
     groups = components(found).withColumnRenamed("component", "part")
-    return found, placed.drop("part").join(groups, "node", "left").select("node", "cluster", F.coalesce("part", "node").alias("part"))
+    return found, stored(placed.drop("part").join(groups, "node", "left").select("node", "cluster", F.coalesce("part", "node").alias("part")), "placed")
 
 
 def across(placed: DataFrame) -> DataFrame:
