@@ -12,7 +12,7 @@ from test_plans import plan, scans
 from testbed.q_events import agents, city, days, trip_figures
 from testbed.q_operators import write_logs
 from tidemark.sources.logs import scan_log_rejects
-from testbed.q_retail import drivers, line_facts, parsed, scan_log, scorecard_inputs
+from testbed.q_retail import drivers, parsed, scan_log, scorecard_inputs
 from testbed.q_scale import agent_bindings, bindings, inputs
 from testbed.registry import plain
 from testbed.tables import ARCHIVES, CAMPAIGN_RULES, RULES
@@ -109,15 +109,17 @@ def test_declared_schemas_are_those_of_the_tables(spark, prepared):
 
 
 def test_retail_run(spark, prepared, retail_tables, tmp_path):
-    root = str(tmp_path / "tables")
-    reports = daily.retail_reports(spark, retail_tables, root, D(1999, 5, 11))
+    root, t = str(tmp_path / "tables"), prepared
+    # lines of the day of their order, so that the orders of the window have costs
+    lines = t.order_line.drop("add_time").join(t.shop_order.select("order_sn", "add_time"), "order_sn").select(*t.order_line.columns)
+    reports = daily.retail_reports(spark, dataclasses.replace(retail_tables, lines=lines), root, D(1999, 5, 11))
     for today in (D(1999, 5, 14), D(1999, 5, 16)):
         run_all(spark, reports, root, today)
 
     def wanted(first: str, last: str):
         """The cost of an order is that of the lines loaded by then."""
-        t = prepared
-        facts = retail.order_facts(t.shop_order, drivers(t), t.user_tag, line_facts(t, "1999-05-12", last), first, last)
+        loaded = retail.order_lines(lines, drivers(t), t.user_tag, t.sku, t.sku_goods, "1999-05-12", last)
+        facts = retail.order_facts(t.shop_order, drivers(t), t.user_tag, loaded, first, last)
         return retail.scorecard(dataclasses.replace(scorecard_inputs(t), order_facts=facts), first, last)
 
     want = wanted("1999-05-12", "1999-05-13").union(wanted("1999-05-14", "1999-05-15"))
