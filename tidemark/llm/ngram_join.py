@@ -435,7 +435,10 @@ def linked(known: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def compared(known: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Links of ``pairs`` (node, cluster, side, i, j): the sets of side i with those of side j, or with each other if i is j."""
+    """Links of ``pairs`` (node, cluster, side, i, j): the sets of side i with those of side j, or with each other if i is j.
+
+    The pairs are written first, so that Spark knows their size: while they are small, the sets that are in none are not exchanged."""
+    pairs = stored(pairs, "pairs")
     rows = known.select("node", "grams").join(pairs, "node").select("cluster", "i", "j", "side", "node", "grams")
     rows = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     return rows.mapInArrow(in_tasks(verified, num=num, den=den), "a long, b long")
