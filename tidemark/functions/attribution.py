@@ -37,7 +37,8 @@ def rule_table(spark: SparkSession, rules: Rules) -> DataFrame:
     for priority, _, *parts, _ in rows:
         if all(p is None for p in parts):
             raise ValueError(f"rule {priority} has no condition")
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    # a list is small: in one partition its index needs no shuffle
+    return spark.createDataFrame(rows, RULE_SCHEMA).coalesce(1)
 
 
 def _grams(text: Column) -> Column:
