@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from testbed.tables import RULES
 from tidemark.functions import cells
 from tidemark.functions import predicates as P
-from tidemark.functions.attribution import Rule, attributed
+from tidemark.functions.attribution import RULE_SCHEMA, Rule, _rule_index, attributed
 from tidemark.operators import dims, frames
 from tidemark.operators.flags import Where, distinct_counts, row_counts
 from tidemark.operators.rollup import roll_up
@@ -134,6 +134,24 @@ def test_rules_of_any_shape_equal_a_scan_of_the_list(spark):
     assert {tuple(r) for r in got} == {(*p, first(*p)) for p in parts}
 
 
+def as_index(table):
+    return _rule_index(table.select(
+        F.struct("priority", "target").alias("__rule"), F.col("utm_source").alias("__r0"), F.col("utm_campaign").alias("__r1"),
+        F.col("content_match").alias("__r2"), F.coalesce("match_kind", F.lit("eq")).alias("__kind")))
+
+
+def test_rules_with_one_condition_are_one_rule(spark):
+    """A row meets one rule of a condition, however many have it; of these the lowest priority wins, then the smallest target."""
+    same = [("s", "c", None, "eq"), ("s", None, "x/y", "eq"), (None, None, "x/y", None), (None, None, "x/y", "contains"), (None, "c", "/", "contains")]
+    table = spark.createDataFrame([(i // 2, f"t{i:04d}", *s) for i in range(1000, 0, -1) for s in same]
+                                  + [(None, "free", "z", None, None, None), (None, "no condition", None, None, None, None)], RULE_SCHEMA)
+    assert as_index(table).count() == len(same) + 1
+    e = events(spark, {"utmsource": "s", "utmcampaign": "c", "utmcontent": "q"}, {"utmsource": "o", "utmcampaign": "c", "utmcontent": "a/b"},
+               {"utmcontent": "1x/y2"}, {"utmsource": "z"}, {"utmsource": None, "utmcampaign": None, "utmcontent": None})
+    assert rows(attributed(e, table).select("utmsource", "utmcontent", "video")) == rows(spark.createDataFrame(
+        [("s", "q", "t0001"), ("o", "a/b", "t0001"), (None, "1x/y2", "t0001"), ("z", None, "free"), (None, None, "else ")], "a string, b string, c string"))
+
+
 def test_a_rule_needs_a_condition(spark):
     with pytest.raises(ValueError):
         attributed(events(spark), [Rule(1, "t")])

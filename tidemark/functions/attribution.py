@@ -49,12 +49,13 @@ def _grams(text: Column) -> Column:
 
 
 def _rule_index(table: DataFrame) -> DataFrame:
-    """Each rule under one key that every row it matches asks for.
+    """Each rule that can win, under one key that every row it matches asks for.
 
-    A rule of equality is filed under its parts, one of containment under the rarest among the rules of the pieces of
+    Of the rules with one and the same condition only the first can win.  A rule of equality is filed under its parts, one of containment under the rarest among the rules of the pieces of
     its text, so that pieces which many rules have lead to few of them; one whose text is too short for a piece under SHORT.
     """
     parts = ("__r0", "__r1", "__r2")
+    table = table.groupBy(*parts, "__kind").agg(F.min("__rule").alias("__rule"))
     shape = sum(F.when(F.col(r).isNotNull(), 1 << i).otherwise(0) for i, r in enumerate(parts))
     by_text = (F.col("__kind") == "contains") & F.col("__r2").isNotNull()
     equal = table.filter(~by_text & (shape > 0)).withColumn("__file", F.xxhash64(shape, *parts))
