@@ -6,11 +6,13 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from testbed import all_queries
 from testbed.q_events import city
 from testbed.q_scale import inputs
 from testbed.tables import CAMPAIGN_RULES, END, START
+from tidemark.functions import attribution
 from tidemark.functions import predicates as P
 from tidemark.plans import plays, scale, trip_day
 from tidemark.streaming import kept
@@ -100,3 +102,19 @@ def test_rules_are_joined(prepared):
     for name in ("f4_attribution_contained_pieces", "f4_attribution_many_rules", "r1_content_play_day"):
         text = plan(all_queries()[name].build(prepared))
         assert "collect_list" not in text and "Subquery" not in text, name
+
+
+def test_pieces_of_rules_are_folded_where_the_rule_is(spark):
+    """However large the rules: what is exchanged and sorted is a rule, never a rule for each of its pieces."""
+    table = spark.range(1000).select(F.struct(F.col("id").alias("priority"), F.lit("t").alias("target")).alias("__rule"),
+                                     F.when(F.col("id") % 3 == 0, "s").alias("__r0"), F.when(F.col("id") % 2 == 0, "c").alias("__r1"),
+                                     F.concat(F.lit("http://b/"), "id").alias("__r2"), F.when(F.col("id") >= 0, "contains").alias("__kind"))
+    index = attribution._rule_index(table)
+    text = plan(index)
+    exchanged = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanged) == 2 and "SortMergeJoin" not in text  # the conditions, and the counts of the buckets
+    assert [line for line in text.splitlines() if "HashAggregate" in line and "min(((n" in line]
+    # a row asks for pieces of its content: every rule lies under one of those of its own text
+    asked = F.transform(attribution._grams(F.col("__r2")), lambda g: F.xxhash64(F.lit(attribution.PIECE), g))
+    assert index.filter(F.array_contains(asked, F.col("__file"))).count() == index.count() == 1000
+    assert index.groupBy("__file").count().agg(F.max("count")).first()[0] < 100  # and not under one that all rules have

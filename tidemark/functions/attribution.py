@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 OTHER = "else "  # fixed value: target of a row that no rule matches (with the blank)
 PARTS = ("utmsource", "utmcampaign", "utmcontent")
 GRAM, PIECE, SHORT = 3, 100, 101  # characters of a piece; marks that keep the kinds of keys apart
+BUCKETS = 1 << 16  # counts of pieces: a bounded table, whatever the rules
 RULE_SCHEMA = "priority int, target string, utm_source string, utm_campaign string, content_match string, match_kind string"
 
 
@@ -48,24 +49,32 @@ def _grams(text: Column) -> Column:
     return F.array_distinct(F.transform(at, lambda i: F.substr(text, i, F.lit(GRAM))))
 
 
+def _bucket(piece: Column) -> Column:
+    return F.pmod(F.xxhash64(piece), F.lit(BUCKETS))
+
+
 def _rule_index(table: DataFrame) -> DataFrame:
     """Each rule that can win, under one key that every row it matches asks for.
 
-    Of the rules with one and the same condition only the first can win.  A rule of equality is filed under its parts, one of containment under the rarest among the rules of the pieces of
-    its text, so that pieces which many rules have lead to few of them; one whose text is too short for a piece under SHORT.
+    Of the rules with one and the same condition only the first can win.  A rule of equality is filed under its parts, one of
+    containment under the rarest among the rules of the pieces of its text, so that pieces which many rules have lead to few of
+    them; one whose text is too short for a piece under SHORT.  Pieces are counted by buckets: the counts are few, however many the
+    rules, and every task gets them, so a rule's pieces are looked up and folded where the rule is and never exchanged or sorted.
     """
     parts = ("__r0", "__r1", "__r2")
-    table = table.groupBy(*parts, "__kind").agg(F.min("__rule").alias("__rule"))
     shape = sum(F.when(F.col(r).isNotNull(), 1 << i).otherwise(0) for i, r in enumerate(parts))
     by_text = (F.col("__kind") == "contains") & F.col("__r2").isNotNull()
-    equal = table.filter(~by_text & (shape > 0)).withColumn("__file", F.xxhash64(shape, *parts))
-    held = table.filter(by_text)
-    pieces = held.select("__rule", *parts, "__kind", F.explode(_grams(F.col("__r2"))).alias("piece"))
-    often = pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    rarest = pieces.join(often, "piece").groupBy("__rule", *parts, "__kind").agg(F.min(F.struct("n", "piece"))["piece"].alias("piece"))
-    filed = rarest.withColumn("__file", F.xxhash64(F.lit(PIECE), "piece")).drop("piece")
-    short = held.filter(F.length("__r2") < GRAM).withColumn("__file", F.xxhash64(F.lit(SHORT)))
-    return equal.unionByName(filed).unionByName(short)
+    pieces = _grams(F.col("__r2"))
+    often = table.filter(by_text).select(F.explode(pieces).alias("piece")).groupBy(_bucket(F.col("piece")).alias("__bucket")).agg(
+        F.count(F.lit(1)).alias("n"))
+    rules = table.filter(shape > 0).groupBy(*parts, "__kind").agg(F.min("__rule").alias("__rule"))
+    asked = rules.withColumn("__bucket", F.explode_outer(F.when(by_text, F.transform(pieces, _bucket))))
+    # count and bucket in one number: it is folded in place, while a text would have every piece sorted
+    rarest = asked.join(F.broadcast(often), "__bucket", "left").groupBy("__rule", *parts, "__kind").agg(
+        F.min(F.col("n") * BUCKETS + F.col("__bucket")).alias("__least"))
+    piece = F.get(F.filter(pieces, lambda g: _bucket(g) == F.pmod("__least", F.lit(BUCKETS))), F.lit(0))
+    filed = F.when(F.col("__least").isNotNull(), F.xxhash64(F.lit(PIECE), piece)).otherwise(F.xxhash64(F.lit(SHORT)))
+    return rarest.withColumn("__file", F.when(by_text, filed).otherwise(F.xxhash64(shape, *parts))).drop("__least")
 
 
 def attributed(rows: DataFrame, rules: Rules, out: str = "video", other: str = OTHER, where: Column | None = None) -> DataFrame:
