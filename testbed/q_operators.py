@@ -56,7 +56,8 @@ def write_logs(t, root: str, where: str) -> None:
     lines = t.scan_line.withColumn("crc", F.crc32(F.col("value").cast("binary"))).filter(where)
     day = F.coalesce(F.substr("value", F.lit(1), F.lit(10)).try_cast("date"), F.substr("value", F.lit(8), F.lit(10)).try_cast("date"), F.lit("1999-05-14").cast("date"))
     lines.select("value", F.when(F.col("crc") % 2 == 0, "host_a").otherwise("host_b").alias("host"), F.when(F.col("crc") % 2 == 0, "goods-web").otherwise(
-        "order-web").alias("folder"), F.concat(F.lit("app.log."), day.cast("string")).alias("log")).repartition(4, "log").write.mode("append").partitionBy("host", "folder", "log").text(root)
+        "order-web").alias("folder"), F.concat(F.lit("app.log."), day.cast("string")).alias("log")).hint("rebalance", F.col("host"), F.col("folder"), F.col("log")).write.mode("append").partitionBy(
+            "host", "folder", "log").text(root)
 
 
 def load_logs(t) -> str:

@@ -6,6 +6,7 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.plans.daily import load_scan_logs
 from tidemark.sources import logs
@@ -86,3 +87,15 @@ def test_names_of_log_files(spark, tmp_path):
 def test_a_missing_folder_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         load_scan_logs(spark, str(tmp_path / "none"), str(tmp_path / "t"), AFTER, D(2024, 1, 4))
+
+
+def test_the_end_of_a_path_names_the_log(spark):
+    """Whatever stands before the last folders."""
+    ends = ["h/m/app.log.2024-01-02", "h/m/app.log.2024-01-02/part-0.txt", "host=h/folder=m/log=app.log.2024-01-02/part-0", "h/m/app.log.2024-01-02.gz",
+            "h/m/app.log.2024-01-02.tmp", "m/app.log.2024-01-02", "x/h=1/m/app.log.2024-01-02", "h/m/app.log.2024-01-02/a/b"]
+    paths = spark.createDataFrame([(f"{start}{end}",) for end in ends for start in ("", "/", "file:/x/app.log.2023-01-01/", "hdfs://n:1/a/b=c/d/e/f/")], "path string")
+    whole = [F.regexp_extract("path", logs.FILE, i) for i in (3, 1, 2)]
+    got = paths.select(F.array(*[c.cast("string") for c in logs._log_of(F.col("path"))]).alias("a"), F.array(whole[0].try_cast("date").cast("string"), *whole[1:]).alias("b"))
+    assert got.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0 and got.filter("b[0] is not null").count() >= 16
+    text = logs.read_files(spark, [__file__])._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("regexp_extract(") == text.count("regexp_extract(substring_index(") == 3  # for every line: not the whole path

@@ -24,9 +24,12 @@ FILE = r"(?:^|/)(?:[^/=]+=)?([^/=]+)/(?:[^/=]+=)?([^/=]+)/(?:[^/=]+=)?app\.log\.
 LOG = ("day", "host", "folder")
 
 
+DEEP = 4  # folders and names that FILE looks at, from the end of a path
+
+
 def _log_of(path: Column) -> list[Column]:
-    """Day, host and module folder of a log file, from its name."""
-    host, folder, day = [F.regexp_extract(path, FILE, i) for i in (1, 2, 3)]
+    """Day, host and module folder of a log file, from its name.  Every line asks for them, so only the end of the path is searched."""
+    host, folder, day = [F.regexp_extract(F.substring_index(path, "/", -DEEP), FILE, i) for i in (1, 2, 3)]
     return [day.try_cast("date").alias("day"), host.alias("host"), folder.alias("folder")]
 
 
