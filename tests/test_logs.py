@@ -89,6 +89,37 @@ def test_a_missing_folder_is_an_error(spark, tmp_path):
         load_scan_logs(spark, str(tmp_path / "none"), str(tmp_path / "t"), AFTER, D(2024, 1, 4))
 
 
+@pytest.mark.parametrize("host", ["a", "007"])
+def test_lines_are_parsed_once_for_each_table(spark, tmp_path, host):
+    """Which logs have lost their rows is told by the files written, not by parsing all lines again."""
+    root, path = str(tmp_path / "logs"), str(tmp_path / "scan_log")
+    put(root, host, "goods", 2, line(2), line(2, "x1"))
+    put(root, host, "order", 2, line(2), line(2, "x1"))
+    put(root, host, "order", 3, line(3))
+    load_scan_logs(spark, root, path, AFTER, D(2024, 1, 6))
+    put(root, host, "goods", 2, line(2, "bad one"))  # no good line any more
+    put(root, host, "order", 2, line(2, "8"))  # no bad line any more
+    parsed = spark.sparkContext.accumulator(0)
+    real = logs.read_files
+
+    def counted(s, paths):
+        lines = real(s, paths)
+
+        def count(batches):
+            for b in batches:
+                parsed.add(b.num_rows)
+                yield b
+        return lines.mapInArrow(count, lines.schema)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(logs, "read_files", counted)
+        load_scan_logs(spark, root, path, AFTER, D(2024, 1, 6))
+    assert parsed.value == 2 * 2  # two lines, two tables
+    good = spark.read.schema("driver_id bigint, day date, host string, folder string").parquet(path)
+    assert sorted((r.day.day, r.host, r.folder, r.driver_id) for r in good.collect()) == [(2, host, "order", 8), (3, host, "order", 7)]
+    assert [(r.day.day, r.folder) for r in spark.read.parquet(path + "_rejects").collect()] == [(2, "goods")]
+
+
 def test_the_end_of_a_path_names_the_log(spark):
     """Whatever stands before the last folders."""
     ends = ["h/m/app.log.2024-01-02", "h/m/app.log.2024-01-02/part-0.txt", "host=h/folder=m/log=app.log.2024-01-02/part-0", "h/m/app.log.2024-01-02.gz",

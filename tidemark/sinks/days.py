@@ -134,14 +134,30 @@ def read_ordered(df: DataFrame) -> DataFrame:
     return rows.join(files, "__file").select(*df.columns, (F.col("__before") + F.col("__row") + 1).alias("place"))
 
 
+def _part_files(like: DataFrame, path: str, parts: Sequence[str], values: Sequence[Sequence[object]]) -> dict:
+    """A file name per partition that holds rows, for partitions that share their first part with ``values``.  Reads no column,
+    only what is kept about the files."""
+    spark = like.sparkSession
+    if not values or isinstance(_read(spark, path), str):
+        return {}
+    table = spark.read.schema(like.schema).parquet(path)  # the parts keep their types: a host may be called 007
+    rows = table.filter(F.col(parts[0]).isin(list({v[0] for v in values}))).groupBy(*parts).agg(F.max("_metadata.file_path"))
+    return {tuple(map(str, r[:-1])): r[-1] for r in rows.collect()}
+
+
 def replace_parts(df: DataFrame, path: str, parts: Sequence[str], changed: Sequence[Sequence[object]] = ()) -> None:
-    """Make the partitions that ``df`` has rows of hold exactly these rows, and empty those of ``changed`` that it has none of."""
+    """Make the partitions that ``df`` has rows of hold exactly these rows, and empty those of ``changed`` that it has none of.
+
+    ``df`` is computed once: partitions whose files are still there after the write had no rows in it.
+    """
     spark = df.sparkSession
-    full = {tuple(map(str, r)) for r in df.select(*parts).distinct().collect()} if changed else set()
+    before = _part_files(df, path, parts, changed)
     # few files per partition, and a large one is split
     df.hint("rebalance", *map(F.col, parts)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    after = _part_files(df, path, parts, changed) if before else {}
     for values in changed:  # files that were read before and have no such rows any more: few
-        if tuple(map(str, values)) not in full:
+        part = tuple(map(str, values))
+        if part in before and after.get(part) == before[part]:
             empty = spark.createDataFrame([], df.drop(*parts).schema)
             empty.coalesce(1).write.mode("overwrite").parquet("/".join([path, *[f"{p}={v}" for p, v in zip(parts, values)]]))
 
