@@ -104,3 +104,14 @@ def test_passages_just_over_the_threshold_are_found_whole(spark, monkeypatch):
             found = texts_of[i][r.start:r.start + r.length]
             # the first word has another letter in front, so it begins outside
             assert found == passages[i] and r.first_ids == [i - 1000] and r.words == len(found.split()) - 1
+
+
+def test_texts_around_stretches_are_not_broadcast(spark):
+    """Thousands of long copies are a few KB on disk; a broadcast of them goes through the driver."""
+    text = prose(random.Random(8), 3000)
+    docs = [(i, i, text) for i in range(40)]
+    seeds = [(i, i, 0, 0, 0, 9000, 9100, 1400, 1420, 9000, 9100) for i in range(1, 40)]
+    columns = ["id", "version", "first", "first_version", "shift", "lo", "hi", "lo_words", "hi_words", "seed_lo", "seed_hi"]
+    got = chunks.extended(spark.createDataFrame(docs, "id long, version long, text string"), spark.createDataFrame(seeds, ", ".join(f"{c} long" for c in columns)), 4096)
+    assert [(r.lo, r.hi, r.open) for r in got.collect()] == [(9000 - 4096, 9100 + 4096, True)] * 39
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()

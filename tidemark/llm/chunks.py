@@ -12,6 +12,7 @@ One row for each chunk (digest, document, place) is exchanged; holders are found
 chunks with digests of several documents is an equi-join.  Holders and first places are written before they are joined, so that Spark
 can split the copies of one very common chunk over several tasks.  Adjoining chunks with the same place in the same holder are extended together.  Only the characters around
 a stretch's ends are exchanged, ``AROUND`` at first; where all of them are equal, 16 times as many in the next round, until none are.
+They are never broadcast: copies compress so well that the size of their file says nothing of the memory they need.
 
 Defined results: NULL and empty texts have no chunks; rows of the same id are one document and no repeats of each
 other; with NULL ids, chunks that a document with an id holds are repeats; an empty table gives an empty table; a text of any
@@ -264,8 +265,9 @@ def extended(texts: DataFrame, seeds: DataFrame, width: int) -> DataFrame:
         here = found.filter(F.col("side") == side).dropDuplicates(["id", "version", "at"])
         own = here.select(F.col("id").alias("o_id"), F.col("version").alias("o_version"), F.col("at").alias("o_at"), F.col("around").alias("own"))
         their = here.select(F.col("id").alias("first"), F.col("version").alias("first_version"), F.col("at").alias("t_at"), F.col("around").alias("their"))
-        both = out.join(own, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("version") == F.col("o_version")) & (F.col(end) == F.col("o_at")))
-        both = both.withColumn("t_at", F.col(end) + F.col("shift")).join(their, ["first", "first_version", "t_at"])
+        # a small file may hold many texts that are alike: they must not meet in the driver, which a broadcast goes through
+        both = out.join(own.hint("merge"), F.col("id").eqNullSafe(F.col("o_id")) & (F.col("version") == F.col("o_version")) & (F.col(end) == F.col("o_at")))
+        both = both.withColumn("t_at", F.col(end) + F.col("shift")).join(their.hint("merge"), ["first", "first_version", "t_at"])
         both = both.select(*[c for c in out.columns if c != "open"], F.col("open").alias("was_open"), "own", "their")
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in both.schema.fields[:-2]) + ", more long, told long, open boolean"
         sign = 1 if side else -1
