@@ -164,3 +164,31 @@ def test_connected_components(spark):
             label[a] = label[b] = min(label[a], label[b])
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: m for x, m in label.items() if any(a != b and x in (a, b) for a, b in edges)}
+
+
+def test_shared_passages_of_texts_of_other_sizes_make_no_cluster(spark, monkeypatch):
+    """Every passage is in two texts, whose sizes rule a link out: nothing hangs together and no pair is compared."""
+    compared, seen = ngram_join.compared, []
+    monkeypatch.setattr(ngram_join, "compared", lambda known, pairs, num, den: (seen.append(pairs.count()), compared(known, pairs, num, den))[1])
+    passage = [" ".join(f"p{k}w{i}" for i in range(40)) for k in range(30)]
+    rows = [(i, " ".join(passage[k] for k in range(30) if i in (k % 5, 5 + k % 4)), "s") for i in range(9)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(frame(spark, rows), size=3, num=9, den=10).collect()}
+    assert got == brute(rows, 3, 9, 10) and seen == [0]
+
+
+def test_frequent_n_grams_are_counted(spark):
+    """Within a group of texts as between them."""
+    rng = np.random.default_rng(4)
+    every = rng.integers(0, 1 << 63, 120).astype(np.uint64) * np.uint64(2)
+    sets = {i: np.unique(rng.choice(every, 30)) for i in range(60)}
+    known = spark.createDataFrame([(i, len(g), g.tobytes()) for i, g in sets.items()], "node long, n long, grams binary").repartition(3)
+    grams, counts = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+    _, frequent = ngram_join.crowded(known, None, 1.0, 9, 10, int(counts.sum()), tally=True)
+    got = {c: n for c, n in frequent.groupBy("class").agg({"keys": "collect_list"}).collect()}
+    expected = {}
+    for n in counts[counts >= ngram_join.FREQUENT].tolist():
+        expected[n.bit_length()] = expected.get(n.bit_length(), 0) + 1
+    assert {c: sum(len(k) // 4 for k in keys) for c, keys in got.items()} == expected
+    classes = ngram_join.frequency_classes(frequent)
+    ends = (grams & np.uint64(len(classes) - 1)).astype(int)
+    assert all(classes[e] == max(n.bit_length() if n >= ngram_join.FREQUENT else 0 for n in counts[ends == e].tolist()) for e in np.unique(ends).tolist())

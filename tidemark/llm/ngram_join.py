@@ -8,8 +8,10 @@ of that order are the vertical fragments.  All texts with the same set are one n
    sets can differ by is linked with nothing.  That settles nearly all texts with one small exchange.  The others are
    counted again over all fragments.
 2. Of what is left, nodes are candidates of each other if they share one of the first n - ceil(t n) + 1 n-grams of
-   their sets; n-grams that a fixed-size table of counts shows as frequent come last in that order, so passages that
-   many texts share link nobody.  Candidates that hang together are a cluster.
+   their sets and neither their sizes nor the n-gram's places in both sets rule a link out; of an n-gram that more than ``FEW_NODES``
+   nodes have, those of similar size hang together.  Frequent n-grams come last in that order, so passages that
+   many texts share link nobody: step 1 counts how many sets have each n-gram, and the most frequent
+   ones, as many as a table of bounded size can tell apart, are filed there.  Candidates that hang together are a cluster.
 3. Inside a cluster, overlaps are counted fragment by fragment (a cut of the sorted n-grams) and the partial overlaps are summed for each pair.  Pairs are compared with the threshold in whole numbers.  A
    cluster beyond ``BLOCK`` nodes is first compared, block by block, with a few of its nodes: the copies of one text are linked
    with one of them and hang together.  Of what a cluster then falls into, the largest component needs no comparison inside; the
@@ -38,11 +40,16 @@ from tidemark.llm.components import components
 BLOCK = 2_048
 #: Nodes of a large cluster that all of it is compared with, and how often.
 PIVOTS, PIVOT_ROUNDS = 4, 2
-#: Counters of the table that tells frequent n-grams; its size never grows.
-COUNTERS = 1 << 20
+#: An n-gram is frequent if so many sets have it, or twice, four times as many, until no more than ``MOST_FREQUENT`` are.
+FREQUENT, MOST_FREQUENT = 4, 1 << 22
+#: Bytes of the table that tells them, as a power of two; places in it for each of them.
+MOST_LOG, LEAST_LOG, PLACES = 24, 16, 8
+#: Nodes of an n-gram that are compared by place, pair by pair.
+FEW_NODES = 32
 #: N-grams and texts of one packed exchange row's group; keys are cut to five bytes there.
 GROUP_GRAMS, GROUP_TEXTS, KEY_BYTES = 1 << 19, 60_000, 5
 PART_GRAMS = 1 << 22
+#: In place of a text: at least two texts of the group have the n-gram, one more for each number below.
 SEEN = 65_535
 #: N-grams of a fragment in step 3; sets that count as few; columns of a matrix.
 FRAGMENT, FEW, COLUMNS = 1 << 18, 12, 2_048
@@ -130,13 +137,13 @@ def texts_with_sets(batches, size: int | None):
                     yield digest(grams), grams
 
 
-PACKED = "part int, grp long, keys binary, texts binary, nodes binary, most binary, counts binary"
+PACKED = "part int, grp long, class int, keys binary, texts binary, nodes binary, most binary, counts binary"
 
 
-def packed(part: int, group: int, keys=None, texts=None, nodes=None, most=None, counts=None) -> pa.RecordBatch:
+def packed(part: int, group: int, class_: int | None = None, keys=None, texts=None, nodes=None, most=None, counts=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([part], pa.int32()), pa.array([group], pa.int64()), *(pa.array([x], pa.binary()) for x in (keys, texts, nodes, most, counts))],
-        names=["part", "grp", "keys", "texts", "nodes", "most", "counts"])
+        [pa.array([part], pa.int32()), pa.array([group], pa.int64()), pa.array([class_], pa.int32()), *(pa.array([x], pa.binary()) for x in (keys, texts, nodes, most, counts))],
+        names=["part", "grp", "class", "keys", "texts", "nodes", "most", "counts"])
 
 
 def fragment_rows(batches, size: int | None, share: float, parts: int, num: int, den: int):
@@ -168,7 +175,8 @@ def fragment_rows(batches, size: int | None, share: float, parts: int, num: int,
         need = np.maximum(sizes - most, 0).astype("<u4")
         group = int(np.uint64(xxhash.xxh3_64_intdigest(nodes.tobytes())).astype(np.int64))
         yield packed(group % parts, group, nodes=nodes.tobytes(), most=need.tobytes(), counts=counts.tobytes())
-        grams, text = grams[first], np.where(twice[first], SEEN, text[first]).astype("<u2")
+        often = np.diff(np.append(np.flatnonzero(first), len(grams)))
+        grams, text = grams[first], np.where(often > 1, np.maximum(SEEN + 2 - often, GROUP_TEXTS), text[first]).astype("<u2")
         at = np.searchsorted(grams, np.arange(parts + 1, dtype=np.uint64) * width)
         at[-1] = len(grams)
         for p in range(parts):
@@ -204,8 +212,9 @@ def by_part(batches):
         yield held
 
 
-def shared_rows(batches):
-    """For each part and group, how many n-grams of each text another group has, as (place of text, count); rows of nodes pass."""
+def shared_rows(batches, tally: bool):
+    """For each part and group, how many n-grams of each text another group has, as (place of text, count); rows of nodes pass.
+    If asked for, also the last bits of the part's frequent n-grams, by the class of their count (how many bits it has)."""
     for rows in by_part(batches):
         for r in rows:
             if r["nodes"] is not None:
@@ -223,7 +232,14 @@ def shared_rows(batches):
         twice = np.zeros(len(keys), dtype=bool)
         twice[order[1:][same]] = True
         twice[order[:-1][same]] = True
-        twice &= text != SEEN
+        if tally:
+            begin = np.flatnonzero(np.append(True, ~same))
+            counts = np.add.reduceat(np.where(text < GROUP_TEXTS, 1, SEEN + 2 - text.astype(np.int64))[order], begin)
+            begin, counts = begin[counts >= FREQUENT], counts[counts >= FREQUENT]
+            ends, classes = (keys[order[begin]] & np.uint64((1 << MOST_LOG) - 1)).astype("<u4"), np.floor(np.log2(counts)).astype(int) + 1
+            for c in np.unique(classes).tolist():
+                yield packed(rows[0]["part"], 0, class_=c, keys=ends[classes == c].tobytes())
+        twice &= text < GROUP_TEXTS
         hits, owner = text[twice], group[twice]
         cuts = np.searchsorted(owner, np.arange(len(rows) + 1))
         for k, r in enumerate(rows):
@@ -245,54 +261,53 @@ def open_nodes(rows):
     return pa.table({"node": pa.array(nodes[shared >= need], pa.int64())})
 
 
-def crowded(rows: DataFrame, size: int | None, share: float, num: int, den: int, total: int) -> DataFrame:
-    """Nodes of ``rows``, which have ``total`` n-grams, that may be linked, after the fragment's n-grams are counted.
+def crowded(rows: DataFrame, size: int | None, share: float, num: int, den: int, total: int, tally: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """Nodes of ``rows``, which have ``total`` n-grams, that may be linked, after the fragment's n-grams are counted; if asked for,
+    the fragment's frequent n-grams by class, as ``shared_rows`` gives them.
 
     The fragment has so many parts that each holds about ``PART_GRAMS`` n-grams; a task counts one of its parts after the other."""
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(tasks, math.ceil(total * min(share, 1.0) / PART_GRAMS))
     sent = rows.mapInArrow(in_tasks(fragment_rows, size=size, share=share, parts=parts, num=num, den=den), PACKED)
-    counted = sent.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(in_tasks(shared_rows), PACKED)
-    return counted.groupBy("grp").applyInArrow(in_groups(open_nodes), "node long").distinct()
-
-
-def count_rows(batches):
-    """Counts of hashed n-grams, in slices of the table."""
-    counts = np.zeros(COUNTERS, dtype=np.int64)
-    for batch in batches:
-        for raw in batch.column("grams"):
-            grams = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
-            np.add.at(counts, (grams & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-    slices = counts.reshape(64, -1)
-    yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array([s.astype("<i8").tobytes() for s in slices], pa.binary())], names=["slice", "counts"])
-
-
-def sum_counts(rows):
-    total = sum(np.frombuffer(c.as_buffer(), dtype="<i8") for c in rows.column("counts").combine_chunks())
-    return pa.table({"slice": rows.column("slice").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
-
-
-def frequency_classes(known: DataFrame) -> np.ndarray:
-    """For each counter the class of its count (how many bits it has): one byte each, a fixed-size table."""
-    rows = known.select("grams").mapInArrow(in_tasks(count_rows), "slice int, counts binary").groupBy("slice").applyInArrow(
-        in_groups(sum_counts), "slice int, counts binary").collect()
-    counts = np.zeros((64, COUNTERS // 64), dtype=np.int64)
-    for r in rows:
-        counts[r["slice"]] = np.frombuffer(r["counts"], dtype="<i8")
-    return np.ceil(np.log2(counts.reshape(-1) + 1)).astype(np.uint8)
+    counted = sent.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(in_tasks(shared_rows, tally=tally), PACKED)
+    frequent = None
+    if tally:
+        counted = stored(counted, "counted")
+        counted, frequent = counted.filter("class is null"), counted.filter("class is not null").select("class", "keys")
+    return counted.groupBy("grp").applyInArrow(in_groups(open_nodes), "node long").distinct(), frequent
+
+
+def frequency_classes(frequent: DataFrame) -> np.ndarray:
+    """For each place of a table (the last bits of an n-gram) the class of the most frequent n-gram there, 0 if none is frequent.
+    The driver gets four bytes for each of at most ``MOST_FREQUENT`` n-grams: of the highest classes."""
+    counts = dict(frequent.groupBy("class").agg(F.sum(F.length("keys")) / 4).collect())
+    least, total = 256, 0
+    for c in sorted(counts, reverse=True):
+        if total + counts[c] > MOST_FREQUENT:
+            break
+        least, total = c, total + int(counts[c])
+    log = min(MOST_LOG, max(LEAST_LOG, (max(1, total) * PLACES - 1).bit_length()))
+    classes = np.zeros(1 << log, dtype=np.uint8)
+    for r in frequent.filter(F.col("class") >= least).orderBy("class").toLocalIterator():
+        classes[np.frombuffer(r["keys"], dtype="<u4") & np.uint32(len(classes) - 1)] = r["class"]
+    return classes
 
 
 def prefix_rows(batches, classes: np.ndarray, num: int, den: int):
-    """(token, node): the first n - ceil(t n) + 1 n-grams of a set, rare ones first, then by the global order."""
+    """(token, n, at, node): the first n - ceil(t n) + 1 n-grams of a set, rare ones first, then by the global order, with their
+    places; none of a set so small that no other set is similar enough."""
     for batch in batches:
-        tokens, nodes = [], []
+        tokens, sizes, places, nodes = [], [], [], []
         for node, raw in zip(batch.column("node").to_pylist(), batch.column("grams")):
             grams = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
-            keep = len(grams) + (-len(grams) * num // den) + 1
-            order = np.argsort(classes[(grams & np.uint64(COUNTERS - 1)).astype(np.int64)], kind="stable")[:keep]
-            tokens.append(grams[order]), nodes.append(np.full(len(order), node, dtype=np.int64))
+            n = len(grams)
+            if n * (den - num) < num:
+                continue
+            order = np.argsort(classes[(grams & np.uint64(len(classes) - 1)).astype(np.int64)], kind="stable")[: n + (-n * num // den) + 1]
+            tokens.append(grams[order]), sizes.append(np.full(len(order), n)), places.append(np.arange(len(order))), nodes.append(np.full(len(order), node, dtype=np.int64))
         if nodes:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes))], names=["token", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), *(pa.array(np.concatenate(x).astype(np.int32)) for x in (sizes, places)),
+                                              pa.array(np.concatenate(nodes))], names=["token", "n", "at", "node"])
 
 
 class Forest:
@@ -318,17 +333,34 @@ class Forest:
         return True
 
 
-def star_rows(batches):
-    """(token, node) sorted by token to links of its nodes with the first of them, without those that join nothing new."""
-    forest, token, first = Forest(), None, None
+def may_link(nodes: list[tuple[int, int, int]], num: int, den: int):
+    """Pairs that connect the nodes (n, place, node) of one n-gram, in order of n, that may be linked by it.  Of a few nodes: what
+    is left of both sets after the n-gram, for all before it differ in one that is the first in common, must do.  Of many: neighbours."""
+    for k, (n, at, node) in enumerate(nodes):
+        for m, place, other in nodes[k + 1:] if len(nodes) <= FEW_NODES else nodes[k + 1: k + 2]:
+            if n * den < m * num:
+                break
+            # the overlap that a link of these sizes has at least is num (n + m) / (num + den)
+            if node != other and (len(nodes) > FEW_NODES or min(n - at, m - place) * (num + den) >= num * (n + m)):
+                yield node, other
+
+
+def candidates(batches, num: int, den: int):
+    """(token, n, at, node) sorted by token and n to links of nodes that may be linked, without those that join nothing new."""
+    forest, token, held = Forest(), None, []
+
+    def out():
+        return [pair for pair in may_link(held, num, den) if forest.join(*pair)]
+
     for batch in batches:
-        a, b = [], []
-        for t, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        found = []
+        for t, *row in zip(*(c.to_pylist() for c in batch.columns)):
             if t != token:
-                token, first = t, node
-            elif node != first and forest.join(first, node):
-                a.append(first), b.append(node)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                found += out()
+                token, held = t, []
+            held.append(row)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ([a for a, _ in found], [b for _, b in found])], names=["a", "b"])
+    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out())] or [pa.array([], pa.int64())] * 2, names=["a", "b"])
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
@@ -408,12 +440,12 @@ def verified(batches, num: int, den: int):
         yield out(now, held)
 
 
-def linked(known: DataFrame, num: int, den: int) -> DataFrame:
-    """Links ``(a, b)`` that connect what the threshold connects, of sets (node, n, grams)."""
-    classes = frequency_classes(known)
-    tokens = known.select("node", "grams").mapInArrow(in_tasks(prefix_rows, classes=classes, num=num, den=den), "token long, node long")
-    tokens = tokens.repartition("token").sortWithinPartitions("token", "node")
-    clusters = components(tokens.mapInArrow(in_tasks(star_rows), "a long, b long"))
+def linked(known: DataFrame, frequent: DataFrame, num: int, den: int) -> DataFrame:
+    """Links ``(a, b)`` that connect what the threshold connects, of sets (node, n, grams), with the ``frequent`` n-grams by class."""
+    classes = frequency_classes(frequent)
+    tokens = known.select("node", "grams").mapInArrow(in_tasks(prefix_rows, classes=classes, num=num, den=den), "token long, n int, at int, node long")
+    tokens = tokens.repartition("token").sortWithinPartitions("token", "n", "node")
+    clusters = components(tokens.mapInArrow(in_tasks(candidates, num=num, den=den), "a long, b long"))
     sizes = stored(clusters.groupBy("component").agg(F.count(F.lit(1)).alias("nodes")), "clusters")
     large = sizes.filter(F.col("nodes") > BLOCK)
     small = clusters.join(sizes.filter(F.col("nodes") <= BLOCK), "component")
@@ -500,14 +532,14 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", siz
     nodes = stored(nodes.select("node", F.col("row.id").alias("least"), F.col("row.text_hash").alias("text_hash"), "copies", "n"), "nodes")
     total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     share = min(1.0, 2.2 * (den - num) / num)
-    maybe = crowded(rows.select("text"), size, share, num, den, total)
+    maybe, _ = crowded(rows.select("text"), size, share, num, den, total)
     chosen = nodes.join(maybe, "node", "left_semi").select("node", F.col("least").alias("id"), "text_hash")
     named = rows.join(chosen.filter("id is not null"), ["id", "text_hash"]).dropDuplicates(["id", "text_hash"]).select("node", "text")
     nameless = rows.filter("id is null").join(chosen.filter("id is null").select("node", "text_hash"), "text_hash").select("node", "text").dropDuplicates(["node"])
     known = stored(named.union(nameless).mapInArrow(in_tasks(chosen_sets, size=size), "node long, n long, grams binary"), "chosen")
-    again = stored(crowded(known, None, 1.0, num, den, known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]), "open")
-    known = stored(known.join(again, "node", "left_semi"), "open-sets")
-    groups = components(linked(known, num, den))
+    again, frequent = crowded(known, None, 1.0, num, den, known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], tally=True)
+    known = stored(known.join(stored(again, "open"), "node", "left_semi"), "open-sets")
+    groups = components(linked(known, frequent, num, den))
     named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     # texts that are alone need no name from the others
