@@ -41,9 +41,9 @@ BLOCK = 2_048
 #: Nodes of a large cluster that all of it is compared with, and how often.
 PIVOTS, PIVOT_ROUNDS = 4, 2
 #: An n-gram is frequent if so many sets have it, or twice, four times as many, until no more than ``MOST_FREQUENT`` are.
-FREQUENT, MOST_FREQUENT = 4, 1 << 22
+FREQUENT, MOST_FREQUENT = 4, 1 << 20
 #: Bytes of the table that tells them, as a power of two; places in it for each of them.
-MOST_LOG, LEAST_LOG, PLACES = 24, 16, 8
+MOST_LOG, LEAST_LOG, PLACES = 22, 16, 4
 #: Nodes of an n-gram that are compared by place, pair by pair.
 FEW_NODES = 32
 #: N-grams and texts of one packed exchange row's group; keys are cut to five bytes there.
